@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from flowloom.llm import packing, token_files, url_filters
+from flowloom.llm import decontamination, fingerprints, packing, token_files, url_filters
 
 QUERIES = {
     "op6_packing": packing.op6_packing,
     "op7_url_filters": url_filters.op7_url_filters,
+    "op8_fingerprints": fingerprints.op8_fingerprints,
     "op9_token_files": token_files.op9_token_files,
+    "op10_decontamination": decontamination.op10_decontamination,
 }
-SQL = {"op7_url_filters": url_filters.OP7_SQL}
+SQL = {"op7_url_filters": url_filters.OP7_SQL, "op10_decontamination": decontamination.OP10_SQL}
