@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from flowloom.llm import decontamination, fingerprints, packing, token_files, url_filters
+from flowloom.llm import decontamination, fingerprints, packing, simhash, token_files, url_filters
 
 QUERIES = {
+    "op1_simhash": simhash.op1_simhash,
     "op6_packing": packing.op6_packing,
     "op7_url_filters": url_filters.op7_url_filters,
     "op8_fingerprints": fingerprints.op8_fingerprints,
