@@ -18,6 +18,7 @@ import os
 import re
 import struct
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,7 @@ CACHE_ENTRIES = 500_000
 #: Rows of one token file on average.
 ROWS_PER_FILE = 1500
 _SPLIT = re.compile(r" (?=\S)")
+_LATIN = re.compile("[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]")
 _encoders: dict[str, "Encoder"] = {}
 
 
@@ -45,9 +47,10 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
 class Encoder:
     """Texts to little-endian uint16 or uint32 ids with the tokenizers library.
 
-    A byte-level tokenizer never joins a token across a space that a non-space follows, so a text is
-    cut before such spaces and each distinct word is encoded once per worker. The cache is emptied when
-    it is full, so memory is bounded whatever the vocabulary.
+    A byte-level tokenizer's pieces never cross a space that a non-space follows, a single line end
+    between two non-spaces, or the place between a Latin letter and a comma or full stop. So a text is
+    cut there and each distinct word is encoded once per worker. The cache is emptied when it is full,
+    so memory is bounded whatever the vocabulary.
     """
 
     def __init__(self, path: str):
@@ -57,25 +60,37 @@ class Encoder:
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True  # a special token's text inside a document is ordinary text
         self.dtype = np.dtype("<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.dtype.itemsize == 2 else "I"  # native order is little-endian on all hosts that Spark runs on here
         self.first: dict[str, bytes] = {}
         self.later: dict[str, bytes] = {}
+        self.marks = {m: self._ids([m])[0] for m in ",.\n"}
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        return [array(self.code, e.ids).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _fill(self, cache: dict[str, bytes], words: set[str], lead: str) -> None:
-        missing = [w for w in words if w not in cache]
-        if len(cache) + len(missing) > CACHE_ENTRIES:
+        missing = words.difference(cache)
+        if len(cache) + 2 * len(missing) > CACHE_ENTRIES:
             cache.clear()
-            missing = list(words)
-        for i in range(0, len(missing), 4096):
-            part = missing[i : i + 4096]
-            for w, e in zip(part, self.tok.encode_batch_fast([lead + x for x in part], add_special_tokens=False)):
-                cache[w] = np.array(e.ids, self.dtype).tobytes()
+            missing = words
+        marked = [w for w in missing if w[-1:] in self.marks and _LATIN.match(w[-2:-1])]
+        plain = list(missing.difference(marked).union([w[:-1] for w in marked]).difference(cache))
+        for i in range(0, len(plain), 4096):
+            part = plain[i : i + 4096]
+            cache.update(zip(part, self._ids([lead + x for x in part])))
+        for w in marked:
+            cache[w] = cache[w[:-1]] + self.marks[w[-1]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [_SPLIT.split(t) for t in texts]
-        self._fill(self.first, {w[0] for w in cut}, "")
-        self._fill(self.later, set().union(*[w[1:] for w in cut]), " ")
-        get = self.later.__getitem__
-        return [self.first[w[0]] + b"".join(map(get, w[1:])) for w in cut]
+        cut = []  # for each text its lines, each a list of words
+        for t in texts:
+            lines = [line.split(" ") for line in t.split("\n")]
+            plain = t.split() == [w for line in lines for w in line]  # single spaces and line ends alone
+            cut.append(lines if plain else [_SPLIT.split(t)])
+        self._fill(self.first, {line[0] for lines in cut for line in lines}, "")
+        self._fill(self.later, {w for lines in cut for line in lines for w in line[1:]}, " ")
+        first, get, end = self.first, self.later.__getitem__, self.marks["\n"]
+        return [end.join([first[line[0]] + b"".join(map(get, line[1:])) for line in lines]) for lines in cut]
 
 
 def encoder(path: str) -> Encoder:
