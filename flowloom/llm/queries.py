@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from flowloom.llm import decontamination, fingerprints, packing, simhash, token_files, url_filters
+from flowloom.llm import decontamination, fingerprints, language_id, packing, quality, simhash, suffix_dedup, token_files, toxicity, url_filters
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
+    "op2_language_id": language_id.op2_language_id,
+    "op3_toxicity": toxicity.op3_toxicity,
+    "op4_suffix_dedup": suffix_dedup.op4_suffix_dedup,
+    "op5_quality": quality.op5_quality,
     "op6_packing": packing.op6_packing,
     "op7_url_filters": url_filters.op7_url_filters,
     "op8_fingerprints": fingerprints.op8_fingerprints,
