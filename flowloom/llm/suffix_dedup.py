@@ -304,10 +304,11 @@ def _from_five(data: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-def repeated_spans(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """One row for each row of df: doc_id, n_bytes, spans (array of start and end, in bytes) and kept (the remaining bytes)."""
+def repeated_spans(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = CHUNK_BYTES, keep: list[str] | None = None) -> DataFrame:
+    """One row for each row of df: row (a struct of the ``keep`` columns, the id by default), n_bytes, spans (array of start and end, in bytes) and kept (the remaining bytes)."""
     gram = GRAM
-    docs = df.select(F.col(id_col).cast("long").alias("real_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    row = F.struct(*[F.col(c) for c in ([id_col] if keep is None else keep)])
+    docs = df.select(row.alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     total = docs.select(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     chunks = int(min(CHUNKS, max(1, total // chunk_bytes)))
     dealt = docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(chunks)).cast("int"))
@@ -402,22 +403,23 @@ def repeated_spans(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
             kept.append(c.data[a:b][~gone].tobytes() if len(turn) else c.data[a:b].tobytes())
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         sizes = (c.ends - c.starts) if c else []
-        return pa.table({"doc_id": docs["real_id"], "n_bytes": pa.array(sizes, pa.int64()), "spans": pa.array(spans, kind), "kept": pa.array(kept, pa.binary())})
+        return pa.table({"row": docs["row"], "n_bytes": pa.array(sizes, pa.int64()), "spans": pa.array(spans, kind), "kept": pa.array(kept, pa.binary())})
 
     by_chunk = lambda: dealt.groupBy("chunk")
     one = by_chunk().applyInArrow(anchors, "bucket int, chunk int, data binary").groupBy("bucket").applyInArrow(shared, "chunk int, data binary")
     two = by_chunk().cogroup(one.groupBy("chunk")).applyInArrow(contexts, "bucket int, chunk int, data binary").groupBy("bucket").applyInArrow(sorted_runs, "chunk int, data binary")
-    return by_chunk().cogroup(two.groupBy("chunk")).applyInArrow(cut, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
+    return by_chunk().cogroup(two.groupBy("chunk")).applyInArrow(cut, f"row {docs.schema['row'].dataType.simpleString()}, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
 
 
 def remove_repeats(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """df with the repeated bytes taken out of its texts (a character cut in half becomes U+FFFD). Ids must be unique."""
-    kept = repeated_spans(df, length, id_col, text_col).select(F.col("doc_id").alias("_id"), F.make_valid_utf8(F.col("kept").cast("string")).alias("_kept"))
-    rest = df.drop(text_col).join(kept, F.col(id_col).eqNullSafe(F.col("_id")), "left")
-    return rest.select(*[F.col("_kept").alias(c) if c == text_col else F.col(c) for c in df.columns])
+    """df with the repeated bytes taken out of its texts (a character cut in half becomes U+FFFD)."""
+    others = [c for c in df.columns if c != text_col]
+    cut = repeated_spans(df, length, id_col, text_col, keep=others)
+    text = F.make_valid_utf8(F.col("kept").cast("string"))
+    return cut.select(*[text.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in df.columns])
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = repeated_spans(table(spark, sf_dir, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
-    return spans.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    return spans.select("row.doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))

@@ -48,7 +48,7 @@ def got_of(spark, rows, **kw):
 
     df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, chunk string")
     out = sd.repeated_spans(df, **kw).withColumn("sha", F.sha2("kept", 256)).collect()
-    return sorted(((r["doc_id"], r["n_bytes"], sum(s["end"] - s["start"] for s in r["spans"]), len(r["spans"]), r["sha"]) for r in out), key=repr)
+    return sorted(((r["row"]["doc_id"], r["n_bytes"], sum(s["end"] - s["start"] for s in r["spans"]), len(r["spans"]), r["sha"]) for r in out), key=repr)
 
 
 def test_matches_brute_force(spark):
