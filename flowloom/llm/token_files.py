@@ -30,7 +30,7 @@ from flowloom.llm.common import bucket_of, range_splits, staged, table
 MAGIC = b"FLTOKEN1"
 SAMPLE = 256
 #: Entries that a worker's cache of encoded words may hold.
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 1_000_000
 #: Rows of one token file on average.
 ROWS_PER_FILE = 1500
 _SPLIT = re.compile(r" (?=\S)")
@@ -61,36 +61,53 @@ class Encoder:
         self.tok.encode_special_tokens = True  # a special token's text inside a document is ordinary text
         self.dtype = np.dtype("<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"  # native order is little-endian on all hosts that Spark runs on here
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
-        self.marks = {m: self._ids([m])[0] for m in ",.\n"}
+        self.cache: dict[str, bytes] = {}
+        self.marks = {m: self._ids([m])[0] for m in ",."}
+        starts = [i for t, i in self.tok.get_vocab().items() if t.startswith("\u0120")]  # pieces that begin with a space
+        self.begins = np.zeros(self.tok.get_vocab_size(), bool)
+        self.begins[starts] = True
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [array(self.code, e.ids).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _fill(self, cache: dict[str, bytes], words: set[str], lead: str) -> None:
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of words that follow a space: encoded as one text and cut where a piece begins with a space."""
+        (data,) = self._ids([" " + " ".join(words)])
+        at = np.flatnonzero(self.begins[np.frombuffer(data, self.dtype)]) * self.dtype.itemsize
+        if len(at) != len(words):
+            return self._ids([" " + w for w in words])
+        ends = [*at[1:].tolist(), len(data)]
+        return [data[i:j] for i, j in zip(at.tolist(), ends)]
+
+    def _fill(self, words: set[str]) -> None:
+        cache = self.cache
         missing = words.difference(cache)
         if len(cache) + 2 * len(missing) > CACHE_ENTRIES:
             cache.clear()
             missing = words
         marked = [w for w in missing if w[-1:] in self.marks and _LATIN.match(w[-2:-1])]
-        plain = list(missing.difference(marked).union([w[:-1] for w in marked]).difference(cache))
-        for i in range(0, len(plain), 4096):
-            part = plain[i : i + 4096]
-            cache.update(zip(part, self._ids([lead + x for x in part])))
+        plain = missing.difference(marked).union([w[:-1] for w in marked]).difference(cache)
+        bare = [w for w in plain if w[0] in "\r\n"]
+        cache.update(zip(bare, self._ids([w[w[0] == "\r" :] for w in bare])))
+        rest = list(plain.difference(bare))
+        for i in range(0, len(rest), 2048):
+            cache.update(zip(rest[i : i + 2048], self._words(rest[i : i + 2048])))
         for w in marked:
             cache[w] = cache[w[:-1]] + self.marks[w[-1]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = []  # for each text its lines, each a list of words
+        """A word's key is the word where a space precedes it, "\\n" and the word at a line's beginning, "\\r" and the word at the text's."""
+        cut = []
         for t in texts:
-            lines = [line.split(" ") for line in t.split("\n")]
-            plain = t.split() == [w for line in lines for w in line]  # single spaces and line ends alone
-            cut.append(lines if plain else [_SPLIT.split(t)])
-        self._fill(self.first, {line[0] for lines in cut for line in lines}, "")
-        self._fill(self.later, {w for lines in cut for line in lines for w in line[1:]}, " ")
-        first, get, end = self.first, self.later.__getitem__, self.marks["\n"]
-        return [end.join([first[line[0]] + b"".join(map(get, line[1:])) for line in lines]) for lines in cut]
+            if " ".join(t.split()) == t.replace("\n", " "):  # single spaces and line ends alone
+                words = t.replace("\n", " \n").split(" ")
+            else:
+                words = _SPLIT.split(t)
+            words[0] = "\r" + words[0]
+            cut.append(words)
+        self._fill(set().union(*cut))
+        get = self.cache.__getitem__
+        return [b"".join(map(get, words)) for words in cut]
 
 
 def encoder(path: str) -> Encoder:
