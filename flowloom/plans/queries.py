@@ -210,7 +210,7 @@ _K8S = """SELECT *, split_part(SrcAddr,'.',2)::INT AS o2, split_part(SrcAddr,'.'
 @query("n5_add_kubernetes", f""", x AS ({_K8S}) SELECT {_ID}, CASE WHEN o4%7<>0 THEN concat('ns-',(o3%10)::VARCHAR) END AS Src_Namespace,
  CASE WHEN o4%7<>0 THEN CASE WHEN o4%5=0 THEN concat('node-',o2::VARCHAR) ELSE concat('obj-',replace(SrcAddr,'.','-')) END END AS Src_Name,
  CASE WHEN o4%7<>0 THEN CASE o4%5 WHEN 0 THEN 'Node' WHEN 1 THEN 'Service' ELSE 'Pod' END END AS Src_Type, CASE WHEN o4%7<>0 THEN concat('dep-',(o4%3)::VARCHAR) END AS Src_OwnerName,
- CASE WHEN o4%7<>0 AND o4%5<>1 THEN concat('node-',o2::VARCHAR) WHEN o4%7<>0 THEN '' END AS Src_HostName, CASE WHEN o4%7<>0 AND o4%5<>1 THEN concat('zone-',o2::VARCHAR) END AS Src_Zone FROM x""")
+ CASE WHEN o4%7<>0 AND o4%5<>1 THEN concat('node-',o2::VARCHAR) END AS Src_HostName, CASE WHEN o4%7<>0 AND o4%5<>1 THEN concat('zone-',o2::VARCHAR) END AS Src_Zone FROM x""")
 def n5(f):
     return enrich.add_kubernetes(f, "SrcAddr", "Src", _inventory(f), zone=True).select("flow_id", "line", "SrcPort", "Src_Namespace", "Src_Name", "Src_Type", "Src_OwnerName", "Src_HostName", "Src_Zone")
 
@@ -222,10 +222,10 @@ def n8(f):
     return out.select("flow_id", "line", "SrcPort", F.array_join(F.transform(F.map_entries(short), lambda e: F.concat_ws("=", e["key"], e["value"])), ",").alias("labels"))
 
 
-@query("n9_otel_names", f""", x AS ({_K8S}) SELECT {_ID}, CASE WHEN o4%7<>0 THEN concat('ns-',(o3%10)::VARCHAR) END AS "source.k8s.namespace.name", CASE WHEN o4%7<>0 AND o4%5>1 THEN concat('obj-',replace(SrcAddr,'.','-')) END AS "source.k8s.pod.name" FROM x""")
+@query("n9_otel_names", f""", x AS ({_K8S}) SELECT {_ID}, CASE WHEN o4%7<>0 THEN concat('ns-',(o3%10)::VARCHAR) END AS source_namespace, CASE WHEN o4%7<>0 AND o4%5>1 THEN concat('obj-',replace(SrcAddr,'.','-')) END AS source_pod FROM x""")
 def n9(f):
     out = enrich.otel_names(enrich.add_kubernetes(f, "SrcAddr", "Src", _inventory(f)), "Src", "source.")
-    return out.select("flow_id", "line", "SrcPort", "`source.k8s.namespace.name`", "`source.k8s.pod.name`")
+    return out.select("flow_id", "line", "SrcPort", F.col("`source.k8s.namespace.name`").alias("source_namespace"), F.col("`source.k8s.pod.name`").alias("source_pod"))
 
 
 @query("n10_owner_chain", "SELECT DISTINCT DstAddr AS name, 'Deployment' AS owner_kind, concat('dep-',split_part(DstAddr,'.',3)) AS owner_name, CASE WHEN split_part(DstAddr,'.',3)::INT%2=0 THEN 'Gateway' ELSE 'Deployment' END AS top_kind FROM flows")
@@ -262,7 +262,7 @@ def n17(f):
     return f.select("flow_id", "line", "SrcPort", net.infra_or_app([(ns, name)], ["ns-1", "ns-2"], [("ns-3", "n9")]).alias("layer"))
 
 
-@query("n18_direction", f"SELECT {_ID}, CASE WHEN line=7 THEN line%2 WHEN line%3=0 THEN 2 WHEN line%3=1 THEN 1 WHEN line%4=0 THEN 0 ELSE line%2 END AS direction FROM flows")
+@query("n18_direction", f"SELECT {_ID}, CASE WHEN line=7 THEN 1 WHEN line%3=0 OR line%12=4 THEN 2 WHEN line%3=1 THEN 1 WHEN line%4=0 THEN 0 ELSE line%2 END AS direction FROM flows")
 def n18(f):
     line = F.col("line")
     source = F.when(line % 3 == 0, "h").when(line % 3 == 1, "r").otherwise("x")
@@ -270,8 +270,6 @@ def n18(f):
     return f.select("flow_id", "line", "SrcPort", net.reinterpret_direction(F.when(line == 7, "").otherwise("r"), source, target, line % 2).alias("direction"))
 
 
-SQL["n18_direction"] = _FLOWS + f" SELECT {_ID}, CASE WHEN line=7 THEN 1 WHEN line%3=0 THEN 2 WHEN line%3=1 AND line%4<>0 THEN 1 WHEN line%3=1 THEN line%2 WHEN line%4=0 THEN 0 ELSE line%2 END AS direction FROM flows"
-
 
 @query("n19_n20_tcp_flags", f"""SELECT {_ID}, CASE Flags WHEN 2 THEN 'SYN' WHEN 256 THEN 'SYN_ACK' WHEN 16 THEN 'ACK' WHEN 24 THEN 'PSH,ACK' WHEN 17 THEN 'FIN,ACK' WHEN 512 THEN 'FIN_ACK' END AS names, Flags::BIGINT AS back FROM flows""")
 def n19(f):
@@ -458,9 +456,10 @@ def label_lines(f):
     return out.select(F.get_json_object("line", "$.flow_id").cast("bigint").alias("flow_id"), key["line"].alias("line"), key["SrcPort"].alias("SrcPort"), F.col("labels")["dst_addr"].alias("dst"), F.col("labels")["site"].alias("site"), F.unix_seconds("time").alias("seconds"), F.col("line").alias("line_text"))
 
 
-@query("w4_object_batches")
+@query("w4_object_batches", """, r AS (SELECT date_trunc('hour',event_time) AS h, (row_number() OVER (PARTITION BY date_trunc('hour',event_time) ORDER BY event_time, flow_id, line, SrcPort)-1)//10 AS b FROM flows)
+ SELECT concat(strftime(h,'account/year=%Y/month=%m/day=%d/hour=%H'),'/stream-id=0/',lpad(b::VARCHAR,8,'0')) AS path, count(*)::INT AS n FROM r GROUP BY h, b""")
 def objects(f):
-    return sinks.object_batches(f.select("flow_id", "line", "SrcPort", "Bytes", "event_time"), "event_time", 10, order=["flow_id", "line"], header={"vendor": "x"})
+    return sinks.object_batches(f.select("flow_id", "line", "SrcPort", "Bytes", "event_time"), "event_time", 10, order=["flow_id", "line", "SrcPort"], header={"vendor": "x"}).select("path", "n")
 
 
 @query("w6_otel_logs", f"SELECT {_ID}, 9 AS severity_number, 'INFO' AS severity_text, Flags::VARCHAR AS flags, CASE WHEN Flags IS NULL THEN 3 ELSE 4 END AS n FROM flows")

@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 from flowloom.functions.coerce import col_or_null, go_str, kind_of
 from flowloom.functions.net import encode_tcp_flags
 
+#: Rows of an hour that are numbered together.
+HOUR_ROWS = 200_000
 #: Microseconds of the timestamp scales.
 SCALES = {"1m": 60_000_000, "1s": 1_000_000, "100ms": 100_000, "1ms": 1_000}
 
@@ -55,13 +57,15 @@ def to_label_lines(df: DataFrame, labels: list[str], time_field: str, scale: str
 def object_batches(df: DataFrame, time_col: str, size: int = 10, account: str = "account", stream_id: str = "0", header: dict | None = None, order: list[str] | None = None) -> DataFrame:
     """(path, object): JSON objects of up to ``size`` rows of an hour, with the header, capture times and number of rows.
 
-    Rows are numbered within an hour and a bucket of their hash, and batches are cut there, so no task sees a
-    whole hour; the last batch of each bucket may be short.
+    Rows are numbered within their hour; an hour of more than ``HOUR_ROWS`` rows is first split by the rows' hash, so
+    no task gets an unbounded hour. The last batch of each part may be short.
     """
     from pyspark.sql import Window
 
     hour = F.date_trunc("hour", F.col(time_col))
-    rows = df.select(hour.alias("_hour"), F.pmod(F.xxhash64(*df.columns), F.lit(64)).alias("_part"), F.col(time_col).alias("_t"), F.struct(*df.columns).alias("_row"))
+    rows = df.select(hour.alias("_hour"), F.xxhash64(*df.columns).alias("_hash"), F.col(time_col).alias("_t"), F.struct(*df.columns).alias("_row"))
+    large = rows.groupBy("_hour").agg(F.ceil(F.count("*") / HOUR_ROWS).alias("_parts")).filter("_parts > 1")
+    rows = rows.join(large, "_hour", "left").withColumn("_part", F.pmod("_hash", F.coalesce("_parts", F.lit(1))))
     w = Window.partitionBy("_hour", "_part").orderBy("_t", *[F.col("_row")[c] for c in order or []])
     rows = rows.withColumn("_batch", F.floor((F.row_number().over(w) - 1) / size))
     fixed = [F.lit(v).alias(k) for k, v in (header or {}).items()]
