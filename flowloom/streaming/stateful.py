@@ -53,8 +53,8 @@ def stream_topk(df: DataFrame, rule: dict, time_col: str, each: Callable[[DataFr
 class Tracker(StatefulProcessor):
     """Connections with event-time timers: a row joins its connection, a timer brings a heartbeat or the end."""
 
-    def __init__(self, conf: dict, names: list[str]):
-        self.conf, self.names = conf, names
+    def __init__(self, conf: dict, names: list[str], inputs: list[str]):
+        self.conf, self.names, self.inputs = conf, names, inputs
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         import pickle
@@ -86,7 +86,8 @@ class Tracker(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         live, out = self._load(), []
-        given = sorted((r for b in rows for r in b.to_dict("records")), key=lambda r: (r["_t"], *[r[c] for c in self.conf.get("order", [])]))  # one key's rows of one micro-batch
+        # Spark renames columns with a leading underscore on the way here
+        given = sorted((r for b in rows for r in b.set_axis(self.inputs, axis=1).to_dict("records")), key=lambda r: (r["_t"], *[r[c] for c in self.conf.get("order", [])]))  # one key's rows of one micro-batch
         for r in given:
             live = self._due(live, r["_t"], out)
             if not r["_dup"]:
@@ -113,4 +114,4 @@ def stream_track(df: DataFrame, conf: dict = conntrack.DEFAULT, late: str = "10
     schema = conntrack.record_schema(df, conf)
     names = [c.strip().split("`")[1] for c in schema.split(", ")]
     rows = conntrack.keyed(df.withWatermark("event_time", late), conf).withColumn("_t", F.unix_micros("event_time") / 1e6)
-    return rows.groupBy("_HashId").transformWithStateInPandas(Tracker(conf, names), schema, "Append", "EventTime")
+    return rows.groupBy("_HashId").transformWithStateInPandas(Tracker(conf, names, rows.columns), schema, "Append", "EventTime")
