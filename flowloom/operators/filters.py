@@ -16,12 +16,14 @@ from flowloom.functions.coerce import col_or_null, go_str, is_number, kind_of, t
 from flowloom.plans.query_text import column_of
 
 
-def _draw(n: int, salt: int, key: list[str] | None) -> Column:
-    """One row in n: at random, or by the rows' key so that runs agree."""
+def _draw(n: int, salt: int, key: list[str] | Column | None) -> Column:
+    """One row in n: at random, or by the rows' key (columns to hash, or a whole number) so that runs agree."""
+    if isinstance(key, Column):
+        return F.pmod(key + F.lit(salt), F.lit(n)) == 0
     return F.pmod(F.xxhash64(*key, F.lit(salt)), F.lit(n)) == 0 if key else F.rand(salt) < 1.0 / n
 
 
-def keep(df: DataFrame, rules: list[dict], sampling_key: list[str] | None = None, sampling_field: str | None = None) -> DataFrame:
+def keep(df: DataFrame, rules: list[dict], sampling_key: list[str] | Column | None = None, sampling_field: str | None = None) -> DataFrame:
     """Rows that any rule accepts. rules: {query, sampling?}; a match that sampling drops falls to the next rule.
 
     ``sampling_field`` receives the rate of the rule that kept the row, or is multiplied by it.
@@ -68,7 +70,7 @@ def all_of(df: DataFrame, rules: list[dict]) -> Column:
     return reduce(lambda a, b: a & b, [dropped_by(df, r) for r in rules], F.lit(True))
 
 
-def conditional_sampling(df: DataFrame, rules: list[dict], key: list[str] | None = None) -> DataFrame:
+def conditional_sampling(df: DataFrame, rules: list[dict], key: list[str] | Column | None = None) -> DataFrame:
     """The first condition whose sub-rules all hold keeps one row in ``value``; rows under none stay."""
     stays = F.lit(True)
     for i, r in reversed(list(enumerate(rules))):
@@ -103,7 +105,7 @@ def _matched(df: DataFrame, rule: dict) -> Column:
     return F.coalesce(go_str(df, rule["input"]), F.lit("<nil>")).rlike(rule["parameters"])
 
 
-def apply_rule(df: DataFrame, rule: dict, key: list[str] | None = None) -> DataFrame:
+def apply_rule(df: DataFrame, rule: dict, key: list[str] | Column | None = None) -> DataFrame:
     """One rule by its type."""
     kind = rule["type"]
     if kind == "remove_field":
@@ -135,7 +137,7 @@ def apply_rule(df: DataFrame, rule: dict, key: list[str] | None = None) -> DataF
     raise ValueError(f"unknown rule {kind!r}")
 
 
-def transform_filter(df: DataFrame, rules: list[dict], sampling_key: list[str] | None = None, sampling_field: str | None = None) -> DataFrame:
+def transform_filter(df: DataFrame, rules: list[dict], sampling_key: list[str] | Column | None = None, sampling_field: str | None = None) -> DataFrame:
     """All rules: keep rules first, the others in order; labels end in one ``labels`` column, by key."""
     first = [r for r in rules if r["type"] == "keep_entry_query"]
     if first:

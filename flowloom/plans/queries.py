@@ -108,16 +108,16 @@ def f6(f):
     return filters.transform_filter(f, [{"type": "remove_entry_if_not_equal", "input": "Flags", "value": 16.0, "cast_int": True}]).select("flow_id", "line", "SrcPort", "Flags")
 
 
-@query("f2_keep_sampling")
+@query("f2_keep_sampling", f", x AS (SELECT *, flow_id*10+line AS k FROM flows), y AS (SELECT *, CASE WHEN Proto=6 AND k%10=0 THEN 1 WHEN Flags IS NOT NULL AND (k+1)%5=0 THEN 2 WHEN DstPort=53 THEN 3 END AS r FROM x) SELECT {_ID}, CASE r WHEN 1 THEN 10 WHEN 2 THEN 5 END::BIGINT AS Sampling FROM y WHERE r IS NOT NULL")
 def f2(f):
     rules = [{"type": "keep_entry_query", "query": "Proto = 6", "sampling": 10}, {"type": "keep_entry_query", "query": "with(Flags)", "sampling": 5}, {"type": "keep_entry_query", "query": "DstPort = 53"}]
-    return filters.transform_filter(f, rules, ["flow_id", "line"], "Sampling").select("flow_id", "line", "SrcPort", "Sampling")
+    return filters.transform_filter(f, rules, F.col("flow_id") * 10 + F.col("line"), "Sampling").select("flow_id", "line", "SrcPort", "Sampling")
 
 
-@query("f8_conditional_sampling")
+@query("f8_conditional_sampling", f"SELECT {_ID}, Proto FROM flows WHERE Proto<>17 OR (flow_id*10+line)%4=0")
 def f8(f):
     rules = [{"rules": [{"type": "remove_entry_if_equal", "input": "Proto", "value": 17}], "value": 4}, {"rules": [{"type": "remove_entry_if_exists", "input": "Flags"}], "value": 1}]
-    return filters.transform_filter(f, [{"type": "conditional_sampling", "rules": rules}], ["flow_id", "line"]).select("flow_id", "line", "SrcPort", "Proto")
+    return filters.transform_filter(f, [{"type": "conditional_sampling", "rules": rules}], F.col("flow_id") * 10 + F.col("line")).select("flow_id", "line", "SrcPort", "Proto")
 
 
 @query("f9_f12_derive", f"""SELECT {_ID}, 'edge' AS site, coalesce(Flags,0) AS Flags, CASE WHEN regexp_matches(SrcAddr,'^10\\.[01]\\.') THEN SrcAddr END AS near, CASE WHEN regexp_matches(SrcAddr,'^10\\.[01]\\.') THEN true END AS near_Matched,
