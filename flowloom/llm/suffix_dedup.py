@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 from flowloom.llm.common import table
 
 LENGTH, GRAM = 50, 20
-#: Bytes of text in a chunk on average, chunks at most.
-CHUNK_BYTES, CHUNKS = 4_000_000, 50_000
+#: Bytes of text in a chunk on average, chunks at most (larger corpora get larger chunks), bytes of anchor hashes in a bucket.
+CHUNK_BYTES, CHUNKS, BUCKET_BYTES = 4_000_000, 2_000_000, 8_000_000
 #: Eight-byte words that multikey quicksort looks at before blind tries take over.
 SHALLOW_WORDS = 3
 LAST = 2**63 - 1
@@ -312,12 +312,15 @@ def repeated_spans(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
     total = docs.select(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     chunks = int(min(CHUNKS, max(1, total // chunk_bytes)))
     dealt = docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(chunks)).cast("int"))
-    key = lambda h: h >> np.uint64(20)
+    # few chunks: a bucket for each; a large corpus: as its anchors (about a sixteenth of the places, five bytes each) need
+    buckets = min(chunks, max(2048, total * 5 // 16 // BUCKET_BYTES))
+    # so many bits of the hash that, without the part that names the bucket, five bytes hold them
+    key = lambda h: h >> np.uint64(64 - 40 - buckets.bit_length() + 1)
 
     def anchors(docs: pa.Table) -> pa.Table:
         chunk = docs["chunk"][0].as_py()
         keys = np.unique(key(Chunk(docs, length, gram).hashes))
-        out = [(b, _five(keys[at] // np.uint64(chunks))) for b, at in _dealt(keys, chunks)]
+        out = [(b, _five(keys[at] // np.uint64(buckets))) for b, at in _dealt(keys, buckets)]
         return pa.table({"bucket": pa.array([b for b, _ in out], pa.int32()), "chunk": pa.array([chunk] * len(out), pa.int32()), "data": pa.array([d for _, d in out], pa.binary())})
 
     def shared(sent: pa.Table) -> pa.Table:
@@ -327,7 +330,7 @@ def repeated_spans(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
         keys, chunk = keys[order], chunk[order]
         same = keys[1:] == keys[:-1]
         many = np.concatenate([same, [False]]) | np.concatenate([[False], same])
-        keys, chunk = keys[many] * np.uint64(chunks) + np.uint64(bucket), chunk[many]
+        keys, chunk = keys[many] * np.uint64(buckets) + np.uint64(bucket), chunk[many]
         order = np.argsort(chunk, kind="stable")
         keys, chunk = keys[order], chunk[order]
         cuts = np.flatnonzero(np.concatenate([[True], chunk[1:] != chunk[:-1], [True]])) if len(chunk) else np.array([0])
@@ -359,7 +362,7 @@ def repeated_spans(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
         out["key"], out["row"], out["least"], out["most"] = keys[at][first], rows[first], LAST, -(2**63)
         np.minimum.at(out["least"], back, doc[at])
         np.maximum.at(out["most"], back, doc[at])
-        sent = [(b, _pack(out[i])) for b, i in _dealt(out["key"], chunks)]
+        sent = [(b, _pack(out[i])) for b, i in _dealt(out["key"], buckets)]
         return pa.table({"bucket": pa.array([b for b, _ in sent], pa.int32()), "chunk": pa.array([number] * len(sent), pa.int32()), "data": pa.array([d for _, d in sent], pa.binary())})
 
     def sorted_runs(sent: pa.Table) -> pa.Table:

@@ -54,7 +54,8 @@ def got_of(spark, rows, **kw):
 def test_matches_brute_force(spark):
     rows = corpus()
     want = brute(rows)
-    assert got_of(spark, rows, chunk_bytes=900) == want  # many chunks
+    for size in (900, 3000, 9000):  # many chunks, and few
+        assert got_of(spark, rows, chunk_bytes=size) == want
     assert got_of(spark, rows) == want  # one chunk
 
 
