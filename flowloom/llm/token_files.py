@@ -22,10 +22,10 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from flowloom.llm.common import bucket_of, range_splits, staged, table
+from flowloom.llm.common import fine_buckets, staged, table
 
 MAGIC = b"FLTOKEN1"
 SAMPLE = 256
@@ -33,6 +33,8 @@ SAMPLE = 256
 CACHE_ENTRIES = 1_000_000
 #: Rows of one token file on average.
 ROWS_PER_FILE = 1500
+#: Rows of the manifest (two numbers each) up to which it is broadcast.
+MANIFEST_ROWS = 1_000_000
 _SPLIT = re.compile(r" (?=\S)")
 _LATIN = re.compile("[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]")
 _encoders: dict[str, "Encoder"] = {}
@@ -203,7 +205,7 @@ class Shard:
         return start, self.ids[start : self.bound(i)]
 
 
-def write_token_files(df: DataFrame, path: str | None = None, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
+def write_token_files(df: DataFrame, path: str | None = None, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", rows_per_file: int = ROWS_PER_FILE, coarse: int = 10_000) -> DataFrame:
     """Encode df's texts and write token files in ascending doc_id order; returns the table of files.
 
     One row a file: shard (files in ascending order), n_docs, n_ids, base (ids of all files before it)
@@ -213,7 +215,7 @@ def write_token_files(df: DataFrame, path: str | None = None, end_id: int = 0, i
     """
     path = path or tokenizer_path()
     docs = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    shard = bucket_of(F.col("doc_id"), range_splits(df.select(id_col), id_col, rows_per_file))
+    part, shard = fine_buckets(docs.select("doc_id"), "doc_id", rows_per_file, coarse)
 
     def encode(group: pa.Table) -> pa.Table:
         enc = encoder(path)
@@ -227,16 +229,20 @@ def write_token_files(df: DataFrame, path: str | None = None, end_id: int = 0, i
             rows += [x + end for x in enc.encode(part)]
         n = sum(map(len, rows)) // enc.dtype.itemsize
         data = write_shard(ids[order], rows, enc.dtype)
-        return pa.table({"shard": group["shard"][:1], "n_docs": pa.array([len(ids)], pa.int64()), "n_ids": pa.array([n], pa.int64()), "payload": pa.array([data], pa.large_binary()).cast(pa.binary())})
+        return pa.table({"part": group["part"][:1], "shard": group["shard"][:1], "n_docs": pa.array([len(ids)], pa.int64()), "n_ids": pa.array([n], pa.int64()), "payload": pa.array([data], pa.large_binary()).cast(pa.binary())})
 
-    files = staged(docs.withColumn("shard", shard).groupBy("shard").applyInArrow(encode, "shard int, n_docs long, n_ids long, payload binary"), "token-files")
-    totals = sorted((r["shard"], r["n_ids"]) for r in files.select("shard", "n_ids").collect())  # one row a file, at most 10,000
+    dealt = docs.withColumns({"part": part, "shard": shard}).groupBy("shard")
+    files = staged(dealt.applyInArrow(encode, "part int, shard long, n_docs long, n_ids long, payload binary"), "token-files")
+    sizes = files.groupBy("part").agg(F.sum("n_ids").alias("n")).collect()  # at most ``coarse`` numbers
     bases, at = [], 0
-    for s, n in totals:
-        bases.append((s, at))
-        at += n
-    manifest = df.sparkSession.createDataFrame(bases, "shard int, base long")
-    return files.join(F.broadcast(manifest), "shard")
+    for r in sorted(sizes, key=lambda r: r["part"]):
+        bases.append((r["part"], at))
+        at += r["n"]
+    start = F.broadcast(df.sparkSession.createDataFrame(bases, "part int, _base long"))
+    earlier = Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    manifest = files.select("part", "shard", "n_ids").join(start, "part").select("shard", (F.col("_base") + F.coalesce(F.sum("n_ids").over(earlier), F.lit(0))).alias("base"))
+    manifest = staged(manifest, "token-manifest")
+    return files.drop("part").join(F.broadcast(manifest) if manifest.count() <= MANIFEST_ROWS else manifest, "shard")
 
 
 def read_token_files(files: DataFrame) -> DataFrame:

@@ -38,9 +38,12 @@ def test_shard_round_trip():
         assert s.total == at
 
 
-def test_token_files(spark):
+@pytest.mark.parametrize("rows,coarse", [(9, 10_000), (4, 3), (1500, 10_000)])
+def test_token_files(spark, rows, coarse):
     df = spark.createDataFrame(ROWS, SCHEMA).repartition(3)
-    got = {r["doc_id"]: r for r in read_token_files(write_token_files(df, rows_per_file=9)).collect()}
+    files = write_token_files(df, rows_per_file=rows, coarse=coarse)
+    assert files.count() == 1 if rows > len(ROWS) else files.count() > 5
+    got = {r["doc_id"]: r for r in read_token_files(files).collect()}
     at = 0
     for i, t, *_ in ROWS:
         ids = plain(t) + [0]
