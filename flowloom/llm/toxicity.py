@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flowloom.llm.common import staged, table
 from flowloom.llm.learning import bounded, crc_mod, matrix, summed, unique_labels
@@ -227,36 +228,46 @@ def fit(train: DataFrame, steps: int = 8, ridge: float = 0.5) -> np.ndarray:
     return w
 
 
-def classify(docs: DataFrame, labels: DataFrame, label: str = "toxic", held_out: Column | None = None, threshold: float = 0.3, terms=TERMS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, held_out, score, predicted, terms found outside quotation) for each row of docs; rows that held_out (over doc_id) marks teach nothing."""
+def classify(docs: DataFrame, labels: DataFrame, label: str = "toxic", held_out: Column | None = None, threshold: float = 0.3, terms=TERMS, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
+    """(doc_id, held_out, score, predicted, terms found outside quotation) for each row of docs; rows that held_out (over doc_id) marks teach nothing.
+
+    With ``keep`` the whole row comes along as struct ``row``, so that no join has to fetch it again.
+    """
     held = F.lit(False) if held_out is None else held_out
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     known = unique_labels(labels, label)
     some = bounded(known.filter("label = 1"), LEXICON_ROWS).unionByName(bounded(known.filter("label = 0"), LEXICON_ROWS))  # bounded: can be broadcast
     terms = learn_terms(texts.filter(~held).join(F.broadcast(some), "doc_id")) | dict.fromkeys(terms, GIVEN)
 
+    place = docs.columns.index(text_col)
+
     def work(batches):
         lexicon = Lexicon(terms)
         for b in batches:
-            got = [features(t.as_py(), lexicon) for t in b["text"]]
+            got = [features(t.as_py(), lexicon) for t in (b["row"].field(place) if keep else b["text"])]
             flat = pa.array(np.concatenate([x for x, _ in got]) if got else np.empty(0))
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(got) + 1, dtype=np.int32) * KINDS), flat)
             said = pa.array([sorted({t for _, t, _, q in h if not q}) for _, h in got], pa.list_(pa.string()))
-            yield pa.RecordBatch.from_arrays([b["doc_id"], lists, said], ["doc_id", "x", "terms"])
-
-    x = staged(texts.mapInArrow(work, "doc_id long, x array<double>, terms array<string>"), "toxicity")
+            row = ([b["row"]], ["row"]) if keep else ([], [])
+            yield pa.RecordBatch.from_arrays([b["doc_id"], lists, said, *row[0]], ["doc_id", "x", "terms", *row[1]])
+
+    schema = T.StructType().add("doc_id", T.LongType()).add("x", T.ArrayType(T.DoubleType())).add("terms", T.ArrayType(T.StringType()))
+    if keep:
+        whole = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+        x = staged(whole.mapInArrow(work, schema.add(whole.schema["row"])), "toxicity")
+    else:
+        x = staged(texts.mapInArrow(work, schema), "toxicity")
     w = fit(x.filter(~held).join(known, "doc_id").select("x", "label"))
     z = F.lit(float(w[0]))
     for i in range(KINDS):
         z = z + F.col("x")[i] * float(w[i + 1])
     score = 1 / (1 + F.exp(-z))
-    return x.select("doc_id", held.alias("held_out"), score.alias("score"), (score >= threshold).cast("int").alias("predicted"), "terms")
+    return x.select("doc_id", held.alias("held_out"), score.alias("score"), (score >= threshold).cast("int").alias("predicted"), "terms", *(["row"] if keep else []))
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, held_out: Column | None = None, threshold: float = 0.3, id_col: str = "doc_id") -> DataFrame:
-    """docs without the rows whose id is predicted toxic."""
-    bad = classify(docs, labels, held_out=held_out, threshold=threshold, id_col=id_col).filter("predicted = 1").select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col(id_col) == F.col("_bad"), "left_anti")
+    """docs without the rows that are predicted toxic."""
+    return classify(docs, labels, held_out=held_out, threshold=threshold, id_col=id_col, keep=True).filter("predicted = 0").select("row.*")
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
