@@ -69,15 +69,18 @@ def bucket_of(key: Column, splits: list[int]) -> Column:
 
 def fine_buckets(df: DataFrame, key: str, rows_per_bucket: int, most: int = 10_000) -> tuple[Column, Column]:
     """(coarse, fine): range buckets of the integer key, both in its order; each coarse one is cut into equal
-    widths of the key where ``most`` of them cannot hold rows_per_bucket rows each. Only coarse bounds reach the driver."""
+    widths of the key where ``most`` of them cannot hold rows_per_bucket rows each. NULL keys have the buckets -1.
+    Only coarse bounds reach the driver."""
     seen = df.select(F.count(key).alias("n"), F.min(key).alias("low"), F.max(key).alias("high")).first()
     splits = range_splits(df, key, rows_per_bucket, most)
-    coarse = bucket_of(F.col(key), splits)
+    none = F.col(key).isNull()
+    coarse = F.when(none, F.lit(-1)).otherwise(bucket_of(F.col(key), splits))
     parts = -(-seen["n"] // (rows_per_bucket * (len(splits) + 1)))
     if parts <= 1:
         return coarse, coarse.cast("long")
+    exact = lambda x: x.cast("decimal(20,0)")  # noqa: E731  widths and bounds may be beyond long
     lows, highs = [seen["low"], *[s + 1 for s in splits]], [*splits, seen["high"]]
-    pick = lambda xs: F.get(F.array(*[F.lit(x).cast("long") for x in xs]), coarse)
-    width = F.greatest((pick(highs) - pick(lows) + 1).cast("double"), F.lit(1.0))
-    at = F.floor((F.coalesce(F.col(key), F.lit(seen["low"])) - pick(lows)).cast("double") * parts / width)
-    return coarse, coarse.cast("long") * parts + F.greatest(F.lit(0), F.least(at, F.lit(parts - 1)))
+    pick = lambda xs: F.get(F.array(*[exact(F.lit(str(x))) for x in xs]), F.greatest(coarse, F.lit(0)))
+    width = F.greatest((pick(highs) - pick(lows)).cast("double") + 1, F.lit(1.0))
+    at = F.floor((exact(F.col(key)) - pick(lows)).cast("double") * parts / width)
+    return coarse, F.when(none, F.lit(-1)).otherwise(coarse.cast("long") * parts + F.greatest(F.lit(0), F.least(at, F.lit(parts - 1))))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from flowloom.llm.common import fine_buckets, staged, table
+from flowloom.llm.common import bucket_of, fine_buckets, staged, table
 
 MAGIC = b"FLTOKEN1"
 SAMPLE = 256
@@ -33,6 +33,10 @@ SAMPLE = 256
 CACHE_ENTRIES = 1_000_000
 #: Rows of one token file on average.
 ROWS_PER_FILE = 1500
+#: Ranges at most that the rows of frequent ids are sorted in; each range's rows may fill many files.
+HOT_RANGES = 200
+#: Frequent ids at most that reach the driver, the most frequent first; a further one has under a 10,000th of the rows.
+HOT_IDS = 10_000
 #: Rows of the manifest (two numbers each) up to which it is broadcast.
 MANIFEST_ROWS = 1_000_000
 _SPLIT = re.compile(r" (?=\S)")
@@ -205,21 +209,48 @@ class Shard:
         return start, self.ids[start : self.bound(i)]
 
 
+#: A file's place: coarse and fine range of ids, then segments between and at the frequent ids of a range, then pieces of such an id.
+FILE_KEY = ["part", "bucket", "segment", "piece"]
+
+
+def _dealt(docs: DataFrame, rows_per_file: int, coarse: int) -> DataFrame:
+    """docs with the FILE_KEY columns, which order the files as their rows.
+
+    Ids (NULL as well) of more rows than a file are taken out of the ranges. Their rows are sorted by id and text in
+    ranges of both, equal rows dealt at will, and cut to pieces of rows_per_file.
+    """
+    counts = docs.groupBy("doc_id").count()
+    hot = counts.filter(F.col("count") > rows_per_file).orderBy(F.desc("count")).limit(HOT_IDS).collect()
+    ids = sorted(r["doc_id"] for r in hot if r["doc_id"] is not None)
+    is_hot = F.when(F.col("doc_id").isNull(), F.lit(len(ids) < len(hot))).otherwise(F.col("doc_id").isin(ids) if ids else F.lit(False))
+    cold = docs.filter(~is_hot) if hot else docs
+    part, bucket = fine_buckets(cold.select("doc_id"), "doc_id", rows_per_file, coarse)
+    below = bucket_of(F.col("doc_id"), ids) * 2
+    out = cold.withColumns({"part": part, "bucket": bucket, "segment": below, "piece": F.lit(0).cast("long")})
+    if not hot:
+        return out
+    ranges = min(HOT_RANGES, -(-sum(r["count"] for r in hot) // rows_per_file))
+    rows = docs.filter(is_hot).withColumn("_any", F.rand(0)).repartitionByRange(ranges, F.col("doc_id").asc_nulls_first(), "text", "_any")
+    rows = rows.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text").drop("_any").withColumn("piece", F.floor(F.monotonically_increasing_id() / rows_per_file))
+    return out.unionByName(staged(rows, "frequent-ids").withColumns({"part": part, "bucket": bucket, "segment": below + 1}))
+
+
 def write_token_files(df: DataFrame, path: str | None = None, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", rows_per_file: int = ROWS_PER_FILE, coarse: int = 10_000) -> DataFrame:
     """Encode df's texts and write token files in ascending doc_id order; returns the table of files.
 
     One row a file: shard (files in ascending order), n_docs, n_ids, base (ids of all files before it)
     and payload (the file's bytes), kept in the shared folder. NULL text counts as empty and still gets
-    its end id. Rows with a NULL doc_id come first and keep the id -2**63; repeated doc_ids follow each
-    other, ordered by text. An empty table gives no file. Other columns are not read.
+    its end id. Rows with a NULL doc_id come first, in files of their own, and get the id -2**63; repeated
+    doc_ids follow each other, ordered by text, and fill several files where one has more rows than a file.
+    An empty table gives no file. Other columns are not read.
     """
     path = path or tokenizer_path()
-    docs = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    part, shard = fine_buckets(docs.select("doc_id"), "doc_id", rows_per_file, coarse)
+    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    dealt = _dealt(docs, rows_per_file, coarse)
 
     def encode(group: pa.Table) -> pa.Table:
         enc = encoder(path)
-        ids, texts = group["doc_id"].to_numpy(), group["text"]
+        ids, texts = group["doc_id"].fill_null(-(2**63)).to_numpy(), group["text"]
         order = np.argsort(ids, kind="stable")
         if len(ids) > 1 and (np.diff(ids[order]) == 0).any():
             keys = texts.to_pylist()
@@ -229,20 +260,24 @@ def write_token_files(df: DataFrame, path: str | None = None, end_id: int = 0, i
             rows += [x + end for x in enc.encode(part)]
         n = sum(map(len, rows)) // enc.dtype.itemsize
         data = write_shard(ids[order], rows, enc.dtype)
-        return pa.table({"part": group["part"][:1], "shard": group["shard"][:1], "n_docs": pa.array([len(ids)], pa.int64()), "n_ids": pa.array([n], pa.int64()), "payload": pa.array([data], pa.large_binary()).cast(pa.binary())})
+        key = {c: group[c][:1] for c in FILE_KEY}
+        return pa.table({**key, "n_docs": pa.array([len(ids)], pa.int64()), "n_ids": pa.array([n], pa.int64()), "payload": pa.array([data], pa.large_binary()).cast(pa.binary())})
 
-    dealt = docs.withColumns({"part": part, "shard": shard}).groupBy("shard")
-    files = staged(dealt.applyInArrow(encode, "part int, shard long, n_docs long, n_ids long, payload binary"), "token-files")
-    sizes = files.groupBy("part").agg(F.sum("n_ids").alias("n")).collect()  # at most ``coarse`` numbers
-    bases, at = [], 0
+    files = staged(dealt.groupBy(*FILE_KEY).applyInArrow(encode, "part int, bucket long, segment int, piece long, n_docs long, n_ids long, payload binary"), "token-files")
+    sizes = files.groupBy("part").agg(F.sum("n_ids").alias("n"), F.count("*").alias("files")).collect()  # at most ``coarse`` and one
+    bases, at, number = [], 0, 0
     for r in sorted(sizes, key=lambda r: r["part"]):
-        bases.append((r["part"], at))
-        at += r["n"]
-    start = F.broadcast(df.sparkSession.createDataFrame(bases, "part int, _base long"))
-    earlier = Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    manifest = files.select("part", "shard", "n_ids").join(start, "part").select("shard", (F.col("_base") + F.coalesce(F.sum("n_ids").over(earlier), F.lit(0))).alias("base"))
+        bases.append((r["part"], at, number))
+        at, number = at + r["n"], number + r["files"]
+    start = F.broadcast(df.sparkSession.createDataFrame(bases, "part int, _base long, _number long"))
+    order = Window.partitionBy("part").orderBy(*FILE_KEY[1:])
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    manifest = files.select(*FILE_KEY, "n_ids").join(start, "part").select(
+        *FILE_KEY, (F.col("_number") + F.row_number().over(order) - 1).alias("shard"), (F.col("_base") + F.coalesce(F.sum("n_ids").over(earlier), F.lit(0))).alias("base")
+    )
     manifest = staged(manifest, "token-manifest")
-    return files.drop("part").join(F.broadcast(manifest) if manifest.count() <= MANIFEST_ROWS else manifest, "shard")
+    named = files.join(F.broadcast(manifest) if manifest.count() <= MANIFEST_ROWS else manifest, FILE_KEY)
+    return named.select("shard", "n_docs", "n_ids", "payload", "base")
 
 
 def read_token_files(files: DataFrame) -> DataFrame:

@@ -85,3 +85,21 @@ def test_packing_empty(spark):
     assert packing.pack(spark.createDataFrame([], SCHEMA)).collect() == []
     one = packing.pack(spark.createDataFrame([(None, None, 0, "")], SCHEMA)).collect()
     assert [(r["doc_id"], r["length"], r["offset"]) for r in one] == [(None, 1, 0)]
+
+
+@pytest.mark.parametrize("rows,coarse", [(9, 3), (4, 10_000)])
+def test_token_files_null_and_frequent_ids(spark, rows, coarse):
+    """NULL ids, ids at both ends of the range and a frequent one: no file holds more rows of an id than allowed."""
+    few = [(i * 10**17 - 5 * 10**18, f"few {i}") for i in range(100)] + [(2**63 - 1, "last"), (-(2**63) + 1, "early")]
+    docs = few + [(None, f"none {i:03}") for i in range(60)] + [(7, f"seven {i % 20:02}" + " x" * (i % 20)) for i in range(70)] + [(8, "eight"), (6, "six")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    files = write_token_files(df, rows_per_file=rows, coarse=coarse)
+    shards = sorted((r["shard"], r["base"], r["n_ids"], Shard(r["payload"]).doc_ids.tolist()) for r in files.collect())
+    assert [s for s, *_ in shards] == list(range(len(shards)))
+    assert max(max(map(ids.count, ids)) for *_, ids in shards) <= rows
+    assert sum((-(2**63)) in ids for *_, ids in shards) >= 60 // rows and sum(7 in ids for *_, ids in shards) >= 70 // rows
+    at, got = 0, sorted((r["start"], r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in read_token_files(files).collect())
+    for (start, d, n, crc), (want, text) in zip(got, sorted((-(2**63) if i is None else i, t) for i, t in docs), strict=True):
+        ids = plain(text) + [0]
+        assert (start, d, n, crc) == (at, want, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        at += len(ids)
