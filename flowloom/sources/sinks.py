@@ -8,9 +8,10 @@ from pyspark.sql import types as T
 
 from flowloom.functions.coerce import col_or_null, go_str, kind_of
 from flowloom.functions.net import encode_tcp_flags
+from flowloom.functions.storage import staged
 
-#: Rows of an hour that are numbered together.
-HOUR_ROWS = 200_000
+#: Rows of a range of times that are numbered together.
+RANGE_ROWS = 200_000
 #: Microseconds of the timestamp scales.
 SCALES = {"1m": 60_000_000, "1s": 1_000_000, "100ms": 100_000, "1ms": 1_000}
 
@@ -54,26 +55,39 @@ def to_label_lines(df: DataFrame, labels: list[str], time_field: str, scale: str
     return df.select(found.alias("labels"), time.alias("time"), F.to_json(F.struct(*[F.col(f"`{c}`") for c in rest])).alias("line"))
 
 
-def object_batches(df: DataFrame, time_col: str, size: int = 10, account: str = "account", stream_id: str = "0", header: dict | None = None, order: list[str] | None = None) -> DataFrame:
-    """(path, object): JSON objects of up to ``size`` rows of an hour, with the header, capture times and number of rows.
+def padded(number: Column) -> Column:
+    """The number as text of eight digits, or more where it has more."""
+    text = number.cast("string")
+    return F.lpad(text, F.greatest(F.lit(8), F.length(text)), F.lit("0"))
 
-    Rows are numbered within their hour; an hour of more than ``HOUR_ROWS`` rows is first split by the rows' hash, so
-    no task gets an unbounded hour. The last batch of each part may be short.
+
+def object_batches(df: DataFrame, time_col: str, size: int = 10, account: str = "account", stream_id: str = "0", header: dict | None = None, order: list[str] | None = None, range_rows: int = RANGE_ROWS) -> DataFrame:
+    """(path, n, object): JSON objects of up to ``size`` rows of an hour, with the header, capture times and number of rows.
+
+    Rows are numbered within their hour by time, then ``order``, then the other columns; each ``size`` rows are a batch,
+    and only an hour's last one may be short. Ranges of ``RANGE_ROWS`` rows of about equal times are numbered apart, in
+    ranges of time and order over the whole table, and each range's hour starts where the ranges before it end.
     """
     from pyspark.sql import Window
 
     hour = F.date_trunc("hour", F.col(time_col))
-    rows = df.select(hour.alias("_hour"), F.xxhash64(*df.columns).alias("_hash"), F.col(time_col).alias("_t"), F.struct(*df.columns).alias("_row"))
-    large = rows.groupBy("_hour").agg(F.ceil(F.count("*") / HOUR_ROWS).alias("_parts")).filter("_parts > 1")
-    rows = rows.join(large, "_hour", "left").withColumn("_part", F.pmod("_hash", F.coalesce("_parts", F.lit(1))))
-    w = Window.partitionBy("_hour", "_part").orderBy("_t", *[F.col("_row")[c] for c in order or []])
-    rows = rows.withColumn("_batch", F.floor((F.row_number().over(w) - 1) / size))
+    rows = df.select(hour.alias("_hour"), F.col(time_col).alias("_t"), F.xxhash64(*df.columns).alias("_hash"), F.struct(*df.columns).alias("_row"))
+    keys = ["_hour", "_t", *[F.col("_row")[c] for c in order or []], "_hash"]
+    # sampled bounds differ from one evaluation to the next, so ranges are written once
+    ranges = staged(rows.withColumn("_any", F.rand(0)).repartitionByRange(max(1, -(-df.count() // range_rows)), *keys, "_any").withColumn("_range", F.spark_partition_id()).drop("_any"), "object-ranges")
+    counts = ranges.groupBy("_hour", "_range").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy("_hour").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("_hour", "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    w = Window.partitionBy("_hour", "_range").orderBy(*keys[1:])
+    counts = counts.withColumnsRenamed({"_hour": "_h", "_range": "_r"})
+    rows = ranges.withColumn("_at", F.row_number().over(w) - 1).join(counts, F.col("_hour").eqNullSafe(F.col("_h")) & (F.col("_range") == F.col("_r")))
+    rows = rows.withColumn("_at", F.col("_before") + F.col("_at")).withColumn("_batch", F.floor(F.col("_at") / size))
     fixed = [F.lit(v).alias(k) for k, v in (header or {}).items()]
-    group = rows.groupBy("_hour", "_part", "_batch").agg(F.collect_list("_row").alias("flow_logs"), F.min("_t").alias("start"), F.max("_t").alias("end"))
+    group = rows.groupBy("_hour", "_batch").agg(F.transform(F.array_sort(F.collect_list(F.struct("_at", "_row"))), lambda x: x["_row"]).alias("flow_logs"), F.min("_t").alias("start"), F.max("_t").alias("end"))
     body = F.to_json(F.struct(*fixed, F.lit("0.1").alias("version"), F.col("start").alias("capture_start_time"), F.col("end").alias("capture_end_time"), F.size("flow_logs").alias("number_of_flow_logs"), "flow_logs"))
     path = F.concat(
         F.lit(f"{account}/"), F.date_format("_hour", "'year='yyyy'/month='MM'/day='dd'/hour='HH"), F.lit(f"/stream-id={stream_id}/"),
-        F.lpad((F.col("_part") * 1_000_000 + F.col("_batch")).cast("string"), 8, "0"),
+        padded(F.col("_batch")),
     )
     return group.select(path.alias("path"), F.size("flow_logs").alias("n"), body.alias("object"))
 

@@ -1,6 +1,7 @@
 """Golden cases of the flow operators."""
 
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -224,3 +225,18 @@ def test_empty_tables(spark):
     assert conntrack.connections(df, CONF).collect() == [] and conntrack.track(df, CONF).collect() == []
     assert agg.aggregate(df, {"name": "x", "by": ["Proto"], "operation": "sum", "key": "Bytes"}).collect() == []
     assert metrics.histogram(df, {"name": "h", "value_key": "Bytes", "labels": ["Proto"]}).collect() == []
+
+
+def test_object_batches_number_whole_hours(spark):
+    rows = [(i, at((i * 37) % 9000 // 7 * 7), i % 3) for i in range(500)] + [(1000 + i, at(30), 9) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, t timestamp, k int").repartition(3)
+    hours: dict = {}
+    for r in sorted(rows, key=lambda r: (r[1], r[0])):
+        hours.setdefault(r[1].replace(minute=0, second=0), []).append(r[0])
+    want = {f"a/year=2024/month=01/day=01/hour={h.hour:02}/stream-id=0/{b // 10:08}": ids[b : b + 10] for h, ids in hours.items() for b in range(0, len(ids), 10)}
+    for most in (25, 200_000):
+        got = sinks.object_batches(df, "t", 10, "a", order=["id"], range_rows=most).collect()
+        assert len(got) == len(want) and {r["path"]: [x["id"] for x in json.loads(r["object"])["flow_logs"]] for r in got} == want
+        assert all(r["n"] == len(want[r["path"]]) for r in got)
+    big = spark.createDataFrame([(7,), (100_000_000,)], "b long").select(sinks.padded(F.col("b"))).collect()
+    assert [r[0] for r in big] == ["00000007", "100000000"]
