@@ -13,8 +13,13 @@ matter:
    suffixes that agree in LENGTH bytes share their least document id, which goes back to the chunks.
 3. Each chunk marks the windows whose least id is smaller than the document's own.
 
-All three steps read one shuffle of the texts. What a hot string sends is bounded by the number of
-chunks, not by its copies.
+An anchor that is frequent in many chunks (a common line has another context at each occurrence) is hot: its
+contexts are not sent to one bucket. Each chunk sends the hashes of their windows, equal ones once, to buckets by
+the window's hash, so equal windows still meet, and what meets in a bucket is bounded by the number of chunks for
+each window. A hot anchor's windows count as equal where anchor key and 64-bit window hash agree; all others are
+compared byte by byte.
+
+All three steps read one shuffle of the texts.
 
 Edge cases: NULL text is empty; texts under LENGTH bytes lose nothing; rows with a NULL id come after all
 others, and rows with the same id never count as earlier than each other; an empty table gives an empty
@@ -25,6 +30,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +39,8 @@ from flowloom.llm.common import table
 LENGTH, GRAM = 50, 20
 #: Bytes of text in a chunk on average, chunks at most (larger corpora get larger chunks), bytes of anchor hashes in a bucket.
 CHUNK_BYTES, CHUNKS, BUCKET_BYTES = 4_000_000, 2_000_000, 8_000_000
+#: An anchor is hot where HEAVY or more of its places lie in each of HEAVY_CHUNKS chunks, or where MANY_CHUNKS chunks have it.
+HEAVY, HEAVY_CHUNKS, MANY_CHUNKS = 16, 16, 2048
 #: Eight-byte words that multikey quicksort looks at before blind tries take over.
 SHALLOW_WORDS = 3
 LAST = 2**63 - 1
@@ -150,6 +158,20 @@ def context_keys(rows: np.ndarray) -> np.ndarray:
     return out ^ out >> np.uint64(31)
 
 
+def windows(rows: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(context row, distance from its start to the anchor, hash) for each window that the context rows' anchors anchor."""
+    reach = rows.shape[1] - 2 - length
+    near, far = rows[:, -2].astype(np.int64), rows[:, -1].astype(np.int64)
+    counts = far - near + 1
+    owner = np.repeat(np.arange(len(rows)), counts)
+    distance = near[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+    hashes = np.empty(len(owner), np.uint64)
+    for i in range(0, len(owner), 1 << 16):
+        o, d = owner[i : i + (1 << 16)], distance[i : i + (1 << 16)]
+        hashes[i : i + (1 << 16)] = context_keys(rows[o[:, None], (reach - d)[:, None] + np.arange(length)])
+    return owner, distance, hashes
+
+
 # ---- deep-shallow suffix sorting --------------------------------------------------------------------
 
 
@@ -304,7 +326,7 @@ def _from_five(data: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-def repeated_spans(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = CHUNK_BYTES, keep: list[str] | None = None) -> DataFrame:
+def repeated_spans(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = CHUNK_BYTES, keep: list[str] | None = None, heavy: int = HEAVY, heavy_chunks: int = HEAVY_CHUNKS, many_chunks: int = MANY_CHUNKS) -> DataFrame:
     """One row for each row of df: row (a struct of the ``keep`` columns, the id by default), n_bytes, spans (array of start and end, in bytes) and kept (the remaining bytes)."""
     gram = GRAM
     row = F.struct(*[F.col(c) for c in ([id_col] if keep is None else keep)])
@@ -319,31 +341,39 @@ def repeated_spans(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
 
     def anchors(docs: pa.Table) -> pa.Table:
         chunk = docs["chunk"][0].as_py()
-        keys = np.unique(key(Chunk(docs, length, gram).hashes))
-        out = [(b, _five(keys[at] // np.uint64(buckets))) for b, at in _dealt(keys, buckets)]
-        return pa.table({"bucket": pa.array([b for b, _ in out], pa.int32()), "chunk": pa.array([chunk] * len(out), pa.int32()), "data": pa.array([d for _, d in out], pa.binary())})
+        keys, places = np.unique(key(Chunk(docs, length, gram).hashes), return_counts=True)
+        out = [(b, often, _five(some[at] // np.uint64(buckets))) for often, some in ((False, keys[places < heavy]), (True, keys[places >= heavy])) for b, at in _dealt(some, buckets)]
+        return pa.table({"bucket": pa.array([b for b, _, _ in out], pa.int32()), "chunk": pa.array([chunk] * len(out), pa.int32()), "often": pa.array([o for _, o, _ in out], pa.bool_()), "data": pa.array([d for _, _, d in out], pa.binary())})
 
     def shared(sent: pa.Table) -> pa.Table:
         bucket, parts = sent["bucket"][0].as_py(), [_from_five(d.as_py()) for d in sent["data"]]
-        keys, chunk = np.concatenate(parts), np.repeat(sent["chunk"].to_numpy(), [len(p) for p in parts])
+        sizes = [len(p) for p in parts]
+        keys, chunk, often = np.concatenate(parts), np.repeat(sent["chunk"].to_numpy(), sizes), np.repeat(np.array(sent["often"].to_pylist(), bool), sizes)
         order = np.argsort(keys, kind="stable")
-        keys, chunk = keys[order], chunk[order]
-        same = keys[1:] == keys[:-1]
-        many = np.concatenate([same, [False]]) | np.concatenate([[False], same])
-        keys, chunk = keys[many] * np.uint64(buckets) + np.uint64(bucket), chunk[many]
-        order = np.argsort(chunk, kind="stable")
-        keys, chunk = keys[order], chunk[order]
-        cuts = np.flatnonzero(np.concatenate([[True], chunk[1:] != chunk[:-1], [True]])) if len(chunk) else np.array([0])
-        rows = [(int(chunk[i]), _pack(keys[i:j])) for i, j in zip(cuts, cuts[1:])]
-        return pa.table({"chunk": pa.array([c for c, _ in rows], pa.int32()), "data": pa.array([d for _, d in rows], pa.binary())})
+        keys, chunk, often = keys[order], chunk[order], often[order]
+        begin = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
+        size = np.diff(np.append(begin, len(keys)))
+        hot = (size > 1) & ((np.add.reduceat(often.astype(np.int64), begin) >= heavy_chunks) | (size >= many_chunks)) if len(keys) else np.empty(0, bool)
+        many, hot = np.repeat(size > 1, size), np.repeat(hot, size)
+        keys, chunk, hot = keys[many] * np.uint64(buckets) + np.uint64(bucket), chunk[many], hot[many]
+        rows = []
+        for flag in (False, True):
+            k, c = keys[hot == flag], chunk[hot == flag]
+            order = np.argsort(c, kind="stable")
+            k, c = k[order], c[order]
+            cuts = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1], [True]])) if len(c) else np.array([0])
+            rows += [(int(c[i]), flag, _pack(k[i:j])) for i, j in zip(cuts, cuts[1:])]
+        return pa.table({"chunk": pa.array([c for c, _, _ in rows], pa.int32()), "hot": pa.array([h for _, h, _ in rows], pa.bool_()), "data": pa.array([d for _, _, d in rows], pa.binary())})
 
     width = 2 * length - gram + 2
     sent_row = np.dtype([("key", "<u8"), ("least", "<i8"), ("most", "<i8"), ("row", "u1", (width,))])
+    window_row = np.dtype([("key", "<u8"), ("window", "<u8"), ("least", "<i8"), ("most", "<i8")])
+    window_reply = np.dtype([("key", "<u8"), ("window", "<u8"), ("id", "<i8")])
     reply_row = np.dtype([("key", "<u8"), ("context", "<u8"), ("id", "<i8"), ("near", "u1"), ("far", "u1")])
 
     def contexts(docs: pa.Table, told: pa.Table) -> pa.Table:
         if not docs.num_rows:
-            return pa.table({"bucket": pa.array([], pa.int32()), "chunk": pa.array([], pa.int32()), "data": pa.array([], pa.binary())})
+            return pa.table({"bucket": pa.array([], pa.int32()), "chunk": pa.array([], pa.int32()), "hot": pa.array([], pa.bool_()), "data": pa.array([], pa.binary())})
         c, number = Chunk(docs, length, gram), docs["chunk"][0].as_py()
         keys, doc = key(c.hashes), c.ids[c.doc_of(c.places)]
         suspect = np.zeros(len(keys), bool)
@@ -362,41 +392,94 @@ def repeated_spans(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
         out["key"], out["row"], out["least"], out["most"] = keys[at][first], rows[first], LAST, -(2**63)
         np.minimum.at(out["least"], back, doc[at])
         np.maximum.at(out["most"], back, doc[at])
-        sent = [(b, _pack(out[i])) for b, i in _dealt(out["key"], buckets)]
-        return pa.table({"bucket": pa.array([b for b, _ in sent], pa.int32()), "chunk": pa.array([number] * len(sent), pa.int32()), "data": pa.array([d for _, d in sent], pa.binary())})
+        said = [_unpack(d.as_py(), "<u8") for d, h in zip(told["data"], told["hot"].to_pylist()) if h]
+        hot = np.isin(out["key"], np.concatenate(said)) if said else np.zeros(len(out), bool)
+        sent = [(b, False, _pack(out[~hot][i])) for b, i in _dealt(out["key"][~hot], buckets)]
+        if hot.any():
+            some = out[hot]
+            owner, _, hashes = windows(some["row"], length)
+            order = np.lexsort((hashes, some["key"][owner]))
+            owner, hashes, keys = owner[order], hashes[order], some["key"][owner[order]]
+            begin = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (hashes[1:] != hashes[:-1])]))
+            w = np.zeros(len(begin), window_row)
+            w["key"], w["window"] = keys[begin], hashes[begin]
+            w["least"], w["most"] = np.minimum.reduceat(some["least"][owner], begin), np.maximum.reduceat(some["most"][owner], begin)
+            sent += [(b, True, _pack(w[i])) for b, i in _dealt(w["window"], buckets)]
+        return pa.table({"bucket": pa.array([b for b, _, _ in sent], pa.int32()), "chunk": pa.array([number] * len(sent), pa.int32()), "hot": pa.array([h for _, h, _ in sent], pa.bool_()), "data": pa.array([d for _, _, d in sent], pa.binary())})
+
+    def by_target(out: np.ndarray, to: np.ndarray, hot: bool) -> pa.Table:
+        order = np.argsort(to, kind="stable")
+        to = to[order]
+        cuts = np.flatnonzero(np.concatenate([[True], to[1:] != to[:-1], [True]])) if len(to) else np.array([0])
+        replies = [(int(to[i]), _pack(out[order[i:j]])) for i, j in zip(cuts, cuts[1:])]
+        return pa.table({"chunk": pa.array([c for c, _ in replies], pa.int32()), "hot": pa.array([hot] * len(replies), pa.bool_()), "data": pa.array([d for _, d in replies], pa.binary())})
+
+    def equal_windows(sent: pa.Table) -> pa.Table:
+        parts = [_unpack(d.as_py(), window_row) for d in sent["data"]]
+        rows, chunk = np.concatenate(parts), np.repeat(sent["chunk"].to_numpy(), [len(p) for p in parts])
+        order = np.lexsort((rows["window"], rows["key"]))
+        rows, chunk = rows[order], chunk[order]
+        begin = np.flatnonzero(np.concatenate([[True], (rows["key"][1:] != rows["key"][:-1]) | (rows["window"][1:] != rows["window"][:-1])]))
+        least = np.repeat(np.minimum.reduceat(rows["least"], begin), np.diff(np.append(begin, len(rows))))
+        told = least < rows["most"]
+        out = np.zeros(int(told.sum()), window_reply)
+        out["key"], out["window"], out["id"] = rows["key"][told], rows["window"][told], least[told]
+        return by_target(out, chunk[told], True)
 
     def sorted_runs(sent: pa.Table) -> pa.Table:
+        hot = sent["hot"].combine_chunks()
+        out = [equal_windows(sent.filter(hot))] if pa.compute.any(hot).as_py() else []
+        sent = sent.filter(pa.compute.invert(hot))
+        if not sent.num_rows:
+            return out[0]
         parts = [_unpack(d.as_py(), sent_row) for d in sent["data"]]
         rows, chunk = np.concatenate(parts), np.repeat(sent["chunk"].to_numpy(), [len(p) for p in parts])
         found = np.array(least_ids(rows["row"], rows["least"], length), np.int64).reshape(-1, 4)
         found = found[found[:, 3] < rows["most"][found[:, 0]]]
         at = found[:, 0]
-        out = np.zeros(len(found), reply_row)
-        out["key"], out["context"], out["near"], out["far"], out["id"] = rows["key"][at], context_keys(rows["row"])[at], found[:, 1], found[:, 2], found[:, 3]
-        order = np.argsort(chunk[at], kind="stable")
-        to = chunk[at][order]
-        cuts = np.flatnonzero(np.concatenate([[True], to[1:] != to[:-1], [True]])) if len(to) else np.array([0])
-        replies = [(int(to[i]), _pack(out[order[i:j]])) for i, j in zip(cuts, cuts[1:])]
-        return pa.table({"chunk": pa.array([c for c, _ in replies], pa.int32()), "data": pa.array([d for _, d in replies], pa.binary())})
+        reply = np.zeros(len(found), reply_row)
+        reply["key"], reply["context"], reply["near"], reply["far"], reply["id"] = rows["key"][at], context_keys(rows["row"])[at], found[:, 1], found[:, 2], found[:, 3]
+        return pa.concat_tables([*out, by_target(reply, chunk[at], False)])
+
+    def anchors_of(known: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        return np.flatnonzero(known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys)
+
+    def matches(values: np.ndarray, said: np.ndarray, name: str) -> tuple[np.ndarray, np.ndarray]:
+        """(number of the value, reply) for all replies, sorted by ``name``, that a value has."""
+        low, high = np.searchsorted(said[name], values), np.searchsorted(said[name], values, side="right")
+        mine = np.repeat(np.arange(len(values)), high - low)
+        return mine, said[np.repeat(low, high - low) + np.arange(len(mine)) - np.repeat(np.cumsum(high - low) - (high - low), high - low)]
 
     def cut(docs: pa.Table, told: pa.Table) -> pa.Table:
         c = Chunk(docs, length, gram) if docs.num_rows else None
         removed = np.zeros(len(c.data) if c else 0, bool)
         if c and told.num_rows:
-            said = np.concatenate([_unpack(d.as_py(), reply_row) for d in told["data"]])
-            known, keys = np.unique(said["key"]), key(c.hashes)
-            at = np.flatnonzero(known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys)
-            places = c.places[at]
-            contexts = context_keys(c.contexts(places))
-            said = said[np.argsort(said["context"], kind="stable")]
-            low, high = np.searchsorted(said["context"], contexts), np.searchsorted(said["context"], contexts, side="right")
-            mine = np.repeat(np.arange(len(places)), high - low)
-            reply = said[np.repeat(low, high - low) + np.arange(len(mine)) - np.repeat(np.cumsum(high - low) - (high - low), high - low)]
-            hit = (reply["id"] < c.ids[c.doc_of(places[mine])]) & (reply["key"] == keys[at][mine])
-            place, reply = places[mine][hit], reply[hit]
-            edge = np.zeros(len(c.data) + 1, np.int64)
-            np.add.at(edge, place - reply["far"], 1)
-            np.add.at(edge, place - reply["near"] + length, -1)
+            edge, keys = np.zeros(len(c.data) + 1, np.int64), key(c.hashes)
+            flags = told["hot"].to_pylist()
+            parts = [_unpack(d.as_py(), reply_row) for d, h in zip(told["data"], flags) if not h]
+            if parts:
+                said = np.concatenate(parts)
+                at = anchors_of(np.unique(said["key"]), keys)
+                places = c.places[at]
+                mine, reply = matches(context_keys(c.contexts(places)), said[np.argsort(said["context"], kind="stable")], "context")
+                hit = (reply["id"] < c.ids[c.doc_of(places[mine])]) & (reply["key"] == keys[at][mine])
+                place, reply = places[mine][hit], reply[hit]
+                np.add.at(edge, place - reply["far"], 1)
+                np.add.at(edge, place - reply["near"] + length, -1)
+            parts = [_unpack(d.as_py(), window_reply) for d, h in zip(told["data"], flags) if h]
+            if parts:
+                said = np.concatenate(parts)
+                said = said[np.argsort(said["window"], kind="stable")]
+                at = anchors_of(np.unique(said["key"]), keys)
+                for i in range(0, len(at), 8192):
+                    some = at[i : i + 8192]
+                    owner, distance, hashes = windows(c.contexts(c.places[some]), length)
+                    mine, reply = matches(hashes, said, "window")
+                    place = c.places[some][owner[mine]]
+                    hit = (reply["id"] < c.ids[c.doc_of(place)]) & (reply["key"] == keys[some][owner[mine]])
+                    start = (place - distance[mine])[hit]
+                    np.add.at(edge, start, 1)
+                    np.add.at(edge, start + length, -1)
             removed = np.cumsum(edge[:-1]) > 0
         spans, kept = [], []
         for a, b in zip(c.starts, c.ends) if c else ():
@@ -409,8 +492,8 @@ def repeated_spans(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
         return pa.table({"row": docs["row"], "n_bytes": pa.array(sizes, pa.int64()), "spans": pa.array(spans, kind), "kept": pa.array(kept, pa.binary())})
 
     by_chunk = lambda: dealt.groupBy("chunk")
-    one = by_chunk().applyInArrow(anchors, "bucket int, chunk int, data binary").groupBy("bucket").applyInArrow(shared, "chunk int, data binary")
-    two = by_chunk().cogroup(one.groupBy("chunk")).applyInArrow(contexts, "bucket int, chunk int, data binary").groupBy("bucket").applyInArrow(sorted_runs, "chunk int, data binary")
+    one = by_chunk().applyInArrow(anchors, "bucket int, chunk int, often boolean, data binary").groupBy("bucket").applyInArrow(shared, "chunk int, hot boolean, data binary")
+    two = by_chunk().cogroup(one.groupBy("chunk")).applyInArrow(contexts, "bucket int, chunk int, hot boolean, data binary").groupBy("bucket").applyInArrow(sorted_runs, "chunk int, hot boolean, data binary")
     return by_chunk().cogroup(two.groupBy("chunk")).applyInArrow(cut, f"row {docs.schema['row'].dataType.simpleString()}, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
 
 

@@ -79,3 +79,34 @@ def test_empty_and_columns(spark):
     rows = [(2, "b " + line, 1), (1, line, 2), (3, None, 3)]
     got = sd.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string, k int"))
     assert got.columns == ["doc_id", "text", "k"] and sorted(map(tuple, got.collect())) == [(1, line, 2), (2, "b ", 1), (3, "", 3)]
+
+
+def test_hot_anchors_match_brute_force(spark):
+    """A line of 30 bytes, in a different context at each place, and passages: by windows where anchors are hot."""
+    rng = random.Random(3)
+    text = lambda k: " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 7))) for _ in range(k))
+    line = "a line that many documents hold"
+    rows = corpus(2) + [(2000 + i, f"{text(20)} {line} {text(9)} {line} {text(3)}") for i in range(80)]
+    rows += [(3000 + i, rows[-1 - i][1][40:180]) for i in range(20)]
+    want = brute(rows)
+    for kw in ({"heavy": 1, "heavy_chunks": 2}, {"heavy": 2, "heavy_chunks": 3}, {"many_chunks": 3}):
+        assert got_of(spark, rows, chunk_bytes=900, **kw) == want
+
+
+def test_hot_anchor_sends_windows_apart(spark, monkeypatch):
+    """Few contexts of a line that is everywhere are sorted in groups by its anchor; before, all were."""
+    rng = random.Random(4)
+    letters = lambda k: "".join(rng.choice("abcdefghijklmnop") for _ in range(k))
+    line = "0123456789 9876543210 0246813579"
+    rows = [(i, letters(60) + line + letters(60)) for i in range(400)]
+    seen, sort = spark.sparkContext.accumulator(0), sd.least_ids
+
+    def counted(rows, ids, length):
+        seen.add(len(rows))
+        return sort(rows, ids, length)
+
+    monkeypatch.setattr(sd, "least_ids", counted)
+    assert got_of(spark, rows, chunk_bytes=1500, heavy=2, heavy_chunks=4) == brute(rows)
+    apart = seen.value
+    assert got_of(spark, rows, chunk_bytes=1500, heavy=10**6, many_chunks=10**6) == brute(rows)
+    assert apart < (seen.value - apart) // 5
