@@ -17,6 +17,17 @@ def col_or_null(df: DataFrame, name: str) -> Column:
     return F.col(f"`{name}`") if name in df.columns else F.lit(None)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores in front until no column of df has them."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n.lower() in taken:
+            n = f"_{n}"
+        out.append(n)
+    return out
+
+
 def is_number(kind: T.DataType) -> bool:
     return isinstance(kind, T.NumericType)
 
