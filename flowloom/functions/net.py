@@ -20,6 +20,27 @@ def ip_to_long(ip: Column) -> Column:
     return F.when(ip.rlike(_V4), part(1) * 16777216 + part(2) * 65536 + part(3) * 256 + part(4))
 
 
+def ip_to_hex(ip: Column) -> Column:
+    """The IPv6 address as 32 lower-case hex digits; NULL for anything else. A dotted end counts as the last two groups."""
+    low = F.lower(ip)
+    tail = ip_to_long(F.regexp_extract(low, r"[^:]*$", 0))
+    group = lambda n: F.lower(F.hex(n))
+    text = F.when(tail.isNull(), low).otherwise(F.concat(F.regexp_extract(low, r"^.*:", 0), group(F.shiftright(tail, 16)), F.lit(":"), group(F.pmod(tail, F.lit(65536)))))
+    halves = F.split(text, "::", -1)
+    groups = lambda t: F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, ":", -1))
+    head, rest = groups(F.get(halves, F.lit(0))), F.coalesce(groups(F.get(halves, F.lit(1))), F.array().cast("array<string>"))
+    missing = 8 - F.size(head) - F.size(rest)
+    fits = F.when(F.size(halves) == 1, missing == 0).otherwise((F.size(halves) == 2) & (missing >= 1))
+    whole = F.concat(head, F.array_repeat(F.lit("0"), F.greatest(missing, F.lit(0))), rest)
+    right = ip.contains(":") & fits & F.forall(whole, lambda g: g.rlike("^[0-9a-f]{1,4}$"))
+    return F.when(right, F.array_join(F.transform(whole, lambda g: F.lpad(g, 4, "0")), ""))
+
+
+def is_ip(ip: Column) -> Column:
+    """The text is an IPv4 or IPv6 address."""
+    return F.coalesce(ip.rlike(_V4), F.lit(False)) | ip_to_hex(ip).isNotNull()
+
+
 def long_to_ip(n: Column) -> Column:
     return F.concat_ws(".", *[F.pmod(F.shiftright(n.cast("bigint"), s), F.lit(256)).cast("string") for s in (24, 16, 8, 0)])
 

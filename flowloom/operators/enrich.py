@@ -2,60 +2,86 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import ipaddress
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from flowloom.functions.coerce import go_str
-from flowloom.functions.net import ip_to_long
+from flowloom.functions.coerce import free_names, go_str
+from flowloom.functions.net import ip_to_hex, ip_to_long
 
-#: Ranges up to this number are joined by comparing all of them; more go through buckets of addresses.
-FEW_RANGES = 1000
-BROADCAST_ROWS = 1_000_000
+#: Label ranges up to this number are compared one after the other in the plan; more are looked up by bucket of addresses.
+FEW_RANGES = 200
+#: Rows and bytes of a dimension table up to which it is broadcast.
+BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 128_000_000
 BUCKET_BITS = 16
+#: Fixed value: the hex digits before an IPv4 address in an IPv6 address.
+MAPPED = "0" * 20 + "ffff"
+
+
+def fits(df: DataFrame, rows: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES) -> bool:
+    """df has at most so many rows, and bytes as text."""
+    seen = df.limit(rows + 1).select(F.length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))).cast("long").alias("n")).agg(F.count("*").alias("rows"), F.sum("n").alias("bytes")).first()
+    return seen["rows"] <= rows and (seen["bytes"] or 0) <= most_bytes
+
 
+def small(df: DataFrame, rows: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """df with a broadcast hint where it is small; beyond, Spark shuffles it."""
+    return F.broadcast(df) if fits(df, rows, most_bytes) else df
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """df with a broadcast hint where it has at most that many rows; beyond, Spark shuffles it."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
+def networks(labels: list[dict]) -> list[tuple[int, int, int, str]]:
+    """(version, first address, last address, name) of labels [{name, cidrs}], in the given order."""
+    found = [(ipaddress.ip_network(c, strict=False), label["name"]) for label in labels for c in label["cidrs"]]
+    return [(net.version, int(net[0]), int(net[-1]), name) for net, name in found]
 
-def cidr_ranges(spark: SparkSession, labels: list[dict]) -> DataFrame:
-    """(ip_from, ip_to, name, ord) of labels [{name, cidrs}], in the given order; IPv4."""
-    import ipaddress
 
-    rows = []
-    for i, label in enumerate(labels):
-        for cidr in label["cidrs"]:
-            net = ipaddress.ip_network(cidr, strict=False)
-            if net.version == 4:
-                rows.append((int(net[0]), int(net[-1]), label["name"], i))
-    return spark.createDataFrame(rows, "ip_from long, ip_to long, name string, ord int")
+def v4_number(ip: Column) -> Column:
+    """The IPv4 address as number, also where it is written as an IPv6 address; else NULL."""
+    digits = ip_to_hex(ip)
+    return F.coalesce(ip_to_long(ip), F.when(digits.startswith(MAPPED), F.conv(F.right(digits, F.lit(8)), 16, 10).cast("bigint")))
 
 
 def range_lookup(df: DataFrame, ranges: DataFrame, ip_col: str, columns: list[str], order: Column) -> DataFrame:
-    """df with the columns of the range that holds its address (the least by ``order``; NULL where none does).
+    """df with the columns of the range that holds its IPv4 address (the least by ``order``; NULL where none does).
 
-    Distinct addresses alone meet the ranges: each range is listed under the buckets of addresses that it
-    covers, so the meeting is an equi-join with a range check, and its answer is joined back.
+    Each range is listed under the buckets of addresses that it covers. While the list is small it is broadcast, a row
+    a bucket, and df is not shuffled. Beyond that, distinct addresses meet it and their answers are joined back.
     """
-    ips = df.select(F.col(ip_col).alias("_ip")).distinct().withColumn("_n", ip_to_long(F.col("_ip"))).filter("_n is not null").withColumn("_bucket", F.shiftright("_n", BUCKET_BITS))
-    listed = ranges.withColumn("_order", order).withColumn("_bucket", F.explode(F.sequence(F.shiftright("ip_from", BUCKET_BITS), F.shiftright("ip_to", BUCKET_BITS))))
-    wide = F.shiftright("ip_to", BUCKET_BITS) - F.shiftright("ip_from", BUCKET_BITS) > 255
-    broad, narrow = ranges.withColumn("_order", order).filter(wide), listed.filter(~wide)
-    inside = (F.col("_n") >= F.col("ip_from")) & (F.col("_n") <= F.col("ip_to"))
-    met = ips.join(narrow, "_bucket").filter(inside).select("_ip", "_order", *columns)
-    # ranges of more than 2^24 addresses are few whatever the table: they are listed by their first octets
-    octets = broad.withColumn("_octet", F.explode(F.sequence(F.shiftright("ip_from", 24), F.shiftright("ip_to", 24))))
-    met = met.unionByName(ips.withColumn("_octet", F.shiftright("_n", 24)).join(octets, "_octet").filter(inside).select("_ip", "_order", *columns))
-    best = met.groupBy("_ip").agg(F.min_by(F.struct(*columns), "_order").alias("_found"))
-    out = df.join(best, F.col(ip_col) == F.col("_ip"), "left")
-    return out.select(*[F.col(f"`{c}`") for c in df.columns if c not in columns], *[F.col("_found")[c].alias(c) for c in columns])
-
-
-def add_subnet_label(df: DataFrame, ip_col: str, out_col: str, labels: list[dict]) -> DataFrame:
-    """The first label, in the given order, with a CIDR that holds the address."""
-    ranges = cidr_ranges(df.sparkSession, labels).withColumnRenamed("name", out_col)
-    return range_lookup(df, ranges, ip_col, [out_col], F.col("ord"))
+    (row,) = free_names(df, "_row")
+    bucket = lambda c: F.shiftright(c, BUCKET_BITS)
+    listed = ranges.withColumn("_order", order).withColumn("_bucket", F.explode(F.sequence(bucket("ip_from"), bucket("ip_to"))))
+    held = F.struct(F.col("_order"), F.col("ip_from").alias("low"), F.col("ip_to").alias("high"), F.struct(*columns).alias("found"))
+    listed = listed.groupBy("_bucket").agg(F.array_sort(F.collect_list(held)).alias("_held"))
+    first = lambda n: F.get(F.filter("_held", lambda r: (r["low"] <= n) & (n <= r["high"])), F.lit(0))["found"]
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(row), F.col(f"`{ip_col}`").alias("_ip"))
+    if fits(listed):
+        out = rows.withColumn("_n", v4_number(F.col("_ip"))).withColumn("_at", bucket("_n")).join(F.broadcast(listed), F.col("_at") == F.col("_bucket"), "left").withColumn("_found", first(F.col("_n")))
+    else:
+        ips = rows.select("_ip").distinct().withColumn("_n", v4_number(F.col("_ip"))).filter("_n is not null").withColumn("_at", bucket("_n"))
+        answers = ips.join(listed, F.col("_at") == F.col("_bucket")).select(F.col("_ip").alias("_of"), first(F.col("_n")).alias("_found")).filter("_found is not null")
+        out = rows.join(small(answers), F.col("_ip") == F.col("_of"), "left")
+    return out.select(*[F.col(row)[c].alias(c) for c in df.columns if c not in columns], *[F.col("_found")[c].alias(c) for c in columns])
+
+
+def add_subnet_label(df: DataFrame, ip_col: str, out_col: str, labels: list[dict], few: int = FEW_RANGES) -> DataFrame:
+    """The first label, in the given order, with a CIDR that holds the address, of either family."""
+    nets = networks(labels)
+    v4, v6 = ([n for n in nets if n[0] == version] for version in (4, 6))
+    number, digits, label = free_names(df, "_number", "_digits", "_label")
+    kept, names = [c for c in df.columns if c != out_col], []
+    if len(v4) > few:
+        rows = [(low, high, name, i) for i, (_, low, high, name) in enumerate(v4)]
+        ranges = df.sparkSession.createDataFrame(rows, f"ip_from long, ip_to long, {label} string, ord int")
+        df = range_lookup(df, ranges, ip_col, [label], F.col("ord"))
+        v4, names = [], [F.col(label)]
+    ip = F.col(f"`{ip_col}`")
+    six = ip_to_hex(ip)
+    df = df.withColumns({number: v4_number(ip), digits: F.when(~six.startswith(MAPPED), six)})
+    names += [F.when((F.col(number) >= low) & (F.col(number) <= high), F.lit(name)) for _, low, high, name in v4]
+    names += [F.when((F.col(digits) >= f"{low:032x}") & (F.col(digits) <= f"{high:032x}"), F.lit(name)) for _, low, high, name in v6]
+    return df.select(*[F.col(f"`{c}`") for c in kept], F.coalesce(*names, F.lit(None).cast("string")).alias(out_col))
 
 
 def add_location(df: DataFrame, ip_col: str, prefix: str, ranges: DataFrame) -> DataFrame:
@@ -107,33 +133,47 @@ def add_service(df: DataFrame, port_col: str, protocol_col: str, out_col: str, p
 # ---- Kubernetes
 
 
-def add_kubernetes(df: DataFrame, ip_col: str, out: str, inventory: DataFrame, key_cols: list[str] | None = None, labels_prefix: str | None = None, zone: bool = False) -> DataFrame:
-    """Namespace, name, kind, owner, network, host (and zone, labels) of the object at the address.
+def add_kubernetes(df: DataFrame, ip_col: str, out: str, inventory: DataFrame, key_cols: list[str] | None = None, labels_prefix: str | None = None, zone: bool = False, label_rules: dict | None = None, annotations_prefix: str | None = None, annotation_rules: dict | None = None) -> DataFrame:
+    """Namespace, name, kind, owner, network, host (and zone, labels, annotations) of the object at the address.
 
-    Secondary keys (``key_cols``, in order) come before the address; at one address a Pod comes before a
-    Node before a Service. inventory: see flowloom.operators.inventory.
+    Secondary keys (``key_cols``, in order; a column may hold a list of keys) come before the address, and name the
+    network too; of two objects with one key the later version counts. At one address a Pod comes before a Node before
+    a Service, and of one kind the earlier version. The rules {include, exclude, most} are those of filter_labels.
+    inventory: see flowloom.operators.inventory; without a column version all objects came at once, in the order of names.
     """
-    fields = ["namespace", "name", "kind", "owner_name", "owner_kind", "network_name", "host_ip", "host_name", "zone", "labels"]
+    fields = ["namespace", "name", "kind", "owner_name", "owner_kind", "network_name", "host_ip", "host_name", "zone", "labels", "annotations", "secondary_net_names"]
+    maps = ("labels", "annotations", "secondary_net_names")
+    none = lambda f: F.lit(None).cast("map<string,string>" if f in maps else "string")
     rank = F.when(F.col("kind") == "Pod", 0).when(F.col("kind") == "Node", 1).otherwise(2)
-    found = F.struct(*[F.col(f) if f in inventory.columns else F.lit(None).cast("string").alias(f) for f in fields]).alias("_object")
-    by_ip = inventory.select(F.explode("ips").alias("_at"), rank.alias("_rank"), F.col("name").alias("_tie"), found).groupBy("_at").agg(F.min_by("_object", F.struct("_rank", "_tie")).alias("_object"))
-    lookups = [(F.col(f"`{c}`"), "secondary_net_keys") for c in key_cols or []]
+    version = F.col("version") if "version" in inventory.columns else F.lit(0)
+    found = F.struct(*[F.col(f) if f in inventory.columns else none(f).alias(f) for f in fields]).alias("_object")
+    came = F.struct(version.alias("version"), "name")
+    by_ip = inventory.select(F.explode(F.array_distinct("ips")).alias("_at"), rank.alias("_rank"), came.alias("_came"), found).groupBy("_at").agg(F.min_by("_object", F.struct("_rank", "_came")).alias("_object"))
     joined, hits = df, []
-    for i, (c, keys) in enumerate(lookups):
-        by_key = inventory.select(F.explode(keys).alias(f"_k{i}"), F.col("name").alias("_tie"), found).groupBy(f"_k{i}").agg(F.max_by("_object", "_tie").alias(f"_o{i}"))
-        joined = joined.join(small(by_key), c == F.col(f"_k{i}"), "left")
-        hits.append(F.col(f"_o{i}"))
+    for i, c in enumerate(key_cols or []):
+        by_key = inventory.select(F.explode("secondary_net_keys").alias(f"_k{i}"), came.alias("_came"), found).groupBy(f"_k{i}").agg(F.max_by("_object", "_came").alias(f"_o{i}"))
+        renamed = F.col(f"_o{i}").withField("network_name", F.coalesce(F.try_element_at(F.col(f"_o{i}.secondary_net_names"), F.col(f"_k{i}")), F.lit("")))
+        by_key = small(by_key.withColumn(f"_o{i}", renamed))
+        keys = [F.col(f"`{c}`")]
+        if isinstance(df.schema[c].dataType, T.ArrayType):
+            most = df.agg(F.max(F.size(F.col(f"`{c}`"))).alias("n")).first()["n"] or 0
+            keys = [F.get(F.col(f"`{c}`"), F.lit(n)) for n in range(most)]
+        for n, k in enumerate(keys):  # the first key with an object counts
+            one = by_key.withColumnsRenamed({f"_k{i}": f"_k{i}_{n}", f"_o{i}": f"_o{i}_{n}"})
+            joined = joined.join(one, k == F.col(f"_k{i}_{n}"), "left")
+            hits.append(F.col(f"_o{i}_{n}"))
     joined = joined.join(small(by_ip), F.col(f"`{ip_col}`") == F.col("_at"), "left")
-    o = F.coalesce(*hits, F.col("_object"))
+    o = F.when(F.col(f"`{ip_col}`").isNotNull(), F.coalesce(*hits, F.col("_object")))
     add = {
         "Namespace": F.nullif(o["namespace"], F.lit("")), "Name": o["name"], "Type": o["kind"], "OwnerName": o["owner_name"], "OwnerType": o["owner_kind"],
-        "NetworkName": o["network_name"], "HostIP": F.nullif(o["host_ip"], F.lit("")), "HostName": F.when(o["host_ip"] != "", o["host_name"]),
+        "NetworkName": o["network_name"], "HostIP": F.nullif(o["host_ip"], F.lit("")), "HostName": F.when(o["host_ip"] != "", F.nullif(o["host_name"], F.lit(""))),
     }
     if zone:
         add["Zone"] = o["zone"]
     new = {f"{out}_{k}": v for k, v in add.items()}
-    if labels_prefix is not None:
-        new[f"{out}_labels"] = F.transform_keys(o["labels"], lambda k, _: F.concat(F.lit(f"{labels_prefix}_"), k))
+    for what, prefix, rules in (("labels", labels_prefix, label_rules), ("annotations", annotations_prefix, annotation_rules)):
+        if prefix is not None:
+            new[f"{out}_{what}"] = filter_labels(o[what], prefix=prefix, **(rules or {}))
     return joined.select(*[F.col(f"`{c}`") for c in df.columns if c not in new], *[v.alias(k) for k, v in new.items()])
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowloom.functions.net import ip_to_long, is_ip
+
 ZONE = "topology.kubernetes.io/zone"
 HOPS = 3
 
@@ -28,14 +30,14 @@ def pods(df: DataFrame) -> DataFrame:
 def nodes(df: DataFrame) -> DataFrame:
     """Nodes' addresses that are IPs, the first as host address, and the overlay's management address: the default
     subnet (JSON text or list in an annotation) with 2 added to the fourth octet."""
-    listed = F.filter("addresses", lambda a: a.rlike(r"^\d{1,3}(\.\d{1,3}){3}$|:"))
+    listed = F.filter("addresses", is_ip)
     raw = F.col("annotations")["k8s.ovn.org/node-subnets"]
     one = F.from_json(raw, "default string")["default"]
     many = F.get(F.from_json(raw, "default array<string>")["default"], F.lit(0))
     cidr = F.when(one.startswith("["), many).otherwise(one)
     base = F.split_part(F.coalesce(cidr, many), F.lit("/"), F.lit(1))
     octets = F.split(base, r"\.")
-    mp0 = F.when(F.size(octets) == 4, F.concat_ws(".", F.get(octets, F.lit(0)), F.get(octets, F.lit(1)), F.get(octets, F.lit(2)), (F.get(octets, F.lit(3)).try_cast("int") + 2).cast("string")))
+    mp0 = F.when(ip_to_long(base).isNotNull(), F.concat_ws(".", F.get(octets, F.lit(0)), F.get(octets, F.lit(1)), F.get(octets, F.lit(2)), (F.get(octets, F.lit(3)).try_cast("int") + 2).cast("string")))
     return df.withColumn("ips", F.filter(F.array_append(listed, mp0), lambda x: x.isNotNull())).withColumn("host_ip", F.get(listed, F.lit(0)))
 
 
@@ -75,28 +77,79 @@ def climb_owners(df: DataFrame, owners: DataFrame, tracked: list[str] | None = N
     return df
 
 
-def multus_keys(annotation: Column, parts: list[str]) -> Column:
-    """Secondary keys of a network-status annotation: interface, address and lower-case MAC (as asked), joined by '~', one an address."""
-    nets = F.from_json(annotation, "array<struct<interface:string,ips:array<string>,mac:string,default:boolean>>")
-    value = {"interface": lambda n, _: n["interface"], "ip": lambda _, ip: ip, "mac": lambda n, _: F.lower(n["mac"])}
-    key = lambda n, ip: F.concat(*[x for p in parts for x in (F.lit("~"), value[p](n, ip))][1:])
-    per_net = F.transform(F.filter(nets, lambda n: ~F.coalesce(n["default"], F.lit(False))), lambda n: F.transform(n["ips"], lambda ip: key(n, ip)))
-    return F.filter(F.flatten(F.filter(per_net, lambda x: x.isNotNull())), lambda x: x.isNotNull())
+def multus_networks(annotation: Column, indexes: list[list[str]]) -> Column:
+    """Map of secondary key to network name from a network-status annotation, but for the default network.
+
+    Each index names the parts of its keys: interface, ip, mac. A key is ``interface~ip~mac`` with the parts that are
+    not named left empty, one for each address; a network without a named part has no key.
+    """
+    nets = F.from_json(annotation, "array<struct<name:string,interface:string,ips:array<string>,mac:string,default:boolean>>")
+    held = F.filter(nets, lambda n: ~F.coalesce(n["default"], F.lit(False)))
+    text = lambda named, v: F.coalesce(v, F.lit("")) if named else F.lit("")
+
+    def of(n: Column, parts: list[str]) -> Column:
+        ips = F.coalesce(n["ips"], F.array().cast("array<string>")) if "ip" in parts else F.array(F.lit(""))
+        whole = F.lit(True)
+        for p in ("interface", "mac"):
+            if p in parts:
+                whole = whole & (F.coalesce(n[p], F.lit("")) != "")
+        key = lambda ip: F.concat(text("interface" in parts, n["interface"]), F.lit("~"), ip, F.lit("~"), F.lower(text("mac" in parts, n["mac"])))
+        return F.when(whole, F.transform(ips, lambda ip: F.struct(key(ip).alias("key"), F.coalesce(n["name"], F.lit("")).alias("value")))).otherwise(F.array().cast("array<struct<key:string,value:string>>"))
+
+    entries = F.flatten(F.transform(held, lambda n: F.concat(*[of(n, parts) for parts in indexes])))
+    return F.map_from_entries(_last_of_key(entries))
+
+
+def _last_of_key(entries: Column) -> Column:
+    """Entries without those whose key comes again later."""
+    keys = F.transform(entries, lambda e: e["key"])
+    return F.filter(entries, lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.greatest(F.size(keys), F.lit(1))), e["key"]))
 
 
-def udn_keys(annotation: Column) -> Column:
-    """Secondary keys of a pod-networks annotation: network~address without its prefix length; the default network is left out."""
+def multus_keys(annotation: Column, parts: list[str]) -> Column:
+    """The secondary keys of one index."""
+    return F.map_keys(multus_networks(annotation, [parts]))
+
+
+def multus_flow_keys(parts: list[str], ip: Column | None = None, mac: Column | None = None, interfaces: Column | None = None) -> Column:
+    """A flow side's keys for an index, one for each interface; NULL where a part that the index names is absent."""
+    use = lambda part, c: c if part in parts and c is not None else None
+    ip, mac, interfaces = use("ip", ip), use("mac", mac), use("interface", interfaces)
+    given = [c.isNotNull() for c in (ip, mac, interfaces) if c is not None]
+    if not given:
+        return F.lit(None).cast("array<string>")
+    there, some = F.lit(True), F.lit(False)
+    for c in given:
+        there = there & c
+    for c in (ip, mac):
+        some = some | (c != "") if c is not None else some
+    some = some | (F.size(interfaces) > 0) if interfaces is not None else some
+    end = F.concat(F.lit("~"), ip if ip is not None else F.lit(""), F.lit("~"), F.lower(mac) if mac is not None else F.lit(""))
+    keys = F.array(end) if interfaces is None else F.transform(interfaces, lambda i: F.concat(i, end))
+    return F.when(there & some, keys)
+
+
+def udn_networks(annotation: Column, namespaced: list[str] | None = None, cluster: list[str] | None = None) -> Column:
+    """Map of secondary key to network name from a pod-networks annotation: network~address without its prefix length;
+    the default network is left out. A network ``namespace/name`` that is not among the ``namespaced`` ones, but whose
+    name is among the ``cluster`` ones, goes by that name."""
     nets = F.from_json(annotation, "map<string,struct<ip_address:string,role:string>>")
     kept = F.filter(F.map_entries(nets), lambda e: (e["key"] != "default") & e["value"]["ip_address"].isNotNull())
-    return F.transform(kept, lambda e: F.concat_ws("~", e["key"], F.split_part(e["value"]["ip_address"], F.lit("/"), F.lit(1))))
+
+    def label(name: Column) -> Column:
+        rest = F.regexp_extract(name, "^[^/]*/(.*)$", 1)
+        renamed = name.contains("/") & ~name.isin(namespaced or [""]) & rest.isin(cluster or [])
+        return F.when(renamed, rest).otherwise(name) if cluster else name
+
+    entry = lambda e: F.struct(F.concat_ws("~", label(e["key"]), F.split_part(e["value"]["ip_address"], F.lit("/"), F.lit(1))).alias("key"), label(e["key"]).alias("value"))
+    return F.map_from_entries(_last_of_key(F.transform(kept, entry)))
+
+
+def udn_keys(annotation: Column, namespaced: list[str] | None = None, cluster: list[str] | None = None) -> Column:
+    """The secondary keys of a pod-networks annotation."""
+    return F.map_keys(udn_networks(annotation, namespaced, cluster))
 
 
 def flow_keys(networks: Column, ip: Column) -> Column:
     """A flow side's keys network~address for its networks, without empty and default ones."""
     return F.transform(F.filter(networks, lambda n: (n != "") & (n != "default")), lambda n: F.concat_ws("~", n, ip))
-
-
-def first_at_ip(inventory: DataFrame) -> DataFrame:
-    """(ip, kind, name): the object that arrived first at each address of a kind."""
-    w = Window.partitionBy("ip", "kind").orderBy("version", "name")
-    return inventory.select(F.explode("ips").alias("ip"), "kind", "name", "version").withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r", "version")
