@@ -2,13 +2,16 @@
 
 Two forms. ``connections`` is the fast path: Spark's session windows with a gap for each scheduling group;
 it knows no flags and no heartbeats. ``track`` walks each connection's flows in time order, partition by
-partition, with the state of one connection at a time, and emits newConnection, flowLog, heartbeat and
-endConnection records; a FIN ends a connection early. All times are event times.
+partition, with the state of one connection at a time, and emits newConnection, heartbeat and endConnection
+records; a FIN ends a connection early. All times are event times. A connection is its key's values; _HashId only
+shows it. Flows that lack a key field are rejected.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -16,6 +19,9 @@ from pyspark.sql import functions as F
 
 PROTOCOLS = (6, 17, 132)
 FIN, SYN_ACK = 1, 256
+KINDS = ("newConnection", "heartbeat", "endConnection")
+#: Buckets of keys that a cap on tracked connections is counted in.
+BUCKETS = 64
 
 #: The configuration that the queries and tests use: A and B sides, two aggregates, timeouts in seconds.
 DEFAULT = {
@@ -26,8 +32,11 @@ DEFAULT = {
 }
 
 
-def validate(conf: dict) -> None:
+def validate(conf: dict, kinds: tuple[str, ...] = KINDS) -> None:
     """Raise ValueError where the configuration does not hold together."""
+    for k in kinds:
+        if k not in KINDS:
+            raise ValueError(f"unknown record type {k!r}")
     key, names = conf["key"], [a["name"] for a in conf["aggregates"]]
     if bool(key.get("a")) != bool(key.get("b")):
         raise ValueError("both sides of the key must be given, or neither")
@@ -45,11 +54,13 @@ def validate(conf: dict) -> None:
     selectors = [g["selector"] for g in conf["groups"]]
     if not selectors or selectors[-1] or any(not s for s in selectors[:-1]):
         raise ValueError("exactly one scheduling group must have the empty selector, and it must come last")
-    fields = {*key["common"], *key.get("a", []), *key.get("b", [])}
+    fields = set(key_fields(conf))
     if any(f not in fields for s in selectors for f in s):
         raise ValueError("selectors may only use key fields")
     if (conf.get("swap_ab") or conf.get("detect_end")) and not conf.get("flags"):
         raise ValueError("the field of TCP flags must be given")
+    if conf.get("swap_ab") and not key.get("a"):
+        raise ValueError("sides can be swapped only where the key has two")
 
 
 def gated(df: DataFrame) -> DataFrame:
@@ -57,6 +68,14 @@ def gated(df: DataFrame) -> DataFrame:
     return df.filter(F.col("Proto").cast("double").isin(*[float(p) for p in PROTOCOLS]))
 
 
+def key_fields(conf: dict) -> list[str]:
+    return [*conf["key"]["common"], *conf["key"].get("a", []), *conf["key"].get("b", [])]
+
+
+def _has_key(conf: dict) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(f).isNotNull() for f in key_fields(conf)], F.lit(True))
+
+
 def _group_value(conf: dict, what: str) -> Column:
     out = F.lit(conf["groups"][-1][what])
     for g in reversed(conf["groups"][:-1]):
@@ -68,13 +87,13 @@ def _group_value(conf: dict, what: str) -> Column:
 
 
 def keyed(df: DataFrame, conf: dict) -> DataFrame:
-    """Gated flows with _low and _high (the two ends in order: equal for both directions), _a (this flow's source
-    end), _HashId and _dup."""
+    """Gated flows that have a key, with _low and _high (the two ends in order: equal for both directions), _a (this
+    flow's source end), _HashId and _dup."""
     key = conf["key"]
     common = F.to_json(F.struct(*[F.col(c).alias(f"f{i}") for i, c in enumerate(key["common"])]))
     end = lambda fs: F.to_json(F.struct(*[F.col(f).alias(f"f{i}") for i, f in enumerate(fs)])) if fs else F.lit("")
     a, b = end(key.get("a")), end(key.get("b"))
-    out = gated(df).withColumns({"_common": common, "_a": a, "_b": b})
+    out = gated(df).filter(_has_key(conf)).withColumns({"_common": common, "_a": a, "_b": b})
     out = out.withColumns({"_low": F.least("_a", "_b"), "_high": F.greatest("_a", "_b"), "_dup": F.coalesce(F.col("Duplicate"), F.lit(False)) if "Duplicate" in df.columns else F.lit(False)})
     return out.withColumn("_HashId", F.lower(F.hex(F.xxhash64("_common", "_low", "_high"))))
 
@@ -82,8 +101,7 @@ def keyed(df: DataFrame, conf: dict) -> DataFrame:
 def _first_side(conf: dict) -> tuple[Column, dict[str, Column]]:
     """(order of flows, the first flow's fields) within a group; the A side is that flow's source."""
     order = F.struct("event_time", *conf.get("order", []))
-    fields = [*conf["key"]["common"], *conf["key"].get("a", []), *conf["key"].get("b", [])]
-    return order, {f: F.min_by(f, order) for f in fields}
+    return order, {f: F.min_by(f, order) for f in key_fields(conf)}
 
 
 def _total(a: dict, on: Column, order: Column) -> Column:
@@ -99,14 +117,61 @@ def _total(a: dict, on: Column, order: Column) -> Column:
     return {"sum": F.sum, "min": F.min, "max": F.max}[op](F.when(on, v))
 
 
-def connections(df: DataFrame, conf: dict = DEFAULT, zero_suppression: bool = True) -> DataFrame:
+def _sessions(df: DataFrame, conf: dict):
+    """Flows that count, grouped by session: two flows of one are at most the timeout apart."""
+    rows = keyed(df, conf).filter(~F.col("_dup")).withColumn("_gap", _group_value(conf, "end_timeout"))
+    gap = F.concat((F.col("_gap") * 1_000_000 + 1).cast("bigint").cast("string"), F.lit(" microseconds"))  # a gap of just the timeout does not end it
+    return rows.groupBy("_HashId", "_common", "_low", "_high", F.session_window("event_time", gap).alias("_w"))
+
+
+def _shown_keys(conf: dict, swap: Column) -> dict[str, Column]:
+    key, out = conf["key"], {}
+    for f in key["common"]:
+        out[f] = F.col(f"_k_{f}")
+    for x, y in zip(key.get("a", []), key.get("b", [])):
+        out[x] = F.when(swap, F.col(f"_k_{y}")).otherwise(F.col(f"_k_{x}"))
+        out[y] = F.when(swap, F.col(f"_k_{x}")).otherwise(F.col(f"_k_{y}"))
+    return out
+
+
+def _swapped(conf: dict) -> Column:
+    return F.coalesce(F.col("_flags").bitwiseAND(SYN_ACK) != 0, F.lit(False)) if conf.get("swap_ab") else F.lit(False)
+
+
+def new_connections(df: DataFrame, conf: dict = DEFAULT, zero_suppression: bool = True) -> DataFrame:
+    """The newConnection record of each session: what its first flow says."""
+    validate(conf)
+    order, first = _first_side(conf)
+    inputs = sorted({a["input"] for a in conf["aggregates"] if a["operation"] != "count"})
+    aggs = {f"_k_{f}": c for f, c in first.items()} | {f"_v_{i}": F.min_by(i, order) for i in inputs}
+    if conf.get("swap_ab"):
+        aggs["_flags"] = F.min_by(conf["flags"], order)
+    found = _sessions(df, conf).agg(*[c.alias(n) for n, c in aggs.items()], F.min("event_time").alias("first_time"))
+    swap, out = _swapped(conf), {}
+    zero = (lambda c: F.nullif(c, F.lit(0.0))) if zero_suppression else (lambda c: c)
+    for a in conf["aggregates"]:
+        n, op = a["name"], a["operation"]
+        v = F.lit(1.0) if op == "count" else F.col(f"_v_{a['input']}").cast("double")
+        if op in ("sum", "min", "max") and not a.get("report_missing"):
+            v = F.coalesce(v, F.lit(0.0))
+        if op in ("first", "last"):
+            out[n] = F.col(f"_v_{a['input']}")
+        elif a.get("split"):  # the other side has no flow yet: nothing, or a sum or count of zero
+            none = F.lit(0.0 if op in ("sum", "count") else None).cast("double")
+            out[f"{n}_AB"], out[f"{n}_BA"] = zero(F.when(swap, none).otherwise(v)), zero(F.when(swap, v).otherwise(none))
+        else:
+            out[n] = zero(v)
+    out |= _shown_keys(conf, swap)
+    return found.select("_HashId", F.lit("newConnection").alias("_RecordType"), F.lit(True).alias("_IsFirst"), *[c.alias(n) for n, c in out.items()], "first_time")
+
+
+def connections(df: DataFrame, conf: dict = DEFAULT, zero_suppression: bool = True, first_report: bool = True) -> DataFrame:
     """One endConnection record a session: the key fields of its first flow, aggregates, _HashId, _RecordType,
-    _IsFirst, first and last flow time. Duplicates open no session and count nothing."""
+    _IsFirst (``first_report``: whether nothing was reported of a connection before its end), first and last flow
+    time. Duplicates open no session and count nothing."""
     validate(conf)
-    rows = keyed(df, conf).filter(~F.col("_dup")).withColumn("_gap", _group_value(conf, "end_timeout"))
-    gap = F.concat(F.col("_gap").cast("bigint").cast("string"), F.lit(" seconds"))
+    sessions = _sessions(df, conf)
     order, first = _first_side(conf)
-    sessions = rows.groupBy("_HashId", "_common", "_low", "_high", F.session_window("event_time", gap).alias("_w"))
     # the first flow's source end decides the direction, so both ends are summed and named after it
     aggs = {f"_k_{f}": c for f, c in first.items()} | {"_first_a": F.min_by("_a", order)}
     for a in conf["aggregates"]:
@@ -119,9 +184,9 @@ def connections(df: DataFrame, conf: dict = DEFAULT, zero_suppression: bool = Tr
     if conf.get("swap_ab"):
         aggs["_flags"] = F.min_by(flags, order)
     found = sessions.agg(*[c.alias(n) for n, c in aggs.items()], F.min("event_time").alias("first_time"), F.max("event_time").alias("last_time"))
-    swap = F.coalesce(F.col("_flags").bitwiseAND(SYN_ACK) != 0, F.lit(False)) if conf.get("swap_ab") else F.lit(False)
+    swap = _swapped(conf)
     ab_low = (F.col("_first_a") == F.col("_low")) != swap
-    out, key = {}, conf["key"]
+    out = {}
     zero = (lambda c: F.nullif(c, F.lit(0.0))) if zero_suppression else (lambda c: c)
     for a in conf["aggregates"]:
         n = a["name"]
@@ -130,12 +195,8 @@ def connections(df: DataFrame, conf: dict = DEFAULT, zero_suppression: bool = Tr
             out[f"{n}_BA"] = zero(F.when(ab_low, F.col(f"_h_{n}")).otherwise(F.col(f"_l_{n}")))
         else:
             out[n] = zero(F.col(f"_t_{n}")) if a["operation"] not in ("first", "last") else F.col(f"_t_{n}")
-    for f in key["common"]:
-        out[f] = F.col(f"_k_{f}")
-    for x, y in zip(key.get("a", []), key.get("b", [])):
-        out[x] = F.when(swap, F.col(f"_k_{y}")).otherwise(F.col(f"_k_{x}"))
-        out[y] = F.when(swap, F.col(f"_k_{x}")).otherwise(F.col(f"_k_{y}"))
-    return found.select("_HashId", F.lit("endConnection").alias("_RecordType"), F.lit(True).alias("_IsFirst"), *[c.alias(n) for n, c in out.items()], "first_time", "last_time")
+    out |= _shown_keys(conf, swap)
+    return found.select("_HashId", F.lit("endConnection").alias("_RecordType"), F.lit(first_report).alias("_IsFirst"), *[c.alias(n) for n, c in out.items()], "first_time", "last_time")
 
 
 def flow_logs(df: DataFrame, conf: dict = DEFAULT) -> DataFrame:
@@ -145,13 +206,20 @@ def flow_logs(df: DataFrame, conf: dict = DEFAULT) -> DataFrame:
 
 
 def classify(df: DataFrame, conf: dict = DEFAULT) -> DataFrame:
-    """Counts of input rows: discarded (protocol), duplicate, newConnection and update."""
+    """Counts of input rows: discarded (protocol), rejected (a key field is missing), duplicate, newConnection and update."""
     gate = F.coalesce(F.col("Proto").cast("double").isin(*[float(p) for p in PROTOCOLS]), F.lit(False))
-    sessions = connections(df, conf).count()
-    found = df.select(F.when(~gate, "discarded").when(F.coalesce(F.col("Duplicate"), F.lit(False)), "duplicate").otherwise("update").alias("classification")).groupBy("classification").agg(F.count("*").alias("n"))
-    both = found.select("classification", (F.col("n") - F.when(F.col("classification") == "update", F.lit(sessions)).otherwise(F.lit(0))).alias("n"))
-    new = df.sparkSession.createDataFrame([("newConnection", sessions)], "classification string, n long")
-    return both.unionByName(new).filter("n > 0")
+    kind = F.when(~gate, "discarded").when(~_has_key(conf), "rejected").when(F.coalesce(F.col("Duplicate"), F.lit(False)), "duplicate").otherwise("update")
+    found = df.groupBy(kind.alias("classification")).agg(F.count("*").alias("n"))
+    new = connections(df, conf).groupBy().agg(F.count("*").alias("n"))
+    both = found.unionByName(new.select(F.lit("newConnection").alias("classification"), "n")).unionByName(new.select(F.lit("update").alias("classification"), (-F.col("n")).alias("n")))
+    return both.groupBy("classification").agg(F.sum("n").alias("n")).filter("n > 0")
+
+
+def end_reasons(records: DataFrame, conf: dict = DEFAULT) -> DataFrame:
+    """(group, reason, n): ended connections of ``track``'s records by scheduling group and reason, FIN_flag or timeout."""
+    named = conf | {"groups": [g | {"number": i} for i, g in enumerate(conf["groups"])]}
+    ends = records.filter("_RecordType = 'endConnection'").withColumn("group", _group_value(named, "number").cast("int"))
+    return ends.groupBy("group", F.col("_EndReason").alias("reason")).agg(F.count("*").alias("n"))
 
 
 # ---- the walk --------------------------------------------------------------------------------------
@@ -174,7 +242,7 @@ class Connection:
         for a in conf["aggregates"]:
             for n in [f"{a['name']}_AB", f"{a['name']}_BA"] if a.get("split") else [a["name"]]:
                 self.values[n] = {"min": float("inf"), "max": float("-inf"), "first": None, "last": None}.get(a["operation"], 0.0)
-        self.hash, self.emitted, self.ends = row["_HashId"], False, None
+        self.key, self.hash, self.emitted, self.ends = key_of(row), row["_HashId"], False, None
         self.beat = self.start + group["heartbeat"]
         self.add(row, True)
 
@@ -203,8 +271,13 @@ class Connection:
 
     def record(self, kind: str, at: float) -> dict:
         first, self.emitted = not self.emitted, True
+        reason = None if kind != "endConnection" else "timeout" if self.ends is None else "FIN_flag"
         shown = {k: None if v in (0.0, float("inf"), float("-inf")) else v for k, v in self.values.items()}
-        return shown | self.keys | {"_HashId": self.hash, "_RecordType": kind, "_IsFirst": first, "time": at}
+        return shown | self.keys | {"_HashId": self.hash, "_RecordType": kind, "_IsFirst": first, "_EndReason": reason, "time": at}
+
+
+def key_of(row: dict) -> tuple[str, str, str]:
+    return row["_common"], row["_low"], row["_high"]
 
 
 def group_of(conf: dict, row: dict) -> dict:
@@ -228,7 +301,7 @@ def walk(conf: dict, rows: Iterator[dict], kinds: tuple[str, ...]) -> Iterator[d
             live = None
 
     for row in rows:
-        if live is not None and row["_HashId"] != live.hash:
+        if live is not None and key_of(row) != live.key:
             yield from advance(float("inf"))
         yield from advance(row["_t"])
         if not row["_dup"]:
@@ -240,30 +313,81 @@ def walk(conf: dict, rows: Iterator[dict], kinds: tuple[str, ...]) -> Iterator[d
     yield from advance(float("inf"))
 
 
+def walk_capped(conf: dict, rows: Iterator[dict], kinds: tuple[str, ...]) -> Iterator[dict]:
+    """Records of rows that come sorted by bucket, then time. A bucket tracks max_tracked connections at a time; flows of
+    further ones are not tracked until one of them ends. The state is one bucket's live connections."""
+    live: dict[tuple, Connection] = {}
+    due: list[tuple[float, tuple]] = []  # (when a connection's next heartbeat or end may be due, its key)
+    bucket = None
+
+    def next_of(c: Connection) -> float:
+        return c.beat if c.ends is None and c.beat < c.until else c.until
+
+    def advance(now: float) -> Iterator[dict]:
+        while due and due[0][0] < now:
+            at, key = heapq.heappop(due)
+            c = live.get(key)
+            if c is None:
+                continue
+            if at < next_of(c):  # it lived on since
+                heapq.heappush(due, (next_of(c), key))
+            elif c.ends is None and c.beat < c.until:
+                yield c.record("heartbeat", c.beat)
+                c.beat += c.group["heartbeat"]
+                heapq.heappush(due, (next_of(c), key))
+            else:
+                yield c.record("endConnection", c.until)
+                del live[key]
+
+    for row in rows:
+        if row["_bucket"] != bucket:
+            yield from advance(float("inf"))
+            bucket = row["_bucket"]
+        yield from advance(row["_t"])
+        if row["_dup"]:
+            continue
+        key = key_of(row)
+        c = live.get(key)
+        if c is not None:
+            c.add(row)
+        elif len(live) < conf["max_tracked"]:
+            c = live[key] = Connection(conf, row, group_of(conf, row))
+            yield c.record("newConnection", row["_t"]) if "newConnection" in kinds else {}
+        else:
+            continue
+        heapq.heappush(due, (next_of(c), key))
+    yield from advance(float("inf"))
+
+
 def record_schema(df: DataFrame, conf: dict) -> str:
-    key = conf["key"]
-    fields = [*key["common"], *key.get("a", []), *key.get("b", [])]
+    fields = key_fields(conf)
     values = [f"`{n}` double" for a in conf["aggregates"] for n in ([f"{a['name']}_AB", f"{a['name']}_BA"] if a.get("split") else [a["name"]])]
-    return ", ".join([*values, *[f"`{f}` {df.schema[f].dataType.simpleString()}" for f in fields], "`_HashId` string", "`_RecordType` string", "`_IsFirst` boolean", "`time` double"])
+    return ", ".join([*values, *[f"`{f}` {df.schema[f].dataType.simpleString()}" for f in fields], "`_HashId` string", "`_RecordType` string", "`_IsFirst` boolean", "`_EndReason` string", "`time` double"])
 
 
-def track(df: DataFrame, conf: dict = DEFAULT, kinds: tuple[str, ...] = ("newConnection", "heartbeat", "endConnection")) -> DataFrame:
+def track(df: DataFrame, conf: dict = DEFAULT, kinds: tuple[str, ...] = KINDS) -> DataFrame:
     """newConnection, heartbeat and endConnection records of a table of flows; ``time`` in epoch seconds.
 
     Rows are dealt by connection and sorted within each partition, so the walk streams through them and
-    holds one connection's state, however many flows it has.
+    holds one connection's state, however many flows it has. With ``max_tracked`` in conf, rows are dealt to
+    ``buckets`` by key, and each tracks so many connections at a time (a cap over all would need one task).
     """
-    validate(conf)
+    validate(conf, kinds)
     seconds = F.unix_micros(F.col("event_time").cast("timestamp")) / 1e6
-    rows = keyed(df, conf).withColumn("_t", seconds)
-    rows = rows.repartition("_HashId").sortWithinPartitions("_HashId", "_t", *conf.get("order", []))
+    rows, key = keyed(df, conf).withColumn("_t", seconds), ["_common", "_low", "_high"]
+    if conf.get("max_tracked"):
+        rows = rows.withColumn("_bucket", F.pmod(F.xxhash64(*key), F.lit(conf.get("buckets", BUCKETS))))
+        rows = rows.repartition("_bucket").sortWithinPartitions("_bucket", "_t", *conf.get("order", []))
+    else:
+        rows = rows.repartition(*key).sortWithinPartitions(*key, "_t", *conf.get("order", []))
+    walked = walk_capped if conf.get("max_tracked") else walk
     schema = record_schema(df, conf)
     names = [c.strip().split("`")[1] for c in schema.split(", ")]
 
     def work(batches):
         given = (dict(zip(b.columns, r)) for b in batches for r in b.itertuples(index=False, name=None))
         out = []
-        for r in walk(conf, given, kinds):
+        for r in walked(conf, given, kinds):
             if r and r["_RecordType"] in kinds:
                 out.append(r)
             if len(out) >= 10_000:
