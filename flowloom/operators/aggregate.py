@@ -22,23 +22,26 @@ def _value(rule: dict, v: Column) -> Column:
 
 
 def aggregate(df: DataFrame, rule: dict) -> DataFrame:
-    """One row a group of rule {name, by, operation, key}: name, operation_type, operation_key, by, aggregate, total_value,
-    total_count, recent_op_value, recent_count, recent_raw_values and the keys as text.
+    """One row a group of rule {name, by, operation, key, batch?}: name, operation_type, operation_key, by, aggregate,
+    total_value, total_count, recent_op_value, recent_count, recent_raw_values and the keys as text.
 
-    Rows without all keys are left out. Over a table the whole is one batch, so recent equals total.
+    Rows without all keys are left out. Over a table the whole is one batch, so recent equals total. A column that
+    ``batch`` names (a window's start, say) cuts each group further and joins the result: the lists of raw_values are
+    then bounded by a batch, however frequent the key.
     """
     if rule["operation"] not in OPERATIONS:
         raise ValueError(f"unknown operation {rule['operation']!r}")
     by, key = rule["by"], rule.get("key", "")
     v = to_double(df, key) if key else F.lit(None).cast("double")
-    keyed = df.select(*[go_str(df, k).alias(k) for k in by], v.alias("_v")).dropna(subset=by)
+    batch = [rule["batch"]] if rule.get("batch") else []
+    keyed = df.select(*[go_str(df, k).alias(k) for k in by], *batch, v.alias("_v")).dropna(subset=by)
     value = _value(rule, F.col("_v"))
     raw = F.collect_list("_v") if rule["operation"] == "raw_values" else F.lit(None).cast("array<double>")
-    out = keyed.groupBy(*by).agg(value.alias("total_value"), F.count(F.lit(1)).alias("total_count"), raw.alias("recent_raw_values"))
+    out = keyed.groupBy(*by, *batch).agg(value.alias("total_value"), F.count(F.lit(1)).alias("total_count"), raw.alias("recent_raw_values"))
     return out.select(
         F.lit(rule["name"]).alias("name"), F.lit(rule["operation"]).alias("operation_type"), F.lit(key).alias("operation_key"), F.lit(",".join(by)).alias("by"),
         F.concat_ws(",", *sorted(by)).alias("aggregate"), "total_value", "total_count", F.col("total_value").alias("recent_op_value"), F.col("total_count").alias("recent_count"),
-        "recent_raw_values", *by,
+        "recent_raw_values", *by, *batch,
     )
 
 
