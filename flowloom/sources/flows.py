@@ -81,15 +81,45 @@ def render_netflow(df: DataFrame, ip_cols: list[str], mac_cols: list[str]) -> Da
     return df.withColumns({c: long_to_ip(F.col(c)) for c in ip_cols} | {c: mac_text(F.col(c)) for c in mac_cols})
 
 
-def flatten_agent_records(df: DataFrame) -> DataFrame:
-    """A nested agent record (network, transport, data_link, bytes, packets, dup_list, times) as flat flow columns."""
+#: Names of the TCP states by their kernel numbers, from 1.
+TCP_STATES = ["ESTABLISHED", "SYN_SENT", "SYN_RECV", "FIN_WAIT1", "FIN_WAIT2", "CLOSE", "CLOSE_WAIT", "LAST_ACK", "LISTEN", "CLOSING", "NEW_SYN_RECV"]
+#: The kernel's first reasons to drop a packet, by number; later ones differ from version to version.
+DROP_REASONS = {
+    2: "NOT_SPECIFIED", 3: "NO_SOCKET", 4: "PKT_TOO_SMALL", 5: "TCP_CSUM", 6: "SOCKET_FILTER", 7: "UDP_CSUM", 8: "NETFILTER_DROP", 9: "OTHERHOST", 10: "IP_CSUM", 11: "IP_INHDR", 12: "IP_RPFILTER",
+    13: "UNICAST_IN_L2_MULTICAST", 14: "XFRM_POLICY", 15: "IP_NOPROTO", 16: "SOCKET_RCVBUFF", 17: "PROTO_MEM",
+}
+#: Response codes of DNS answers, from 0.
+DNS_CODES = ["NoError", "FormErr", "ServFail", "NXDomain", "NotImp", "Refused", "YXDomain", "YXRRSet", "NXRRSet", "NotAuth", "NotZone"]
+
+
+def _name_of(number, names: dict[int, str]):
+    """The number's name, or the number as text."""
+    known = F.create_map(*[x for k, v in names.items() for x in (F.lit(k), F.lit(v))])
+    return F.when(number.isNotNull(), F.coalesce(F.try_element_at(known, number.cast("int")), number.cast("string")))
+
+
+def flatten_agent_records(df: DataFrame, drop_reasons: dict[int, str] | None = None) -> DataFrame:
+    """A nested agent record (network, transport, data_link, bytes, packets, dup_list, times, and where it has them
+    packet drops and DNS) as flat flow columns; ``drop_reasons`` adds names of the kernel's drop reasons."""
     each = lambda f: F.transform("dup_list", lambda x: x[f])
+    micros = lambda c: F.unix_micros(F.lit(0).cast("timestamp") + F.col(c))  # noqa: E731  of an interval
+    drop = {"pkt_drop_bytes": "PktDropBytes", "pkt_drop_packets": "PktDropPackets", "pkt_drop_latest_flags": "PktDropLatestFlags", "dns_id": "DnsId", "dns_flags": "DnsFlags", "dns_errno": "DnsErrno"}
+    more = [F.col(c).alias(n) for c, n in drop.items() if c in df.columns]
+    if "pkt_drop_latest_state" in df.columns:
+        more.append(_name_of(F.col("pkt_drop_latest_state"), {i: f"TCP_{s}" for i, s in enumerate(TCP_STATES, 1)}).alias("PktDropLatestState"))
+    if "pkt_drop_latest_drop_cause" in df.columns:
+        named = {k: f"SKB_DROP_REASON_{v}" for k, v in DROP_REASONS.items()} | (drop_reasons or {})
+        more.append(_name_of(F.col("pkt_drop_latest_drop_cause"), named).alias("PktDropLatestDropCause"))
+    if "dns_latency" in df.columns:
+        more.append((micros("dns_latency") / 1000).cast("bigint").alias("DnsLatencyMs"))
+    if "dns_flags" in df.columns:
+        more.append(_name_of(F.col("dns_flags").cast("int").bitwiseAND(F.lit(15)), dict(enumerate(DNS_CODES))).alias("DnsFlagsResponseCode"))
     return df.select(
         long_to_ip(F.col("network.src_addr")).alias("SrcAddr"), long_to_ip(F.col("network.dst_addr")).alias("DstAddr"), F.col("network.dscp").alias("Dscp"),
         F.col("transport.src_port").alias("SrcPort"), F.col("transport.dst_port").alias("DstPort"), F.col("transport.protocol").alias("Proto"),
         mac_text(F.col("data_link.src_mac")).alias("SrcMac"), mac_text(F.col("data_link.dst_mac")).alias("DstMac"), F.col("eth_protocol").alias("Etype"),
         F.col("bytes").alias("Bytes"), F.col("packets").alias("Packets"), each("interface").alias("Interfaces"), each("direction").alias("IfDirections"), each("udn").alias("Udns"),
-        F.unix_millis("start").alias("TimeFlowStartMs"), F.unix_millis("end").alias("TimeFlowEndMs"), (F.unix_micros(F.lit(0).cast("timestamp") + F.col("rtt")) * 1000).alias("TimeFlowRttNs"), long_to_ip(F.col("agent_ip")).alias("AgentIP"),
+        F.unix_millis("start").alias("TimeFlowStartMs"), F.unix_millis("end").alias("TimeFlowEndMs"), (micros("rtt") * 1000).alias("TimeFlowRttNs"), long_to_ip(F.col("agent_ip")).alias("AgentIP"), *more,
     )
 
 

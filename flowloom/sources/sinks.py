@@ -130,16 +130,25 @@ def to_otel_spans(df: DataFrame, splitters: list[str], id_col: str) -> DataFrame
 ELEMENTS = {
     "Bytes": "octetDeltaCount", "Packets": "packetDeltaCount", "SrcPort": "sourceTransportPort", "DstPort": "destinationTransportPort", "Proto": "protocolIdentifier",
     "TimeFlowStartMs": "flowStartMilliseconds", "TimeFlowEndMs": "flowEndMilliseconds", "SrcMac": "sourceMacAddress", "DstMac": "destinationMacAddress", "Etype": "ethernetType", "Flags": "tcpControlBits",
+    "XlatSrcPort": "postNAPTSourceTransportPort", "XlatDstPort": "postNAPTDestinationTransportPort", "TimeFlowRttNs": "timeFlowRttNs", "SrcK8S_Namespace": "sourcePodNamespace", "SrcK8S_Name": "sourcePodName",
+    "DstK8S_Namespace": "destinationPodNamespace", "DstK8S_Name": "destinationPodName", "SrcK8S_HostName": "sourceNodeName", "DstK8S_HostName": "destinationNodeName",
 }
 IPV6 = 0x86DD
 
 
 def to_ipfix_columns(df: DataFrame, v6: bool = False) -> DataFrame:
-    """The export columns of one address family; lists give their first entry and the joined rest, sampling a probability."""
+    """The export columns of one address family; lists give their first entry and the joined rest, sampling a
+    probability, and addresses after translation are the family's zero address where the flow has none."""
     family = F.coalesce(col_or_null(df, "Etype").cast("int") == IPV6, F.lit(False))
     rows = df.filter(family if v6 else ~family)
-    end = "v6" if v6 else "v4"
+    end, zero = ("v6", "::") if v6 else ("v4", "0.0.0.0")
     out = [col_or_null(df, "SrcAddr").alias(f"sourceIP{end}Address"), col_or_null(df, "DstAddr").alias(f"destinationIP{end}Address")]
+    out += [F.coalesce(col_or_null(df, f"Xlat{side}Addr").cast("string"), F.lit(zero)).alias(f"postNAT{name}IP{end}Address") for side, name in (("Src", "Source"), ("Dst", "Destination"))]
+    if v6 and "Proto" in df.columns:
+        out.append(F.col("Proto").alias("nextHeaderIPv6"))
+    for c, n in (("IcmpType", "icmpType"), ("IcmpCode", "icmpCode")):
+        if c in df.columns:
+            out.append(F.col(c).alias(f"{n}IP{end}"))
     for c, n in ELEMENTS.items():
         if c in df.columns:
             v = F.col(c)
