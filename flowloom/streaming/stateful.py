@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from flowloom.functions.coerce import go_str
 from flowloom.operators import conntrack, topk
 from flowloom.operators.aggregate import aggregate, merge_totals
 
@@ -21,31 +22,63 @@ def windowed_aggregate(df: DataFrame, rule: dict, time_col: str, window: str, la
     return rows.groupBy(F.window(time_col, window, slide), *rule["by"]).agg(agg.alias("value")).select(F.col("window.start").alias("window_start"), *rule["by"], "value")
 
 
-def stream_aggregates(df: DataFrame, rule: dict, totals_path: str, each: Callable[[DataFrame], None], checkpoint: str):
+def _kept(spark, path: str, number: int) -> DataFrame | None:
+    """The state that the batch before this one left; states older than that go."""
+    if number == 0:
+        return None
+    for old in range(max(0, number - 4), number - 1):
+        at = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch={old}")
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    return spark.read.parquet(f"{path}/batch={number - 1}")
+
+
+def _keep(df: DataFrame, path: str, number: int) -> DataFrame:
+    at = f"{path}/batch={number}"
+    df.write.mode("overwrite").parquet(at)
+    return df.sparkSession.read.parquet(at)
+
+
+def stream_aggregates(df: DataFrame, rule: dict, totals_path: str, each: Callable[[DataFrame], None], checkpoint: str, time_col: str | None = None, expiry: int = 120):
     """Per micro-batch, all groups with totals so far and this batch's values, handed to ``each``.
 
     The totals are a table that every batch rewrites under its own number, so a repeated batch starts from
-    the same totals and a lost executor costs a task.
+    the same totals and a lost executor costs a task; tables of earlier batches are deleted. With ``time_col`` a group
+    goes when its last row is more than ``expiry`` seconds older than the newest row of all.
     """
+    by = rule["by"]
 
     def batch(rows: DataFrame, number: int) -> None:
         spark = rows.sparkSession
         new = aggregate(rows, rule)
-        if number:
-            new = merge_totals(spark.read.parquet(f"{totals_path}/batch={number - 1}"), new, rule)
-        new.write.mode("overwrite").parquet(f"{totals_path}/batch={number}")
-        each(spark.read.parquet(f"{totals_path}/batch={number}"))
+        seen = F.lit(None).cast("timestamp") if time_col is None else F.col(time_col)
+        last = rows.select(*[go_str(rows, k).alias(k) for k in by], seen.alias("_last")).groupBy(*by).agg(F.max("_last").alias("_last"))
+        before = _kept(spark, totals_path, number)
+        if before is not None:
+            new = merge_totals(before.drop("_last"), new, rule)
+            last = last.unionByName(before.select(*by, "_last")).groupBy(*by).agg(F.max("_last").alias("_last"))
+        new = new.join(last, by)
+        if time_col is not None:
+            newest = F.broadcast(last.agg(F.max("_last").alias("_newest")))
+            new = new.crossJoin(newest).filter(F.col("_last") >= F.col("_newest") - F.expr(f"INTERVAL {int(expiry)} SECONDS")).drop("_newest")  # one row
+        each(_keep(new, totals_path, number).drop("_last"))
 
     return df.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
 
 
-def stream_topk(df: DataFrame, rule: dict, time_col: str, each: Callable[[DataFrame], None], checkpoint: str):
-    """Per micro-batch, the K largest of the batch's rows within the rule's interval before its newest row."""
+def stream_topk(df: DataFrame, rule: dict, time_col: str, each: Callable[[DataFrame], None], checkpoint: str, rows_path: str):
+    """Per micro-batch, the K largest of all rows so far within the rule's interval before the newest row.
+
+    The rows of the interval are kept as a table of each batch's number, like the totals of stream_aggregates.
+    """
 
     def batch(rows: DataFrame, number: int) -> None:
+        before = _kept(rows.sparkSession, rows_path, number)
+        rows = rows if before is None else before.unionByName(rows)
         newest = rows.agg(F.max(time_col).alias("t")).first()["t"]
+        inside = rows if newest is None else rows.filter(F.col(time_col) >= F.lit(newest) - F.expr(f"INTERVAL {rule['interval']}"))
+        kept = _keep(inside, rows_path, number)
         if newest is not None:
-            each(topk.timebased(rows, rule, time_col, F.lit(newest)))
+            each(topk.timebased(kept, rule, time_col, F.lit(newest)))
 
     return df.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
 
@@ -114,4 +147,4 @@ def stream_track(df: DataFrame, conf: dict = conntrack.DEFAULT, late: str = "10
     schema = conntrack.record_schema(df, conf)
     names = [c.strip().split("`")[1] for c in schema.split(", ")]
     rows = conntrack.keyed(df.withWatermark("event_time", late), conf).withColumn("_t", F.unix_micros("event_time") / 1e6)
-    return rows.groupBy("_HashId").transformWithStateInPandas(Tracker(conf, names, rows.columns), schema, "Append", "EventTime")
+    return rows.groupBy("_common", "_low", "_high").transformWithStateInPandas(Tracker(conf, names, rows.columns), schema, "Append", "EventTime")

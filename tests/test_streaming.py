@@ -6,7 +6,7 @@ import time
 from pyspark.sql import functions as F
 
 from flowloom.operators import aggregate as agg
-from flowloom.operators import conntrack
+from flowloom.operators import conntrack, topk
 from flowloom.streaming import stateful
 from tests.test_flows import CONF, FLOW, at
 
@@ -30,6 +30,17 @@ def test_totals_over_batches(spark, tmp_path):
     assert agg.aggregate(spark.createDataFrame(rows, "service string, bytes double"), rule).filter("service = 'tcp'").first()["total_value"] == 12.0
 
 
+def test_totals_expire(spark, tmp_path):
+    """A group goes 100 seconds after its last row, and tables of earlier batches are deleted."""
+    rows = [("old", 1.0, at(0)), ("kept", 2.0, at(10)), ("kept", 3.0, at(90)), ("new", 4.0, at(95)), ("new", 5.0, at(150)), ("kept", 6.0, at(160)), ("old", 7.0, at(165))]
+    stream = parts(spark, tmp_path, rows, "k string, v double, t timestamp", [2, 4, 6], "in")
+    rule, seen = {"name": "b", "by": ["k"], "operation": "sum", "key": "v"}, []
+    run = stateful.stream_aggregates(stream, rule, str(tmp_path / "totals"), lambda df: seen.append({r["k"]: r["total_value"] for r in df.collect()}), str(tmp_path / "ck"), "t", 100)
+    run.trigger(availableNow=True).start().awaitTermination(120)
+    assert seen == [{"old": 1.0, "kept": 2.0}, {"old": 1.0, "kept": 5.0, "new": 4.0}, {"kept": 11.0, "new": 9.0}, {"kept": 11.0, "new": 9.0, "old": 7.0}]
+    assert sorted(p.name for p in (tmp_path / "totals").iterdir()) == ["batch=2", "batch=3"]
+
+
 def test_windowed_aggregate(spark, tmp_path):
     rows = [("a", 1.0, at(0)), ("a", 2.0, at(30)), ("b", 5.0, at(70)), ("a", 9.0, at(400))]
     stream = parts(spark, tmp_path, rows, "k string, v double, t timestamp", [3], "in")
@@ -40,11 +51,18 @@ def test_windowed_aggregate(spark, tmp_path):
 
 
 def test_stream_topk(spark, tmp_path):
-    stream = parts(spark, tmp_path, [("a", 1, at(0)), ("b", 5, at(10)), ("c", 3, at(11))], "k string, v long, t timestamp", [], "in")
-    seen = []
-    rule = {"name": "x", "index_keys": ["k"], "operation": "sum", "key": "v", "top_k": 1, "interval": "5 seconds"}
-    stateful.stream_topk(stream, rule, "t", lambda df: seen.append([(r["k"], r["v"]) for r in df.collect()]), str(tmp_path / "ck")).trigger(availableNow=True).start().awaitTermination(120)
-    assert seen == [[("b", 5.0)]]
+    """Rows of earlier batches count while they are inside the interval; each batch equals the batch operator."""
+    rows = [("a", 1, at(0)), ("b", 5, at(10)), ("c", 3, at(11)), ("c", 3, at(13)), ("a", 4, at(14)), ("b", 1, at(19)), ("a", 1, at(40))]
+    cuts = [3, 5, 6]
+    stream = parts(spark, tmp_path, rows, "k string, v long, t timestamp", cuts, "in")
+    rule, seen = {"name": "x", "index_keys": ["k"], "operation": "sum", "key": "v", "top_k": 2, "interval": "5 seconds"}, []
+    shown = lambda df: [(r["k"], r["v"]) for r in df.collect()]
+    stateful.stream_topk(stream, rule, "t", lambda df: seen.append(shown(df)), str(tmp_path / "ck"), str(tmp_path / "rows")).trigger(availableNow=True).start().awaitTermination(120)
+    want = []
+    for n in (*cuts, len(rows)):
+        so_far = spark.createDataFrame(rows[:n], "k string, v long, t timestamp")
+        want.append(shown(topk.timebased(so_far, rule, "t", F.lit(rows[n - 1][2]))))
+    assert seen == want and want[1] == [("c", 6.0), ("b", 5.0)]
 
 
 def test_tracking_equals_batch(spark, tmp_path):
