@@ -58,3 +58,8 @@ def top_rates(rates: DataFrame, keys: list[str], k: int = 10) -> DataFrame:
     """The k largest of each window."""
     w = Window.partitionBy("window_start").orderBy(F.col("rate").desc(), *keys)
     return rates.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+
+def rate_totals(rates: DataFrame) -> DataFrame:
+    """(window_start, total_rate, n): the sum of each window's rates, and how many keys have one."""
+    return rates.groupBy("window_start").agg(F.sum("rate").alias("total_rate"), F.count("*").alias("n"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -160,6 +161,19 @@ def n2(f):
     return enrich.add_subnet_label(out, "DstAddr", "DstLabel", LABELS).select("flow_id", "line", "SrcPort", "SrcLabel", "DstLabel")
 
 
+#: Addresses of both families from the flows' own: IPv6, IPv4 within IPv6, broken text.
+_SIX = """CASE line%4 WHEN 0 THEN concat('2001:DB8:',lower(to_hex(split_part(SrcAddr,'.',2)::INT)),'::',lower(to_hex(split_part(SrcAddr,'.',4)::INT))) WHEN 1 THEN concat('::ffff:',SrcAddr) WHEN 2 THEN concat(SrcAddr,':80') ELSE 'fe80::1' END"""
+
+
+@query("n2_subnet_label_v6", f"""SELECT {_ID}, {_SIX} AS addr, CASE line%4 WHEN 0 THEN CASE WHEN SrcAddr LIKE '10.1.%' THEN 'site-1' ELSE 'site' END WHEN 1 THEN CASE WHEN SrcAddr LIKE '10.1.%' THEN 'lab' ELSE 'rest' END WHEN 3 THEN 'link' END AS label FROM flows""")
+def n2_v6(f):
+    part = lambda i: F.lower(F.hex(F.split_part("SrcAddr", F.lit("."), F.lit(i)).cast("int")))
+    line = F.col("line") % 4
+    addr = F.when(line == 0, F.concat(F.lit("2001:DB8:"), part(2), F.lit("::"), part(4))).when(line == 1, F.concat(F.lit("::ffff:"), "SrcAddr")).when(line == 2, F.concat("SrcAddr", F.lit(":80"))).otherwise("fe80::1")
+    labels = [{"name": "site-1", "cidrs": ["2001:db8:1::/48"]}, {"name": "site", "cidrs": ["2001:db8::/32"]}, {"name": "lab", "cidrs": ["10.1.0.0/16"]}, {"name": "link", "cidrs": ["fe80::/10"]}, {"name": "rest", "cidrs": ["0.0.0.0/0"]}]
+    return enrich.add_subnet_label(f.withColumn("addr", addr), "addr", "label", labels).select("flow_id", "line", "SrcPort", "addr", "label")
+
+
 @query("n3_add_service", f"SELECT {_ID}, {_SERVICE} AS service FROM flows")
 def n3(f):
     return enrich.add_service(f, "DstPort", "Proto", "service", *_dimensions(f)).select("flow_id", "line", "SrcPort", "service")
@@ -215,6 +229,38 @@ def n5(f):
     return enrich.add_kubernetes(f, "SrcAddr", "Src", _inventory(f), zone=True).select("flow_id", "line", "SrcPort", "Src_Namespace", "Src_Name", "Src_Type", "Src_OwnerName", "Src_HostName", "Src_Zone")
 
 
+#: Two pods and a node at each address, and two objects for each secondary key; versions decide.
+_SHARED = """, x AS (SELECT *, split_part(SrcAddr,'.',3)::INT AS o3, split_part(SrcAddr,'.',4)::INT AS o4 FROM flows)"""
+
+
+@query("n5_shared_addresses", _SHARED + f""" SELECT {_ID}, CASE WHEN line%3=0 AND o4%2=0 THEN concat('key-late-',SrcAddr) ELSE concat('zz-',SrcAddr) END AS Src_Name, CASE WHEN line%3=0 AND o4%2=0 THEN 'blue' ELSE 'primary' END AS Src_NetworkName,
+ CASE WHEN line%3=0 AND o4%2=0 THEN NULL ELSE concat('a_note=n',o3::VARCHAR) END AS notes FROM x""")
+def n5_shared(f):
+    part = lambda i: F.split_part("SrcAddr", F.lit("."), F.lit(i)).cast("int")
+    at = f.select("SrcAddr").distinct()
+    none = F.create_map().cast("map<string,string>")
+    key = F.concat(F.lit("blue~"), "SrcAddr")
+
+    def objects(kind: str, name: str, version: int, ips, keys, names, notes):
+        return at.select(
+            F.lit(kind).alias("kind"), F.lit("ns").alias("namespace"), F.concat(F.lit(name), "SrcAddr").alias("name"), ips.alias("ips"), F.lit("primary").alias("network_name"), F.lit("h").alias("host_name"),
+            F.lit("192.168.0.1").alias("host_ip"), F.lit(None).cast("string").alias("owner_kind"), F.lit(None).cast("string").alias("owner_name"), F.lit(version).alias("version"), keys.alias("secondary_net_keys"),
+            names.alias("secondary_net_names"), notes.alias("annotations"),
+        )
+
+    here, no_keys, no_ips = F.array("SrcAddr"), F.array().cast("array<string>"), F.array().cast("array<string>")
+    note = F.create_map(F.lit("note"), F.concat(F.lit("n"), part(3).cast("string")), F.lit("secret"), F.lit("s"))
+    rows = [
+        objects("Pod", "zz-", 1, here, no_keys, none, note), objects("Pod", "aa-", 2, here, no_keys, none, none), objects("Node", "node-", 0, here, no_keys, none, none),
+        objects("Pod", "key-early-", 1, no_ips, F.array(key), F.create_map(key, F.lit("red")), none), objects("Pod", "key-late-", 5, no_ips, F.array(key), F.create_map(key, F.lit("blue")), none),
+    ]
+    held = reduce(DataFrame.unionByName, rows)
+    keys = F.when((F.col("line") % 3 == 0) & (part(4) % 2 == 0), F.array(F.lit("none~0"), key))
+    out = enrich.add_kubernetes(f.withColumn("keys", keys), "SrcAddr", "Src", held, ["keys"], annotations_prefix="a", annotation_rules={"exclude": ["secret"]})
+    notes = F.nullif(F.array_join(F.transform(F.map_entries("Src_annotations"), lambda e: F.concat_ws("=", e["key"], e["value"])), ","), F.lit(""))
+    return out.select("flow_id", "line", "SrcPort", "Src_Name", "Src_NetworkName", notes.alias("notes"))
+
+
 @query("n8_labels", f", x AS ({_K8S}) SELECT {_ID}, CASE WHEN o4%7<>0 THEN concat('k_app=appl...') END AS labels FROM x")
 def n8(f):
     out = enrich.add_kubernetes(f, "SrcAddr", "Src", _inventory(f), labels_prefix="k")
@@ -239,11 +285,35 @@ def n10(f):
     return inventory.climb_owners(pods, owners).join(top, "name").select("name", "owner_kind", "owner_name", "top_kind")
 
 
-@query("n14_n15_secondary_keys", f"SELECT {_ID}, concat('eth1~',SrcAddr,'~aa:bb') AS multus, concat('blue~',SrcAddr) AS udn, concat('blue~',DstAddr) AS flow_side FROM flows")
+@query("n11_n13_inventory_build", """, p AS (SELECT DISTINCT SrcAddr, split_part(SrcAddr,'.',3)::INT AS o3, split_part(SrcAddr,'.',4)::INT AS o4 FROM flows)
+ SELECT 'Pod' AS kind, SrcAddr AS name, CASE WHEN o4%2=0 THEN SrcAddr ELSE concat(SrcAddr,',9.9.9.9') END AS ips, CASE WHEN o4%3=0 THEN concat('rs-',o3::VARCHAR) ELSE SrcAddr END AS owner, NULL::VARCHAR AS host FROM p
+ UNION ALL SELECT 'Node', SrcAddr, concat(SrcAddr,',2001:db8::1',CASE WHEN o4%4=0 THEN '' ELSE concat(',10.128.',o3::VARCHAR,'.2') END), NULL, SrcAddr FROM p
+ UNION ALL SELECT 'Service', SrcAddr, CASE WHEN o4%2=0 THEN '' ELSE SrcAddr END, NULL, NULL FROM p""")
+def inventory_build(f):
+    part = lambda i: F.split_part("SrcAddr", F.lit("."), F.lit(i)).cast("int")
+    at, text = f.select("SrcAddr").distinct(), lambda i: part(i).cast("string")
+    none, joined = F.lit(None).cast("string"), F.array_join("ips", ",")
+    refs = F.when(part(4) % 3 == 0, F.array(F.struct(F.lit("ReplicaSet").alias("kind"), F.concat(F.lit("rs-"), text(3)).alias("name")))).otherwise(F.array().cast("array<struct<kind:string,name:string>>"))
+    pods = inventory.pods(at.select(F.col("SrcAddr").alias("name"), F.array("SrcAddr", F.lit("9.9.9.9")).alias("pod_ips"), F.when(part(4) % 2 == 0, "9.9.9.9").alias("host_ip"), refs.alias("owner_refs")))
+    subnet = F.when(part(4) % 4 == 1, F.format_string('{"default":["10.128.%d.0/23"]}', part(3))).when(part(4) % 4 > 1, F.format_string('{"default":"10.128.%d.0/23"}', part(3)))
+    notes = F.create_map(F.lit("k8s.ovn.org/node-subnets"), subnet)
+    nodes = inventory.nodes(at.select(F.col("SrcAddr").alias("name"), F.array(F.lit("host:80"), F.lit("999.1.1.1"), "SrcAddr", F.lit("2001:db8::1")).alias("addresses"), notes.alias("annotations")))
+    services = inventory.services(at.select(F.col("SrcAddr").alias("name"), F.array(F.when(part(4) % 2 == 0, "None").otherwise(F.col("SrcAddr")), F.lit("")).alias("cluster_ips")))
+    return (
+        pods.select(F.lit("Pod").alias("kind"), "name", joined.alias("ips"), F.col("owner_name").alias("owner"), none.alias("host"))
+        .unionByName(nodes.select(F.lit("Node").alias("kind"), "name", joined.alias("ips"), none.alias("owner"), F.col("host_ip").alias("host")))
+        .unionByName(services.select(F.lit("Service").alias("kind"), "name", joined.alias("ips"), none.alias("owner"), none.alias("host")))
+    )
+
+
+@query("n14_n15_secondary_keys", f"SELECT {_ID}, concat('eth1~',SrcAddr,'~aa:bb') AS multus, concat('eth1~',SrcAddr,'~aa:bb=net1,~~aa:bb=net1') AS networks, CASE WHEN line=1 THEN NULL ELSE concat('eth0~',DstAddr,'~,eth9~',DstAddr,'~') END AS multus_flow, concat('blue~',SrcAddr,',ns/own~2.2.2.2') AS udn, concat('blue~',DstAddr) AS flow_side FROM flows")
 def n14(f):
-    status = F.format_string('[{"interface":"eth0","ips":["1.1.1.1"],"default":true},{"interface":"eth1","ips":["%s"],"mac":"AA:BB"}]', "SrcAddr")
-    nets = F.format_string('{"default":{"ip_address":"1.1.1.1/24","role":"primary"},"blue":{"ip_address":"%s/24","role":"secondary"}}', "SrcAddr")
-    return f.select("flow_id", "line", "SrcPort", F.get(inventory.multus_keys(status, ["interface", "ip", "mac"]), F.lit(0)).alias("multus"), F.get(inventory.udn_keys(nets), F.lit(0)).alias("udn"),
+    status = F.format_string('[{"interface":"eth0","ips":["1.1.1.1"],"default":true},{"name":"net1","interface":"eth1","ips":["%s"],"mac":"AA:BB"},{"name":"net2","interface":"eth2"}]', "SrcAddr")
+    nets = F.format_string('{"default":{"ip_address":"1.1.1.1/24","role":"primary"},"ns/blue":{"ip_address":"%s/24","role":"secondary"},"ns/own":{"ip_address":"2.2.2.2/24"}}', "SrcAddr")
+    networks = F.transform(F.map_entries(inventory.multus_networks(status, [["interface", "ip", "mac"], ["mac"]])), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    flow_side = inventory.multus_flow_keys(["interface", "ip"], F.when(F.col("line") != 1, F.col("DstAddr")), None, F.array(F.lit("eth0"), F.lit("eth9")))
+    return f.select("flow_id", "line", "SrcPort", F.get(inventory.multus_keys(status, ["interface", "ip", "mac"]), F.lit(0)).alias("multus"), F.array_join(F.array_sort(networks), ",").alias("networks"), F.array_join(flow_side, ",").alias("multus_flow"),
+                    F.array_join(F.array_sort(inventory.udn_keys(nets, ["ns/own"], ["blue", "own"])), ",").alias("udn"),
                     F.array_join(inventory.flow_keys(F.array(F.lit(""), F.lit("default"), F.lit("blue")), F.col("DstAddr")), "").alias("flow_side"))
 
 
@@ -291,10 +361,16 @@ def aggregates(f):
     return agg.aggregates(f, rules).select("name", F.col("operation_type").alias("op"), "aggregate", "total_value", "total_count")
 
 
-@query("a7_raw_values", "SELECT DstAddr, list_sort(list(Bytes::DOUBLE))::VARCHAR AS vals, count(*) AS total_count FROM flows GROUP BY 1")
+def _daily(f: DataFrame) -> DataFrame:
+    """Values gathered by address and day, so that no list grows with the table."""
+    rows = f.withColumn("day", F.date_format("event_time", "yyyy-MM-dd"))
+    return agg.aggregate(rows, {"name": "raw", "by": ["DstAddr"], "operation": "raw_values", "key": "Bytes", "batch": "day"})
+
+
+@query("a7_raw_values", "SELECT DstAddr, strftime(event_time,'%Y-%m-%d') AS day, list_sort(list(Bytes::DOUBLE))::VARCHAR AS vals, count(*) AS total_count FROM flows GROUP BY 1, 2")
 def raw_values(f):
-    out = agg.aggregate(f, {"name": "raw", "by": ["DstAddr"], "operation": "raw_values", "key": "Bytes"})
-    return out.select("DstAddr", F.concat(F.lit("["), F.array_join(F.sort_array("recent_raw_values"), ", "), F.lit("]")).alias("vals"), "total_count")
+    out = _daily(f)
+    return out.select("DstAddr", "day", F.concat(F.lit("["), F.array_join(F.sort_array("recent_raw_values"), ", "), F.lit("]")).alias("vals"), "total_count")
 
 
 @query("a8_totals_and_recents", "SELECT DstAddr, sum(Bytes)::DOUBLE AS total_value, count(*) AS total_count, coalesce(sum(Bytes) FILTER (line>3),0)::DOUBLE AS recent_op_value, count(*) FILTER (line>3) AS recent_count FROM flows GROUP BY 1")
@@ -357,7 +433,7 @@ def c10(f):
 
 @query("c8_new_connection", _TRACKED + " SELECT Proto, SrcAddr, SrcPort::BIGINT AS SrcPort, DstAddr, nullif(b0,0)::DOUBLE AS Bytes_AB, true AS is_first FROM e", sessions=True)
 def c8(f):
-    return conntrack.track(f, TRACK, ("newConnection",)).select("Proto", "SrcAddr", F.col("SrcPort").cast("bigint").alias("SrcPort"), "DstAddr", "Bytes_AB", F.col("_IsFirst").alias("is_first"))
+    return conntrack.new_connections(f, TRACK).select("Proto", "SrcAddr", F.col("SrcPort").cast("bigint").alias("SrcPort"), "DstAddr", "Bytes_AB", F.col("_IsFirst").alias("is_first"))
 
 
 @query("c9_flow_logs", "SELECT flow_id, Proto, 'flowLog' AS kind FROM flows WHERE Proto IN (6,17,132)", sessions=True)
@@ -365,15 +441,62 @@ def c9(f):
     return conntrack.flow_logs(f, TRACK).select("flow_id", "Proto", F.col("_RecordType").alias("kind"))
 
 
-@query("c11_c12_fin_and_heartbeat", sessions=True)
+#: The walk as recursion over each connection's flows: until is when it ends, fin the time of its first FIN.
+_WALK = """, g AS (SELECT *, epoch_us(event_time)/1e6 AS t, least(concat(SrcAddr,':',SrcPort),concat(DstAddr,':',DstPort)) AS lo, greatest(concat(SrcAddr,':',SrcPort),concat(DstAddr,':',DstPort)) AS hi, concat(SrcAddr,':',SrcPort) AS a,
+   CASE WHEN Proto=17 THEN 7200 ELSE 14400 END AS gap, CASE WHEN Proto=17 THEN 3600 ELSE 7200 END AS beat, (Flags & 1)=1 AS f FROM flows WHERE Proto IN (6,17,132) AND NOT Duplicate),
+ k AS (SELECT *, row_number() OVER (PARTITION BY Proto,lo,hi ORDER BY t,flow_id) AS rn FROM g),
+ w AS (SELECT Proto, lo, hi, rn, flow_id, t, 1 AS sid, CASE WHEN f THEN t+600 ELSE t+gap END AS till, CASE WHEN f THEN t END AS fin FROM k WHERE rn=1
+   UNION ALL SELECT k.Proto, k.lo, k.hi, k.rn, k.flow_id, k.t, CASE WHEN k.t>w.till THEN w.sid+1 ELSE w.sid END,
+     CASE WHEN k.t<=w.till AND w.fin IS NOT NULL THEN w.till WHEN k.f THEN k.t+600 ELSE k.t+k.gap END, CASE WHEN k.t<=w.till AND w.fin IS NOT NULL THEN w.fin WHEN k.f THEN k.t END
+   FROM w JOIN k ON k.Proto=w.Proto AND k.lo=w.lo AND k.hi=w.hi AND k.rn=w.rn+1),
+ r AS (SELECT k.*, w.sid, w.till, w.fin FROM k JOIN w USING (Proto, lo, hi, rn)),
+ s AS (SELECT Proto, lo, hi, sid, arg_min(a,rn) AS fa, arg_min(SrcAddr,rn) AS SrcAddr, arg_min(SrcPort,rn)::BIGINT AS SrcPort, arg_min(DstAddr,rn) AS DstAddr, min(t) AS t0, arg_max(till,rn) AS till, max(fin) AS fin, max(beat) AS beat FROM r GROUP BY 1,2,3,4),
+ d AS (SELECT *, 'newConnection' AS kind, t0 AS at FROM s UNION ALL SELECT *, 'heartbeat', unnest(list_transform(range(1, 1 + greatest(0, ceil((least(coalesce(fin, till), till) - t0)/beat)::BIGINT - 1)), lambda n: t0 + n*beat)) FROM s UNION ALL SELECT *, 'endConnection', till FROM s),
+ e AS (SELECT d.kind, d.SrcAddr, d.SrcPort, d.DstAddr, d.Proto, d.at, d.fin, d.t0, d.till, sum(CASE WHEN r.a=d.fa THEN r.Bytes ELSE 0 END) AS ab, sum(CASE WHEN r.a<>d.fa THEN r.Bytes ELSE 0 END) AS ba, count(*) AS n
+   FROM d JOIN r ON r.Proto=d.Proto AND r.lo=d.lo AND r.hi=d.hi AND r.sid=d.sid AND (r.t<=d.at AND (d.kind<>'newConnection' OR r.rn=(SELECT min(q.rn) FROM r q WHERE q.Proto=d.Proto AND q.lo=d.lo AND q.hi=d.hi AND q.sid=d.sid))) GROUP BY ALL)"""
+
+
+@query("c11_c12_fin_and_heartbeat", _WALK.replace("WITH", "WITH RECURSIVE") + """ SELECT kind AS "_RecordType", kind='newConnection' AS "_IsFirst", SrcAddr, SrcPort, DstAddr, Proto, nullif(ab,0)::DOUBLE AS "Bytes_AB", nullif(ba,0)::DOUBLE AS "Bytes_BA", n::DOUBLE AS "numFlowLogs", e.at AS time FROM e""", sessions=True)
 def c11(f):
-    return conntrack.track(f, TRACK | {"detect_end": True}).select("_RecordType", "_IsFirst", "SrcAddr", "DstAddr", "Proto", "Bytes_AB", "Bytes_BA", "numFlowLogs", "time")
+    return conntrack.track(f, TRACK | {"detect_end": True}).select("_RecordType", "_IsFirst", "SrcAddr", F.col("SrcPort").cast("bigint").alias("SrcPort"), "DstAddr", "Proto", "Bytes_AB", "Bytes_BA", "numFlowLogs", "time")
+
+
+@query("c16_end_reasons", _WALK + """ SELECT CASE WHEN Proto=17 THEN 0 ELSE 1 END AS "group", CASE WHEN fin IS NULL THEN 'timeout' ELSE 'FIN_flag' END AS reason, count(*) AS n FROM s GROUP BY 1, 2""", sessions=True)
+def c16_ends(f):
+    return conntrack.end_reasons(conntrack.track(f, TRACK | {"detect_end": True}, ("endConnection",)), TRACK)
+
+
+for _name in ("c11_c12_fin_and_heartbeat", "c16_end_reasons"):
+    SQL[_name] = SQL[_name].replace("WITH flows", "WITH RECURSIVE flows", 1)
+
 
+_AGGREGATED = """, g AS (SELECT *, least(concat(SrcAddr,':',SrcPort),concat(DstAddr,':',DstPort)) AS lo, greatest(concat(SrcAddr,':',SrcPort),concat(DstAddr,':',DstPort)) AS hi, concat(SrcAddr,':',SrcPort) AS a, CASE WHEN Proto=17 THEN 7200 ELSE 14400 END AS gap,
+   CASE WHEN flow_id%3=0 THEN NULL ELSE Bytes END AS v, CASE WHEN flow_id%2=0 THEN Flags|256 ELSE Flags END AS tf FROM flows WHERE Proto IN (6,17,132) AND NOT Duplicate),
+ b AS (SELECT *, CASE WHEN epoch_us(event_time) - lag(epoch_us(event_time)) OVER (PARTITION BY Proto,lo,hi ORDER BY event_time,flow_id) <= gap::BIGINT*1000000 THEN 0 ELSE 1 END AS n FROM g),
+ s AS (SELECT *, sum(n) OVER (PARTITION BY Proto,lo,hi ORDER BY event_time,flow_id) AS sid FROM b),
+ e AS (SELECT Proto, lo, hi, sid, (arg_min(tf,(event_time,flow_id)) & 256)<>0 AS swap, arg_min(a,(event_time,flow_id)) AS fa, arg_min(SrcAddr,(event_time,flow_id)) AS sa, arg_min(SrcPort,(event_time,flow_id)) AS sp, arg_min(DstAddr,(event_time,flow_id)) AS da, arg_min(DstPort,(event_time,flow_id)) AS dp FROM s GROUP BY 1,2,3,4),
+ j AS (SELECT s.*, e.swap, e.sa, e.sp, e.da, e.dp, (s.a=e.fa)<>e.swap AS ab FROM s JOIN e USING (Proto, lo, hi, sid))"""
+
+
+@query("c4_c5_swap_and_aggregates", _AGGREGATED + """ SELECT Proto, any_value(CASE WHEN swap THEN da ELSE sa END) AS SrcAddr, any_value(CASE WHEN swap THEN dp ELSE sp END)::BIGINT AS SrcPort, any_value(CASE WHEN swap THEN sa ELSE da END) AS DstAddr,
+ min(coalesce(v,0)) FILTER (ab)::DOUBLE AS low_AB, min(coalesce(v,0)) FILTER (NOT ab)::DOUBLE AS low_BA, max(v) FILTER (ab)::DOUBLE AS high_AB, max(v) FILTER (NOT ab)::DOUBLE AS high_BA, min(v)::DOUBLE AS seen, arg_min(coalesce(v,-1),(event_time,flow_id))::BIGINT AS opened, arg_max(v,(event_time,flow_id)) FILTER (v IS NOT NULL)::BIGINT AS closed, count(*) FILTER (ab)::DOUBLE AS n_AB, count(*) FILTER (NOT ab)::DOUBLE AS n_BA
+ FROM j GROUP BY Proto, lo, hi, sid""", sessions=True)
+def c4_c5(f):
+    """All operations, with missing values, and sides that the first flow's flags swap."""
+    rows = f.withColumn("v", F.when(F.col("flow_id") % 3 != 0, F.col("Bytes"))).withColumn("tf", F.when(F.col("flow_id") % 2 == 0, F.col("Flags").bitwiseOR(256)).otherwise(F.col("Flags")))
+    aggregates = [
+        {"name": "low", "operation": "min", "input": "v", "split": True}, {"name": "high", "operation": "max", "input": "v", "split": True, "report_missing": True}, {"name": "seen", "operation": "min", "input": "v", "report_missing": True},
+        {"name": "opened", "operation": "first", "input": "v"}, {"name": "closed", "operation": "last", "input": "v"}, {"name": "n", "operation": "count", "split": True},
+    ]
+    out = conntrack.connections(rows, TRACK | {"aggregates": aggregates, "flags": "tf", "swap_ab": True}, zero_suppression=False)
+    n = lambda c: F.coalesce(c, F.lit(0.0)).alias(c)
+    return out.select("Proto", "SrcAddr", F.col("SrcPort").cast("bigint").alias("SrcPort"), "DstAddr", "low_AB", "low_BA", "high_AB", "high_BA", "seen", F.coalesce("opened", F.lit(-1)).cast("bigint").alias("opened"), F.col("closed").cast("bigint").alias("closed"), n("n_AB"), n("n_BA"))
 
-@query("c16_classification", _TRACKED + """ SELECT 'discarded' AS classification, count(*) AS n FROM flows WHERE Proto NOT IN (6,17,132) UNION ALL SELECT 'duplicate', count(*) FROM flows WHERE Proto IN (6,17,132) AND Duplicate
+
+@query("c16_classification", _TRACKED.replace("AND NOT Duplicate)", "AND NOT Duplicate AND flow_id%7<>0)") + """ SELECT 'discarded' AS classification, count(*) AS n FROM flows WHERE Proto NOT IN (6,17,132) UNION ALL SELECT 'rejected', count(*) FROM flows WHERE Proto IN (6,17,132) AND flow_id%7=0 UNION ALL SELECT 'duplicate', count(*) FROM flows WHERE Proto IN (6,17,132) AND Duplicate AND flow_id%7<>0
  UNION ALL SELECT 'newConnection', count(*) FROM e UNION ALL SELECT 'update', (SELECT count(*) FROM g) - (SELECT count(*) FROM e)""", sessions=True)
 def c16(f):
-    return conntrack.classify(f, TRACK)
+    return conntrack.classify(f.withColumn("SrcAddr", F.when(F.col("flow_id") % 7 != 0, F.col("SrcAddr"))), TRACK)
 
 
 # ---- metrics
@@ -409,8 +532,7 @@ def flatten(f):
 
 @query("m9_agg_histogram", """, b(le, x) AS (VALUES ('1000',1000.0),('3000',3000.0),('+Inf',1e300)) SELECT b.le, (SELECT count(*) FROM flows WHERE Bytes<=b.x) AS cumulative_count, (SELECT sum(Bytes)::DOUBLE FROM flows) AS sum FROM b""")
 def agg_histogram(f):
-    lists = agg.aggregate(f, {"name": "raw", "by": ["DstAddr"], "operation": "raw_values", "key": "Bytes"})
-    return metrics.histogram(lists, {"name": "h", "value_key": "recent_raw_values", "labels": []}, [1000.0, 3000.0]).select("le", "cumulative_count", "sum")
+    return metrics.histogram(_daily(f), {"name": "h", "value_key": "recent_raw_values", "labels": []}, [1000.0, 3000.0]).select("le", "cumulative_count", "sum")
 
 
 @query("m10_ttl", "SELECT DstAddr AS dst FROM flows GROUP BY 1 HAVING max(event_time) >= TIMESTAMP '1998-10-01' - INTERVAL 60 DAY")
@@ -456,17 +578,36 @@ def label_lines(f):
     return out.select(F.get_json_object("line", "$.flow_id").cast("bigint").alias("flow_id"), key["line"].alias("line"), key["SrcPort"].alias("SrcPort"), F.col("labels")["dst_addr"].alias("dst"), F.col("labels")["site"].alias("site"), F.unix_seconds("time").alias("seconds"), F.col("line").alias("line_text"))
 
 
-@query("w4_object_batches", """, r AS (SELECT date_trunc('hour',event_time) AS h, (row_number() OVER (PARTITION BY date_trunc('hour',event_time) ORDER BY event_time, flow_id, line, SrcPort)-1)//10 AS b FROM flows)
- SELECT concat(strftime(h,'account/year=%Y/month=%m/day=%d/hour=%H'),'/stream-id=0/',lpad(b::VARCHAR,8,'0')) AS path, count(*)::INT AS n FROM r GROUP BY h, b""")
+@query("w4_object_batches", """, r AS (SELECT date_trunc('hour',event_time) AS h, (row_number() OVER (PARTITION BY date_trunc('hour',event_time) ORDER BY event_time, flow_id, line, SrcPort)-1)//10 AS b, flow_id, line, SrcPort, Bytes, event_time FROM flows)
+ SELECT concat(strftime(h,'account/year=%Y/month=%m/day=%d/hour=%H'),'/stream-id=0/',lpad(b::VARCHAR,8,'0')) AS path, count(*)::INT AS n, 'x' AS vendor, count(*)::BIGINT AS listed, string_agg(concat(flow_id::VARCHAR,':',line::VARCHAR,':',Bytes::VARCHAR), ',' ORDER BY event_time, flow_id, line, SrcPort) AS flows,
+ epoch_us(min(event_time))//1000000 AS started, epoch_us(max(event_time))//1000000 AS ended FROM r GROUP BY h, b""")
 def objects(f):
-    return sinks.object_batches(f.select("flow_id", "line", "SrcPort", "Bytes", "event_time"), "event_time", 10, order=["flow_id", "line", "SrcPort"], header={"vendor": "x"}).select("path", "n")
+    out = sinks.object_batches(f.select("flow_id", "line", "SrcPort", "Bytes", "event_time"), "event_time", 10, order=["flow_id", "line", "SrcPort"], header={"vendor": "x"})
+    o = F.from_json("object", "vendor string, number_of_flow_logs long, capture_start_time timestamp, capture_end_time timestamp, flow_logs array<struct<flow_id:long,line:int,Bytes:long>>")
+    return out.select("path", "n", o.alias("o")).select(
+        "path", "n", "o.vendor", F.col("o.number_of_flow_logs").alias("listed"), F.array_join(F.transform("o.flow_logs", lambda x: F.concat_ws(":", x["flow_id"], x["line"], x["Bytes"])), ",").alias("flows"),
+        F.unix_seconds("o.capture_start_time").alias("started"), F.unix_seconds("o.capture_end_time").alias("ended"),
+    )
 
 
-@query("w6_otel_logs", f"SELECT {_ID}, 9 AS severity_number, 'INFO' AS severity_text, Flags::VARCHAR AS flags, CASE WHEN Flags IS NULL THEN 3 ELSE 4 END AS n FROM flows")
+@query("w6_otel_logs", f"SELECT {_ID}, 9 AS severity_number, 'INFO' AS severity_text, Flags::VARCHAR AS flags, CASE WHEN Flags IS NULL THEN 3 ELSE 4 END AS n, concat('{{\"flow_id\":',flow_id::VARCHAR,',\"line\":',line::VARCHAR,',\"SrcPort\":',SrcPort::VARCHAR,CASE WHEN Flags IS NULL THEN '' ELSE concat(',\"Flags\":',Flags::VARCHAR) END,'}}') AS body FROM flows")
 def otel_logs(f):
     out = sinks.to_otel_logs(f.select("flow_id", "line", "SrcPort", "Flags"))
     a = F.col("attributes")
-    return out.select(a["flow_id"].cast("bigint").alias("flow_id"), a["line"].cast("int").alias("line"), a["SrcPort"].cast("bigint").alias("SrcPort"), "severity_number", "severity_text", F.try_element_at(a, F.lit("Flags")).alias("flags"), F.size(a).alias("n"))
+    return out.select(a["flow_id"].cast("bigint").alias("flow_id"), a["line"].cast("int").alias("line"), a["SrcPort"].cast("bigint").alias("SrcPort"), "severity_number", "severity_text", F.try_element_at(a, F.lit("Flags")).alias("flags"), F.size(a).alias("n"), "body")
+
+
+@query("w8_otel_metrics", """ SELECT 'net_bytes' AS name, 'counter' AS type, DstPort::VARCHAR AS port, sum(Bytes)::DOUBLE AS value, NULL::VARCHAR AS counts, NULL::DOUBLE AS sum, NULL::BIGINT AS count FROM flows GROUP BY DstPort
+ UNION ALL SELECT 'net_last', 'gauge', DstPort::VARCHAR, arg_max(Bytes,(event_time,flow_id,line,SrcPort,SrcAddr,DstAddr))::DOUBLE, NULL, NULL, NULL FROM flows GROUP BY DstPort
+ UNION ALL SELECT 'net_sizes', 'histogram', DstPort::VARCHAR, NULL, concat(count(*) FILTER (Bytes<=1000),',',count(*) FILTER (Bytes>1000 AND Bytes<=2500),',',count(*) FILTER (Bytes>2500)), sum(Bytes)::DOUBLE, count(*) FROM flows GROUP BY DstPort
+ UNION ALL SELECT 'net_all', 'histogram', NULL, NULL, concat(count(*) FILTER (Bytes<=0),',',count(*) FILTER (Bytes>0 AND Bytes<=5),',0,0,0,0,',count(*) FILTER (Bytes>75 AND Bytes<=100),',',count(*) FILTER (Bytes>100 AND Bytes<=250),',',count(*) FILTER (Bytes>250 AND Bytes<=500),',',count(*) FILTER (Bytes>500 AND Bytes<=750),',',count(*) FILTER (Bytes>750 AND Bytes<=1000),',',count(*) FILTER (Bytes>1000 AND Bytes<=2500),',',count(*) FILTER (Bytes>2500 AND Bytes<=5000),',0,0,0'), sum(Bytes)::DOUBLE, count(*) FROM flows""")
+def otel_metrics(f):
+    kept = [
+        {"name": "bytes", "type": "counter", "value_key": "Bytes", "labels": ["DstPort"]}, {"name": "last", "type": "gauge", "value_key": "Bytes", "labels": ["DstPort"]},
+        {"name": "sizes", "type": "histogram", "value_key": "Bytes", "labels": ["DstPort"], "buckets": [1000, 2500]}, {"name": "all", "type": "histogram", "value_key": "Bytes"},
+    ]
+    out = metrics.otel_metrics(f, kept, "net_", "event_time", ["flow_id", "line", "SrcPort", "SrcAddr", "DstAddr"])
+    return out.select("name", "type", F.try_element_at("attributes", F.lit("DstPort")).alias("port"), "value", F.array_join("bucket_counts", ",").alias("counts"), "sum", "count")
 
 
 @query("w7_otel_spans", """SELECT flow_id AS trace, 'flow' AS name, NULL::VARCHAR AS parent, SrcAddr AS addr FROM flows UNION ALL SELECT flow_id, 'Src', 'flow', SrcAddr FROM flows UNION ALL SELECT flow_id, 'Dst', 'flow', DstAddr FROM flows WHERE line<4""")
@@ -476,10 +617,38 @@ def otel_spans(f):
     return out.select("trace", "name", "parent", F.coalesce(F.try_element_at("attributes", F.lit("Addr")), F.try_element_at("attributes", F.lit("SrcAddr"))).alias("addr"))
 
 
-@query("w9_ipfix_columns", f"SELECT SrcAddr AS \"sourceIPv4Address\", Bytes AS \"octetDeltaCount\", Flags::BIGINT AS \"tcpControlBits\", 'eth0' AS \"interfaceName\", concat('eth0,',line::VARCHAR) AS \"interfaceNames\", 0.1::DOUBLE AS \"samplingProbability\" FROM flows")
+@query("w9_ipfix_v6", f"SELECT {_ID}, concat('2001:db8::',line::VARCHAR) AS src, '::' AS nat_src, CASE WHEN line=2 THEN 'fd00::1' ELSE '::' END AS nat_dst, CASE WHEN line=2 THEN 99 END::INT AS nat_port, Proto AS next_header, 0.25::DOUBLE AS probability FROM flows WHERE line%2=0")
+def ipfix_v6(f):
+    line = F.col("line")
+    rows = f.withColumns({
+        "Etype": F.when(line % 2 == 0, sinks.IPV6).otherwise(2048), "SrcAddr": F.concat(F.lit("2001:db8::"), line.cast("string")), "XlatDstAddr": F.when(line == 2, "fd00::1"), "XlatDstPort": F.when(line == 2, 99), "Sampling": F.lit(4),
+        "SrcK8S_Name": F.to_json(F.struct("flow_id", "line", "SrcPort")),
+    })
+    key = F.from_json("sourcePodName", "flow_id long, line int, SrcPort long")
+    return sinks.to_ipfix_columns(rows, v6=True).select(
+        key["flow_id"].alias("flow_id"), key["line"].alias("line"), key["SrcPort"].alias("SrcPort"), F.col("sourceIPv6Address").alias("src"), F.col("postNATSourceIPv6Address").alias("nat_src"), F.col("postNATDestinationIPv6Address").alias("nat_dst"),
+        F.col("postNAPTDestinationTransportPort").alias("nat_port"), F.col("nextHeaderIPv6").alias("next_header"), F.col("samplingProbability").alias("probability"),
+    )
+
+
+@query("s4_agent_records", f"SELECT {_ID}, SrcAddr, DstAddr, 'eth0,eth1' AS itf, CASE WHEN line=1 THEN 'TCP_ESTABLISHED' WHEN line=7 THEN 'TCP_CLOSE_WAIT' ELSE concat('TCP_',['ESTABLISHED','SYN_SENT','SYN_RECV','FIN_WAIT1','FIN_WAIT2','CLOSE'][line]) END AS state, CASE WHEN DstPort%2=0 THEN 'SKB_DROP_REASON_NETFILTER_DROP' ELSE '900' END AS cause, (line*3)::BIGINT AS dns_ms, CASE WHEN line=3 THEN 'NXDomain' ELSE 'NoError' END AS dns_code, (line*1000000)::BIGINT AS rtt FROM flows")
+def agent_records(f):
+    line = F.col("line")
+    rows = f.select(
+        F.struct(net.ip_to_long(F.col("SrcAddr")).alias("src_addr"), net.ip_to_long(F.col("DstAddr")).alias("dst_addr"), F.lit(0).alias("dscp")).alias("network"), F.struct(F.col("SrcPort").alias("src_port"), F.col("DstPort").alias("dst_port"), F.col("Proto").alias("protocol")).alias("transport"),
+        F.struct(F.col("flow_id").alias("src_mac"), F.lit(1).alias("dst_mac")).alias("data_link"), F.lit(2048).alias("eth_protocol"), F.col("flow_id").alias("bytes"), line.alias("packets"),
+        F.array(*[F.struct(F.lit(i).alias("interface"), F.lit(d).alias("direction"), F.lit("").alias("udn")) for i, d in (("eth0", 0), ("eth1", 1))]).alias("dup_list"), F.col("event_time").alias("start"), F.col("event_time").alias("end"),
+        F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), line / 1000).alias("rtt"), F.lit(1).alias("agent_ip"), line.alias("pkt_drop_latest_state"), F.when(F.col("DstPort") % 2 == 0, 8).otherwise(900).alias("pkt_drop_latest_drop_cause"),
+        F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), line * 3 / 1000).alias("dns_latency"), F.when(line == 3, 0x83).otherwise(0x80).alias("dns_flags"),
+    )
+    out = src.flatten_agent_records(rows)
+    return out.select(F.col("Bytes").alias("flow_id"), F.col("Packets").alias("line"), "SrcPort", "SrcAddr", "DstAddr", F.array_join("Interfaces", ",").alias("itf"), F.col("PktDropLatestState").alias("state"), F.col("PktDropLatestDropCause").alias("cause"), F.col("DnsLatencyMs").alias("dns_ms"), F.col("DnsFlagsResponseCode").alias("dns_code"), F.col("TimeFlowRttNs").alias("rtt"))
+
+
+@query("w9_ipfix_columns", f"SELECT SrcAddr AS \"sourceIPv4Address\", '0.0.0.0' AS \"postNATSourceIPv4Address\", Bytes AS \"octetDeltaCount\", Flags::BIGINT AS \"tcpControlBits\", 'eth0' AS \"interfaceName\", concat('eth0,',line::VARCHAR) AS \"interfaceNames\", 0.1::DOUBLE AS \"samplingProbability\" FROM flows")
 def ipfix(f):
     rows = f.withColumn("Flags", net.decode_tcp_flags(F.col("Flags"))).withColumn("Interfaces", F.array(F.lit("eth0"), F.col("line").cast("string"))).withColumn("Sampling", F.lit(10))
-    return sinks.to_ipfix_columns(rows).select("sourceIPv4Address", "octetDeltaCount", "tcpControlBits", "interfaceName", "interfaceNames", "samplingProbability")
+    return sinks.to_ipfix_columns(rows).select("sourceIPv4Address", "postNATSourceIPv4Address", "octetDeltaCount", "tcpControlBits", "interfaceName", "interfaceNames", "samplingProbability")
 
 
 # ---- library and composition
@@ -514,6 +683,18 @@ def l6(f):
     return library.by_subnets(conntrack.connections(f, TRACK), {"SrcAddr": 16}, "count").select(F.col("SrcAddrSubnet").alias("src"), F.col("total_count").alias("n"))
 
 
+@query("l6_connections_per_dst_subnet", _TRACKED + " SELECT concat(regexp_extract(DstAddr,'^\\d+\\.\\d+'),'.0.0/16') AS dst, count(*) AS n FROM e GROUP BY 1", sessions=True)
+def l6_dst(f):
+    return library.by_subnets(conntrack.connections(f, TRACK), {"DstAddr": 16}, "count").select(F.col("DstAddrSubnet").alias("dst"), F.col("total_count").alias("n"))
+
+
+@query("l7_connections_per_as", "SELECT 'src' AS side, (SrcPort%40)::VARCHAR AS asn, count(*) AS n FROM flows GROUP BY 2 UNION ALL SELECT 'dst', (DstPort%40)::VARCHAR, count(*) FROM flows GROUP BY 2")
+def l7_as(f):
+    rows = f.withColumns({"SrcAS": F.col("SrcPort") % 40, "DstAS": F.col("DstPort") % 40})
+    one = lambda c, side: library.counts_by(rows, [c]).select(F.lit(side).alias("side"), F.col(c).alias("asn"), F.col("total_count").alias("n"))
+    return one("SrcAS", "src").unionByName(one("DstAS", "dst"))
+
+
 @query("l7_connections_per_flags", "SELECT Flags::VARCHAR AS flags, count(*) AS n FROM flows WHERE Flags IS NOT NULL GROUP BY 1")
 def l7(f):
     return library.counts_by(f, ["Flags"]).select(F.col("Flags").alias("flags"), F.col("total_count").alias("n"))
@@ -527,10 +708,12 @@ def l8(f):
 _BOUNDS = ",".join([f"('{2**i:g}',{2**i}.0)" if 2**i < 1_000_000 else f"('{float(2**i):g}',{2**i}.0)" for i in range(7, 21)] + ["('+Inf',1e300)"])
 
 
-@query("l9_connection_size_histogram", _TRACKED + f""", bd(le, x) AS (VALUES {_BOUNDS}), v AS (SELECT 'Bytes_AB' AS c, nullif(CASE WHEN fa=lo THEN bl ELSE bh END,0) AS y FROM e UNION ALL SELECT 'Bytes_BA', nullif(CASE WHEN fa=lo THEN bh ELSE bl END,0) FROM e)
+@query("l9_connection_size_histogram", _TRACKED + f""", bd(le, x) AS (VALUES {_BOUNDS}), v AS (SELECT 'Bytes_AB' AS c, nullif(CASE WHEN fa=lo THEN bl ELSE bh END,0) AS y FROM e UNION ALL SELECT 'Bytes_BA', nullif(CASE WHEN fa=lo THEN bh ELSE bl END,0) FROM e UNION ALL SELECT 'Bytes', nullif(bl+bh,0) FROM e)
  SELECT concat('size_',m.c) AS metric, bd.le, count(v.y) FILTER (v.y<=bd.x) AS cumulative_count FROM (SELECT DISTINCT c FROM v) m JOIN bd ON true JOIN v ON v.c=m.c GROUP BY 1,2""", sessions=True)
 def l9(f):
-    return library.size_histogram(conntrack.connections(f, TRACK), ["Bytes_AB", "Bytes_BA"], "size").select("metric", "le", "cumulative_count")
+    total = {"name": "Bytes", "operation": "sum", "input": "Bytes", "split": False}
+    found = conntrack.connections(f, TRACK | {"aggregates": [TRACK["aggregates"][0] | {"name": "Side"}, total]}).withColumnsRenamed({"Side_AB": "Bytes_AB", "Side_BA": "Bytes_BA"})
+    return library.size_histogram(found, ["Bytes_AB", "Bytes_BA", "Bytes"], "size").select("metric", "le", "cumulative_count")
 
 
 @query("l10_flow_size_histogram", f", b(le, x) AS (VALUES {_BOUNDS}) SELECT le, (SELECT count(*) FROM flows WHERE Bytes<=x) AS cumulative_count FROM b")
@@ -555,6 +738,13 @@ def l13(f):
     return library.top_rates(rates, ["SrcAddr"]).withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
 
 
+@query("l13_sum_and_count", """, g AS (SELECT time_bucket(INTERVAL 1 HOUR, event_time) AS w, SrcAddr, sum(Bytes)/3600.0 AS rate FROM flows GROUP BY 1,2)
+ SELECT strftime(w,'%Y-%m-%d %H:%M:%S') AS window_start, round(sum(rate),6)::DOUBLE AS total_rate, count(*) AS n FROM g GROUP BY 1""", sessions=True)
+def l13_totals(f):
+    rates = library.rate(f, ["SrcAddr"], F.col("Bytes"), "event_time", "1 hour", 3600)
+    return library.rate_totals(rates).select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), F.round("total_rate", 6).alias("total_rate"), "n")
+
+
 @query("g1_pipeline", "SELECT 'tcp' AS branch, DstPort::VARCHAR AS aggregate, sum(Bytes)::DOUBLE AS total_value FROM flows WHERE Proto=6 GROUP BY 2 UNION ALL SELECT 'udp', DstPort::VARCHAR, count(*)::DOUBLE FROM flows WHERE Proto=17 GROUP BY 2")
 def g1(f):
     rule = {"by": ["DstPort"], "key": "Bytes"}

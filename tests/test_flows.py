@@ -72,6 +72,44 @@ def test_subnet_label_first_match(spark):
     assert got == {"10.1.2.3": "Pods overlay", "100.1.2.3": "MySite.com", "100.2.3.4": None, "101.1.0.0": "MySite.com", None: None}
 
 
+def test_subnet_label_of_both_families(spark):
+    addresses = ["10.1.1.1", "1.2.3.4", "2001:db8::9", "2001:0DB8:0:0::1", "::1", "::ffff:10.1.1.1", "11.1.1.1", "x", "1::2::3", None]
+    df = spark.createDataFrame([(a, 1, 2) for a in addresses], "ip string, _label int, _number int")
+    labels = [{"name": "v6", "cidrs": ["2001:db8::/32"]}, {"name": "a", "cidrs": ["10.0.0.0/8"]}, {"name": "b", "cidrs": ["10.1.0.0/16", "1.2.0.0/16"]}, {"name": "all", "cidrs": ["::/0"]}]
+    want = ["a", "b", "v6", "v6", "all", "a", None, None, None, None]
+    for few in (200, 0):
+        out = enrich.add_subnet_label(df, "ip", "label", labels, few)
+        assert out.columns == [*df.columns, "label"] and [r["label"] for r in out.collect()] == want
+    plan = enrich.add_subnet_label(df, "ip", "label", labels)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_range_lookup_without_broadcast(spark, monkeypatch):
+    ranges = spark.createDataFrame([(0, 2**32 - 1, "world"), (10 << 24, (11 << 24) - 1, "ten"), ((10 << 24) + 65536, (10 << 24) + 131071, "ten.one")], "ip_from long, ip_to long, place string")
+    df = spark.createDataFrame([("10.1.2.3", 1), ("10.2.2.3", 2), ("9.9.9.9", 3), ("10.1.2.3", 4), ("::1", 5), (None, 6)], "ip string, _row int")
+    for most in (10**6, 1):
+        monkeypatch.setattr(enrich, "fits", lambda d, rows=0, most_bytes=0, most=most: most > 1)
+        out = enrich.range_lookup(df, ranges, "ip", ["place"], F.col("ip_to") - F.col("ip_from"))
+        assert {r["_row"]: r["place"] for r in out.collect()} == {1: "ten.one", 2: "ten", 3: "world", 4: "ten.one", 5: None, 6: None}
+
+
+def test_dimension_size_is_checked_in_bytes(spark):
+    df = spark.createDataFrame([("x" * 500,)] * 3, "a string")
+    assert enrich.fits(df, 3, 10_000) and not enrich.fits(df, 2, 10_000) and not enrich.fits(df, 3, 1000)
+
+
+def test_ipv6_text(spark):
+    import ipaddress
+
+    cases = ["::", "::1", "1::", "2001:0DB8:0:0:0:0:0:1", "::ffff:1.2.3.4", "64:ff9b::1.2.3.4", "1:2:3:4:5:6:7:8", "1:2:3:4:5:6:7", "1::2::3", ":1", "1:", ":::", "12345::", "g::", "1.2.3.4", "999.1.1.1", "host:80", "", "1:2:3:4:5:6:1.2.3.4", "1:2:3:4:5:6:7:1.2.3.4", "1:2:3:4:5:6:7::", "1:2:3:4:5:6:7:8::", "fe80::1%eth0"]
+    for r in spark.createDataFrame([(c,) for c in cases], "ip string").select("ip", net.ip_to_hex(F.col("ip")).alias("h"), net.is_ip(F.col("ip")).alias("i")).collect():
+        try:
+            want = None if "%" in r["ip"] else f"{int(ipaddress.IPv6Address(r['ip'])):032x}"
+        except ValueError:
+            want = None
+        assert r["h"] == want and r["i"] == (want is not None or r["ip"] == "1.2.3.4")
+
+
 def test_services(spark):
     lines = lambda xs: spark.createDataFrame([(x,) for x in xs], "value string").coalesce(1)
     protocols, services = enrich.parse_protocols(lines(["tcp 6 TCP # x", "udp 17 UDP"])), enrich.parse_services(lines(["netbios-dgm 138/tcp", "ms-sql-s 1433/tcp"]))
@@ -194,6 +232,48 @@ def test_conntrack_validation(change):
         conntrack.validate(CONF | change)
 
 
+def test_conntrack_keys_not_hashes(spark, monkeypatch):
+    """Two connections with one hash stay two."""
+    rows = conversation([(0, "AB", 1, False, 0), (1, "AB", 2, False, 0)])
+    rows += [("10.0.0.9", *r[1:]) for r in rows]
+    df = spark.createDataFrame(rows, FLOW)
+    whole = conntrack.keyed
+    monkeypatch.setattr(conntrack, "keyed", lambda df, conf: whole(df, conf).withColumn("_HashId", F.lit("same")))
+    for out in (conntrack.connections(df, CONF), conntrack.track(df, CONF, ("endConnection",))):
+        assert [r["numFlowLogs"] for r in out.collect()] == [2, 2]
+
+
+def test_conntrack_rejects_and_caps(spark):
+    rows = conversation([(0, "AB", 1, False, 0)]) + [(None, *conversation([(0, "AB", 1, False, 0)])[0][1:])]
+    df = spark.createDataFrame(rows, FLOW)
+    assert {r["classification"]: r["n"] for r in conntrack.classify(df, CONF).collect()} == {"rejected": 1, "newConnection": 1}
+    assert conntrack.flow_logs(df, CONF).count() == 1
+    # three at once, two of which are tracked; the third is tracked once the first has ended
+    flow = lambda host, t, i: (f"10.0.0.{host}", 1, "20.0.0.1", 443, 6, 1, 1, False, 0, at(t), i)
+    rows = [flow(1, 0, 0), flow(2, 1, 1), flow(3, 2, 2), flow(2, 10, 3), flow(3, 11, 4), flow(3, 45, 5), flow(2, 46, 6)]
+    out = conntrack.track(spark.createDataFrame(rows, FLOW), CONF | {"max_tracked": 2, "buckets": 1}).collect()
+    got = sorted((r["time"] - T0.timestamp(), r["_RecordType"], r["SrcAddr"][-1], r["numFlowLogs"]) for r in out)
+    assert got == [(0, "newConnection", "1", 1), (1, "newConnection", "2", 1), (30, "endConnection", "1", 1), (40, "endConnection", "2", 2), (45, "newConnection", "3", 1), (46, "newConnection", "2", 1), (75, "endConnection", "3", 1), (76, "endConnection", "2", 1)]
+    shown = ["SrcAddr", "_RecordType", "_IsFirst", "Bytes_AB", "numFlowLogs", "time"]
+    free = CONF | {"detect_end": True, "groups": [{"selector": {}, "end_timeout": 9, "terminating_timeout": 5, "heartbeat": 4}]}
+    every = spark.createDataFrame([flow(i % 5, 3 * i, i)[:8] + (i % 4 == 0, at(3 * i), i) for i in range(60)], FLOW.replace("Flags int", "Flags boolean")).withColumn("Flags", F.col("Flags").cast("int"))
+    a, b = (sorted(map(tuple, conntrack.track(every, c).select(*shown).collect())) for c in (free, free | {"max_tracked": 100, "buckets": 3}))
+    assert a == b
+    reasons = {r["reason"]: r["n"] for r in conntrack.end_reasons(conntrack.track(every, free), free).collect()}
+    assert reasons["FIN_flag"] + reasons.get("timeout", 0) == sum(r[1] == "endConnection" for r in a)
+
+
+def test_new_connections_equal_the_walk(spark):
+    rows = conversation([(0, "AB", 111, False, 256), (31, "BA", 5, False, 0), (30, "BA", 7, False, 0), (100, "BA", None, False, 0), (200, "AB", 9, True, 0)])
+    df = spark.createDataFrame(rows, FLOW)
+    aggregates = [*CONF["aggregates"], {"name": "low", "operation": "min", "input": "Bytes", "split": True}, {"name": "first", "operation": "first", "input": "Packets"}]
+    for swap in (False, True):
+        conf = CONF | {"swap_ab": swap, "aggregates": aggregates}
+        shown = ["SrcAddr", "DstAddr", "Bytes_AB", "Bytes_BA", "numFlowLogs", "low_AB", "low_BA", "first", "_IsFirst"]
+        a, b = (sorted(map(repr, x.select(*[F.col(c).cast("string") for c in shown]).collect())) for x in (conntrack.new_connections(df, conf).withColumn("first", F.col("first").cast("double")), conntrack.track(df, conf, ("newConnection",))))
+        assert a == b
+
+
 def test_label_lines_and_lines(spark):
     df = spark.createDataFrame([(123456, "fooLabel", "barLabel", "x", 1234, None)], "ts long, foo string, bar string, ignored string, value int, other string")
     r = sinks.to_label_lines(df, ["foo", "bar", "missing"], "ts", static={"static": "label"}, ignore=["ignored"]).first()
@@ -204,6 +284,38 @@ def test_label_lines_and_lines(spark):
     assert stamps == [123456789.0, 123456.789]
 
 
+def test_kafka_options(monkeypatch):
+    """The reader's options; the connector itself is not on the class path here."""
+    seen: dict = {}
+
+    class Reader:
+        def format(self, kind):
+            seen["format"] = kind
+            return self
+
+        def option(self, k, v):
+            seen[k] = v
+            return self
+
+        def load(self):
+            raise StopIteration
+
+    class Session:
+        readStream = Reader()  # noqa: N815
+
+    with pytest.raises(StopIteration):
+        src.read_flows_kafka(Session(), "host:9092", "flows", "a int", start="latest", group="g", most=500, options={"kafka.security.protocol": "SSL"})
+    assert seen == {"format": "kafka", "kafka.bootstrap.servers": "host:9092", "subscribe": "flows", "startingOffsets": "latest", "groupIdPrefix": "g", "maxOffsetsPerTrigger": 500, "kafka.security.protocol": "SSL"}
+
+
+def test_sinks_without_a_service(spark):
+    df = spark.createDataFrame([(1, "x", None)], "a int, b string, c int")
+    assert [r["value"] for r in sinks.to_kafka_rows(df).collect()] == ['{"a":1,"b":"x"}']
+    sinks.sink_none(df)
+    with pytest.raises(ValueError):
+        metrics.otel_metrics(df, [{"name": "x", "type": "agg_histogram", "value_key": "a"}])
+
+
 def test_json_sources(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"Bytes": 1}\nnot json\n{"Bytes": 3}\n')
     assert sorted(r["Bytes"] for r in src.read_flows_json(spark, str(tmp_path), "Bytes long").collect()) == [1, 3]
