@@ -2,24 +2,60 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.functions.storage import shared_dir, staged  # noqa: F401  the operators import them from here
+from flowloom.functions.storage import discard, scratch, shared_dir, staged  # noqa: F401  the operators import them from here
 
 #: Rows that one range bucket holds on average.
 ROWS_PER_BUCKET = 1500
 
 
+#: What clears the caches that a Python worker keeps from task to task, by the module that fills them.
+CACHES: dict[str, Callable[[], None]] = {}
+
+
+def release(owner: str | None = None) -> None:
+    """Called in a task before it starts on its rows: Spark reuses Python workers, so caches of other operators than
+    ``owner`` go, and memory that was freed since goes back to the system, for the executor counts it."""
+    for name, clear in CACHES.items():
+        if name != owner:
+            clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
+#: Bytes of an Arrow batch between Spark and its Python workers, in either direction.
+BATCH_BYTES = 4_000_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Cut Arrow batches by bytes, where the session's configuration does not say how: ten thousand documents, Spark's
+    measure, can be any size, and each batch is held several times over."""
+    for key in ("spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.execution.arrow.maxBytesPerOutputBatch"):
+        if not spark.sparkContext.getConf().contains(key):
+            spark.conf.set(key, str(BATCH_BYTES))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """name, with underscores in front until no column of df has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the Parquet tables below sf_dir."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def null_safe_text(col: str | Column = "text") -> Column:
-    return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
-
-
 def range_splits(df: DataFrame, key: str, rows_per_bucket: int = ROWS_PER_BUCKET, most: int = 10_000) -> list[int]:
     """Ascending upper bounds that cut the integer key into buckets of about rows_per_bucket rows.
 
@@ -48,15 +84,16 @@ def bucket_of(key: Column, splits: list[int]) -> Column:
     return (coarse * F.lit(width) + fine).cast("int")
 
 
-def fine_buckets(df: DataFrame, key: str, rows_per_bucket: int, most: int = 10_000) -> tuple[Column, Column]:
+def fine_buckets(df: DataFrame, key: str, rows_per_bucket: int, most: int = 10_000, last: list[int] | None = None) -> tuple[Column, Column]:
     """(coarse, fine): range buckets of the integer key, both in its order; each coarse one is cut into equal
-    widths of the key where ``most`` of them cannot hold rows_per_bucket rows each. NULL keys have the buckets -1.
-    Only coarse bounds reach the driver."""
+    widths of the key where ``most`` of them cannot hold rows_per_bucket rows each. NULL keys have the buckets -1;
+    keys in ``last`` are the greatest of their buckets. Only coarse bounds reach the driver."""
     seen = df.select(F.count(key).alias("n"), F.min(key).alias("low"), F.max(key).alias("high")).first()
-    splits = range_splits(df, key, rows_per_bucket, most)
+    found = range_splits(df, key, rows_per_bucket, most)
+    splits = sorted({*found, *(last or [])})
     none = F.col(key).isNull()
     coarse = F.when(none, F.lit(-1)).otherwise(bucket_of(F.col(key), splits))
-    parts = -(-seen["n"] // (rows_per_bucket * (len(splits) + 1)))
+    parts = -(-seen["n"] // (rows_per_bucket * (len(found) + 1)))
     if parts <= 1:
         return coarse, coarse.cast("long")
     exact = lambda x: x.cast("decimal(20,0)")  # noqa: E731  widths and bounds may be beyond long
