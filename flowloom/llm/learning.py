@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,18 +30,36 @@ def matrix(column: pa.Array, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 
 
+#: Numbers in one block of a partition's sums, and lanes that the partitions' blocks are added in first.
+BLOCK, LANES = 512, 32
+
+
 def summed(df: DataFrame, width: int, length: int, part) -> np.ndarray:
-    """The sum over df's partitions of part(x, y): each partition sends one row of ``length`` numbers."""
+    """The sum over df's partitions of part(x, y): a tree of blocks.
+
+    Each partition sends its sums as blocks of ``BLOCK`` numbers to one of ``LANES`` lanes; a task adds the blocks of
+    its lanes, and the driver adds at most LANES vectors of ``length`` numbers.
+    """
 
     def work(batches):
         total = np.zeros(length)
         for b in batches:
             if len(b):
                 total += part(matrix(b["x"], width), b["label"].to_numpy().astype(float))
-        yield pa.RecordBatch.from_pydict({"i": pa.array(np.arange(length)), "v": pa.array(total)})
+        if total.any():
+            data = [total[i : i + BLOCK].tobytes() for i in range(0, length, BLOCK)]
+            yield pa.RecordBatch.from_pydict({"lane": pa.array([TaskContext.get().partitionId() % LANES] * len(data), pa.int32()), "block": pa.array(range(len(data)), pa.int32()), "data": pa.array(data, pa.binary())})
+
+    def add(batches):
+        total: dict[int, np.ndarray] = {}
+        for b in batches:
+            for block, data in zip(b["block"].to_pylist(), b["data"].to_pylist()):
+                total[block] = total.get(block, 0.0) + np.frombuffer(data)
+        if total:
+            yield pa.RecordBatch.from_pydict({"block": pa.array(list(total), pa.int32()), "data": pa.array([v.tobytes() for v in total.values()], pa.binary())})
 
-    rows = df.select("x", "label").mapInArrow(work, "i long, v double").groupBy("i").agg(F.sum("v").alias("v")).collect()
+    parts = df.select("x", "label").mapInArrow(work, "lane int, block int, data binary").repartition("lane")
     out = np.zeros(length)
-    for r in rows:
-        out[r["i"]] = r["v"]
+    for r in parts.select("block", "data").mapInArrow(add, "block int, data binary").collect():
+        out[r["block"] * BLOCK :][:BLOCK] += np.frombuffer(r["data"])
     return out

@@ -7,9 +7,14 @@ terms are found too; longer terms allow more errors. The window of words around
 (quotation marks, verbs of saying, talk about words) from abuse (second person). Counts of these kinds of
 hits feed a logistic model, fitted by Newton steps whose sums every partition forms for itself.
 
-Edge cases: NULL and empty texts have no hits and get the score of a clean text; a label is taken only
-where it is not NULL (several for one id: the largest); without labelled rows fixed weights hold;
-repeated rows each get their score; an empty table gives an empty result.
+A text is cut to tokens at white space. A token is looked up whole (without marks around it) and, where marks
+stand inside it, in its runs of letters and digits too; the nearest term counts, at a tie the first by name. Texts
+without spaces between words are one token, whose beginning alone is compared with stems.
+
+Edge cases: NULL and empty texts have no hits and get the score of a clean text; a label is taken only where it is
+not NULL (several for one id: the largest); labels of held-out rows are never looked at; without labelled rows
+fixed weights hold; texts and words of any length are read whole; repeated rows each get their score; an empty
+table gives an empty result. Other columns of docs and labels are not read and may have any name.
 """
 
 from __future__ import annotations
@@ -23,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowloom.llm.common import staged, table
+from flowloom.llm.common import release, small_batches, staged, table
 from flowloom.llm.learning import bounded, crc_mod, matrix, summed, unique_labels
 
 #: Labelled rows from which new lexicon terms are learned, at most.
@@ -34,7 +39,7 @@ LEAST_ROWS, TERM_SHARE, WORD_SHARE, TERM_PURITY, TERM_GAIN = 6, 0.01, 0.08, 0.5,
 STEMS, STEM_WORDS = (4, 5, 6, 7), 4
 #: A term's weight from which it counts as strong; the weight of the terms above.
 STRONG, GIVEN = 2.0, 4.0
-WINDOW, KINDS, CACHE_WORDS = 6, 8, 400_000
+WINDOW, KINDS, CACHE_WORDS = 6, 8, 200_000
 #: The terms that hold without any labels.
 TERMS = ("idiot", "moron", "stupid", "loser", "worthless", "pathetic", "disgusting", "scum", "trash", "clown")
 #: Words that mark a report or talk about a word, and the second person, in four languages.
@@ -44,6 +49,7 @@ MARKS = "\"'“”„«»‘’"
 #: Fixed value: the weights without labels (intercept first).
 PLAIN_WEIGHTS = (-4.0, 4.0, 2.5, -0.5, 1.0, 1.0, 0.5, 1.0, 0.5)
 _STRIP = re.compile(r"^[\W_]+|[\W_]+$")
+_RUNS = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
 _WORD = re.compile(r"[^\W\d_]{3,}")
 
 
@@ -64,8 +70,8 @@ class Lexicon:
             for c in t.removesuffix("*"):
                 node = node.setdefault(c, {})
             node[""] = t
-        stems = any(t.endswith("*") for t in terms)
-        self.longest = 64 if stems else max(map(len, terms), default=0) + self.most
+        self.longest = max(map(len, terms), default=0) + self.most  # a longer word can only begin with a stem
+        self.stems = sorted({len(t) - 1 for t in terms if t.endswith("*")})
         # a word within e errors of a term holds one of the term's e+1 parts
         parts = {t[len(t) * i // (k + 1) : len(t) * (i + 1) // (k + 1)] for x in terms for k, t in [(errors_for(x), x.removesuffix("*"))] for i in range(k + 1)}
         self.part = re.compile("|".join(map(re.escape, sorted(parts)))) if parts else re.compile("(?!)")
@@ -96,21 +102,32 @@ class Lexicon:
                     todo.append((child, new))
         return best
 
+    def nearest(self, word: str) -> tuple[str, int] | None:
+        """walk for a word of any length that holds a part of a term."""
+        if not word or not self.part.search(word):
+            return None
+        if len(word) <= self.longest:
+            return self.walk(word)
+        return next(((s, 0) for s in (word[:n] + "*" for n in self.stems) if s in self.weights), None)
+
+    def of_token(self, token: str) -> tuple[str, int] | None:
+        core = _STRIP.sub("", token)
+        runs = [] if core.isalnum() else [r for r in _RUNS.findall(core) if r != core]
+        return min(filter(None, map(self.nearest, [core, *runs])), key=lambda h: (h[1], h[0]), default=None)
+
     def look(self, words: list[str]) -> dict[str, tuple[str, int]]:
         """The words that hit, with their terms."""
         distinct = set(words)
         for w in distinct.difference(self.clean).difference(self.hits):
-            core = _STRIP.sub("", w)
-            hit = self.walk(core) if core and len(core) <= self.longest and self.part.search(core) else None
+            hit = self.of_token(w)
             if hit:
                 self.hits[w] = hit
             else:
                 self.clean.add(w)
         found = {w: self.hits[w] for w in distinct.intersection(self.hits)}
-        if len(self.clean) > CACHE_WORDS:
-            self.clean.clear()
-        if len(self.hits) > CACHE_WORDS:
-            self.hits.clear()
+        for kept in (self.clean, self.hits):
+            if len(kept) > CACHE_WORDS:
+                kept.clear()
         return found
 
 
@@ -233,15 +250,17 @@ def classify(docs: DataFrame, labels: DataFrame, label: str = "toxic", held_out:
 
     With ``keep`` the whole row comes along as struct ``row``, so that no join has to fetch it again.
     """
+    small_batches(docs.sparkSession)
     held = F.lit(False) if held_out is None else held_out
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    known = unique_labels(labels, label)
+    known = unique_labels(labels, label).filter(~held)  # held-out labels have no part in anything below
     some = bounded(known.filter("label = 1"), LEXICON_ROWS).unionByName(bounded(known.filter("label = 0"), LEXICON_ROWS))  # bounded: can be broadcast
-    terms = learn_terms(texts.filter(~held).join(F.broadcast(some), "doc_id")) | dict.fromkeys(terms, GIVEN)
+    terms = learn_terms(texts.join(F.broadcast(some), "doc_id")) | dict.fromkeys(terms, GIVEN)
 
     place = docs.columns.index(text_col)
 
     def work(batches):
+        release()
         lexicon = Lexicon(terms)
         for b in batches:
             got = [features(t.as_py(), lexicon) for t in (b["row"].field(place) if keep else b["text"])]
@@ -257,7 +276,7 @@ def classify(docs: DataFrame, labels: DataFrame, label: str = "toxic", held_out:
         x = staged(whole.mapInArrow(work, schema.add(whole.schema["row"])), "toxicity")
     else:
         x = staged(texts.mapInArrow(work, schema), "toxicity")
-    w = fit(x.filter(~held).join(known, "doc_id").select("x", "label"))
+    w = fit(x.join(known, "doc_id").select("x", "label"))
     z = F.lit(float(w[0]))
     for i in range(KINDS):
         z = z + F.col("x")[i] * float(w[i + 1])
