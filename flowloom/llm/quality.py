@@ -6,21 +6,23 @@ Every partition sums its own normal equations (X'X, X'y), whose size depends on
 alone; the sums are added and solved for ridge weights. Training scores are then summed in bins, and
 pool-adjacent-violators over the bins gives the isotonic map from score to probability.
 
-Edge cases: NULL and empty texts have all-zero statistics and get a score like others; a label is taken
-only where it is not NULL (several for one id: the largest); without training rows every score is 0.5;
-repeated rows each get their score; an empty table gives an empty result.
+Edge cases: NULL and empty texts have all-zero statistics and get a score like others; texts of any length are
+read whole; a label is taken only where it is not NULL (several for one id: the largest); without training rows
+every score is 0.5; rows with equal statistics get equal scores, so repeated rows and ties do; an empty table gives
+an empty result. Other columns of docs and labels are not read and may have any name.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.llm.common import staged, table
+from flowloom.llm.common import release, small_batches, staged, table
 from flowloom.llm.learning import crc_mod, matrix, summed, unique_labels
 
 FEATURES, WIDTH, RIDGE, BINS, SEED = 256, 4.0, 1.0, 400, 11
@@ -51,9 +53,10 @@ def statistics(text: str | None) -> np.ndarray:
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     lines = [x for x in data.split(b"\n") if x.strip()]
     same = sum(map(bytes.__eq__, words, words[1:]))
-    distinct, whole = len(set(words)), len(words)
+    counts = Counter(words)
+    distinct, whole = len(counts), len(words)
     other = 1 - letters - share(_DIGIT) - share(_SPACE) - share(_END) - share(_COMMA)
-    top = max(map(words.count, words[:: max(1, whole // 8)][:8])) / whole
+    top = max(counts.values()) / whole
     return np.array([
         np.log1p(n), np.log1p(whole), lengths.mean(), lengths.std(), letters, upper / max(letters, 1e-9), share(_DIGIT), share(_SPACE), share(_END), share(_COMMA),
         other, -(p * np.log2(p)).sum(), distinct / whole, distinct / whole**0.5, same / whole, len(set(lines)) / len(lines), np.log1p(whole / len(lines)), top,
@@ -65,6 +68,7 @@ def document_statistics(df: DataFrame, id_col: str = "doc_id", text_col: str = "
     """(doc_id, x array<double>), one row for each row of df."""
 
     def work(batches):
+        release()
         for b in batches:
             x = [statistics(t.as_py()) for t in b["text"]]
             flat = pa.array(np.concatenate(x) if x else np.empty(0))
@@ -145,6 +149,7 @@ def fit(train: DataFrame, width: int = STATISTICS, features: int = FEATURES, rid
 
 def classify(docs: DataFrame, labels: DataFrame, label: str = "quality", held_out=None, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, score, predicted) for each row of docs; rows that held_out (a Column over doc_id) marks teach nothing."""
+    small_batches(docs.sparkSession)
     held = F.lit(False) if held_out is None else held_out
     x = staged(document_statistics(docs, id_col, text_col), "statistics")
     model = fit(x.filter(~held).join(unique_labels(labels, label, "doc_id"), "doc_id").select("x", "label"))
