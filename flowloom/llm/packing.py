@@ -7,8 +7,9 @@ own. At the end a partition joins what its open windows hold; all partitions' jo
 laid end to end and cut every ``length`` ids, and the one remaining tail is cut at powers of two, so
 that no sequence needs padding unless the caller asks for a fixed length.
 
-Edge cases: NULL or empty text is the end id alone; NULL and repeated doc_ids are packed like any
-other row; an empty table gives no piece. Other columns are not read.
+Edge cases: NULL or empty text is the end id alone; a text of any length is cut into windows of its own and a rest;
+of equally full windows the one opened first is taken; NULL and repeated doc_ids are packed like any other row; an
+empty table gives no piece. Other columns are not read and may have any name.
 """
 
 from __future__ import annotations
@@ -19,13 +20,15 @@ import zlib
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from flowloom.llm.common import staged, table
+from flowloom.llm.common import small_batches, staged, table
 from flowloom.llm.token_files import batches_of, encoder, tokenizer_path
 
 LENGTH, OPEN_WINDOWS, END_ID = 2048, 32, 1
+#: Partitions in a lane, and partitions up to which their leftovers' places (two numbers each) are broadcast.
+LANE, BASES = 1000, 1_000_000
 PIECE = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids_crc32 long, ids binary"
 
 
@@ -86,10 +89,11 @@ def _rows(pieces: list[tuple], with_ids: bool) -> pa.RecordBatch:
 def pack(df: DataFrame, length: int = LENGTH, open_windows: int = OPEN_WINDOWS, end_id: int = END_ID, path: str | None = None, with_ids: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a piece: doc_id, start, length, doc_tokens, sequence_id, offset, ids_crc32, ids (uint32 LE; NULL without with_ids)."""
     path, spark = path or tokenizer_path(), df.sparkSession
+    small_batches(spark)
 
     def work(batches):
         enc, part = encoder(path), TaskContext.get().partitionId()
-        w, sequence, end = Windows(length, open_windows), part << 32, np.array([end_id], encoder(path).dtype)
+        w, sequence, end = Windows(length, open_windows), part << 32, np.array([end_id], enc.dtype)
 
         def emitted():
             nonlocal sequence
@@ -119,11 +123,16 @@ def pack(df: DataFrame, length: int = LENGTH, open_windows: int = OPEN_WINDOWS,
     texts = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     packed = staged(texts.mapInArrow(work, PIECE), "packed")
     rest = packed.filter("sequence_id < 0")
-    sizes = sorted((r["sequence_id"], r["n"]) for r in rest.groupBy("sequence_id").agg(F.sum("length").alias("n")).collect())  # one row a partition
-    bases, total = {}, 0
-    for s, n in sizes:
-        bases[s] = total
-        total += n
+    # where each partition's leftovers begin: sums over lanes of LANE partitions reach the driver, the rest is a window in each lane
+    sizes = rest.withColumn("lane", F.expr(f"(-1 - sequence_id) div {LANE}")).groupBy("lane", "sequence_id").agg(F.sum("length").alias("n"))
+    sizes, lanes, total = staged(sizes, "leftovers"), [], 0
+    for r in sorted(sizes.groupBy("lane").agg(F.sum("n").alias("n")).collect(), key=lambda r: r["lane"]):
+        lanes.append((r["lane"], total))
+        total += r["n"]
+    earlier = Window.partitionBy("lane").orderBy(F.desc("sequence_id")).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("n").over(earlier), F.lit(0))
+    bases = sizes.withColumn("before", before).join(F.broadcast(spark.createDataFrame(lanes, "lane long, first long")), "lane").select("sequence_id", (F.col("first") + F.col("before")).alias("base"))
+    rest = rest.join(F.broadcast(bases) if len(lanes) * LANE <= BASES else bases, "sequence_id")
     whole, first = total // length * length, (1 << 62)
     cuts = [whole]
     while cuts[-1] < total:  # the tail, by powers of two
@@ -132,8 +141,8 @@ def pack(df: DataFrame, length: int = LENGTH, open_windows: int = OPEN_WINDOWS,
     def cut(batches):
         for b in batches:
             out = []
-            for doc, start, doc_tokens, s, offset, data in zip(*[b[c].to_pylist() for c in ("doc_id", "start", "doc_tokens", "sequence_id", "offset", "ids")]):
-                ids, at = np.frombuffer(data, "<u4"), bases[s] + offset
+            for doc, start, doc_tokens, base, offset, data in zip(*[b[c].to_pylist() for c in ("doc_id", "start", "doc_tokens", "base", "offset", "ids")]):
+                ids, at = np.frombuffer(data, "<u4"), base + offset
                 while len(ids):
                     if at < whole:
                         number, inside, room = at // length, at % length, length - at % length

@@ -1,15 +1,17 @@
 """Byte-level tokenization shared by packing and token files, and the Elias-Fano token-file format.
 
-A token file holds one shard: the ids of its documents, concatenated, with the documents' boundaries as
-an Elias-Fano sequence. Layout, all little-endian:
-
-    magic 8s | docs u64 | ids u64 | bytes per id u8 | low bits u8 | pad 6x
-    doc ids: docs x i64 | low parts: ceil(docs*low/8) bytes | upper part length u64 | upper bits
-    select samples: every 256th set bit's place, u64 each | ids
-
-The boundary after document i is the i-th number of the sequence. Its low bits lie side by side; its
-upper part is a unary bit vector in which the i-th set bit stands at upper+i, so ``select`` (a sampled
-place, then a popcount walk over bytes) returns any offset without a table of 64-bit offsets.
+A token file holds one shard: the ids of its documents, concatenated, with the documents' boundaries and
+their doc_ids as two Elias-Fano sequences. Layout, all little-endian:
+
+    magic 8s | docs u64 | ids u64 | first doc_id i64 | bytes per id u8 | low bits u8, of boundaries and of doc_ids | pad 5x
+    for boundaries, then doc_ids: low parts: ceil(docs*low/8) bytes | upper part length u64 | upper bits |
+        select samples: every 256th set bit's place, u64 each
+    ids
+
+The boundary after document i is the i-th number of its sequence, and document i's doc_id less the first one is
+that of the other. A number's low bits lie side by side; its upper part is a unary bit vector in which the i-th set
+bit stands at upper+i, so ``select`` (a sampled place, then a popcount walk over bytes) returns any of them without a
+table of 64-bit numbers.
 """
 
 from __future__ import annotations
@@ -25,12 +27,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from flowloom.llm.common import bucket_of, fine_buckets, staged, table
+from flowloom.llm.common import CACHES, bucket_of, fine_buckets, release, small_batches, staged, table
 
-MAGIC = b"FLTOKEN1"
+MAGIC, HEAD = b"FLTOKEN2", "<8sQQqBBB5x"
 SAMPLE = 256
-#: Entries that a worker's cache of encoded words may hold.
-CACHE_ENTRIES = 1_000_000
+#: Entries that a worker's cache of encoded words may hold, and their letters.
+CACHE_ENTRIES, CACHE_LETTERS = 600_000, 12_000_000
 #: Rows of one token file on average.
 ROWS_PER_FILE = 1500
 #: Ranges at most that the rows of frequent ids are sorted in; each range's rows may fill many files.
@@ -56,7 +58,8 @@ class Encoder:
     A byte-level tokenizer's pieces never cross a space that a non-space follows, a single line end
     between two non-spaces, or the place between a Latin letter and a comma or full stop. So a text is
     cut there and each distinct word is encoded once per worker. The cache is emptied when it is full,
-    so memory is bounded whatever the vocabulary.
+    so memory is bounded whatever the vocabulary. Texts that hold one of the vocabulary's added tokens are
+    encoded whole, as the library does it (an added token's text gives its one id).
     """
 
     def __init__(self, path: str):
@@ -64,10 +67,12 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True  # a special token's text inside a document is ordinary text
+        added = sorted(t.content for t in self.tok.get_added_tokens_decoder().values())
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.dtype = np.dtype("<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"  # native order is little-endian on all hosts that Spark runs on here
         self.cache: dict[str, bytes] = {}
+        self.letters = 0
         self.marks = {m: self._ids([m])[0] for m in ",."}
         starts = [i for t, i in self.tok.get_vocab().items() if t.startswith("\u0120")]  # pieces that begin with a space
         self.begins = np.zeros(self.tok.get_vocab_size(), bool)
@@ -88,9 +93,10 @@ class Encoder:
     def _fill(self, words: set[str]) -> None:
         cache = self.cache
         missing = words.difference(cache)
-        if len(cache) + 2 * len(missing) > CACHE_ENTRIES:
+        if len(cache) + 2 * len(missing) > CACHE_ENTRIES or self.letters > CACHE_LETTERS:
             cache.clear()
-            missing = words
+            missing, self.letters = words, 0
+        self.letters += sum(map(len, missing))
         marked = [w for w in missing if w[-1:] in self.marks and _LATIN.match(w[-2:-1])]
         plain = missing.difference(marked).union([w[:-1] for w in marked]).difference(cache)
         bare = [w for w in plain if w[0] in "\r\n"]
@@ -103,6 +109,10 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """A word's key is the word where a space precedes it, "\\n" and the word at a line's beginning, "\\r" and the word at the text's."""
+        whole = {i: self._ids([t])[0] for i, t in enumerate(texts) if self.added and self.added.search(t)}
+        if whole:
+            rest = iter(self.encode([t for i, t in enumerate(texts) if i not in whole]))
+            return [whole[i] if i in whole else next(rest) for i in range(len(texts))]
         cut = []
         for t in texts:
             if " ".join(t.split()) == t.replace("\n", " "):  # single spaces and line ends alone
@@ -117,7 +127,9 @@ class Encoder:
 
 
 def encoder(path: str) -> Encoder:
-    """This worker's encoder for a vocabulary file."""
+    """This worker's encoder for a vocabulary file; other operators' tasks drop it."""
+    release("token_files")
+    CACHES["token_files"] = _encoders.clear
     if path not in _encoders:
         _encoders[path] = Encoder(path)
     return _encoders[path]
@@ -149,33 +161,30 @@ def elias_fano(bounds: np.ndarray, total: int) -> tuple[int, bytes, bytes, bytes
 
 
 def write_shard(doc_ids: np.ndarray, docs: list[bytes], dtype: np.dtype) -> bytes:
-    """One token file."""
+    """One token file; doc_ids ascend."""
     sizes = np.array([len(d) // dtype.itemsize for d in docs], np.int64)
     bounds = np.cumsum(sizes)
-    total = int(bounds[-1]) if len(bounds) else 0
-    low, lows, upper, samples = elias_fano(bounds, total)
-    head = struct.pack("<8sQQBB6x", MAGIC, len(docs), total, dtype.itemsize, low)
-    return b"".join([head, doc_ids.astype("<i8").tobytes(), lows, struct.pack("<Q", len(upper)), upper, samples, *docs])
-
-
-class Shard:
-    """A token file opened for reading."""
-
-    def __init__(self, data: bytes):
-        magic, self.n, self.total, width, self.low = struct.unpack_from("<8sQQBB6x", data)
-        if magic != MAGIC:
-            raise ValueError("not a token file")
-        at = struct.calcsize("<8sQQBB6x")
-        self.doc_ids = np.frombuffer(data, "<i8", self.n, at)
-        at += 8 * self.n
-        self.lows = np.unpackbits(np.frombuffer(data, np.uint8, (self.n * self.low + 7) // 8, at), bitorder="little")
-        at += (self.n * self.low + 7) // 8
+    total, n = int(bounds[-1]) if len(bounds) else 0, len(docs)
+    first = int(doc_ids[0]) if n else 0
+    steps = doc_ids.astype(np.int64).view(np.uint64) - np.uint64(first % (1 << 64))  # also where the span is beyond int64
+    low, *parts = elias_fano(bounds, total)
+    low_ids, *id_parts = elias_fano(steps, int(steps[-1]) if n else 0)
+    head = struct.pack(HEAD, MAGIC, n, total, first, dtype.itemsize, low, low_ids)
+    packed = [x for lows, upper, samples in (parts, id_parts) for x in (lows, struct.pack("<Q", len(upper)), upper, samples)]
+    return b"".join([head, *packed, *docs])
+
+
+class Sequence:
+    """An Elias-Fano sequence of n numbers in a file, from byte ``at`` to ``end``."""
+
+    def __init__(self, data: bytes, at: int, n: int, low: int):
+        self.n, self.low = n, low
+        self.lows = np.unpackbits(np.frombuffer(data, np.uint8, (n * low + 7) // 8, at), bitorder="little")
+        at += (n * low + 7) // 8
         (size,) = struct.unpack_from("<Q", data, at)
         self.upper = np.frombuffer(data, np.uint8, size, at + 8)
-        at += 8 + size
-        self.samples = np.frombuffer(data, "<u8", -(-self.n // SAMPLE), at)
-        at += 8 * len(self.samples)
-        self.ids = np.frombuffer(data, f"<u{width}", self.total, at)
+        self.samples = np.frombuffer(data, "<u8", -(-n // SAMPLE), at + 8 + size)
+        self.end = at + 8 + size + 8 * len(self.samples)
 
     def select(self, i: int) -> int:
         """The place of the i-th set bit of the upper part."""
@@ -198,15 +207,29 @@ class Shard:
             bits >>= 1
             base += 1
 
-    def bound(self, i: int) -> int:
-        """Ids up to the end of document i."""
+    def __getitem__(self, i: int) -> int:
         low = self.lows[i * self.low : (i + 1) * self.low]
         return (self.select(i) - i << self.low) + sum(int(b) << k for k, b in enumerate(low))
 
+
+class Shard:
+    """A token file opened for reading."""
+
+    def __init__(self, data: bytes):
+        magic, self.n, self.total, self.first, width, low, low_ids = struct.unpack_from(HEAD, data)
+        if magic != MAGIC:
+            raise ValueError("not a token file")
+        self.bounds = Sequence(data, struct.calcsize(HEAD), self.n, low)
+        self.steps = Sequence(data, self.bounds.end, self.n, low_ids)
+        self.ids = np.frombuffer(data, f"<u{width}", self.total, self.steps.end)
+
+    def doc_id(self, i: int) -> int:
+        return self.first + self.steps[i]
+
     def document(self, i: int) -> tuple[int, np.ndarray]:
         """(start, ids) of the i-th document."""
-        start = self.bound(i - 1) if i else 0
-        return start, self.ids[start : self.bound(i)]
+        start = self.bounds[i - 1] if i else 0
+        return start, self.ids[start : self.bounds[i]]
 
 
 #: A file's place: coarse and fine range of ids, then segments between and at the frequent ids of a range, then pieces of such an id.
@@ -244,6 +267,7 @@ def write_token_files(df: DataFrame, path: str | None = None, end_id: int = 0, i
     doc_ids follow each other, ordered by text, and fill several files where one has more rows than a file.
     An empty table gives no file. Other columns are not read.
     """
+    small_batches(df.sparkSession)
     path = path or tokenizer_path()
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     dealt = _dealt(docs, rows_per_file, coarse)
@@ -289,7 +313,7 @@ def read_token_files(files: DataFrame) -> DataFrame:
                 s = Shard(data.as_py())
                 out = [(start, ids) for start, ids in map(s.document, range(s.n))]
                 yield pa.RecordBatch.from_pydict({
-                    "doc_id": pa.array(s.doc_ids), "start": pa.array([base + x for x, _ in out], pa.int64()),
+                    "doc_id": pa.array([s.doc_id(i) for i in range(s.n)], pa.int64()), "start": pa.array([base + x for x, _ in out], pa.int64()),
                     "n_tokens": pa.array([len(i) for _, i in out], pa.int64()),
                     "ids_crc32": pa.array([zlib.crc32(i.astype("<u4").tobytes()) for _, i in out], pa.int64()),
                 })

@@ -7,14 +7,13 @@ from flowloom.llm import packing
 from flowloom.llm.token_files import Shard, encoder, read_token_files, tokenizer_path, write_shard, write_token_files
 
 SCHEMA = "doc_id long, text string, shard int, n_ids string"
-ROWS = [(i, t, 7, "x") for i, t in enumerate(["", "a", None, "Hello  world \n\n x", " lead", "tail ", "word " * 900, "é ü\t\tz", "a", "<|endoftext|> b"] + [f"doc {i} text, with words." * (i % 40) for i in range(60)])]
+ROWS = [(i, t, 7, "x") for i, t in enumerate(["", "a", None, "Hello  world \n\n x", " lead", "tail ", "word " * 900, "é ü\t\tz", "a", "<|endoftext|> b", "end<|endoftext|>", "a <|endoftext|><|endoftext|>  x\n<|endoftext"] + [f"doc {i} text, with words." * (i % 40) for i in range(60)])]
 
 
 def plain(text):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(tokenizer_path())
-    t.encode_special_tokens = True
     return t.encode(text or "", add_special_tokens=False).ids
 
 
@@ -29,7 +28,9 @@ def test_shard_round_trip():
     rng = np.random.default_rng(3)
     for n in (0, 1, 255, 256, 257, 2000):
         docs = [rng.integers(0, 60000, rng.choice([0, 1, 5, 3000]) if n < 300 else rng.integers(0, 9)).astype("<u2") for _ in range(n)]
-        s = Shard(write_shard(np.arange(n), [d.tobytes() for d in docs], np.dtype("<u2")))
+        ids = np.sort(rng.integers(-(2**63), 2**63 - 1, n, endpoint=True)) if n % 2 else np.sort(rng.integers(-9, n, n))
+        s = Shard(write_shard(ids, [d.tobytes() for d in docs], np.dtype("<u2")))
+        assert [s.doc_id(i) for i in range(n)] == ids.tolist()
         at = 0
         for i, d in enumerate(docs):
             start, ids = s.document(i)
@@ -94,7 +95,7 @@ def test_token_files_null_and_frequent_ids(spark, rows, coarse):
     docs = few + [(None, f"none {i:03}") for i in range(60)] + [(7, f"seven {i % 20:02}" + " x" * (i % 20)) for i in range(70)] + [(8, "eight"), (6, "six")]
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
     files = write_token_files(df, rows_per_file=rows, coarse=coarse)
-    shards = sorted((r["shard"], r["base"], r["n_ids"], Shard(r["payload"]).doc_ids.tolist()) for r in files.collect())
+    shards = sorted((r["shard"], r["base"], r["n_ids"], [x.doc_id(i) for x in [Shard(r["payload"])] for i in range(x.n)]) for r in files.collect())
     assert [s for s, *_ in shards] == list(range(len(shards)))
     assert max(max(map(ids.count, ids)) for *_, ids in shards) <= rows
     assert sum((-(2**63)) in ids for *_, ids in shards) >= 60 // rows and sum(7 in ids for *_, ids in shards) >= 70 // rows
