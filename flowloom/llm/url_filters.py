@@ -10,9 +10,10 @@ Every rule is filed under the one of its literal tokens that the corpus' urls ho
 is cut into tokens, its tokens fetch the candidate rules, and only those run their regular expression.
 
 Edge cases: a NULL url, or one without ``://``, has an empty host and path, fits no rule and is
-allowed; repeated rows each get their verdict; further columns of the input stay as they are (input
-columns named host, path, rule or verdict are replaced by the operator's own); an empty table or rule
-list gives an empty result or all-allow.
+allowed; urls of any length are read whole; of rules of one length that fit, a block wins, then the later name;
+repeated rows each get their verdict; further columns of the input stay as they are, whatever their names (but
+columns named host, path, rule or verdict are replaced by the operator's own); an empty table or rule list gives an
+empty result or all-allow.
 """
 
 from __future__ import annotations
@@ -99,10 +100,9 @@ def filter_urls(df: DataFrame, host_rules=HOST_RULES, pattern_rules=PATTERN_RULE
     """df with host, path, rule (the deciding host rule, else NULL) and verdict ('allow' or 'block')."""
     rules = [host_rule(*r) for r in host_rules] + [pattern_rule(*r) for r in pattern_rules]
     rules = index_rules(rules, token_counts(df, set().union(*[r["tokens"] for r in rules]) if rules else set(), url_col))
-    host, path = url_parts(F.col(url_col))
-    kept = [c for c in df.columns if c.lower() not in ("host", "path", "rule", "verdict")]
-    clash = {c: f"{c}__in" for c in df.columns if c not in kept and c == url_col}
-    base = df.select(*kept, *[F.col(c).alias(a) for c, a in clash.items()], host.alias("host"), path.alias("path"), F.col(url_col).alias("_url"))
+    host, path = url_parts(F.col(f"`{url_col}`"))
+    kept = [F.col("_row")[c].alias(c) for c in df.columns if c.lower() not in ("host", "path", "rule", "verdict")]
+    base = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), host.alias("host"), path.alias("path"), F.col(f"`{url_col}`").alias("_url"))
     if not rules:
         return base.select(*kept, "host", "path", F.lit(None).cast("string").alias("rule"), F.lit("allow").alias("verdict"))
     subject = lambda c: F.when(c["kind"] == 1, F.concat_ws("\n", "host", "path")).otherwise(_lower(F.coalesce(F.col("_url"), F.lit(""))))
@@ -119,14 +119,13 @@ def filter_urls(df: DataFrame, host_rules=HOST_RULES, pattern_rules=PATTERN_RULE
         spark: SparkSession = df.sparkSession
         rows = [(r["token"], (r["kind"], r["rank"], r["verdict"] == "block", r["name"], r["regex"], r["token"])) for r in rules]
         listed = spark.createDataFrame(rows, "_token string, _rule struct<kind:int,rank:int,block:boolean,name:string,regex:string,token:string>")
-        keyed = base.withColumn("_row", F.monotonically_increasing_id())
         hit = (
-            keyed.select("_row", "host", "path", "_url", F.explode(tokens).alias("_token")).join(listed, "_token")
+            base.select("host", "path", "_url").distinct().withColumn("_token", F.explode(tokens)).join(listed, "_token")
             .filter(F.regexp_like(subject(F.col("_rule")), F.col("_rule.regex")))
-            .groupBy("_row", "host", "path", "_url").agg(F.max(F.struct(*_order(F.col("_rule")), F.col("_rule").alias("r"))).alias("_best"))
+            .groupBy("_url").agg(F.max(F.struct(*_order(F.col("_rule")), F.col("_rule").alias("r"))).alias("_best"))
         )
-        best = hit.select(F.col("host").alias("_h"), F.col("path").alias("_p"), F.col("_url").alias("_u"), F.col("_best.r").alias("_r")).dropDuplicates(["_u"])
-        out = base.join(best, F.col("_url").eqNullSafe(F.col("_u")), "left").withColumn("_fits", F.when(F.col("_r").isNull(), F.array().cast("array<struct<kind:int,rank:int,block:boolean,name:string,regex:string,token:string>>")).otherwise(F.array("_r")))
+        best = hit.select(F.col("_url").alias("_u"), F.array(F.col("_best.r")).alias("_fits"))
+        out = base.join(best, F.col("_url").eqNullSafe(F.col("_u")), "left").withColumn("_fits", F.coalesce("_fits", F.array().cast("array<struct<kind:int,rank:int,block:boolean,name:string,regex:string,token:string>>")))
     best = F.array_max(F.transform("_fits", lambda c: F.struct(*_order(c), c.alias("r"))))["r"]
     out = out.withColumn("_best", best)
     return out.select(

@@ -28,6 +28,17 @@ def test_verdicts_inline_and_joined(spark):
         assert got.columns == ["page_id", "url", "kind", "host", "path", "rule", "verdict"]
 
 
+def test_clashing_columns(spark):
+    names = ["_url", "_row", "_fits", "_best", "_u", "_token", "_rule", "token", "a.b"]
+    df = spark.createDataFrame([(u[0], *range(len(names))) for u in URLS], "url string, " + ", ".join(f"`{n}` int" for n in names))
+    for limit in (2000, 0):
+        got = filter_urls(df, inline_rules=limit)
+        assert got.columns == ["url", *names, "host", "path", "rule", "verdict"]
+        assert sorted((tuple(r)[len(names) + 1 :] for r in got.collect()), key=repr) == sorted((u[1:] for u in URLS), key=repr)
+    named = filter_urls(df.select(df["url"].alias("path")), url_col="path")
+    assert sorted(r["verdict"] for r in named.collect()) == sorted(u[4] for u in URLS)
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "page_id long, url string")
     assert filter_urls(df).collect() == []
