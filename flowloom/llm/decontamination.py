@@ -3,11 +3,14 @@
 Benchmark items and documents are lower-cased (A-Z) and cut into words of letters, digits and non-ASCII
 characters. A window is ten consecutive item words, or the whole item where it has fewer (but not none).
 Every document position's window hash is looked up in the set of item windows; a hit is verified word
-by word. The set is broadcast only while it is under ``broadcast_windows`` windows; beyond that Spark
-joins it by shuffle. ``mode`` drops contaminated documents, cuts the hit words out, or only marks.
-
-Edge cases: NULL or empty text has no words and no hits; an empty benchmark gives no hits; repeated
-rows each get their own result; further columns stay as they are (the operator's own names win).
+by word. The set is broadcast only while it is under ``broadcast_windows`` windows and ``BROADCAST_BYTES``;
+beyond that Spark joins positions (row, place, size and hash alone) with it by shuffle, and what is found is
+verified at the documents. ``mode`` drops contaminated documents, cuts the hit words out, or only marks.
+
+Edge cases: NULL or empty text has no words and no hits; texts of any length are read whole; an empty benchmark
+gives no hits; repeated rows each get their own result; items with equal windows are all named. Further columns
+stay as they are, whatever their names; only ``mark`` puts n_words, hits and items in the place of input columns of
+these names.
 """
 
 from __future__ import annotations
@@ -15,10 +18,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.llm.common import table
+from flowloom.llm.common import staged, table
 
 WINDOW = 10
-BROADCAST_WINDOWS = 2_000_000
+BROADCAST_WINDOWS, BROADCAST_BYTES = 2_000_000, 256_000_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A word of a lower-cased text.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -51,28 +54,49 @@ def _position(m: int):
     return lambda i: F.struct(i.alias("pos"), F.lit(m).alias("size"), F.xxhash64(F.slice("_w", i, m)).alias("hash"))
 
 
-def mark(df: DataFrame, benchmark: DataFrame, n: int = WINDOW, keep: list[str] | None = None, text_col: str = "text", broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
-    """One row for each row of df: its ``keep`` columns, n_words, hits (array of (pos, size), by pos) and items (sorted texts).
-
-    The documents are scanned once. Positions carry only a hash until one is found in the item windows;
-    what is shuffled is the found positions and one short row for each document.
-    """
-    keep = df.columns if keep is None else keep
+def _grams(benchmark: DataFrame, n: int, broadcast_windows: int) -> tuple[DataFrame, list[int], bool]:
+    """Item windows with their items' texts, the windows' sizes (at most n), and whether the set may be broadcast."""
     grams = item_windows(benchmark, n).groupBy("gram", "size", "hash").agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
-    sizes = sorted(r["size"] for r in grams.select("size").distinct().collect())  # at most n numbers
-    small = grams.limit(broadcast_windows + 1).count() <= broadcast_windows
-    grams = F.broadcast(grams) if small else grams
-    w = df.select(F.struct(*keep).alias("_row"), words(F.col(text_col)).alias("_w")).withColumn("_id", F.monotonically_increasing_id())
-    start = F.lit(0)  # the word before the first; its row stands for the document
-    positions = [F.array(F.struct(start.alias("pos"), F.lit(0).alias("size"), F.lit(None).cast("long").alias("hash")))]
+    length = F.length(F.array_join("gram", " ")) + F.length(F.array_join("items", " ")) + 100
+    seen = grams.agg(F.count("*").alias("n"), F.sum(length.cast("double")).alias("bytes"), F.collect_set("size").alias("sizes")).first()
+    small = seen["n"] <= broadcast_windows and (seen["bytes"] or 0) <= BROADCAST_BYTES
+    return F.broadcast(grams) if small else grams, sorted(seen["sizes"]), small
+
+
+def _places(sizes: list[int]) -> list[Column]:
+    """For each window size an array of (pos, size, hash) of the document's windows, from the array _w."""
+    out = []
     for m in sizes:
         at = F.when(F.size("_w") >= m, F.sequence(F.lit(1), F.size("_w") - (m - 1))).otherwise(F.array().cast("array<int>"))
-        positions.append(F.transform(at, _position(m)))
+        out.append(F.transform(at, _position(m)))
+    return out
+
+
+def _same(at: Column, size: Column, gram: Column) -> Column:
+    # coalesce: a plain equality would become a key of the join, made for every position
+    return F.coalesce(F.slice("_w", F.greatest(at, F.lit(1)), F.greatest(size, F.lit(1))) == gram, F.lit(False))
+
+
+def _marked(df: DataFrame, benchmark: DataFrame, n: int, keep: list[str], text_col: str, broadcast_windows: int) -> DataFrame:
+    """(_row struct of the ``keep`` columns, n_words, hits, items), one row for each row of df."""
+    grams, sizes, small = _grams(benchmark, n, broadcast_windows)
+    w = df.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"), words(F.col(text_col)).alias("_w")).withColumn("_id", F.monotonically_increasing_id())
+    if not small:
+        w = staged(w, "words")
+        at = w.select("_id", F.explode_outer(F.concat(*_places(sizes))).alias("_p")).select("_id", F.col("_p.pos").alias("pos"), F.col("_p.size").alias("size"), F.col("_p.hash").alias("hash"))
+        met = at.join(grams, ["hash", "size"]).groupBy("_id").agg(F.collect_list(F.struct("pos", "size", "gram", "items")).alias("_met"))
+        true = F.filter("_met", lambda m: _same(m["pos"], m["size"], m["gram"]))
+        hits = F.array_sort(F.array_distinct(F.transform(true, lambda m: F.struct(m["pos"].alias("pos"), m["size"].alias("size")))))
+        items = F.array_sort(F.array_distinct(F.flatten(F.transform(true, lambda m: m["items"]))))
+        none = lambda c, kind: F.coalesce(c, F.array().cast(kind))
+        return w.join(met, "_id", "left").select("_row", F.size("_w").cast("long").alias("n_words"), none(hits, "array<struct<pos:int,size:int>>").alias("hits"), none(items, "array<string>").alias("items"))
+    start = F.lit(0)  # the word before the first; its row stands for the document
+    positions = [F.array(F.struct(start.alias("pos"), F.lit(0).alias("size"), F.lit(None).cast("long").alias("hash"))), *_places(sizes)]
     found = (
         w.withColumn("_at", F.concat(*positions)).select("_id", "_row", "_w", F.explode_outer("_at").alias("_p"))
         .select("_id", "_row", "_w", F.col("_p.pos").alias("pos"), F.col("_p.size").alias("_size"), F.col("_p.hash").alias("_hash"))
         .join(grams, F.col("_hash") == grams["hash"], "left")
-        .filter((F.col("pos") == 0) | (F.col("gram").isNotNull() & (F.slice("_w", F.greatest("pos", F.lit(1)), F.greatest("_size", F.lit(1))) == F.col("gram"))))
+        .filter((F.col("pos") == 0) | (F.col("gram").isNotNull() & _same(F.col("pos"), F.col("_size"), F.col("gram"))))
         .select(
             "_id", F.when(F.col("pos") == 0, F.struct("_row", F.size("_w").cast("long").alias("n_words"))).alias("_doc"),
             F.when(F.col("pos") > 0, F.struct("pos", F.col("_size").alias("size"))).alias("_hit"), F.col("items").alias("_items"),
@@ -81,26 +105,39 @@ def mark(df: DataFrame, benchmark: DataFrame, n: int = WINDOW, keep: list[str] |
     grouped = found.groupBy("_id").agg(
         F.first("_doc", ignorenulls=True).alias("_doc"), F.array_sort(F.collect_set("_hit")).alias("hits"), F.collect_set("_items").alias("_items")
     )
-    return grouped.select("_doc._row.*", F.col("_doc.n_words").alias("n_words"), "hits", F.array_sort(F.array_distinct(F.flatten("_items"))).alias("items"))
+    return grouped.select("_doc._row", F.col("_doc.n_words").alias("n_words"), "hits", F.array_sort(F.array_distinct(F.flatten("_items"))).alias("items"))
+
+
+def mark(df: DataFrame, benchmark: DataFrame, n: int = WINDOW, keep: list[str] | None = None, text_col: str = "text", broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
+    """One row for each row of df: its ``keep`` columns, n_words, hits (array of (pos, size), by pos) and items (sorted texts).
+
+    The documents are scanned once. Positions carry only a hash until one is found in the item windows;
+    what is shuffled is the found positions and one row of the ``keep`` columns for each document.
+    """
+    keep = df.columns if keep is None else keep
+    marked = _marked(df, benchmark, n, keep or df.columns[:1], text_col, broadcast_windows)
+    own = ("n_words", "hits", "items")
+    return marked.select(*[F.col("_row")[c].alias(c) for c in keep if c.lower() not in own], *own)
 
 
-def decontaminate(df: DataFrame, benchmark: DataFrame, n: int = WINDOW, mode: str = "drop", text_col: str = "text") -> DataFrame:
+def decontaminate(df: DataFrame, benchmark: DataFrame, n: int = WINDOW, mode: str = "drop", text_col: str = "text", broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
     """df without contaminated documents (``drop``), or with the hit words taken out of their texts (``cut``)."""
     if mode not in ("drop", "cut"):
         raise ValueError(f"unknown mode {mode!r}")
     columns = df.columns
-    marked = mark(df, benchmark, n, columns, text_col)
+    marked = _marked(df, benchmark, n, columns, text_col, broadcast_windows)
     if mode == "drop":
-        return marked.filter(F.size("hits") == 0).select(*columns)
-    found = F.regexp_extract_all(F.concat(F.col(text_col)), F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+|[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"), F.lit(0))
+        return marked.filter(F.size("hits") == 0).select(*[F.col("_row")[c].alias(c) for c in columns])
+    text = F.col("_row")[text_col]
+    found = F.regexp_extract_all(text, F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+|[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"), F.lit(0))
     first_is_word = F.coalesce(F.regexp_like(F.get("_runs", F.lit(0)), F.lit(r"^[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")), F.lit(False)).cast("int")
     # run r (from 0) is word number (r + first_is_word) / 2 + (1 - first_is_word)... counted from 1 where the parity fits
     number = lambda r: ((r + F.lit(2) - F.col("_first")) / 2).cast("int")
     is_word = lambda r: ((r + F.col("_first")) % 2) == 1
     hit = lambda r: is_word(r) & F.exists("hits", lambda h: (h["pos"] <= number(r) + F.col("_first")) & (number(r) + F.col("_first") < h["pos"] + h["size"]))
     kept = F.array_join(F.filter(F.transform("_runs", lambda x, r: F.when(~hit(r), x)), lambda x: x.isNotNull()), "")
-    out = marked.withColumn("_runs", found).withColumn("_first", first_is_word).withColumn("_cut", F.when(F.size("hits") == 0, F.col(text_col)).otherwise(kept))
-    return out.select(*[F.col("_cut").alias(c) if c == text_col else F.col(c) for c in columns])
+    out = marked.withColumn("_runs", found).withColumn("_first", first_is_word).withColumn("_cut", F.when(F.size("hits") == 0, text).otherwise(kept))
+    return out.select(*[F.col("_cut").alias(c) if c == text_col else F.col("_row")[c].alias(c) for c in columns])
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -44,11 +44,42 @@ def brute(text, n=10):
 def test_decontamination_marks(spark, bound):
     docs = spark.createDataFrame([(*d, "z") for d in DOCS], "doc_id long, text string, hits string")
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
-    got = dec.mark(docs.drop("hits"), items, broadcast_windows=bound).withColumn("n_hit", dec._covered(F.col("hits"))).collect()
+    assert dec.mark(docs, items).columns == ["doc_id", "text", "n_words", "hits", "items"]
+    got = dec.mark(docs, items, broadcast_windows=bound).withColumn("n_hit", dec._covered(F.col("hits"))).collect()
     want = sorted((repr(d), repr(t), len(h), n, i) for d, t in DOCS for n, h, i in [brute(t)])
     assert sorted((repr(r["doc_id"]), repr(r["text"]), r["n_hit"], r["n_words"], r["items"]) for r in got) == want
 
 
+CLASHES = ["hits", "items", "n_words", "gram", "hash", "size", "pos", "item_id", "_id", "_row", "_w", "_runs", "_first", "_cut", "_doc", "_p", "_at", "_hit", "_items", "_met", "_hash", "_size", "x.y"]
+
+
+@pytest.mark.parametrize("bound", [2_000_000, 1])
+def test_decontamination_with_clashing_columns(spark, bound):
+    docs = spark.createDataFrame([(*d, *range(len(CLASHES))) for d in DOCS], ", ".join(["doc_id long", "text string", *[f"`{c}` int" for c in CLASHES]]))
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    for mode in ("drop", "cut"):
+        got = dec.decontaminate(docs, items, mode=mode, broadcast_windows=bound)
+        assert got.columns == docs.columns
+        rows = got.collect()
+        assert all(tuple(r[2:]) == tuple(range(len(CLASHES))) for r in rows)
+        assert len(rows) == (len(DOCS) if mode == "cut" else sum(not brute(t)[1] for _, t in DOCS))
+    marked = dec.mark(docs, items, broadcast_windows=bound).collect()
+    assert all(r["_id"] == 8 and r["n_words"] == brute(r["text"])[0] for r in marked)
+
+
+def test_decontamination_of_a_long_text(spark):
+    """20,000 words, by shuffle: positions travel without the words."""
+    long = " ".join(f"w{i % 997}x{i % 31}" for i in range(20_000))
+    items = spark.createDataFrame([(1, " ".join(long.split()[9_000:9_012])), (2, "nothing of it " * 5)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, long), (2, "short")], "doc_id long, text string")
+    want = None
+    for bound in (2_000_000, 1):
+        got = sorted((r["doc_id"], r["n_words"], [tuple(h) for h in r["hits"]], r["items"]) for r in dec.mark(docs, items, broadcast_windows=bound).collect())
+        assert got[0][1] == 20_000 and (9_001, 10) in got[0][2] and got[0][3] == ["1"] and got[1] == (2, 1, [], [])
+        assert want in (None, got)
+        want = got
+
+
 def test_decontamination_modes(spark):
     docs = spark.createDataFrame([(*d, 3) for d in DOCS], "doc_id long, text string, extra int")
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
@@ -95,10 +126,28 @@ def test_fingerprints_query(spark, tmp_path):
 def test_successor_over_buckets(spark):
     df = spark.createDataFrame([(i, f"t{i}") for i in [5, 1, 9, 9, 2, 100, 50, 51]] + [(None, "n")], "doc_id long, text string")
     for rows in (2, 100):
-        got = fp.with_successor(df, {"text": "nxt"}, rows_per_bucket=rows).filter("not _guest").select("text", "nxt").collect()
+        got = fp.with_successor(df, {"text": "nxt"}, rows_per_bucket=rows).select("text", "nxt").collect()
         assert sorted(map(tuple, got)) == sorted([("n", "t1"), ("t1", "t2"), ("t2", "t5"), ("t5", "t9"), ("t9", "t9"), ("t9", "t50"), ("t50", "t51"), ("t51", "t100"), ("t100", "n")])
 
 
+def test_successor_of_frequent_and_null_ids(spark, tmp_path):
+    """Each text follows exactly one, ids ascend but for one step, and no bucket holds more than its share of one id."""
+    ids = [None] * 90 + [7] * 120 + list(range(-40, 60)) + [2**63 - 1, -(2**63)]
+    df = spark.createDataFrame([(d, f"t{i}", 1, 2) for i, d in enumerate(ids)], "doc_id long, text string, _tie int, _bucket int").repartition(3)
+    df.write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    got = fp.with_successor(df, {"text": "nxt", "doc_id": "next_id"}, rows_per_bucket=10)
+    assert got.columns == ["doc_id", "text", "_tie", "_bucket", "nxt", "next_id"]
+    rows = got.collect()
+    assert len(rows) == len(ids) and {r["nxt"] for r in rows} == {f"t{i}" for i in range(len(ids))}
+    rank = lambda d: (d is not None, d or 0)
+    assert sum(rank(r["next_id"]) < rank(r["doc_id"]) for r in rows) == 1
+    inner = fp._dealt(df.select(F.col("doc_id").alias("_id"), "text", F.xxhash64("_metadata.row_index", "_metadata.file_path").alias("_tie")), 10)
+    assert inner.groupBy("_bucket", "_id").count().agg(F.max("count")).first()[0] < 40
+    clash = fp.fingerprint_documents(df.withColumnsRenamed({"_tie": "sketch", "_bucket": "n_shingles"}))
+    assert clash.columns == ["doc_id", "text", "sketch", "n_shingles", "fingerprint"]
+
+
 def test_sketch_estimates(spark):
     a, b = " ".join(f"w{i}" for i in range(3000)), " ".join(f"w{i}" for i in range(1000, 3000))
     df = spark.createDataFrame([(a, b, a.replace("w7 ", "w8 "))], "a string, b string, c string").select(*[fp.sketch(F.col(c)).alias(c) for c in "abc"])
