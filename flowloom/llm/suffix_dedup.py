@@ -8,8 +8,8 @@ matter:
    window's anchor, so equal windows have equal anchors at equal places. A chunk sends each distinct
    anchor hash (five bytes) once to a bucket; buckets answer which hashes other chunks have as well.
 2. Each chunk sends the contexts of its shared anchors, equal ones once, with the least and greatest
-   document id. A bucket sorts the suffixes of different contexts of one anchor in deep-shallow manner:
-   multikey quicksort over the first words, then a blind trie for each group that still agrees. Runs of
+   document id. A bucket sorts them, and then the suffixes of different contexts of one anchor, in deep-shallow
+   manner: multikey quicksort over the first words, then a blind trie for each group that still agrees. Runs of
    suffixes that agree in LENGTH bytes share their least document id, which goes back to the chunks.
 3. Each chunk marks the windows whose least id is smaller than the document's own.
 
@@ -17,13 +17,14 @@ An anchor that is frequent in many chunks (a common line has another context at
 contexts are not sent to one bucket. Each chunk sends the hashes of their windows, equal ones once, to buckets by
 the window's hash, so equal windows still meet, and what meets in a bucket is bounded by the number of chunks for
 each window. A hot anchor's windows count as equal where anchor key and 64-bit window hash agree; all others are
-compared byte by byte.
+compared byte by byte. A reply finds its contexts by the anchor's key and XXH3 of the context (over 100 bits together).
 
 All three steps read one shuffle of the texts.
 
-Edge cases: NULL text is empty; texts under LENGTH bytes lose nothing; rows with a NULL id come after all
-others, and rows with the same id never count as earlier than each other; an empty table gives an empty
-result. Other columns are not read by ``repeated_spans``; ``remove_repeats`` keeps them.
+Edge cases: NULL text is empty; texts under LENGTH bytes lose nothing; a very long text is one chunk's; rows with
+a NULL id come after all others, and rows with the same id never count as earlier than each other (repeated rows
+keep what they share); an empty table gives an empty result. Other columns are not read by ``repeated_spans`` and
+may have any name; ``remove_repeats`` keeps them.
 """
 
 from __future__ import annotations
@@ -31,18 +32,21 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.llm.common import table
+from flowloom.llm.common import release, small_batches, table
 
 LENGTH, GRAM = 50, 20
-#: Bytes of text in a chunk on average, chunks at most (larger corpora get larger chunks), bytes of anchor hashes in a bucket.
-CHUNK_BYTES, CHUNKS, BUCKET_BYTES = 4_000_000, 2_000_000, 8_000_000
+#: Bytes of text in a chunk on average, bytes of anchor hashes in a bucket.
+CHUNK_BYTES, BUCKET_BYTES = 4_000_000, 8_000_000
 #: An anchor is hot where HEAVY or more of its places lie in each of HEAVY_CHUNKS chunks, or where MANY_CHUNKS chunks have it.
 HEAVY, HEAVY_CHUNKS, MANY_CHUNKS = 16, 16, 2048
 #: Eight-byte words that multikey quicksort looks at before blind tries take over.
 SHALLOW_WORDS = 3
+#: Suffixes that a bucket sorts at once, where no single anchor has more.
+STEP = 60_000
 LAST = 2**63 - 1
 _RNG = np.random.default_rng(20)
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64)
@@ -150,12 +154,29 @@ class Chunk:
 
 
 def context_keys(rows: np.ndarray) -> np.ndarray:
-    """A 64-bit key for each context row."""
-    r = np.random.default_rng(rows.shape[1]).integers(1, 2**63, rows.shape[1], dtype=np.uint64)
-    out = np.zeros(len(rows), np.uint64)
-    for j in range(rows.shape[1]):
-        out += rows[:, j] * (r[j] | np.uint64(1))
-    return out ^ out >> np.uint64(31)
+    """XXH3 of each row of bytes."""
+    data, width, h = np.ascontiguousarray(rows).tobytes(), rows.shape[1], xxhash.xxh3_64_intdigest
+    return np.fromiter((h(data[i : i + width], 50) for i in range(0, len(data), width)), np.uint64, len(rows))
+
+
+def _begins(*keys: np.ndarray) -> np.ndarray:
+    """Where runs begin in sorted keys."""
+    if not len(keys[0]):
+        return np.empty(0, np.int64)
+    new = np.zeros(len(keys[0]), bool)
+    new[0] = True
+    for k in keys:
+        new[1:] |= k[1:] != k[:-1]
+    return np.flatnonzero(new)
+
+
+def _lengths(begins: np.ndarray, n: int) -> np.ndarray:
+    return np.diff(np.append(begins, n))
+
+
+def _ranges(sizes: np.ndarray) -> np.ndarray:
+    """0, 1, ... size-1 for each size, one after the other."""
+    return np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
 
 def windows(rows: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -213,93 +234,134 @@ class BlindTrie:
                 yield node[1]
 
 
-def sort_suffixes(rows: np.ndarray, shallow: int = SHALLOW_WORDS) -> tuple[np.ndarray, np.ndarray]:
-    """(order, run): order sorts the byte rows; run numbers the rows, in that order, by equal rows.
-
-    The shallow part is multikey quicksort over eight-byte words: rows are split by a word, and only rows
-    that agree go on to the next. Groups that agree in all shallow words are ordered by a blind trie.
+def _partition(order: np.ndarray, words: np.ndarray, start: np.ndarray, size: np.ndarray, depth: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One step of multikey quicksort on all given segments of ``order`` at once: each is split by its pivot's word
+    at its depth. The parts below and above stay at that depth, the equal part goes one word deeper."""
+    segment, at = np.repeat(np.arange(len(start)), size), np.repeat(start, size) + _ranges(size)
+    value = words[order[at], depth[segment]]
+    first = np.cumsum(size) - size
+    three = np.stack([value[first], value[first + size // 2], value[first + size - 1]])
+    pivot = np.maximum(np.minimum(three[0], three[1]), np.minimum(np.maximum(three[0], three[1]), three[2]))  # their median
+    side = (value > pivot[segment]).astype(np.int8) + (value >= pivot[segment])
+    moved, counts, below = np.empty(len(at), np.int64), [], np.zeros(len(start), np.int64)
+    for part in range(3):
+        mine = side == part
+        seen = np.cumsum(mine)
+        count = np.add.reduceat(mine.astype(np.int64), first)
+        moved[mine] = (start + below - seen[first] + mine[first])[segment[mine]] + seen[mine] - 1
+        counts.append(count)
+        below = below + count
+    order[moved] = order[at].copy()
+    starts = np.concatenate([start, start + counts[0], start + counts[0] + counts[1]])
+    return starts, np.concatenate(counts), np.concatenate([depth, depth + 1, depth])
+
+
+def sort_suffixes(rows: np.ndarray, shallow: int = SHALLOW_WORDS, groups: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(order, run): order sorts the byte rows; run numbers the rows, in that order, by the place where their run of equal rows begins.
+
+    Multikey quicksort on eight-byte words splits all segments of a depth at once, three ways by each one's pivot,
+    down to ``shallow`` words. What still agrees there is ordered by a blind trie; tries of one leaf alone and of two
+    strings are made for all groups together. With ``groups`` (ascending) only rows of one group are compared.
     """
     n, length = rows.shape
-    words = np.zeros((n, -(-length // 8) * 8), np.uint8)
-    words[:, :length] = rows
-    words = words.view(">u8").astype(np.uint64)
-    shallow = min(shallow, words.shape[1])
-    order = np.argsort(words[:, 0], kind="stable")
-    group = np.concatenate([[0], np.cumsum(words[order[1:], 0] != words[order[:-1], 0])]) if n else np.empty(0, np.int64)
-    for k in range(1, shallow):
-        size = np.bincount(group, minlength=1)
-        tied = np.flatnonzero(size[group] > 1)
-        if not len(tied):
+    shallow = min(shallow, -(-length // 8))
+    head = np.zeros((n, shallow * 8), np.uint8)
+    head[:, : min(length, shallow * 8)] = rows[:, : shallow * 8]
+    words = head.view(">u8").astype(np.uint64)
+    del head
+    order, run, deep = np.arange(n), np.arange(n), [np.empty((2, 0), np.int64)]
+    start = np.zeros(min(n, 1), np.int64) if groups is None else _begins(groups)
+    size, depth = _lengths(start, n), np.zeros(len(start), np.int64)
+    while True:
+        tied = size > 1
+        done = tied & (depth == shallow)
+        deep.append(np.stack([start[done], size[done]]))
+        start, size, depth = start[tied & ~done], size[tied & ~done], depth[tied & ~done]
+        if not len(start):
             break
-        order[tied] = order[tied][np.lexsort((words[order[tied], k], group[tied]))]
-        new = np.zeros(n, bool)
-        new[1:] = (group[1:] != group[:-1]) | (words[order[1:], k] != words[order[:-1], k])
-        group = np.cumsum(new)
-    run, deep = np.arange(n), order.copy()
-    bounds = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1], [True]])) if n else np.array([0])
-    sizes = np.diff(bounds)
+        start, size, depth = _partition(order, words, start, size, depth)
+    start, size = np.concatenate(deep, axis=1)
     rest = rows[:, min(8 * shallow, length) :]
-    for a, size in zip(bounds[:-1][sizes > 1], sizes[sizes > 1]):
-        mine = order[a : a + size]
-        data = np.ascontiguousarray(rest[mine]).tobytes()
-        step = rest.shape[1]
-        if size == 2:
-            s, t = data[:step], data[step:]
-            if s == t:
-                run[a + 1] = a
-            elif s > t:
-                deep[a], deep[a + 1] = mine[1], mine[0]
-            continue
+    differ = np.zeros(len(start), bool)
+    segment = np.repeat(np.arange(len(start)), size)
+    at, first = np.repeat(start, size) + _ranges(size), np.repeat(start, size)
+    for i in range(0, len(at), 1 << 15):
+        part = slice(i, i + (1 << 15))
+        differ[segment[part][(rest[order[at[part]]] != rest[order[first[part]]]).any(axis=1)]] = True
+    leaf = np.repeat(~differ, size)
+    run[at[leaf]] = first[leaf]
+    two = start[differ & (size == 2)]
+    if len(two):
+        a, b = rest[order[two]], rest[order[two + 1]]
+        place = (a != b).argmax(axis=1)
+        turn = two[a[np.arange(len(two)), place] > b[np.arange(len(two)), place]]
+        order[turn], order[turn + 1] = order[turn + 1], order[turn]
+    for a, k in zip(start[differ & (size > 2)].tolist(), size[differ & (size > 2)].tolist()):
+        mine = order[a : a + k].copy()
+        data, step = rest[mine].tobytes(), rest.shape[1]
         trie = BlindTrie(data[:step], 0)
-        for i in range(1, size):
+        for i in range(1, k):
             trie.add(data[i * step : (i + 1) * step], i)
-        at = a
         for same in trie.groups():
-            deep[at : at + len(same)], run[at : at + len(same)] = mine[same], at
-            at += len(same)
-    return deep, run
+            order[a : a + len(same)], run[a : a + len(same)] = mine[same], a
+            a += len(same)
+    return order, run
+
 
+def _least(order: np.ndarray, run: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of its run, run's least id) for each row."""
+    begin = _begins(run)
+    number = np.empty(len(order), np.int64)
+    number[order] = np.repeat(np.arange(len(begin)), _lengths(begin, len(run)))
+    least = np.minimum.reduceat(ids[order], begin) if len(begin) else np.empty(0, np.int64)
+    return number, least
 
-def least_ids(rows: np.ndarray, ids: np.ndarray, length: int) -> list[tuple[int, int, int, int]]:
-    """(row, near, far, id): the windows of context row ``row`` at distances near..far from the anchor have least document id ``id``."""
+
+def least_ids(rows: np.ndarray, keys: np.ndarray, ids: np.ndarray, length: int, step: int = STEP) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, near, far, id) arrays: the windows of context row ``row`` at distances near..far from the anchor, whose
+    key is keys[row], have least document id ``id``."""
     if not len(rows):
-        return []
+        return (np.empty(0, np.int64),) * 4
     reach = rows.shape[1] - 2 - length
-    same = np.ascontiguousarray(rows).view(np.dtype((np.void, rows.shape[1]))).ravel()
-    distinct, first, back = np.unique(same, return_index=True, return_inverse=True)
-    least = np.full(len(distinct), LAST)
-    np.minimum.at(least, back, ids)
-    ctx = rows[first]
-    gram = np.ascontiguousarray(ctx[:, reach : reach + GRAM]).view(np.dtype((np.void, GRAM))).ravel()
-    kinds = np.unique(gram, return_inverse=True)[1]
-    alone = np.bincount(kinds)[kinds] == 1
-    near, far = ctx[:, -2].astype(int), ctx[:, -1].astype(int)
-    answers: list[list[tuple[int, int, int]]] = [[] for _ in distinct]
-    for c in np.flatnonzero(alone):
-        answers[c].append((near[c], far[c], int(least[c])))
-    mixed = np.flatnonzero(~alone)
-    step = 20_000  # contexts of whole anchor kinds are sorted together; kinds are kept whole
-    mixed = mixed[np.argsort(kinds[mixed], kind="stable")]
-    cuts = np.flatnonzero(np.concatenate([[True], kinds[mixed][1:] != kinds[mixed][:-1], [True]])) if len(mixed) else np.array([0])
-    at = 0
-    while at < len(cuts) - 1:
-        end = max(at + 1, int(np.searchsorted(cuts, cuts[at] + step, side="right")) - 1)
-        part = mixed[cuts[at] : cuts[end]]
-        at = end
-        counts = far[part] - near[part] + 1
-        owner = np.repeat(part, counts)
-        distance = near[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
-        suffixes = ctx[owner[:, None], (reach - distance)[:, None] + np.arange(length)]
-        order, run = sort_suffixes(suffixes)
-        low = np.full(len(order), LAST)
-        np.minimum.at(low, run, least[owner[order]])
-        found = np.empty(len(order), np.int64)
-        found[order] = low[run]
-        new = np.concatenate([[True], (owner[1:] != owner[:-1]) | (found[1:] != found[:-1])])
-        begin = np.flatnonzero(new)
-        for i, j in zip(begin, np.append(begin[1:], len(owner))):
-            answers[owner[i]].append((int(distance[i]), int(distance[j - 1]), int(found[i])))
-    return [(r, *a) for r, c in enumerate(back) for a in answers[c]]
+    by_key = np.argsort(keys, kind="stable")
+    rows, keys, ids = rows[by_key], keys[by_key], ids[by_key]
+    begin = _begins(keys)
+    anchor = np.repeat(np.arange(len(begin)), _lengths(begin, len(keys)))
+    order, run = sort_suffixes(rows, groups=keys)
+    context, least = _least(order, run, ids)
+    one = order[_begins(run)]  # a row of each different context; contexts of one anchor follow each other
+    many = np.bincount(anchor[one], minlength=anchor[-1] + 1)
+    near, far = rows[:, -2].astype(np.int64), rows[:, -1].astype(np.int64)
+    alone = many[anchor] == 1
+    found = [(by_key[alone], near[alone], far[alone], least[context[alone]])]
+    # different contexts of one anchor: their windows of one distance from it are sorted against each other
+    mixed = np.flatnonzero(many[anchor[one]] > 1)
+    told = [np.empty((4, 0), np.int64)]
+    cuts = np.append(_begins(anchor[one[mixed]]), len(mixed))
+    edges = np.append(0, np.cumsum(far[one[mixed]] - near[one[mixed]] + 1))[cuts]
+    i = 0
+    while i < len(cuts) - 1:
+        j = max(i + 1, int(np.searchsorted(edges, edges[i] + step, side="right")) - 1)
+        part = mixed[cuts[i] : cuts[j]]
+        i = j
+        row = one[part]
+        sizes = far[row] - near[row] + 1
+        owner, distance = np.repeat(part, sizes), np.repeat(near[row], sizes) + _ranges(sizes)
+        place = np.repeat(anchor[row], sizes) * (reach + 1) + distance
+        by = np.argsort(place, kind="stable")
+        owner, distance, place = owner[by], distance[by], place[by]
+        suffixes = rows[one[owner][:, None], (reach - distance)[:, None] + np.arange(length)]
+        number, low = _least(*sort_suffixes(suffixes, groups=place), least[owner])
+        back = np.lexsort((distance, owner))
+        owner, distance, low = owner[back], distance[back], low[number[back]]
+        begin = _begins(owner, low)
+        told.append(np.stack([owner[begin], distance[begin], distance[begin + _lengths(begin, len(owner)) - 1], low[begin]]))
+    told = np.concatenate(told, axis=1)
+    row = np.flatnonzero(~alone)
+    a, b = np.searchsorted(told[0], context[row]), np.searchsorted(told[0], context[row], side="right")
+    answer = told[:, np.repeat(a, b - a) + _ranges(b - a)]
+    found.append((by_key[np.repeat(row, b - a)], *answer[1:]))
+    return tuple(np.concatenate(x) for x in zip(*found))
 
 
 # ---- the three steps --------------------------------------------------------------------------------
@@ -328,11 +390,12 @@ def _from_five(data: bytes) -> np.ndarray:
 
 def repeated_spans(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = CHUNK_BYTES, keep: list[str] | None = None, heavy: int = HEAVY, heavy_chunks: int = HEAVY_CHUNKS, many_chunks: int = MANY_CHUNKS) -> DataFrame:
     """One row for each row of df: row (a struct of the ``keep`` columns, the id by default), n_bytes, spans (array of start and end, in bytes) and kept (the remaining bytes)."""
+    small_batches(df.sparkSession)
     gram = GRAM
     row = F.struct(*[F.col(c) for c in ([id_col] if keep is None else keep)])
     docs = df.select(row.alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     total = docs.select(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    chunks = int(min(CHUNKS, max(1, total // chunk_bytes)))
+    chunks = int(max(1, total // chunk_bytes))
     dealt = docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(chunks)).cast("int"))
     # few chunks: a bucket for each; a large corpus: as its anchors (about a sixteenth of the places, five bytes each) need
     buckets = min(chunks, max(2048, total * 5 // 16 // BUCKET_BYTES))
@@ -340,12 +403,14 @@ def repeated_spans(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
     key = lambda h: h >> np.uint64(64 - 40 - buckets.bit_length() + 1)
 
     def anchors(docs: pa.Table) -> pa.Table:
+        release()
         chunk = docs["chunk"][0].as_py()
         keys, places = np.unique(key(Chunk(docs, length, gram).hashes), return_counts=True)
         out = [(b, often, _five(some[at] // np.uint64(buckets))) for often, some in ((False, keys[places < heavy]), (True, keys[places >= heavy])) for b, at in _dealt(some, buckets)]
         return pa.table({"bucket": pa.array([b for b, _, _ in out], pa.int32()), "chunk": pa.array([chunk] * len(out), pa.int32()), "often": pa.array([o for _, o, _ in out], pa.bool_()), "data": pa.array([d for _, _, d in out], pa.binary())})
 
     def shared(sent: pa.Table) -> pa.Table:
+        release()
         bucket, parts = sent["bucket"][0].as_py(), [_from_five(d.as_py()) for d in sent["data"]]
         sizes = [len(p) for p in parts]
         keys, chunk, often = np.concatenate(parts), np.repeat(sent["chunk"].to_numpy(), sizes), np.repeat(np.array(sent["often"].to_pylist(), bool), sizes)
@@ -372,6 +437,7 @@ def repeated_spans(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
     reply_row = np.dtype([("key", "<u8"), ("context", "<u8"), ("id", "<i8"), ("near", "u1"), ("far", "u1")])
 
     def contexts(docs: pa.Table, told: pa.Table) -> pa.Table:
+        release()
         if not docs.num_rows:
             return pa.table({"bucket": pa.array([], pa.int32()), "chunk": pa.array([], pa.int32()), "hot": pa.array([], pa.bool_()), "data": pa.array([], pa.binary())})
         c, number = Chunk(docs, length, gram), docs["chunk"][0].as_py()
@@ -387,11 +453,15 @@ def repeated_spans(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
             suspect[order] |= np.repeat(least != most, np.diff(np.append(begin, len(order))))
         at = np.flatnonzero(suspect)
         rows = c.contexts(c.places[at])
-        _, first, back = np.unique(context_keys(rows), return_index=True, return_inverse=True)
-        out = np.zeros(len(first), sent_row)
-        out["key"], out["row"], out["least"], out["most"] = keys[at][first], rows[first], LAST, -(2**63)
-        np.minimum.at(out["least"], back, doc[at])
-        np.maximum.at(out["most"], back, doc[at])
+        same = context_keys(rows)
+        order = np.lexsort((same, keys[at]))
+        at = at[order]
+        begin = _begins(keys[at], same[order])
+        out = np.zeros(len(begin), sent_row)
+        out["key"], out["row"] = keys[at][begin], rows[order[begin]]
+        if len(begin):
+            out["least"], out["most"] = np.minimum.reduceat(doc[at], begin), np.maximum.reduceat(doc[at], begin)
+        del rows
         said = [_unpack(d.as_py(), "<u8") for d, h in zip(told["data"], told["hot"].to_pylist()) if h]
         hot = np.isin(out["key"], np.concatenate(said)) if said else np.zeros(len(out), bool)
         sent = [(b, False, _pack(out[~hot][i])) for b, i in _dealt(out["key"][~hot], buckets)]
@@ -400,7 +470,7 @@ def repeated_spans(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
             owner, _, hashes = windows(some["row"], length)
             order = np.lexsort((hashes, some["key"][owner]))
             owner, hashes, keys = owner[order], hashes[order], some["key"][owner[order]]
-            begin = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (hashes[1:] != hashes[:-1])]))
+            begin = _begins(keys, hashes)
             w = np.zeros(len(begin), window_row)
             w["key"], w["window"] = keys[begin], hashes[begin]
             w["least"], w["most"] = np.minimum.reduceat(some["least"][owner], begin), np.maximum.reduceat(some["most"][owner], begin)
@@ -427,6 +497,7 @@ def repeated_spans(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
         return by_target(out, chunk[told], True)
 
     def sorted_runs(sent: pa.Table) -> pa.Table:
+        release()
         hot = sent["hot"].combine_chunks()
         out = [equal_windows(sent.filter(hot))] if pa.compute.any(hot).as_py() else []
         sent = sent.filter(pa.compute.invert(hot))
@@ -434,11 +505,14 @@ def repeated_spans(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
             return out[0]
         parts = [_unpack(d.as_py(), sent_row) for d in sent["data"]]
         rows, chunk = np.concatenate(parts), np.repeat(sent["chunk"].to_numpy(), [len(p) for p in parts])
-        found = np.array(least_ids(rows["row"], rows["least"], length), np.int64).reshape(-1, 4)
-        found = found[found[:, 3] < rows["most"][found[:, 0]]]
-        at = found[:, 0]
-        reply = np.zeros(len(found), reply_row)
-        reply["key"], reply["context"], reply["near"], reply["far"], reply["id"] = rows["key"][at], context_keys(rows["row"])[at], found[:, 1], found[:, 2], found[:, 3]
+        del parts
+        at, near, far, least = least_ids(rows["row"], rows["key"], rows["least"], length)
+        told = least < rows["most"][at]
+        at = at[told]
+        reply = np.zeros(len(at), reply_row)
+        reply["key"], reply["near"], reply["far"], reply["id"] = rows["key"][at], near[told], far[told], least[told]
+        some, back = np.unique(at, return_inverse=True)
+        reply["context"] = context_keys(rows["row"][some])[back]
         return pa.concat_tables([*out, by_target(reply, chunk[at], False)])
 
     def anchors_of(known: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -451,6 +525,7 @@ def repeated_spans(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
         return mine, said[np.repeat(low, high - low) + np.arange(len(mine)) - np.repeat(np.cumsum(high - low) - (high - low), high - low)]
 
     def cut(docs: pa.Table, told: pa.Table) -> pa.Table:
+        release()
         c = Chunk(docs, length, gram) if docs.num_rows else None
         removed = np.zeros(len(c.data) if c else 0, bool)
         if c and told.num_rows:

@@ -72,6 +72,43 @@ def test_suffix_sorting():
             assert (run[i] == run[i - 1]) == (strings[i] == strings[i - 1])
 
 
+def test_sorting_within_groups():
+    rng = np.random.default_rng(1)
+    for n in (1, 2, 3, 60, 2000):
+        rows = rng.integers(97, 99, (n, 50)).astype(np.uint8)
+        rows[:, :30] = rows[rng.integers(0, min(n, 8), n), :30]
+        rows[n // 2 :] = rows[rng.integers(0, max(1, n // 2), n - n // 2)]
+        groups = np.sort(rng.integers(0, max(1, n // 3), n))
+        order, run = sd.sort_suffixes(rows, 3, groups)
+        strings = [(groups[i], rows[i].tobytes()) for i in order]
+        assert strings == sorted(strings) and sorted(order) == list(range(n))
+        assert all((run[i] == run[i - 1]) == (strings[i] == strings[i - 1]) and strings[run[i]] == strings[i] for i in range(1, n))
+
+
+def test_least_ids_in_steps():
+    """Contexts of shared anchors, alone and mixed, in steps of any size."""
+    rng = np.random.default_rng(5)
+    length, reach = 50, 30
+    made = [rng.integers(97, 100, reach + length).astype(np.uint8) for _ in range(12)]
+    rows, keys = np.zeros((300, reach + length + 2), np.uint8), rng.integers(0, 12, 300).astype(np.uint64)
+    for i, k in enumerate(keys):
+        near, far = sorted(rng.integers(0, 31, 2).tolist())
+        rows[i, :-2], rows[i, -2], rows[i, -1] = made[k], near, far
+        if k % 3 == 0 and i % 2:
+            rows[i, 5 * (i % 12)] = 120
+        rows[i, : reach - far] = 0
+        rows[i, reach - near + length : -2] = 0
+    ids = rng.integers(0, 1000, 300)
+    least: dict = {}
+    spans = [(i, d, rows[i, reach - d : reach - d + length].tobytes()) for i in range(300) for d in range(rows[i, -2], rows[i, -1] + 1)]
+    for i, d, w in spans:
+        least[keys[i], d, w] = min(ids[i], least.get((keys[i], d, w), 10**6))
+    for step in (1, 500, 10**6):
+        got = {(i, d): x for i, near, far, x in zip(*(a.tolist() for a in sd.least_ids(rows, keys, ids, length, step))) for d in range(near, far + 1)}
+        assert got == {(i, d): least[keys[i], d, w] for i, d, w in spans}
+    assert [len(x) for x in sd.least_ids(rows[:0], keys[:0], ids[:0], length)] == [0] * 4
+
+
 def test_empty_and_columns(spark):
     df = spark.createDataFrame([], "doc_id long, text string, k int")
     assert sd.repeated_spans(df).collect() == [] and sd.remove_repeats(df).collect() == []
@@ -101,9 +138,9 @@ def test_hot_anchor_sends_windows_apart(spark, monkeypatch):
     rows = [(i, letters(60) + line + letters(60)) for i in range(400)]
     seen, sort = spark.sparkContext.accumulator(0), sd.least_ids
 
-    def counted(rows, ids, length):
+    def counted(rows, keys, ids, length):
         seen.add(len(rows))
-        return sort(rows, ids, length)
+        return sort(rows, keys, ids, length)
 
     monkeypatch.setattr(sd, "least_ids", counted)
     assert got_of(spark, rows, chunk_bytes=1500, heavy=2, heavy_chunks=4) == brute(rows)
