@@ -11,9 +11,10 @@ edges within the radius. A tree of all fingerprints grows with the corpus, so tr
 shards instead of being broadcast. A shard emits a spanning forest of its links, never all pairs, and
 the forests' union is resolved by alternating star contraction.
 
-Edge cases: NULL or empty text (no words) has fingerprint zero and links like any other; exact copies
-share a fingerprint; NULL doc_ids get a component like other rows but never name one unless alone;
-repeated rows each get their row; an empty table gives an empty result.
+Edge cases: NULL or empty text (no words) has fingerprint zero and links like any other; texts of any length are
+read whole; a bit that exactly half of the shingles set is 0; exact copies share a fingerprint; NULL doc_ids get a
+component like other rows but never name one unless alone; repeated rows each get their row; an empty table gives
+an empty result. Other columns are not read and may have any name; ``keep_first`` keeps them.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.llm.common import staged, table
+from flowloom.llm.common import free_name, release, scratch, small_batches, staged, table
 
 RADIUS, SHINGLE, BITS, SEED = 2, 3, 64, 42
 #: Fingerprints in a shard beyond which it is split again.
@@ -49,15 +50,19 @@ def fingerprint(text: str | None, size: int = SHINGLE) -> int:
     return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): the fingerprint as signed long, one row for each row of df."""
+def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, row_col: str | None = None) -> DataFrame:
+    """(doc_id, fp): the fingerprint as signed long, one row for each row of df; with row_col also row."""
 
     def work(batches):
+        release()
         for b in batches:
             fps = np.fromiter((fingerprint(t.as_py(), size) for t in b["text"]), np.uint64, len(b))
-            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b["row"], b["doc_id"], pa.array(fps.view(np.int64))], ["row", "doc_id", "fp"])
 
-    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(work, "doc_id long, fp long")
+    small_batches(df.sparkSession)
+    row = F.lit(None) if row_col is None else F.col(row_col)
+    found = df.select(row.cast("long").alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(work, "row long, doc_id long, fp long")
+    return found.drop("row") if row_col is None else found
 
 
 class BKTree:
@@ -184,21 +189,34 @@ def components(links: DataFrame, most: int = 60) -> DataFrame:
 def near_duplicates(df: DataFrame, radius: int = RADIUS, size: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text", shard: int = SHARD) -> DataFrame:
     """(doc_id, fp, component_id): one row for each row of df; component_id is the group's smallest doc_id."""
     prints = staged(fingerprints(df, id_col, text_col, size), "fingerprints")
+    label = _labels(prints, radius, shard).select("fp", "component_id")
+    return prints.join(label, "fp")
+
+
+def _labels(prints: DataFrame, radius: int, shard: int) -> DataFrame:
+    """(fp, root, component_id) of the distinct fingerprints in (doc_id, fp): the group's own fingerprint and its smallest doc_id."""
+    # written, so that both sides of a join with it come from an exchange and a fingerprint of very many copies can be split
+    with scratch():
+        return staged(_named(prints, radius, shard), "labels", keep=True)
+
+
+def _named(prints: DataFrame, radius: int, shard: int) -> DataFrame:
     nodes = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
     roots = components(link_shards(nodes, radius, shard))
     named = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "first")
     smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    moved = staged(named.join(smallest, "root").filter(~F.col("first").eqNullSafe(F.col("component_id")) | (F.col("root") != F.col("fp"))).select("fp", "component_id"), "moved")
-    # written, so that both sides of the last join come from an exchange and a fingerprint of very many copies can be split
-    label = staged(nodes.join(moved, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id")), "labels")
-    return prints.join(label, "fp")
+    moved = staged(named.join(smallest, "root").filter(~F.col("first").eqNullSafe(F.col("component_id")) | (F.col("root") != F.col("fp"))).select("fp", "root", "component_id"), "moved")
+    return nodes.join(moved, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("component_id", "first").alias("component_id"))
 
 
 def keep_first(df: DataFrame, radius: int = RADIUS, size: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """df without the near-duplicates of a document with a smaller id; rows without an id stay."""
-    near = near_duplicates(df, radius, size, id_col, text_col)
-    gone = near.filter("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return df.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    """One row of each group of df: that of the smallest id (NULL ids last), of equal ids one."""
+    row = free_name(df, "_row")
+    numbered = staged(df.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    prints = staged(fingerprints(numbered, id_col, text_col, size, row), "fingerprints")
+    near = prints.join(_labels(prints, radius, SHARD).select("fp", "root"), "fp")
+    kept = near.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))["row"].alias(row))
+    return numbered.join(kept.select(row), row, "left_semi").select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

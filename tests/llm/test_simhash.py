@@ -83,4 +83,4 @@ def test_chain_and_empty(spark):
 def test_keep_first(spark):
     rows = [(3, "a b c d", 1), (1, "a b c d", 2), (None, "a b c d", 3), (2, None, 4), (7, "", 5), (9, "q r s", 6), (9, "q r s", 7)]
     got = sh.keep_first(spark.createDataFrame(rows, "doc_id long, text string, k int"))
-    assert sorted(r["k"] for r in got.collect()) == [2, 3, 4, 6, 7] and got.columns == ["doc_id", "text", "k"]
+    assert sorted(r["k"] for r in got.collect()) in ([2, 4, 6], [2, 4, 7]) and got.columns == ["doc_id", "text", "k"]
