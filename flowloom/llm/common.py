@@ -31,16 +31,16 @@ def release(owner: str | None = None) -> None:
         trim(0)
 
 
-#: Bytes of an Arrow batch between Spark and its Python workers, in either direction.
+#: Bytes of an Arrow batch from Spark to its Python workers.
 BATCH_BYTES = 4_000_000
 
 
 def small_batches(spark: SparkSession) -> None:
     """Cut Arrow batches by bytes, where the session's configuration does not say how: ten thousand documents, Spark's
     measure, can be any size, and each batch is held several times over."""
-    for key in ("spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.execution.arrow.maxBytesPerOutputBatch"):
-        if not spark.sparkContext.getConf().contains(key):
-            spark.conf.set(key, str(BATCH_BYTES))
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not spark.sparkContext.getConf().contains(key):
+        spark.conf.set(key, str(BATCH_BYTES))
 
 
 def free_name(df: DataFrame, name: str) -> str:
