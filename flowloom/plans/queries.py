@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from flowloom.functions import net
 from flowloom.functions import predicates as P
 from flowloom.functions.coerce import go_str, to_bool, to_double, to_int
+from flowloom.functions.storage import shared_dir
 from flowloom.operators import aggregate as agg
 from flowloom.operators import conntrack, enrich, filters, generic, inventory, metrics, topk
 from flowloom.plans import library, query_text
@@ -548,6 +550,16 @@ def max_metrics(f):
 # ---- sources and sinks
 
 
+@query("s1_read_flows_json", f"SELECT {_ID}, SrcAddr, Bytes, Flags FROM flows")
+def read_json(f):
+    """The flows as JSON lines in files, broken lines among them, read back."""
+    rows = f.select("flow_id", "line", "SrcPort", "SrcAddr", "Bytes", "Flags")
+    broken = f.filter("line = 1").select(F.concat(F.lit('{"flow_id": '), F.col("SrcAddr")).alias("value"))
+    path = f"{shared_dir(f.sparkSession)}/flow-lines-{uuid.uuid4().hex}"
+    sinks.text_lines(rows).unionByName(broken).write.text(path)
+    return src.read_flows_json(f.sparkSession, path, rows.schema)
+
+
 @query("s2_decode_json", "SELECT flow_id, json_extract(props,'$.k')::BIGINT AS k, 1700000000::BIGINT AS TimeReceived FROM flows WHERE flow_id%10<>3", sessions=True)
 def decode(f):
     rows = f.select(F.when(F.col("flow_id") % 10 == 3, F.lit("{broken")).otherwise(F.concat(F.lit('{"flow_id": '), F.col("flow_id").cast("string"), F.lit(', "p": '), "props", F.lit("}"))).alias("value"))
@@ -590,6 +602,11 @@ def objects(f):
     )
 
 
+@query("w5_kafka_rows", "SELECT concat('{\"flow_id\":',flow_id::VARCHAR,',\"SrcAddr\":\"',SrcAddr,'\"',CASE WHEN Flags IS NULL THEN '' ELSE concat(',\"Flags\":',Flags::VARCHAR) END,'}') AS value FROM flows")
+def kafka_rows(f):
+    return sinks.to_kafka_rows(f.select("flow_id", "SrcAddr", "Flags"))
+
+
 @query("w6_otel_logs", f"SELECT {_ID}, 9 AS severity_number, 'INFO' AS severity_text, Flags::VARCHAR AS flags, CASE WHEN Flags IS NULL THEN 3 ELSE 4 END AS n, concat('{{\"flow_id\":',flow_id::VARCHAR,',\"line\":',line::VARCHAR,',\"SrcPort\":',SrcPort::VARCHAR,CASE WHEN Flags IS NULL THEN '' ELSE concat(',\"Flags\":',Flags::VARCHAR) END,'}}') AS body FROM flows")
 def otel_logs(f):
     out = sinks.to_otel_logs(f.select("flow_id", "line", "SrcPort", "Flags"))
