@@ -20,20 +20,32 @@ def ip_to_long(ip: Column) -> Column:
     return F.when(ip.rlike(_V4), part(1) * 16777216 + part(2) * 65536 + part(3) * 256 + part(4))
 
 
+def _let(value: Column, use) -> Column:
+    """use(value) with value evaluated once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def ip_to_hex(ip: Column) -> Column:
     """The IPv6 address as 32 lower-case hex digits; NULL for anything else. A dotted end counts as the last two groups."""
-    low = F.lower(ip)
-    tail = ip_to_long(F.regexp_extract(low, r"[^:]*$", 0))
+    none = F.array().cast("array<string>")
     group = lambda n: F.lower(F.hex(n))
-    text = F.when(tail.isNull(), low).otherwise(F.concat(F.regexp_extract(low, r"^.*:", 0), group(F.shiftright(tail, 16)), F.lit(":"), group(F.pmod(tail, F.lit(65536)))))
-    halves = F.split(text, "::", -1)
-    groups = lambda t: F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, ":", -1))
-    head, rest = groups(F.get(halves, F.lit(0))), F.coalesce(groups(F.get(halves, F.lit(1))), F.array().cast("array<string>"))
-    missing = 8 - F.size(head) - F.size(rest)
-    fits = F.when(F.size(halves) == 1, missing == 0).otherwise((F.size(halves) == 2) & (missing >= 1))
-    whole = F.concat(head, F.array_repeat(F.lit("0"), F.greatest(missing, F.lit(0))), rest)
-    right = ip.contains(":") & fits & F.forall(whole, lambda g: g.rlike("^[0-9a-f]{1,4}$"))
-    return F.when(right, F.array_join(F.transform(whole, lambda g: F.lpad(g, 4, "0")), ""))
+    groups = lambda t: F.when(t == "", none).otherwise(F.split(t, ":", -1))
+
+    def undotted(text: Column, n: Column) -> Column:
+        return F.when(n.isNull(), text).otherwise(F.concat(F.regexp_extract(text, r"^.*:", 0), group(F.shiftright(n, 16)), F.lit(":"), group(F.pmod(n, F.lit(65536)))))
+
+    def filled(h: Column) -> Column:
+        return F.struct(h["n"].alias("n"), (8 - F.size(h["head"]) - F.size(h["rest"])).alias("missing"), F.concat(h["head"], F.array_repeat(F.lit("0"), F.greatest(8 - F.size(h["head"]) - F.size(h["rest"]), F.lit(0))), h["rest"]).alias("whole"))
+
+    def digits(f: Column) -> Column:
+        fits = F.when(f["n"] == 1, f["missing"] == 0).otherwise((f["n"] == 2) & (f["missing"] >= 1))
+        right = fits & F.forall(f["whole"], lambda g: g.rlike("^[0-9a-f]{1,4}$"))
+        return F.when(right, F.array_join(F.transform(f["whole"], lambda g: F.lpad(g, 4, "0")), ""))
+
+    parts = lambda h: F.struct(F.size(h).alias("n"), groups(F.get(h, F.lit(0))).alias("head"), F.coalesce(groups(F.get(h, F.lit(1))), none).alias("rest"))
+    of = lambda text: _let(_let(_let(F.split(text, "::", -1), parts), filled), digits)
+    dotted = lambda text: _let(F.struct(text.alias("t"), ip_to_long(F.regexp_extract(text, r"[^:]*$", 0)).alias("n")), lambda x: undotted(x["t"], x["n"]))
+    return F.when(ip.contains(":"), of(F.when(ip.contains("."), dotted(F.lower(ip))).otherwise(F.lower(ip))))
 
 
 def is_ip(ip: Column) -> Column:

@@ -37,9 +37,8 @@ def networks(labels: list[dict]) -> list[tuple[int, int, int, str]]:
     return [(net.version, int(net[0]), int(net[-1]), name) for net, name in found]
 
 
-def v4_number(ip: Column) -> Column:
-    """The IPv4 address as number, also where it is written as an IPv6 address; else NULL."""
-    digits = ip_to_hex(ip)
+def v4_number(ip: Column, digits: Column) -> Column:
+    """The IPv4 address as number, also where it is written as an IPv6 address, of ``digits``; else NULL."""
     return F.coalesce(ip_to_long(ip), F.when(digits.startswith(MAPPED), F.conv(F.right(digits, F.lit(8)), 16, 10).cast("bigint")))
 
 
@@ -57,9 +56,9 @@ def range_lookup(df: DataFrame, ranges: DataFrame, ip_col: str, columns: list[st
     first = lambda n: F.get(F.filter("_held", lambda r: (r["low"] <= n) & (n <= r["high"])), F.lit(0))["found"]
     rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(row), F.col(f"`{ip_col}`").alias("_ip"))
     if fits(listed):
-        out = rows.withColumn("_n", v4_number(F.col("_ip"))).withColumn("_at", bucket("_n")).join(F.broadcast(listed), F.col("_at") == F.col("_bucket"), "left").withColumn("_found", first(F.col("_n")))
+        out = rows.withColumn("_six", ip_to_hex(F.col("_ip"))).withColumn("_n", v4_number(F.col("_ip"), F.col("_six"))).withColumn("_at", bucket("_n")).join(F.broadcast(listed), F.col("_at") == F.col("_bucket"), "left").withColumn("_found", first(F.col("_n")))
     else:
-        ips = rows.select("_ip").distinct().withColumn("_n", v4_number(F.col("_ip"))).filter("_n is not null").withColumn("_at", bucket("_n"))
+        ips = rows.select("_ip").distinct().withColumn("_six", ip_to_hex(F.col("_ip"))).withColumn("_n", v4_number(F.col("_ip"), F.col("_six"))).filter("_n is not null").withColumn("_at", bucket("_n"))
         answers = ips.join(listed, F.col("_at") == F.col("_bucket")).select(F.col("_ip").alias("_of"), first(F.col("_n")).alias("_found")).filter("_found is not null")
         out = rows.join(small(answers), F.col("_ip") == F.col("_of"), "left")
     return out.select(*[F.col(row)[c].alias(c) for c in df.columns if c not in columns], *[F.col("_found")[c].alias(c) for c in columns])
@@ -77,8 +76,8 @@ def add_subnet_label(df: DataFrame, ip_col: str, out_col: str, labels: list[dict
         df = range_lookup(df, ranges, ip_col, [label], F.col("ord"))
         v4, names = [], [F.col(label)]
     ip = F.col(f"`{ip_col}`")
-    six = ip_to_hex(ip)
-    df = df.withColumns({number: v4_number(ip), digits: F.when(~six.startswith(MAPPED), six)})
+    df = df.withColumn(digits, ip_to_hex(ip)).withColumn(number, v4_number(ip, F.col(digits)))
+    df = df.withColumn(digits, F.when(~F.col(digits).startswith(MAPPED), F.col(digits)))
     names += [F.when((F.col(number) >= low) & (F.col(number) <= high), F.lit(name)) for _, low, high, name in v4]
     names += [F.when((F.col(digits) >= f"{low:032x}") & (F.col(digits) <= f"{high:032x}"), F.lit(name)) for _, low, high, name in v6]
     return df.select(*[F.col(f"`{c}`") for c in kept], F.coalesce(*names, F.lit(None).cast("string")).alias(out_col))
