@@ -32,7 +32,7 @@ from flowloom.llm.common import CACHES, bucket_of, fine_buckets, release, small_
 MAGIC, HEAD = b"FLTOKEN2", "<8sQQqBBB5x"
 SAMPLE = 256
 #: Entries that a worker's cache of encoded words may hold, and their letters.
-CACHE_ENTRIES, CACHE_LETTERS = 600_000, 12_000_000
+CACHE_ENTRIES, CACHE_LETTERS = 1_000_000, 16_000_000
 #: Rows of one token file on average.
 ROWS_PER_FILE = 1500
 #: Ranges at most that the rows of frequent ids are sorted in; each range's rows may fill many files.
@@ -207,6 +207,15 @@ class Sequence:
             bits >>= 1
             base += 1
 
+    def all(self) -> np.ndarray:
+        """All numbers, as uint64: the set bits' places and the low parts at once."""
+        upper = np.flatnonzero(np.unpackbits(self.upper, bitorder="little"))[: self.n] - np.arange(self.n)
+        out = upper.astype(np.uint64) << np.uint64(self.low)
+        lows = self.lows[: self.n * self.low].reshape(self.n, self.low)
+        for k in range(self.low):
+            out |= lows[:, k].astype(np.uint64) << np.uint64(k)
+        return out
+
     def __getitem__(self, i: int) -> int:
         low = self.lows[i * self.low : (i + 1) * self.low]
         return (self.select(i) - i << self.low) + sum(int(b) << k for k, b in enumerate(low))
@@ -311,11 +320,13 @@ def read_token_files(files: DataFrame) -> DataFrame:
         for b in batches:
             for base, data in zip(b["base"].to_pylist(), b["payload"]):
                 s = Shard(data.as_py())
-                out = [(start, ids) for start, ids in map(s.document, range(s.n))]
+                ends = s.bounds.all().astype(np.int64)
+                starts = np.concatenate([[0], ends[:-1]])[: s.n]
+                ids = s.ids.astype("<u4")
+                crcs = [zlib.crc32(ids[i:j]) for i, j in zip(starts.tolist(), ends.tolist())]
+                doc_ids = (s.steps.all() + np.uint64(s.first % (1 << 64))).view(np.int64)
                 yield pa.RecordBatch.from_pydict({
-                    "doc_id": pa.array([s.doc_id(i) for i in range(s.n)], pa.int64()), "start": pa.array([base + x for x, _ in out], pa.int64()),
-                    "n_tokens": pa.array([len(i) for _, i in out], pa.int64()),
-                    "ids_crc32": pa.array([zlib.crc32(i.astype("<u4").tobytes()) for _, i in out], pa.int64()),
+                    "doc_id": pa.array(doc_ids), "start": pa.array(starts + base), "n_tokens": pa.array(ends - starts), "ids_crc32": pa.array(crcs, pa.int64()),
                 })
 
     return files.select("base", "payload").mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")

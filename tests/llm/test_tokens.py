@@ -30,7 +30,8 @@ def test_shard_round_trip():
         docs = [rng.integers(0, 60000, rng.choice([0, 1, 5, 3000]) if n < 300 else rng.integers(0, 9)).astype("<u2") for _ in range(n)]
         ids = np.sort(rng.integers(-(2**63), 2**63 - 1, n, endpoint=True)) if n % 2 else np.sort(rng.integers(-9, n, n))
         s = Shard(write_shard(ids, [d.tobytes() for d in docs], np.dtype("<u2")))
-        assert [s.doc_id(i) for i in range(n)] == ids.tolist()
+        assert [s.doc_id(i) for i in range(n)] == ids.tolist() and (s.steps.all() + np.uint64(s.first % (1 << 64))).view(np.int64).tolist() == ids.tolist()
+        assert s.bounds.all().tolist() == [s.bounds[i] for i in range(n)]
         at = 0
         for i, d in enumerate(docs):
             start, ids = s.document(i)
