@@ -1,19 +1,16 @@
 """Connection tracking: flow logs of both directions become sessions with aggregates of each side.
 
 Two forms. ``connections`` is the fast path: Spark's session windows with a gap for each scheduling group;
-it knows no flags and no heartbeats. ``track`` walks each connection's flows in time order, partition by
-partition, with the state of one connection at a time, and emits newConnection, heartbeat and endConnection
-records; a FIN ends a connection early. All times are event times. A connection is its key's values; _HashId only
-shows it. Flows that lack a key field are rejected.
+it knows no flags and no heartbeats. ``operators.walk.track`` walks each connection's flows in time order and emits
+newConnection, heartbeat and endConnection records; a FIN ends a connection early. All times are event times. A
+connection is its key's values; _HashId only shows it. Flows that lack a key field are rejected. Absent flags count as
+none set, an aggregate without input reads the field of its own name, and columns may have any name.
 """
 
 from __future__ import annotations
 
-import heapq
-from collections.abc import Iterator
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -72,8 +69,17 @@ def key_fields(conf: dict) -> list[str]:
     return [*conf["key"]["common"], *conf["key"].get("a", []), *conf["key"].get("b", [])]
 
 
+def normal(conf: dict) -> dict:
+    """conf with an input for each aggregate: its name, where none is given."""
+    return conf | {"aggregates": [{"input": a["name"]} | a for a in conf["aggregates"]]}
+
+
+def _inputs(conf: dict) -> list[str]:
+    return sorted({a["input"] for a in conf["aggregates"] if a["operation"] != "count"})
+
+
 def _has_key(conf: dict) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(f).isNotNull() for f in key_fields(conf)], F.lit(True))
+    return reduce(lambda a, b: a & b, [F.col(f"`{f}`").isNotNull() for f in key_fields(conf)], F.lit(True))
 
 
 def _group_value(conf: dict, what: str) -> Column:
@@ -81,82 +87,107 @@ def _group_value(conf: dict, what: str) -> Column:
     for g in reversed(conf["groups"][:-1]):
         hit = F.lit(True)
         for f, v in g["selector"].items():
-            hit = hit & F.coalesce(F.col(f) == F.lit(v), F.lit(False))
+            hit = hit & F.coalesce(F.col(f"`{f}`") == F.lit(v), F.lit(False))
         out = F.when(hit, F.lit(g[what])).otherwise(out)
     return out.cast("double")
 
 
-def keyed(df: DataFrame, conf: dict) -> DataFrame:
-    """Gated flows that have a key, with _low and _high (the two ends in order: equal for both directions), _a (this
-    flow's source end), _HashId and _dup."""
+def _ends(conf: dict) -> tuple[Column, Column, Column]:
+    """The common fields of the key, and a flow's two ends, each as one text."""
     key = conf["key"]
-    common = F.to_json(F.struct(*[F.col(c).alias(f"f{i}") for i, c in enumerate(key["common"])]))
-    end = lambda fs: F.to_json(F.struct(*[F.col(f).alias(f"f{i}") for i, f in enumerate(fs)])) if fs else F.lit("")
-    a, b = end(key.get("a")), end(key.get("b"))
-    out = gated(df).filter(_has_key(conf)).withColumns({"_common": common, "_a": a, "_b": b})
-    out = out.withColumns({"_low": F.least("_a", "_b"), "_high": F.greatest("_a", "_b"), "_dup": F.coalesce(F.col("Duplicate"), F.lit(False)) if "Duplicate" in df.columns else F.lit(False)})
-    return out.withColumn("_HashId", F.lower(F.hex(F.xxhash64("_common", "_low", "_high"))))
+    text = lambda fs: F.to_json(F.struct(*[F.col(f"`{f}`").alias(f"f{i}") for i, f in enumerate(fs)])) if fs else F.lit("")
+    return text(key["common"]), text(key.get("a")), text(key.get("b"))
+
+
+def _hash_id(common: Column, a: Column, b: Column) -> Column:
+    return F.lower(F.hex(F.xxhash64(common, F.least(a, b), F.greatest(a, b))))
+
+
+def keyed(df: DataFrame, conf: dict) -> DataFrame:
+    """Gated flows that have a key, under names of their own, so that df's columns may have any: _common, _low and _high
+    (the two ends in order: equal for both directions), _a and _b (this flow's source and destination end), _HashId,
+    _dup, _flags (0 where absent), _group (scheduling group), event_time, k0... (key fields), v0... (inputs), o0... (order)."""
+    conf = normal(conf)
+    common, a, b = _ends(conf)
+    groups = conf | {"groups": [g | {"number": i} for i, g in enumerate(conf["groups"])]}
+    flags = F.col(f"`{conf['flags']}`") if conf.get("flags") in df.columns else F.lit(None)
+    out = {
+        "_common": common, "_a": a, "_b": b, "_low": F.least(a, b), "_high": F.greatest(a, b), "_HashId": _hash_id(common, a, b),
+        "_dup": F.coalesce(F.col("Duplicate").cast("boolean"), F.lit(False)) if "Duplicate" in df.columns else F.lit(False),
+        "_flags": F.coalesce(flags.cast("string").try_cast("double").cast("bigint"), F.lit(0).cast("bigint")), "_group": _group_value(groups, "number").cast("int"), "event_time": F.col("event_time"),
+    }
+    out |= {f"k{i}": F.col(f"`{f}`") for i, f in enumerate(key_fields(conf))} | {f"v{i}": F.col(f"`{f}`") for i, f in enumerate(_inputs(conf))} | {f"o{i}": F.col(f"`{f}`") for i, f in enumerate(conf.get("order", []))}
+    return gated(df).filter(_has_key(conf)).select(*[c.alias(n) for n, c in out.items()])
+
+
+def _names(conf: dict) -> tuple[dict[str, str], dict[str, str], list[str]]:
+    """What ``keyed`` calls key fields, inputs and the order."""
+    return {f: f"k{i}" for i, f in enumerate(key_fields(conf))}, {f: f"v{i}" for i, f in enumerate(_inputs(conf))}, [f"o{i}" for i in range(len(conf.get("order", [])))]
 
 
 def _first_side(conf: dict) -> tuple[Column, dict[str, Column]]:
     """(order of flows, the first flow's fields) within a group; the A side is that flow's source."""
-    order = F.struct("event_time", *conf.get("order", []))
-    return order, {f: F.min_by(f, order) for f in key_fields(conf)}
+    keys, _, later = _names(conf)
+    order = F.struct("event_time", *later)
+    return order, {f: F.min_by(k, order) for f, k in keys.items()}
 
 
-def _total(a: dict, on: Column, order: Column) -> Column:
+def _total(a: dict, v: Column | None, on: Column, order: Column) -> Column:
     op = a["operation"]
-    v = None if op == "count" else F.col(a["input"]).cast("double")
-    if v is not None and not a.get("report_missing"):
-        v = F.coalesce(v, F.lit(0.0))
     if op == "count":
         return F.count_if(on).cast("double")
     if op in ("first", "last"):
-        v = F.col(a["input"])
         return F.min_by(v, F.when(on, order)) if op == "first" else F.max_by(v, F.when(on & v.isNotNull(), order))
+    v = v.cast("double")
+    if not a.get("report_missing"):
+        v = F.coalesce(v, F.lit(0.0))
     return {"sum": F.sum, "min": F.min, "max": F.max}[op](F.when(on, v))
 
 
+def _zero(df: DataFrame, a: dict, suppress: bool):
+    """What makes a value of zero NULL: that of a double alone, so not the first or last of an integer or text."""
+    if not suppress or a["operation"] in ("first", "last") and df.schema[a["input"]].dataType.typeName() not in ("double", "float"):
+        return lambda c: c
+    return lambda c: F.nullif(c, F.lit(0.0))
+
+
 def _sessions(df: DataFrame, conf: dict):
     """Flows that count, grouped by session: two flows of one are at most the timeout apart."""
-    rows = keyed(df, conf).filter(~F.col("_dup")).withColumn("_gap", _group_value(conf, "end_timeout"))
-    gap = F.concat((F.col("_gap") * 1_000_000 + 1).cast("bigint").cast("string"), F.lit(" microseconds"))  # a gap of just the timeout does not end it
-    return rows.groupBy("_HashId", "_common", "_low", "_high", F.session_window("event_time", gap).alias("_w"))
+    gaps = F.element_at(F.array(*[F.lit(float(g["end_timeout"])) for g in conf["groups"]]), F.col("_group") + 1)
+    gap = F.concat((gaps * 1_000_000 + 1).cast("bigint").cast("string"), F.lit(" microseconds"))  # a gap of just the timeout does not end it
+    return keyed(df, conf).filter(~F.col("_dup")).groupBy("_HashId", "_common", "_low", "_high", F.session_window("event_time", gap).alias("_w"))
 
 
 def _shown_keys(conf: dict, swap: Column) -> dict[str, Column]:
     key, out = conf["key"], {}
+    at = {f: F.col(f"_k_{i}") for i, f in enumerate(key_fields(conf))}
     for f in key["common"]:
-        out[f] = F.col(f"_k_{f}")
+        out[f] = at[f]
     for x, y in zip(key.get("a", []), key.get("b", [])):
-        out[x] = F.when(swap, F.col(f"_k_{y}")).otherwise(F.col(f"_k_{x}"))
-        out[y] = F.when(swap, F.col(f"_k_{x}")).otherwise(F.col(f"_k_{y}"))
+        out[x] = F.when(swap, at[y]).otherwise(at[x])
+        out[y] = F.when(swap, at[x]).otherwise(at[y])
     return out
 
 
 def _swapped(conf: dict) -> Column:
-    return F.coalesce(F.col("_flags").bitwiseAND(SYN_ACK) != 0, F.lit(False)) if conf.get("swap_ab") else F.lit(False)
+    return F.col("_flags").bitwiseAND(SYN_ACK) != 0 if conf.get("swap_ab") else F.lit(False)
 
 
 def new_connections(df: DataFrame, conf: dict = DEFAULT, zero_suppression: bool = True) -> DataFrame:
     """The newConnection record of each session: what its first flow says."""
     validate(conf)
+    conf = normal(conf)
     order, first = _first_side(conf)
-    inputs = sorted({a["input"] for a in conf["aggregates"] if a["operation"] != "count"})
-    aggs = {f"_k_{f}": c for f, c in first.items()} | {f"_v_{i}": F.min_by(i, order) for i in inputs}
-    if conf.get("swap_ab"):
-        aggs["_flags"] = F.min_by(conf["flags"], order)
+    values = _names(conf)[1]
+    aggs = {f"_k_{i}": c for i, c in enumerate(first.values())} | {f"_v_{v}": F.min_by(v, order) for v in values.values()} | {"_flags": F.min_by("_flags", order)}
     found = _sessions(df, conf).agg(*[c.alias(n) for n, c in aggs.items()], F.min("event_time").alias("first_time"))
     swap, out = _swapped(conf), {}
-    zero = (lambda c: F.nullif(c, F.lit(0.0))) if zero_suppression else (lambda c: c)
     for a in conf["aggregates"]:
-        n, op = a["name"], a["operation"]
-        v = F.lit(1.0) if op == "count" else F.col(f"_v_{a['input']}").cast("double")
-        if op in ("sum", "min", "max") and not a.get("report_missing"):
-            v = F.coalesce(v, F.lit(0.0))
-        if op in ("first", "last"):
-            out[n] = F.col(f"_v_{a['input']}")
-        elif a.get("split"):  # the other side has no flow yet: nothing, or a sum or count of zero
+        n, op, zero = a["name"], a["operation"], _zero(df, a, zero_suppression)
+        v = F.lit(1.0) if op == "count" else F.col(f"_v_{values[a['input']]}")
+        if op in ("sum", "min", "max"):
+            v = v.cast("double") if a.get("report_missing") else F.coalesce(v.cast("double"), F.lit(0.0))
+        if a.get("split"):  # the other side has no flow yet: nothing, or a sum or count of zero
             none = F.lit(0.0 if op in ("sum", "count") else None).cast("double")
             out[f"{n}_AB"], out[f"{n}_BA"] = zero(F.when(swap, none).otherwise(v)), zero(F.when(swap, v).otherwise(none))
         else:
@@ -170,45 +201,43 @@ def connections(df: DataFrame, conf: dict = DEFAULT, zero_suppression: bool = Tr
     _IsFirst (``first_report``: whether nothing was reported of a connection before its end), first and last flow
     time. Duplicates open no session and count nothing."""
     validate(conf)
-    sessions = _sessions(df, conf)
+    conf = normal(conf)
+    sessions, values = _sessions(df, conf), _names(conf)[1]
     order, first = _first_side(conf)
     # the first flow's source end decides the direction, so both ends are summed and named after it
-    aggs = {f"_k_{f}": c for f, c in first.items()} | {"_first_a": F.min_by("_a", order)}
-    for a in conf["aggregates"]:
+    aggs = {f"_k_{i}": c for i, c in enumerate(first.values())} | {"_first_a": F.min_by("_a", order), "_flags": F.min_by("_flags", order)}
+    for i, a in enumerate(conf["aggregates"]):
+        v = None if a["operation"] == "count" else F.col(values[a["input"]])
         if a.get("split"):
-            aggs[f"_l_{a['name']}"] = _total(a, F.col("_a") == F.col("_low"), order)
-            aggs[f"_h_{a['name']}"] = _total(a, F.col("_a") != F.col("_low"), order)
+            aggs[f"_l_{i}"] = _total(a, v, F.col("_a") == F.col("_low"), order)
+            aggs[f"_h_{i}"] = _total(a, v, F.col("_a") != F.col("_low"), order)
         else:
-            aggs[f"_t_{a['name']}"] = _total(a, F.lit(True), order)
-    flags = conf.get("flags")
-    if conf.get("swap_ab"):
-        aggs["_flags"] = F.min_by(flags, order)
+            aggs[f"_t_{i}"] = _total(a, v, F.lit(True), order)
     found = sessions.agg(*[c.alias(n) for n, c in aggs.items()], F.min("event_time").alias("first_time"), F.max("event_time").alias("last_time"))
     swap = _swapped(conf)
     ab_low = (F.col("_first_a") == F.col("_low")) != swap
     out = {}
-    zero = (lambda c: F.nullif(c, F.lit(0.0))) if zero_suppression else (lambda c: c)
-    for a in conf["aggregates"]:
-        n = a["name"]
+    for i, a in enumerate(conf["aggregates"]):
+        n, zero = a["name"], _zero(df, a, zero_suppression)
         if a.get("split"):
-            out[f"{n}_AB"] = zero(F.when(ab_low, F.col(f"_l_{n}")).otherwise(F.col(f"_h_{n}")))
-            out[f"{n}_BA"] = zero(F.when(ab_low, F.col(f"_h_{n}")).otherwise(F.col(f"_l_{n}")))
+            out[f"{n}_AB"] = zero(F.when(ab_low, F.col(f"_l_{i}")).otherwise(F.col(f"_h_{i}")))
+            out[f"{n}_BA"] = zero(F.when(ab_low, F.col(f"_h_{i}")).otherwise(F.col(f"_l_{i}")))
         else:
-            out[n] = zero(F.col(f"_t_{n}")) if a["operation"] not in ("first", "last") else F.col(f"_t_{n}")
+            out[n] = zero(F.col(f"_t_{i}"))
     out |= _shown_keys(conf, swap)
     return found.select("_HashId", F.lit("endConnection").alias("_RecordType"), F.lit(first_report).alias("_IsFirst"), *[c.alias(n) for n, c in out.items()], "first_time", "last_time")
 
 
 def flow_logs(df: DataFrame, conf: dict = DEFAULT) -> DataFrame:
-    """Every gated flow, duplicates too, with its connection's id."""
-    rows = keyed(df, conf)
-    return rows.select(*df.columns, "_HashId", F.lit("flowLog").alias("_RecordType"))
+    """Every gated flow, duplicates too, with its connection's id; its own columns as they are."""
+    return gated(df).filter(_has_key(conf)).select(*[F.col(f"`{c}`") for c in df.columns], _hash_id(*_ends(conf)).alias("_HashId"), F.lit("flowLog").alias("_RecordType"))
 
 
 def classify(df: DataFrame, conf: dict = DEFAULT) -> DataFrame:
     """Counts of input rows: discarded (protocol), rejected (a key field is missing), duplicate, newConnection and update."""
+    duplicate = F.coalesce(F.col("Duplicate").cast("boolean"), F.lit(False)) if "Duplicate" in df.columns else F.lit(False)
     gate = F.coalesce(F.col("Proto").cast("double").isin(*[float(p) for p in PROTOCOLS]), F.lit(False))
-    kind = F.when(~gate, "discarded").when(~_has_key(conf), "rejected").when(F.coalesce(F.col("Duplicate"), F.lit(False)), "duplicate").otherwise("update")
+    kind = F.when(~gate, "discarded").when(~_has_key(conf), "rejected").when(duplicate, "duplicate").otherwise("update")
     found = df.groupBy(kind.alias("classification")).agg(F.count("*").alias("n"))
     new = connections(df, conf).groupBy().agg(F.count("*").alias("n"))
     both = found.unionByName(new.select(F.lit("newConnection").alias("classification"), "n")).unionByName(new.select(F.lit("update").alias("classification"), (-F.col("n")).alias("n")))
@@ -220,179 +249,3 @@ def end_reasons(records: DataFrame, conf: dict = DEFAULT) -> DataFrame:
     named = conf | {"groups": [g | {"number": i} for i, g in enumerate(conf["groups"])]}
     ends = records.filter("_RecordType = 'endConnection'").withColumn("group", _group_value(named, "number").cast("int"))
     return ends.groupBy("group", F.col("_EndReason").alias("reason")).agg(F.count("*").alias("n"))
-
-
-# ---- the walk --------------------------------------------------------------------------------------
-
-
-class Connection:
-    """The state of one live connection."""
-
-    def __init__(self, conf: dict, row: dict, group: dict):
-        self.conf, self.group, self.start = conf, group, row["_t"]
-        self.a = row["_a"]
-        swap = bool(conf.get("swap_ab") and int(row.get(conf["flags"]) or 0) & SYN_ACK)
-        if swap:
-            self.a = row["_b"]
-        key = conf["key"]
-        self.keys = {f: row[f] for f in key["common"]}
-        for x, y in zip(key.get("a", []), key.get("b", [])):
-            self.keys[x], self.keys[y] = (row[y], row[x]) if swap else (row[x], row[y])
-        self.values: dict[str, float | None] = {}
-        for a in conf["aggregates"]:
-            for n in [f"{a['name']}_AB", f"{a['name']}_BA"] if a.get("split") else [a["name"]]:
-                self.values[n] = {"min": float("inf"), "max": float("-inf"), "first": None, "last": None}.get(a["operation"], 0.0)
-        self.key, self.hash, self.emitted, self.ends = key_of(row), row["_HashId"], False, None
-        self.beat = self.start + group["heartbeat"]
-        self.add(row, True)
-
-    def add(self, row: dict, first: bool = False) -> None:
-        for a in self.conf["aggregates"]:
-            op, n = a["operation"], a["name"] + ((("_AB" if row["_a"] == self.a else "_BA")) if a.get("split") else "")
-            v = None if op == "count" else row.get(a["input"])
-            v = None if v is not None and v != v else v
-            if op == "count":
-                self.values[n] += 1
-            elif op == "first":
-                self.values[n] = v if first else self.values[n]
-            elif op == "last":
-                self.values[n] = self.values[n] if v is None else v
-            elif v is not None or not a.get("report_missing"):
-                v = float(v or 0)
-                self.values[n] = {"sum": self.values[n] + v, "min": min(self.values[n], v), "max": max(self.values[n], v)}[op]
-        if self.ends is None:  # a connection that saw a FIN does not live longer
-            self.last = row["_t"]
-            if self.conf.get("detect_end") and int(row.get(self.conf["flags"]) or 0) & FIN:
-                self.ends = row["_t"] + self.group["terminating_timeout"]
-
-    @property
-    def until(self) -> float:
-        return self.last + self.group["end_timeout"] if self.ends is None else self.ends
-
-    def record(self, kind: str, at: float) -> dict:
-        first, self.emitted = not self.emitted, True
-        reason = None if kind != "endConnection" else "timeout" if self.ends is None else "FIN_flag"
-        shown = {k: None if v in (0.0, float("inf"), float("-inf")) else v for k, v in self.values.items()}
-        return shown | self.keys | {"_HashId": self.hash, "_RecordType": kind, "_IsFirst": first, "_EndReason": reason, "time": at}
-
-
-def key_of(row: dict) -> tuple[str, str, str]:
-    return row["_common"], row["_low"], row["_high"]
-
-
-def group_of(conf: dict, row: dict) -> dict:
-    return next(g for g in conf["groups"] if all(row.get(f) == v for f, v in g["selector"].items()))
-
-
-def walk(conf: dict, rows: Iterator[dict], kinds: tuple[str, ...]) -> Iterator[dict]:
-    """Records of rows that come sorted by connection, then time."""
-    live: Connection | None = None
-
-    def advance(now: float) -> Iterator[dict]:
-        """Heartbeats and the end that are due before now."""
-        nonlocal live
-        if live is None:
-            return
-        while live.ends is None and live.beat < min(now, live.until):
-            yield live.record("heartbeat", live.beat)
-            live.beat += live.group["heartbeat"]
-        if now > live.until:
-            yield live.record("endConnection", live.until)
-            live = None
-
-    for row in rows:
-        if live is not None and key_of(row) != live.key:
-            yield from advance(float("inf"))
-        yield from advance(row["_t"])
-        if not row["_dup"]:
-            if live is None:
-                live = Connection(conf, row, group_of(conf, row))
-                yield live.record("newConnection", row["_t"]) if "newConnection" in kinds else {}
-            else:
-                live.add(row)
-    yield from advance(float("inf"))
-
-
-def walk_capped(conf: dict, rows: Iterator[dict], kinds: tuple[str, ...]) -> Iterator[dict]:
-    """Records of rows that come sorted by bucket, then time. A bucket tracks max_tracked connections at a time; flows of
-    further ones are not tracked until one of them ends. The state is one bucket's live connections."""
-    live: dict[tuple, Connection] = {}
-    due: list[tuple[float, tuple]] = []  # (when a connection's next heartbeat or end may be due, its key)
-    bucket = None
-
-    def next_of(c: Connection) -> float:
-        return c.beat if c.ends is None and c.beat < c.until else c.until
-
-    def advance(now: float) -> Iterator[dict]:
-        while due and due[0][0] < now:
-            at, key = heapq.heappop(due)
-            c = live.get(key)
-            if c is None:
-                continue
-            if at < next_of(c):  # it lived on since
-                heapq.heappush(due, (next_of(c), key))
-            elif c.ends is None and c.beat < c.until:
-                yield c.record("heartbeat", c.beat)
-                c.beat += c.group["heartbeat"]
-                heapq.heappush(due, (next_of(c), key))
-            else:
-                yield c.record("endConnection", c.until)
-                del live[key]
-
-    for row in rows:
-        if row["_bucket"] != bucket:
-            yield from advance(float("inf"))
-            bucket = row["_bucket"]
-        yield from advance(row["_t"])
-        if row["_dup"]:
-            continue
-        key = key_of(row)
-        c = live.get(key)
-        if c is not None:
-            c.add(row)
-        elif len(live) < conf["max_tracked"]:
-            c = live[key] = Connection(conf, row, group_of(conf, row))
-            yield c.record("newConnection", row["_t"]) if "newConnection" in kinds else {}
-        else:
-            continue
-        heapq.heappush(due, (next_of(c), key))
-    yield from advance(float("inf"))
-
-
-def record_schema(df: DataFrame, conf: dict) -> str:
-    fields = key_fields(conf)
-    values = [f"`{n}` double" for a in conf["aggregates"] for n in ([f"{a['name']}_AB", f"{a['name']}_BA"] if a.get("split") else [a["name"]])]
-    return ", ".join([*values, *[f"`{f}` {df.schema[f].dataType.simpleString()}" for f in fields], "`_HashId` string", "`_RecordType` string", "`_IsFirst` boolean", "`_EndReason` string", "`time` double"])
-
-
-def track(df: DataFrame, conf: dict = DEFAULT, kinds: tuple[str, ...] = KINDS) -> DataFrame:
-    """newConnection, heartbeat and endConnection records of a table of flows; ``time`` in epoch seconds.
-
-    Rows are dealt by connection and sorted within each partition, so the walk streams through them and
-    holds one connection's state, however many flows it has. With ``max_tracked`` in conf, rows are dealt to
-    ``buckets`` by key, and each tracks so many connections at a time (a cap over all would need one task).
-    """
-    validate(conf, kinds)
-    seconds = F.unix_micros(F.col("event_time").cast("timestamp")) / 1e6
-    rows, key = keyed(df, conf).withColumn("_t", seconds), ["_common", "_low", "_high"]
-    if conf.get("max_tracked"):
-        rows = rows.withColumn("_bucket", F.pmod(F.xxhash64(*key), F.lit(conf.get("buckets", BUCKETS))))
-        rows = rows.repartition("_bucket").sortWithinPartitions("_bucket", "_t", *conf.get("order", []))
-    else:
-        rows = rows.repartition(*key).sortWithinPartitions(*key, "_t", *conf.get("order", []))
-    walked = walk_capped if conf.get("max_tracked") else walk
-    schema = record_schema(df, conf)
-    names = [c.strip().split("`")[1] for c in schema.split(", ")]
-
-    def work(batches):
-        given = (dict(zip(b.columns, r)) for b in batches for r in b.itertuples(index=False, name=None))
-        out = []
-        for r in walked(conf, given, kinds):
-            if r and r["_RecordType"] in kinds:
-                out.append(r)
-            if len(out) >= 10_000:
-                yield pd.DataFrame(out, columns=names)
-                out = []
-        yield pd.DataFrame(out, columns=names)
-
-    return rows.mapInPandas(work, schema)

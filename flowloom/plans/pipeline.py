@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from flowloom.operators import aggregate, conntrack, enrich, filters, generic, metrics, topk
+from flowloom.operators import aggregate, conntrack, enrich, filters, generic, metrics, topk, walk
 
 #: Transforms by the type that a stage's configuration names.
 TRANSFORMS: dict[str, Callable[..., DataFrame]] = {
     "none": lambda df: df, "generic": generic.generic, "filter": filters.transform_filter, "aggregates": aggregate.aggregates, "timebased": topk.timebased,
-    "connections": conntrack.connections, "track": conntrack.track, "subnet_label": enrich.add_subnet_label, "location": enrich.add_location, "service": enrich.add_service,
+    "connections": conntrack.connections, "track": walk.track, "subnet_label": enrich.add_subnet_label, "location": enrich.add_location, "service": enrich.add_service,
     "kubernetes": enrich.add_kubernetes, "counter": metrics.counter, "gauge": metrics.gauge, "histogram": metrics.histogram,
 }
 

@@ -14,7 +14,7 @@ from flowloom.functions import predicates as P
 from flowloom.functions.coerce import go_str, to_bool, to_double, to_int
 from flowloom.functions.storage import shared_dir
 from flowloom.operators import aggregate as agg
-from flowloom.operators import conntrack, enrich, filters, generic, inventory, metrics, topk
+from flowloom.operators import conntrack, enrich, filters, generic, inventory, metrics, topk, walk
 from flowloom.plans import library, query_text
 from flowloom.plans.pipeline import Flow, Pipeline
 from flowloom.sources import flows as src
@@ -460,12 +460,37 @@ _WALK = """, g AS (SELECT *, epoch_us(event_time)/1e6 AS t, least(concat(SrcAddr
 
 @query("c11_c12_fin_and_heartbeat", _WALK.replace("WITH", "WITH RECURSIVE") + """ SELECT kind AS "_RecordType", kind='newConnection' AS "_IsFirst", SrcAddr, SrcPort, DstAddr, Proto, nullif(ab,0)::DOUBLE AS "Bytes_AB", nullif(ba,0)::DOUBLE AS "Bytes_BA", n::DOUBLE AS "numFlowLogs", e.at AS time FROM e""", sessions=True)
 def c11(f):
-    return conntrack.track(f, TRACK | {"detect_end": True}).select("_RecordType", "_IsFirst", "SrcAddr", F.col("SrcPort").cast("bigint").alias("SrcPort"), "DstAddr", "Proto", "Bytes_AB", "Bytes_BA", "numFlowLogs", "time")
+    return walk.track(f, TRACK | {"detect_end": True}).select("_RecordType", "_IsFirst", "SrcAddr", F.col("SrcPort").cast("bigint").alias("SrcPort"), "DstAddr", "Proto", "Bytes_AB", "Bytes_BA", "numFlowLogs", "time")
 
 
 @query("c16_end_reasons", _WALK + """ SELECT CASE WHEN Proto=17 THEN 0 ELSE 1 END AS "group", CASE WHEN fin IS NULL THEN 'timeout' ELSE 'FIN_flag' END AS reason, count(*) AS n FROM s GROUP BY 1, 2""", sessions=True)
 def c16_ends(f):
-    return conntrack.end_reasons(conntrack.track(f, TRACK | {"detect_end": True}, ("endConnection",)), TRACK)
+    return conntrack.end_reasons(walk.track(f, TRACK | {"detect_end": True}, ("endConnection",)), TRACK)
+
+
+#: A third of all flows in one connection, and flows without flags.
+_HOT = f"""WITH RECURSIVE flows AS (SELECT * REPLACE (CASE WHEN flow_id%3<>0 THEN SrcAddr WHEN flow_id%2=0 THEN '10.9.9.9' ELSE '20.0.0.1' END AS SrcAddr, CASE WHEN flow_id%3<>0 THEN DstAddr WHEN flow_id%2=0 THEN '20.0.0.1' ELSE '10.9.9.9' END AS DstAddr,
+   CASE WHEN flow_id%3<>0 THEN SrcPort WHEN flow_id%2=0 THEN 30000 ELSE 443 END AS SrcPort, CASE WHEN flow_id%3<>0 THEN DstPort WHEN flow_id%2=0 THEN 443 ELSE 30000 END AS DstPort, CASE WHEN flow_id%3<>0 THEN Proto ELSE 6 END AS Proto, CASE WHEN flow_id%5=0 THEN NULL ELSE Flags END AS Flags) FROM ({src.SESSIONS_SQL}))"""
+HOT_PART_ROWS = 1000
+
+
+def _hot_flows(f):
+    hot, even = F.col("flow_id") % 3 == 0, F.col("flow_id") % 2 == 0
+    pick = lambda c, a, b: F.when(~hot, F.col(c)).when(even, F.lit(a)).otherwise(F.lit(b)).cast(f.schema[c].dataType)
+    return f.withColumns({
+        "SrcAddr": pick("SrcAddr", "10.9.9.9", "20.0.0.1"), "DstAddr": pick("DstAddr", "20.0.0.1", "10.9.9.9"), "SrcPort": pick("SrcPort", 30000, 443), "DstPort": pick("DstPort", 443, 30000),
+        "Proto": F.when(hot, F.lit(6)).otherwise(F.col("Proto")), "Flags": F.when(F.col("flow_id") % 5 != 0, F.col("Flags")),
+    })
+
+
+@query("c10_hot_connection", _WALK.replace("(Flags & 1)=1", "coalesce((Flags & 1)=1, false)") + """ SELECT kind AS "_RecordType", kind='newConnection' AS "_IsFirst", SrcAddr, SrcPort, DstAddr, Proto, nullif(ab,0)::DOUBLE AS "Bytes_AB", nullif(ba,0)::DOUBLE AS "Bytes_BA", n::DOUBLE AS "numFlowLogs", e.at AS time FROM e""", sessions=True)
+def c10_hot(f):
+    """A connection with a third of all flows is walked in ranges of time, by several tasks."""
+    out = walk.track(_hot_flows(f), TRACK | {"detect_end": True}, part_rows=HOT_PART_ROWS)
+    return out.select("_RecordType", "_IsFirst", "SrcAddr", F.col("SrcPort").cast("bigint").alias("SrcPort"), "DstAddr", "Proto", "Bytes_AB", "Bytes_BA", "numFlowLogs", "time")
+
+
+SQL["c10_hot_connection"] = _HOT + SQL["c10_hot_connection"].removeprefix(_SESSIONS)
 
 
 for _name in ("c11_c12_fin_and_heartbeat", "c16_end_reasons"):

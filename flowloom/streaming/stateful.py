@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from flowloom.functions.coerce import go_str
-from flowloom.operators import conntrack, topk
+from flowloom.operators import conntrack, topk, walk
 from flowloom.operators.aggregate import aggregate, merge_totals
 
 
@@ -86,8 +86,8 @@ def stream_topk(df: DataFrame, rule: dict, time_col: str, each: Callable[[DataFr
 class Tracker(StatefulProcessor):
     """Connections with event-time timers: a row joins its connection, a timer brings a heartbeat or the end."""
 
-    def __init__(self, conf: dict, names: list[str], inputs: list[str]):
-        self.conf, self.names, self.inputs = conf, names, inputs
+    def __init__(self, conf: dict, names: list[str], inputs: list[str], whole: list[str]):
+        self.conf, self.names, self.inputs, self.whole = conf, names, inputs, whole
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         import pickle
@@ -109,26 +109,33 @@ class Tracker(StatefulProcessor):
         self.handle.registerTimer(int(due * 1000) + 1)
 
     def _due(self, live, now: float, out: list):
-        while live is not None and live.ends is None and live.beat < min(now, live.until):
-            out.append(live.record("heartbeat", live.beat))
-            live.beat += live.group["heartbeat"]
-        if live is not None and now > live.until:
-            out.append(live.record("endConnection", live.until))
-            return None
+        if live is not None:
+            out += live.due(now)
+            if now > live.until:
+                out.append(live.record("endConnection", live.until))
+                return None
         return live
 
+    def _rows(self, batch: pd.DataFrame) -> list[dict]:
+        """A batch's rows as values of their own types: pandas holds integers that may be NULL as floats, and no None."""
+        columns = batch.set_axis(self.inputs, axis=1)  # Spark renames columns with a leading underscore on the way here
+        out = []
+        for r in columns.to_dict("records"):
+            r = {k: None if v is None or v != v else v for k, v in r.items()}
+            out.append({k: int(v) if v is not None and k in self.whole else v for k, v in r.items()})
+        return out
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         live, out = self._load(), []
-        # Spark renames columns with a leading underscore on the way here
-        given = sorted((r for b in rows for r in b.set_axis(self.inputs, axis=1).to_dict("records")), key=lambda r: (r["_t"], *[r[c] for c in self.conf.get("order", [])]))  # one key's rows of one micro-batch
+        later = [c for c in self.inputs if c[0] == "o"]
+        given = sorted((r for b in rows for r in self._rows(b)), key=lambda r: (r["_t"], *[r[c] for c in later]))  # one key's rows of one micro-batch
         for r in given:
             live = self._due(live, r["_t"], out)
-            if not r["_dup"]:
-                if live is None:
-                    live = conntrack.Connection(self.conf, r, conntrack.group_of(self.conf, r))
-                    out.append(live.record("newConnection", r["_t"]))
-                else:
-                    live.add(r)
+            if live is None:
+                live = walk.Connection(self.conf, r)
+                out.append(live.record("newConnection", r["_t"]))
+            else:
+                live.add(r)
         self._save(live)
         yield pd.DataFrame(out, columns=self.names)
 
@@ -142,9 +149,10 @@ class Tracker(StatefulProcessor):
 
 
 def stream_track(df: DataFrame, conf: dict = conntrack.DEFAULT, late: str = "10 seconds") -> DataFrame:
-    """A stream of connection records (see operators.conntrack.track). Needs the RocksDB state store."""
+    """A stream of connection records (see operators.walk.track). Needs the RocksDB state store."""
     conntrack.validate(conf)
-    schema = conntrack.record_schema(df, conf)
-    names = [c.strip().split("`")[1] for c in schema.split(", ")]
-    rows = conntrack.keyed(df.withWatermark("event_time", late), conf).withColumn("_t", F.unix_micros("event_time") / 1e6)
-    return rows.groupBy("_common", "_low", "_high").transformWithStateInPandas(Tracker(conf, names, rows.columns), schema, "Append", "EventTime")
+    conf = conntrack.normal(conf)
+    schema = walk.record_schema(df, conf)
+    rows = walk.timed(df.withWatermark("event_time", late), conf, keep_time=True)
+    whole = [f.name for f in rows.schema if f.dataType.typeName() in ("byte", "short", "integer", "long")]
+    return rows.groupBy(*walk.KEY).transformWithStateInPandas(Tracker(conf, schema.names, rows.columns, whole), schema, "Append", "EventTime")

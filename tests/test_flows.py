@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from flowloom.functions import net
 from flowloom.functions.coerce import go_str, to_bool, to_int
 from flowloom.operators import aggregate as agg
-from flowloom.operators import conntrack, enrich, filters, generic, inventory, metrics, topk
+from flowloom.operators import conntrack, enrich, filters, generic, inventory, metrics, topk, walk
 from flowloom.plans.pipeline import Flow, Pipeline
 from flowloom.plans.query_text import filter_query
 from flowloom.sources import flows as src
@@ -192,7 +192,7 @@ CONF = conntrack.DEFAULT | {"order": ["id"], "flags": "Flags", "groups": [{"sele
 
 def test_conntrack_both_directions(spark):
     df = spark.createDataFrame(conversation([(0, "AB", 111, False, 0), (10, "BA", 777, False, 0), (15, "AB", 222, False, 0), (20, "AB", 5, True, 0)]), FLOW)
-    for out in (conntrack.connections(df, CONF), conntrack.track(df, CONF, ("endConnection",))):
+    for out in (conntrack.connections(df, CONF), walk.track(df, CONF, ("endConnection",))):
         (r,) = out.collect()
         assert (r["Bytes_AB"], r["Bytes_BA"], r["numFlowLogs"], r["SrcAddr"]) == (333, 777, 3, A[0])
     assert conntrack.flow_logs(df, CONF).count() == 4
@@ -201,7 +201,7 @@ def test_conntrack_both_directions(spark):
 
 def test_conntrack_fin_ends_early(spark):
     df = spark.createDataFrame(conversation([(0, "AB", 111, False, 0), (1, "BA", 222, False, 0), (2, "AB", 333, False, 1), (20, "AB", 9, False, 0)]), FLOW)
-    records = conntrack.track(df, CONF | {"detect_end": True}).orderBy("time", F.desc("_RecordType")).collect()
+    records = walk.track(df, CONF | {"detect_end": True}).orderBy("time", F.desc("_RecordType")).collect()
     assert [(r["_RecordType"], r["Bytes_AB"], r["Bytes_BA"]) for r in records] == [("newConnection", 111, None), ("endConnection", 444, 222), ("newConnection", 9, None), ("endConnection", 9, None)]
     assert [r["_IsFirst"] for r in records] == [True, False, True, False]
 
@@ -209,7 +209,7 @@ def test_conntrack_fin_ends_early(spark):
 def test_conntrack_swap_and_heartbeat(spark):
     df = spark.createDataFrame(conversation([(0, "AB", 111, False, 256), (25, "AB", 1, False, 0), (45, "BA", 2, False, 0)]), FLOW)
     conf = CONF | {"swap_ab": True, "groups": [{"selector": {"Proto": 17}, "end_timeout": 20, "terminating_timeout": 5, "heartbeat": 10}, {"selector": {}, "end_timeout": 30, "terminating_timeout": 5, "heartbeat": 20}]}
-    records = conntrack.track(df, conf).orderBy("time").collect()
+    records = walk.track(df, conf).orderBy("time").collect()
     assert [(r["_RecordType"], (r["time"] - T0.timestamp())) for r in records] == [("newConnection", 0), ("heartbeat", 20), ("heartbeat", 40), ("heartbeat", 60), ("endConnection", 75)]
     assert records[0]["SrcAddr"] == B[0] and records[0]["Bytes_BA"] == 111 and records[-1]["Bytes_AB"] == 2
     assert conntrack.connections(df, conf).first()["SrcAddr"] == B[0]
@@ -222,7 +222,7 @@ def test_conntrack_conserves_bytes(spark):
     rows = [(*(a if s else b), *(b if s else a), rng.choice([6, 17, 1]), rng.randrange(1, 99), 1, rng.random() < 0.1, 16, at(rng.randrange(3000)), i) for i in range(600) for s, a, b in [(rng.random() < 0.5, ("10.0.0.%d" % rng.randrange(5), 1), ("20.0.0.1", 443))]]
     df = spark.createDataFrame(rows, FLOW)
     want = sum(r[5] for r in rows if r[4] != 1 and not r[7])
-    for out in (conntrack.connections(df, CONF), conntrack.track(df, CONF, ("endConnection",)), conntrack.track(df, CONF | {"detect_end": True}, ("endConnection",))):
+    for out in (conntrack.connections(df, CONF), walk.track(df, CONF, ("endConnection",)), walk.track(df, CONF | {"detect_end": True}, ("endConnection",))):
         assert out.agg(F.sum(F.coalesce("Bytes_AB", F.lit(0)) + F.coalesce("Bytes_BA", F.lit(0)))).first()[0] == want
 
 
@@ -238,8 +238,9 @@ def test_conntrack_keys_not_hashes(spark, monkeypatch):
     rows += [("10.0.0.9", *r[1:]) for r in rows]
     df = spark.createDataFrame(rows, FLOW)
     whole = conntrack.keyed
-    monkeypatch.setattr(conntrack, "keyed", lambda df, conf: whole(df, conf).withColumn("_HashId", F.lit("same")))
-    for out in (conntrack.connections(df, CONF), conntrack.track(df, CONF, ("endConnection",))):
+    for module in (conntrack, walk):
+        monkeypatch.setattr(module, "keyed", lambda df, conf: whole(df, conf).withColumn("_HashId", F.lit("same")))
+    for out in (conntrack.connections(df, CONF), walk.track(df, CONF, ("endConnection",))):
         assert [r["numFlowLogs"] for r in out.collect()] == [2, 2]
 
 
@@ -251,15 +252,15 @@ def test_conntrack_rejects_and_caps(spark):
     # three at once, two of which are tracked; the third is tracked once the first has ended
     flow = lambda host, t, i: (f"10.0.0.{host}", 1, "20.0.0.1", 443, 6, 1, 1, False, 0, at(t), i)
     rows = [flow(1, 0, 0), flow(2, 1, 1), flow(3, 2, 2), flow(2, 10, 3), flow(3, 11, 4), flow(3, 45, 5), flow(2, 46, 6)]
-    out = conntrack.track(spark.createDataFrame(rows, FLOW), CONF | {"max_tracked": 2, "buckets": 1}).collect()
+    out = walk.track(spark.createDataFrame(rows, FLOW), CONF | {"max_tracked": 2, "buckets": 1}).collect()
     got = sorted((r["time"] - T0.timestamp(), r["_RecordType"], r["SrcAddr"][-1], r["numFlowLogs"]) for r in out)
     assert got == [(0, "newConnection", "1", 1), (1, "newConnection", "2", 1), (30, "endConnection", "1", 1), (40, "endConnection", "2", 2), (45, "newConnection", "3", 1), (46, "newConnection", "2", 1), (75, "endConnection", "3", 1), (76, "endConnection", "2", 1)]
     shown = ["SrcAddr", "_RecordType", "_IsFirst", "Bytes_AB", "numFlowLogs", "time"]
     free = CONF | {"detect_end": True, "groups": [{"selector": {}, "end_timeout": 9, "terminating_timeout": 5, "heartbeat": 4}]}
     every = spark.createDataFrame([flow(i % 5, 3 * i, i)[:8] + (i % 4 == 0, at(3 * i), i) for i in range(60)], FLOW.replace("Flags int", "Flags boolean")).withColumn("Flags", F.col("Flags").cast("int"))
-    a, b = (sorted(map(tuple, conntrack.track(every, c).select(*shown).collect())) for c in (free, free | {"max_tracked": 100, "buckets": 3}))
+    a, b = (sorted(map(tuple, walk.track(every, c).select(*shown).collect())) for c in (free, free | {"max_tracked": 100, "buckets": 3}))
     assert a == b
-    reasons = {r["reason"]: r["n"] for r in conntrack.end_reasons(conntrack.track(every, free), free).collect()}
+    reasons = {r["reason"]: r["n"] for r in conntrack.end_reasons(walk.track(every, free), free).collect()}
     assert reasons["FIN_flag"] + reasons.get("timeout", 0) == sum(r[1] == "endConnection" for r in a)
 
 
@@ -270,7 +271,7 @@ def test_new_connections_equal_the_walk(spark):
     for swap in (False, True):
         conf = CONF | {"swap_ab": swap, "aggregates": aggregates}
         shown = ["SrcAddr", "DstAddr", "Bytes_AB", "Bytes_BA", "numFlowLogs", "low_AB", "low_BA", "first", "_IsFirst"]
-        a, b = (sorted(map(repr, x.select(*[F.col(c).cast("string") for c in shown]).collect())) for x in (conntrack.new_connections(df, conf).withColumn("first", F.col("first").cast("double")), conntrack.track(df, conf, ("newConnection",))))
+        a, b = (sorted(map(repr, x.select(*[F.col(c).cast("string") for c in shown]).collect())) for x in (conntrack.new_connections(df, conf), walk.track(df, conf, ("newConnection",))))
         assert a == b
 
 
@@ -334,7 +335,7 @@ def test_pipeline_checks(spark):
 
 def test_empty_tables(spark):
     df = spark.createDataFrame([], FLOW)
-    assert conntrack.connections(df, CONF).collect() == [] and conntrack.track(df, CONF).collect() == []
+    assert conntrack.connections(df, CONF).collect() == [] and walk.track(df, CONF).collect() == []
     assert agg.aggregate(df, {"name": "x", "by": ["Proto"], "operation": "sum", "key": "Bytes"}).collect() == []
     assert metrics.histogram(df, {"name": "h", "value_key": "Bytes", "labels": ["Proto"]}).collect() == []
 

@@ -6,7 +6,7 @@ import time
 from pyspark.sql import functions as F
 
 from flowloom.operators import aggregate as agg
-from flowloom.operators import conntrack, topk
+from flowloom.operators import conntrack, topk, walk
 from flowloom.streaming import stateful
 from tests.test_flows import CONF, FLOW, at
 
@@ -80,7 +80,7 @@ def test_tracking_equals_batch(spark, tmp_path):
     q = stateful.stream_track(stream, conf).writeStream.format("memory").queryName("tracked").outputMode("append").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
     q.awaitTermination(240)
     shown = ["_RecordType", "_IsFirst", "SrcAddr", "DstAddr", "Bytes_AB", "Bytes_BA", "numFlowLogs", "time"]
-    want = conntrack.track(spark.createDataFrame(rows, FLOW), conf).filter(F.col("time") < at(t - 10).timestamp())
+    want = walk.track(spark.createDataFrame(rows, FLOW), conf).filter(F.col("time") < at(t - 10).timestamp())
     got = spark.table("tracked").filter(F.col("time") < at(t - 10).timestamp())
     got, want = ({tuple(r) for r in x.select(*shown).collect()} for x in (got, want))
     assert (got - want, want - got) == (set(), set())
