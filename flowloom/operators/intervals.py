@@ -131,13 +131,14 @@ def disjoint(ranges: DataFrame, keys: list[str], order: list[str], value: str, p
     return found.select(*[F.col(n).alias(k) for n, k in zip(n_key, keys)], "low", "high", F.col("value").alias(value))
 
 
-def searched(values: Column, lows: np.ndarray, highs: np.ndarray, spark) -> Column:
-    """The low bound of the segment (low, high exclusive; ascending) that holds each value, by binary search; else NULL."""
-    sent, kind = spark.sparkContext.broadcast((lows, highs)), "string" if lows.dtype.kind == "S" else "long"
+def searched(values: Column, lows: np.ndarray, highs: np.ndarray, spark, names: list[str] | None = None) -> Column:
+    """The low bound (or name) of the segment (low, high exclusive; ascending) that holds each value, by binary search; else NULL."""
+    text = lows.dtype.kind == "S"
+    sent, kind = spark.sparkContext.broadcast((lows, highs, None if names is None else np.array(names, object))), "string" if text or names is not None else "long"
 
     @F.pandas_udf(kind)
     def search(v: pd.Series) -> pd.Series:
-        lows, highs = sent.value
+        lows, highs, named = sent.value
         known = v.notna().to_numpy()
         x = np.array(v[known].to_numpy(), lows.dtype)
         if not len(lows) or not len(x):
@@ -145,8 +146,11 @@ def searched(values: Column, lows: np.ndarray, highs: np.ndarray, spark) -> Colu
         i = np.searchsorted(lows, x, side="right") - 1
         inside = (i >= 0) & (x < highs[np.maximum(i, 0)])
         out = np.full(len(v), None, object)
-        found = lows[np.maximum(i, 0)]
-        out[np.flatnonzero(known)[inside]] = [x.decode() for x in found[inside]] if kind == "string" else found[inside].tolist()
+        if named is not None:
+            found = named[i[inside]].tolist()
+        else:
+            found = [x.decode() for x in lows[i[inside]]] if text else lows[i[inside]].tolist()
+        out[np.flatnonzero(known)[inside]] = found
         return pd.Series(out, dtype=object)
 
     return search(values)

@@ -200,6 +200,21 @@ def n4(f):
     return enrich.add_location(f, "DstAddr", "Dst", _ranges(f)).select("flow_id", "line", "SrcPort", *names)
 
 
+def _nested(f: DataFrame) -> DataFrame:
+    """Ranges in each other: all addresses, the /16s with an even second octet, /24s of a third one, and lone addresses."""
+    n, part = net.ip_to_long(F.col("SrcAddr")), lambda i: F.split_part("SrcAddr", F.lit("."), F.lit(i)).cast("int")
+    at = f.select("SrcAddr").distinct()
+    wide = lambda bits, name, rows: rows.select(F.shiftleft(F.shiftright(n, bits), bits).alias("ip_from"), (F.shiftleft(F.shiftright(n, bits), bits) + (1 << bits) - 1).alias("ip_to"), F.concat(F.lit(name), F.shiftright(n, bits).cast("string")).alias("place")).distinct()
+    rows = [wide(32, "all-", at), wide(16, "b-", at.filter(part(2) % 2 == 0)), wide(8, "c-", at.filter(part(3) % 3 == 0)), wide(0, "d-", at.filter(part(4) % 5 == 0))]
+    return reduce(DataFrame.unionByName, rows)
+
+
+@query("n4_nested_ranges", f""", x AS (SELECT *, {_quad('SrcAddr')} AS n FROM flows) SELECT {_ID}, CASE WHEN split_part(SrcAddr,'.',4)::INT%5=0 THEN concat('d-',n::VARCHAR) WHEN split_part(SrcAddr,'.',3)::INT%3=0 THEN concat('c-',(n//256)::VARCHAR) WHEN split_part(SrcAddr,'.',2)::INT%2=0 THEN concat('b-',(n//65536)::VARCHAR) ELSE 'all-0' END AS place FROM x""")
+def n4_nested(f):
+    """Of ranges around an address the narrowest counts; a range over all addresses costs no more than any other."""
+    return enrich.range_lookup(f, _nested(f), "SrcAddr", ["place"], F.col("ip_to") - F.col("ip_from")).select("flow_id", "line", "SrcPort", "place")
+
+
 def _inventory(f: DataFrame) -> DataFrame:
     """Objects at the flows' own source addresses: pods, nodes and services by the last octet."""
     part = lambda i: F.split_part("SrcAddr", F.lit("."), F.lit(i)).cast("int")
@@ -319,6 +334,27 @@ def n14(f):
                     F.array_join(inventory.flow_keys(F.array(F.lit(""), F.lit("default"), F.lit("blue")), F.col("DstAddr")), "").alias("flow_side"))
 
 
+#: Pods that move between addresses while flows come: each flow is also a change of one pod, snapshots hold one pod alone.
+_MOVES = """, c AS (SELECT flow_id, concat('pod-',(flow_id%61)::VARCHAR) AS name, CASE WHEN flow_id%61%4=0 THEN 'Node' ELSE 'Pod' END AS kind, concat('10.9.0.',(flow_id*7%50)::VARCHAR) AS ip, event_time AS v, CASE WHEN flow_id%997=0 THEN 'snapshot' WHEN Proto=17 THEN 'delete' ELSE 'update' END AS op, Bytes FROM flows),
+ s AS (SELECT c.*, shots.v AS shot FROM c ASOF LEFT JOIN (SELECT v FROM c WHERE op='snapshot') shots ON c.v < shots.v),
+ w AS (SELECT *, least(coalesce(lead(v) OVER (PARTITION BY kind, name ORDER BY v), TIMESTAMP '9999-01-01'), coalesce(shot, TIMESTAMP '9999-01-01')) AS high FROM s),
+ t AS (SELECT flow_id, concat('10.9.0.',(flow_id*11%53)::VARCHAR) AS ip, event_time AS v FROM flows),
+ h AS (SELECT t.flow_id, arg_min(w.kind, (CASE WHEN w.kind='Pod' THEN 0 ELSE 1 END, w.v, w.name)) AS kind, arg_min(w.name, (CASE WHEN w.kind='Pod' THEN 0 ELSE 1 END, w.v, w.name)) AS name, arg_min(concat('b-',w.Bytes::VARCHAR), (CASE WHEN w.kind='Pod' THEN 0 ELSE 1 END, w.v, w.name)) AS owner
+   FROM t JOIN w ON t.ip=w.ip AND t.v>=w.v AND t.v<w.high AND w.op<>'delete' GROUP BY 1)"""
+
+
+@query("n16_inventory_as_of", _MOVES + """ SELECT t.flow_id, t.ip, h.kind AS "Src_Type", h.name AS "Src_Name", h.owner AS "Src_OwnerName" FROM t LEFT JOIN h USING (flow_id)""", sessions=True)
+def n16_as_of(f):
+    """The object at a flow's address as it was at the flow's time."""
+    n = F.col("flow_id")
+    changes = f.select(
+        F.when(n % 61 % 4 == 0, "Node").otherwise("Pod").alias("kind"), F.lit("ns").alias("namespace"), F.concat(F.lit("pod-"), (n % 61).cast("string")).alias("name"), F.array(F.concat(F.lit("10.9.0."), (n * 7 % 50).cast("string"))).alias("ips"),
+        F.col("event_time").alias("version"), F.when(n % 997 == 0, "snapshot").when(F.col("Proto") == 17, "delete").otherwise("update").alias("op"), F.lit("Deployment").alias("owner_kind"), F.concat(F.lit("b-"), F.col("Bytes").cast("string")).alias("owner_name"),
+    )
+    flows = f.select("flow_id", F.concat(F.lit("10.9.0."), (n * 11 % 53).cast("string")).alias("ip"), "event_time")
+    return enrich.add_kubernetes_as_of(flows, "ip", "event_time", "Src", changes).select("flow_id", "ip", "Src_Type", "Src_Name", "Src_OwnerName")
+
+
 @query("n16_inventory", """, c AS (SELECT 'Pod' AS kind, 'ns' AS namespace, SrcAddr AS name, flow_id*10+line AS version, CASE WHEN DstPort=22 THEN 'delete' ELSE 'update' END AS op, DstAddr AS host FROM flows),
  s AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY version DESC, op DESC, host DESC) AS r FROM (SELECT name, version, max(op) AS op, max(host) AS host FROM c GROUP BY name, version)) SELECT name, version FROM s WHERE r=1 AND op<>'delete'""")
 def n16(f):

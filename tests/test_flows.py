@@ -84,12 +84,11 @@ def test_subnet_label_of_both_families(spark):
     assert "Exchange" not in plan
 
 
-def test_range_lookup_without_broadcast(spark, monkeypatch):
+def test_range_lookup_without_broadcast(spark):
     ranges = spark.createDataFrame([(0, 2**32 - 1, "world"), (10 << 24, (11 << 24) - 1, "ten"), ((10 << 24) + 65536, (10 << 24) + 131071, "ten.one")], "ip_from long, ip_to long, place string")
     df = spark.createDataFrame([("10.1.2.3", 1), ("10.2.2.3", 2), ("9.9.9.9", 3), ("10.1.2.3", 4), ("::1", 5), (None, 6)], "ip string, _row int")
     for most in (10**6, 1):
-        monkeypatch.setattr(enrich, "fits", lambda d, rows=0, most_bytes=0, most=most: most > 1)
-        out = enrich.range_lookup(df, ranges, "ip", ["place"], F.col("ip_to") - F.col("ip_from"))
+        out = enrich.range_lookup(df, ranges, "ip", ["place"], F.col("ip_to") - F.col("ip_from"), most)
         assert {r["_row"]: r["place"] for r in out.collect()} == {1: "ten.one", 2: "ten", 3: "world", 4: "ten.one", 5: None, 6: None}
 
 
