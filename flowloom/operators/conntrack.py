@@ -14,6 +14,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowloom.functions.coerce import to_double
+from flowloom.operators.counts import Counts
+
 PROTOCOLS = (6, 17, 132)
 FIN, SYN_ACK = 1, 256
 KINDS = ("newConnection", "heartbeat", "endConnection")
@@ -75,7 +78,15 @@ def normal(conf: dict) -> dict:
 
 
 def _inputs(conf: dict) -> list[str]:
-    return sorted({a["input"] for a in conf["aggregates"] if a["operation"] != "count"})
+    """Inputs whose values are kept as they are."""
+    return sorted({a["input"] for a in conf["aggregates"] if a["operation"] in ("first", "last")})
+
+
+def _number(df: DataFrame, a: dict) -> Column:
+    """The number that a sum, least or greatest takes from a flow; NaN where it takes none: an absent field counts as 0
+    unless missing ones are reported, and what is no number counts nothing."""
+    c = F.col(f"`{a['input']}`")
+    return F.when(c.isNull(), F.lit(float("nan") if a.get("report_missing") else 0.0)).otherwise(F.coalesce(to_double(df, a["input"]), F.lit(float("nan"))))
 
 
 def _has_key(conf: dict) -> Column:
@@ -103,10 +114,11 @@ def _hash_id(common: Column, a: Column, b: Column) -> Column:
     return F.lower(F.hex(F.xxhash64(common, F.least(a, b), F.greatest(a, b))))
 
 
-def keyed(df: DataFrame, conf: dict) -> DataFrame:
+def keyed(df: DataFrame, conf: dict, counts: Counts | None = None) -> DataFrame:
     """Gated flows that have a key, under names of their own, so that df's columns may have any: _common, _low and _high
     (the two ends in order: equal for both directions), _a and _b (this flow's source and destination end), _HashId,
-    _dup, _flags (0 where absent), _group (scheduling group), event_time, k0... (key fields), v0... (inputs), o0... (order)."""
+    _dup, _flags (0 where absent), _group (scheduling group), event_time, k0... (key fields), v0... (inputs of first and last), a0... (numbers of the aggregates), o0... (order).
+    ``counts`` sees, as ``aggregates``, absent inputs that are reported (MissingFieldError) and those that are no number."""
     conf = normal(conf)
     common, a, b = _ends(conf)
     groups = conf | {"groups": [g | {"number": i} for i, g in enumerate(conf["groups"])]}
@@ -117,7 +129,18 @@ def keyed(df: DataFrame, conf: dict) -> DataFrame:
         "_flags": F.coalesce(flags.cast("string").try_cast("double").cast("bigint"), F.lit(0).cast("bigint")), "_group": _group_value(groups, "number").cast("int"), "event_time": F.col("event_time"),
     }
     out |= {f"k{i}": F.col(f"`{f}`") for i, f in enumerate(key_fields(conf))} | {f"v{i}": F.col(f"`{f}`") for i, f in enumerate(_inputs(conf))} | {f"o{i}": F.col(f"`{f}`") for i, f in enumerate(conf.get("order", []))}
-    return gated(df).filter(_has_key(conf)).select(*[c.alias(n) for n, c in out.items()])
+    summed = [(i, a) for i, a in enumerate(conf["aggregates"]) if a["operation"] in ("sum", "min", "max")]
+    out |= {f"a{i}": _number(df, a) for i, a in summed}
+    rows = gated(df).filter(_has_key(conf))
+    if counts is not None:
+        errors: dict[str, Column] = {}
+        for _, a in summed:
+            c = F.col(f"`{a['input']}`")
+            errors[f"Float64ConversionError:{a['name']}"] = ~out["_dup"] & c.isNotNull() & to_double(df, a["input"]).isNull()
+            if a.get("report_missing"):
+                errors[f"MissingFieldError:{a['name']}"] = ~out["_dup"] & c.isNull()
+        rows = counts.watch(rows, "aggregates", errors)
+    return rows.select(*[c.alias(n) for n, c in out.items()])
 
 
 def _names(conf: dict) -> tuple[dict[str, str], dict[str, str], list[str]]:
@@ -125,6 +148,12 @@ def _names(conf: dict) -> tuple[dict[str, str], dict[str, str], list[str]]:
     return {f: f"k{i}" for i, f in enumerate(key_fields(conf))}, {f: f"v{i}" for i, f in enumerate(_inputs(conf))}, [f"o{i}" for i in range(len(conf.get("order", [])))]
 
 
+def _values(conf: dict) -> dict[int, Column]:
+    """What each aggregate but a count reads of ``keyed``'s columns."""
+    whole = _names(conf)[1]
+    return {i: F.col(whole[a["input"]] if a["operation"] in ("first", "last") else f"a{i}") for i, a in enumerate(conf["aggregates"]) if a["operation"] != "count"}
+
+
 def _first_side(conf: dict) -> tuple[Column, dict[str, Column]]:
     """(order of flows, the first flow's fields) within a group; the A side is that flow's source."""
     keys, _, later = _names(conf)
@@ -138,10 +167,7 @@ def _total(a: dict, v: Column | None, on: Column, order: Column) -> Column:
         return F.count_if(on).cast("double")
     if op in ("first", "last"):
         return F.min_by(v, F.when(on, order)) if op == "first" else F.max_by(v, F.when(on & v.isNotNull(), order))
-    v = v.cast("double")
-    if not a.get("report_missing"):
-        v = F.coalesce(v, F.lit(0.0))
-    return {"sum": F.sum, "min": F.min, "max": F.max}[op](F.when(on, v))
+    return {"sum": F.sum, "min": F.min, "max": F.max}[op](F.when(on & ~F.isnan(v), v))
 
 
 def _zero(df: DataFrame, a: dict, suppress: bool):
@@ -178,15 +204,15 @@ def new_connections(df: DataFrame, conf: dict = DEFAULT, zero_suppression: bool
     validate(conf)
     conf = normal(conf)
     order, first = _first_side(conf)
-    values = _names(conf)[1]
-    aggs = {f"_k_{i}": c for i, c in enumerate(first.values())} | {f"_v_{v}": F.min_by(v, order) for v in values.values()} | {"_flags": F.min_by("_flags", order)}
+    values = _values(conf)
+    aggs = {f"_k_{i}": c for i, c in enumerate(first.values())} | {f"_v_{i}": F.min_by(v, order) for i, v in values.items()} | {"_flags": F.min_by("_flags", order)}
     found = _sessions(df, conf).agg(*[c.alias(n) for n, c in aggs.items()], F.min("event_time").alias("first_time"))
     swap, out = _swapped(conf), {}
-    for a in conf["aggregates"]:
+    for i, a in enumerate(conf["aggregates"]):
         n, op, zero = a["name"], a["operation"], _zero(df, a, zero_suppression)
-        v = F.lit(1.0) if op == "count" else F.col(f"_v_{values[a['input']]}")
+        v = F.lit(1.0) if op == "count" else F.col(f"_v_{i}")
         if op in ("sum", "min", "max"):
-            v = v.cast("double") if a.get("report_missing") else F.coalesce(v.cast("double"), F.lit(0.0))
+            v = F.nanvl(v, F.lit(0.0 if op == "sum" else None).cast("double"))
         if a.get("split"):  # the other side has no flow yet: nothing, or a sum or count of zero
             none = F.lit(0.0 if op in ("sum", "count") else None).cast("double")
             out[f"{n}_AB"], out[f"{n}_BA"] = zero(F.when(swap, none).otherwise(v)), zero(F.when(swap, v).otherwise(none))
@@ -202,12 +228,12 @@ def connections(df: DataFrame, conf: dict = DEFAULT, zero_suppression: bool = Tr
     time. Duplicates open no session and count nothing."""
     validate(conf)
     conf = normal(conf)
-    sessions, values = _sessions(df, conf), _names(conf)[1]
+    sessions, values = _sessions(df, conf), _values(conf)
     order, first = _first_side(conf)
     # the first flow's source end decides the direction, so both ends are summed and named after it
     aggs = {f"_k_{i}": c for i, c in enumerate(first.values())} | {"_first_a": F.min_by("_a", order), "_flags": F.min_by("_flags", order)}
     for i, a in enumerate(conf["aggregates"]):
-        v = None if a["operation"] == "count" else F.col(values[a["input"]])
+        v = values.get(i)
         if a.get("split"):
             aggs[f"_l_{i}"] = _total(a, v, F.col("_a") == F.col("_low"), order)
             aggs[f"_h_{i}"] = _total(a, v, F.col("_a") != F.col("_low"), order)

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from flowloom.functions.coerce import free_names, go_str, to_double
 from flowloom.functions.predicates import injected
+from flowloom.operators.counts import Counts
 
 #: The default histogram bounds.
 BUCKETS = (0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0, 10.0)
@@ -47,8 +48,9 @@ def filtered(df: DataFrame, filters: list[dict]) -> DataFrame:
     return df
 
 
-def _sampled(df: DataFrame, metric: dict, keep: list[str] | None = None) -> tuple[DataFrame, list[str]]:
-    """(_l0, _l1, ..., value and _<keep> columns of the rows that the metric takes; the labels' names)."""
+def _sampled(df: DataFrame, metric: dict, keep: list[str] | None = None, counts: Counts | None = None) -> tuple[DataFrame, list[str]]:
+    """(_l0, _l1, ..., value and _<keep> columns of the rows that the metric takes; the labels' names). ``counts`` sees the
+    metric's name: rows that passed its filters, and those whose value is no number (ValueConversionError)."""
     rows = filtered(flatten(df, metric.get("flatten", [])), metric.get("filters", []))
     key, scale, remap = metric.get("value_key", ""), metric.get("value_scale", 1) or 1, metric.get("remap", {})
     value = F.lit(1.0) if not key else to_double(rows, key) / F.lit(float(scale))
@@ -57,6 +59,9 @@ def _sampled(df: DataFrame, metric: dict, keep: list[str] | None = None) -> tupl
         (element,) = free_names(rows, "_element")
         rows = rows.withColumn(element, F.explode(f"`{key}`"))
         value = F.col(element).cast("double")
+    if counts is not None:
+        there = F.col(f"`{key}`").isNotNull() if key in rows.columns else F.lit(False)
+        rows = counts.watch(rows, metric["name"], {"ValueConversionError": there & value.isNull()})
     shown = [c.alias(f"_l{i}") for i, c in enumerate(named.values())]
     return rows.select(*shown, *[F.col(f"`{k}`").alias(f"_{k}") for k in keep or []], value.alias("value")).filter("value is not null"), list(named)
 
@@ -72,17 +77,17 @@ def samples(df: DataFrame, metric: dict, keep: list[str] | None = None) -> DataF
     return rows.select(_labels(names), *[f"_{k}" for k in keep or []], "value")
 
 
-def _grouped(df: DataFrame, metric: dict, aggs: list[Column], keep: list[str] | None = None) -> DataFrame:
+def _grouped(df: DataFrame, metric: dict, aggs: list[Column], keep: list[str] | None = None, counts: Counts | None = None) -> DataFrame:
     """labels and the aggregates of each label set, in columns of label values until they are summed up."""
-    rows, names = _sampled(df, metric, keep)
+    rows, names = _sampled(df, metric, keep, counts)
     by = [F.col(f"_l{i}") for i in range(len(names))] or [F.lit(0).alias("_l0")]
     g = rows.groupBy(*by).agg(*aggs)
     return g.select(*g.columns, _labels(names))
 
 
-def counter(df: DataFrame, metric: dict) -> DataFrame:
+def counter(df: DataFrame, metric: dict, counts: Counts | None = None) -> DataFrame:
     """(metric, type, labels, value): the sum for each label set."""
-    return _named(_grouped(df, metric, [F.sum("value").alias("value")]), metric, "counter")
+    return _named(_grouped(df, metric, [F.sum("value").alias("value")], counts=counts), metric, "counter")
 
 
 def gauge(df: DataFrame, metric: dict, time_col: str, order: list[str] | None = None) -> DataFrame:
@@ -109,11 +114,15 @@ def live(df: DataFrame, metric: dict, time_col: str, end: Column, ttl: int = 120
     return g.filter(F.col("last") >= end - F.expr(f"INTERVAL {int(ttl)} SECONDS")).select("labels", "last")
 
 
-def capped(df: DataFrame, metric: dict, time_col: str, most: int) -> DataFrame:
-    """The counter of the ``most`` label sets that came first; later label sets are dropped, which is the feature."""
-    g = _grouped(df, metric, [F.sum("value").alias("value"), F.min(f"_{time_col}").alias("_first")], [time_col])
+def capped(df: DataFrame, metric: dict, time_col: str, most: int, counts: Counts | None = None) -> DataFrame:
+    """The counter of the ``most`` label sets that came first; later label sets are dropped, which is the feature. ``counts``
+    sees label sets and samples before the cap (``<name>.all``) and after it (``<name>.kept``); the rest was dropped."""
+    g = _grouped(df, metric, [F.sum("value").alias("value"), F.min(f"_{time_col}").alias("_first"), F.count(F.lit(1)).alias("_n")], [time_col], counts)
     by = [c for c in g.columns if c.startswith("_l")]
-    return _named(g.orderBy("_first", *by).limit(most), metric, "counter")
+    if counts is None:
+        return _named(g.orderBy("_first", *by).limit(most), metric, "counter")
+    kept = counts.watch(g, f"{metric['name']}.all", {}, {"samples": F.col("_n")}).orderBy("_first", *by).limit(most)
+    return _named(counts.watch(kept, f"{metric['name']}.kept", {}, {"samples": F.col("_n")}), metric, "counter")
 
 
 def exposition(metrics: DataFrame) -> DataFrame:

@@ -33,8 +33,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from flowloom.functions.ranges import bucket_of
 from flowloom.functions.storage import staged
-
 from flowloom.operators.conntrack import BUCKETS, DEFAULT, FIN, KINDS, SYN_ACK, _names, key_fields, keyed, normal, validate
+from flowloom.operators.counts import Counts
 
 #: Flows of one connection that one task walks, and about what a range holds; the most ranges.
 PART_ROWS, MOST_PARTS = 500_000, 10_000
@@ -82,19 +82,17 @@ class Connection:
 
     def add(self, row: dict, first: bool = False) -> None:
         inputs = _names(self.conf)[1]
-        for a in self.conf["aggregates"]:
+        for i, a in enumerate(self.conf["aggregates"]):
             op, n = a["operation"], a["name"] + ((("_AB" if row["_a"] == self.a else "_BA")) if a.get("split") else "")
-            v = None if op == "count" else row[inputs[a["input"]]]
-            v = None if v is not None and v != v else v
             if op == "count":
                 self.values[n] += 1
-            elif op == "first":
+                continue
+            v = row[inputs[a["input"]]] if op in ("first", "last") else row[f"a{i}"]
+            v = None if v is not None and v != v else v
+            if op == "first":
                 self.values[n] = v if first else self.values[n]
-            elif op == "last":
-                self.values[n] = self.values[n] if v is None else v
-            elif v is not None or not a.get("report_missing"):
-                v = float(v or 0)
-                self.values[n] = {"sum": self.values[n] + v, "min": min(self.values[n], v), "max": max(self.values[n], v)}[op]
+            elif v is not None:
+                self.values[n] = v if op == "last" else {"sum": self.values[n] + v, "min": min(self.values[n], v), "max": max(self.values[n], v)}[op]
         if self.ends is None:  # a connection that saw a FIN does not live longer
             self.last = row["_t"]
             if self.conf.get("detect_end") and row["_flags"] & FIN:
@@ -227,10 +225,10 @@ def merged(conf: dict, earlier: list, later: list) -> list:
 class Part:
     """One range's flows of one connection, sorted; what ``summary`` makes of them."""
 
-    def __init__(self, conf: dict, t: np.ndarray, fin: np.ndarray, low: np.ndarray, swap: np.ndarray, group: np.ndarray, numbers: dict[str, np.ndarray], whole: dict[str, list]):
+    def __init__(self, conf: dict, t: np.ndarray, fin: np.ndarray, low: np.ndarray, swap: np.ndarray, group: np.ndarray, numbers: dict[int, np.ndarray], whole: dict[str, list]):
         self.conf, self.t, self.low, self.group, self.n = conf, t, low, group, len(t)
         self.a_low = low != swap
-        self.numbers, self.whole = numbers, whole  # inputs as numbers (NaN: absent), and as they are
+        self.numbers, self.whole = numbers, whole  # numbers by aggregate (NaN: none), and inputs as they are
         self.fins = np.flatnonzero(fin)
         gaps = np.diff(t)
         self.gaps = {g["end_timeout"]: np.flatnonzero(t[1:] > t[:-1] + g["end_timeout"]) + 1 for g in conf["groups"]} if len(gaps) else {g["end_timeout"]: np.empty(0, np.int64) for g in conf["groups"]}
@@ -254,9 +252,9 @@ class Part:
     def held(self, i: int, j: int) -> list:
         """Held values of flows i to j; of aggregates by side those of the low and of the high end."""
         out, low = [], self.low[i:j]
-        for a in self.conf["aggregates"]:
+        for k, a in enumerate(self.conf["aggregates"]):
             op = a["operation"]
-            v = None if op == "count" else (self.whole if op in ("first", "last") else self.numbers)[a["input"]][i:j]
+            v = None if op == "count" else (self.whole[a["input"]] if op in ("first", "last") else self.numbers[k])[i:j]
             if op == "count":
                 out.append([float(low.sum()), float((~low).sum())] if a.get("split") else [float(j - i)])
             elif op == "first":
@@ -265,8 +263,6 @@ class Part:
                 out.append([next((x for x in reversed(v) if x is not None), None)])
             else:
                 ok = ~np.isnan(v)
-                if not a.get("report_missing"):
-                    v, ok = np.where(ok, v, 0.0), np.ones(len(v), bool)
                 f = {"sum": np.sum, "min": np.min, "max": np.max}[op]
                 out.append([float(f(v[s])) if s.any() else NONE[op] for s in ([ok & low, ok & ~low] if a.get("split") else [ok])])
         return out
@@ -338,16 +334,15 @@ def step(conf: dict, state: tuple | None, s: dict) -> tuple:
 def _fold(conf: dict):
     """Arrow group -> one summary."""
     _, inputs, order = _names(conf)
-    kept = {a["input"] for a in conf["aggregates"] if a["operation"] in ("first", "last")}
-    counted = {a["input"] for a in conf["aggregates"] if a["operation"] in ("sum", "min", "max")}
+    summed = [i for i, a in enumerate(conf["aggregates"]) if a["operation"] in ("sum", "min", "max")]
 
     def fold(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by([(c, "ascending") for c in ["_t", *order]])
         low = np.array(rows["_low"].to_pylist(), object) == np.array(rows["_a"].to_pylist(), object)
         flags = rows["_flags"].to_numpy()
         swap = flags & SYN_ACK > 0 if conf.get("swap_ab") else np.zeros(len(flags), bool)
-        numbers = {f: rows[v].cast("double").to_numpy(zero_copy_only=False) for f, v in inputs.items() if f in counted}
-        whole = {f: [None if x != x else x for x in rows[v].to_pylist()] for f, v in inputs.items() if f in kept}
+        numbers = {i: rows[f"a{i}"].to_numpy() for i in summed}
+        whole = {f: [None if x != x else x for x in rows[v].to_pylist()] for f, v in inputs.items()}
         part = Part(conf, rows["_t"].to_numpy(), (flags & FIN > 0) & bool(conf.get("detect_end")), low, swap, rows["_group"].to_numpy(), numbers, whole)
         return pa.table({c: pa.array([rows[c][0].as_py()], t) for c, t in ((*((k, pa.string()) for k in KEY), ("_part", pa.int32()))[i] for i in range(4))} | {"summary": pa.array([pickle.dumps(part.summary())], pa.binary())})
 
@@ -378,7 +373,7 @@ def _parts(rows: DataFrame, conf: dict, n: int, part_rows: int) -> DataFrame:
         if not cuts or c - cuts[-1] > least:
             cuts.append(c)
     rows = rows.withColumn("_part", bucket_of(F.col("_t"), cuts))
-    inputs = [*_names(conf)[1].values(), *_names(conf)[2]]
+    inputs = [*_names(conf)[1].values(), *_names(conf)[2], *[f"a{i}" for i, a in enumerate(conf["aggregates"]) if a["operation"] in ("sum", "min", "max")]]
     small = rows.select(*KEY, "_part", "_t", "_a", "_flags", "_group", *inputs)
     at = "_common string, _low string, _high string, _part int"
     summaries = small.groupBy(*KEY, "_part").applyInArrow(_fold(conf), f"{at}, summary binary")
@@ -397,9 +392,10 @@ def record_schema(df: DataFrame, conf: dict) -> T.StructType:
     return out.add("_HashId", "string").add("_RecordType", "string").add("_IsFirst", "boolean").add("_EndReason", "string").add("time", "double")
 
 
-def timed(df: DataFrame, conf: dict, keep_time: bool = False) -> DataFrame:
+def timed(df: DataFrame, conf: dict, keep_time: bool = False, counts: Counts | None = None) -> DataFrame:
     """Keyed flows that are no duplicates, with their time in seconds; the walk reads nothing else."""
-    rows = keyed(df, conf).withColumn("_t", F.unix_micros(F.col("event_time").cast("timestamp")) / 1e6).filter(~F.col("_dup"))
+    rows = keyed(df, conf) if counts is None else keyed(df, conf, counts)
+    rows = rows.withColumn("_t", F.unix_micros(F.col("event_time").cast("timestamp")) / 1e6).filter(~F.col("_dup"))
     return rows.drop("_dup") if keep_time else rows.drop("_dup", "event_time")
 
 
@@ -423,17 +419,17 @@ def _walked(rows: DataFrame, conf: dict, kinds: tuple[str, ...], schema: T.Struc
     return rows.mapInArrow(work, schema)
 
 
-def track(df: DataFrame, conf: dict = DEFAULT, kinds: tuple[str, ...] = KINDS, part_rows: int | None = PART_ROWS) -> DataFrame:
+def track(df: DataFrame, conf: dict = DEFAULT, kinds: tuple[str, ...] = KINDS, part_rows: int | None = PART_ROWS, counts: Counts | None = None) -> DataFrame:
     """newConnection, heartbeat and endConnection records of a table of flows; ``time`` in epoch seconds.
 
     Rows are dealt by connection and sorted within each partition, so the walk streams through them and holds one
     connection's state. Connections of more than ``part_rows`` flows are walked in ranges of time (None: never). With
     ``max_tracked`` in conf, rows are dealt to ``buckets`` by key, and each tracks so many connections at a time (a cap
-    over all would need one task). Duplicates neither open nor prolong a connection. An empty table gives no record.
+    over all would need one task). Duplicates neither open nor prolong a connection. An empty table gives no record. ``counts`` sees what aggregates could not use (see ``keyed``).
     """
     validate(conf, kinds)
     conf = normal(conf)
-    rows, schema, order = timed(df, conf), record_schema(df, conf), _names(conf)[2]
+    rows, schema, order = timed(df, conf, counts=counts), record_schema(df, conf), _names(conf)[2]
     if conf.get("max_tracked"):
         rows = rows.withColumn("_bucket", F.pmod(F.xxhash64(*KEY), F.lit(conf.get("buckets", BUCKETS))))
         return _walked(rows.repartition("_bucket").sortWithinPartitions("_bucket", "_t", *order), conf, kinds, schema)

@@ -15,6 +15,7 @@ from flowloom.functions.coerce import go_str, to_bool, to_double, to_int
 from flowloom.functions.storage import shared_dir
 from flowloom.operators import aggregate as agg
 from flowloom.operators import conntrack, enrich, filters, generic, inventory, metrics, topk, walk
+from flowloom.operators.counts import Counts
 from flowloom.plans import library, query_text
 from flowloom.plans.pipeline import Flow, Pipeline
 from flowloom.sources import flows as src
@@ -562,6 +563,23 @@ def c16(f):
     return conntrack.classify(f.withColumn("SrcAddr", F.when(F.col("flow_id") % 7 != 0, F.col("SrcAddr"))), TRACK)
 
 
+@query("c5_m2_m11_side_counts", """, r AS (SELECT *, CASE WHEN line%3=0 THEN concat(Bytes::VARCHAR,' B') WHEN line%5=0 THEN NULL ELSE Bytes::VARCHAR END AS text FROM flows),
+ k AS (SELECT SrcAddr, min(event_time) AS t0, count(*) AS n FROM r WHERE Proto<>17 AND line%3<>0 AND line%5<>0 GROUP BY 1), o AS (SELECT n, row_number() OVER (ORDER BY t0, SrcAddr) AS at FROM k),
+ g AS (SELECT * FROM r WHERE Proto IN (6,17,132))
+ SELECT 'bytes' AS name, 'rows' AS count, count(*) AS n FROM r WHERE Proto<>17 UNION ALL SELECT 'bytes', 'ValueConversionError', count(*) FROM r WHERE Proto<>17 AND line%3=0
+ UNION ALL SELECT 'bytes.all', 'rows', count(*) FROM o UNION ALL SELECT 'bytes.all', 'samples', sum(n)::BIGINT FROM o UNION ALL SELECT 'bytes.kept', 'rows', count(*) FROM o WHERE at<=40 UNION ALL SELECT 'bytes.kept', 'samples', sum(n)::BIGINT FROM o WHERE at<=40
+ UNION ALL SELECT 'aggregates', 'rows', count(*) FROM g UNION ALL SELECT 'aggregates', 'Float64ConversionError:text', count(*) FROM g WHERE NOT Duplicate AND line%3=0 UNION ALL SELECT 'aggregates', 'MissingFieldError:text', count(*) FROM g WHERE NOT Duplicate AND line%3<>0 AND line%5=0""")
+def side_counts(f):
+    """What a metric, its cap and a connection's aggregates skip, counted in the pass that skips it."""
+    rows = f.withColumn("text", F.when(F.col("line") % 3 == 0, F.concat(F.col("Bytes").cast("string"), F.lit(" B"))).when(F.col("line") % 5 != 0, F.col("Bytes").cast("string")))
+    counts = Counts()
+    metric = {"name": "bytes", "labels": ["SrcAddr"], "value_key": "text", "filters": [{"key": "Proto", "type": "not_equal", "value": "17"}]}
+    sinks.sink_none(metrics.capped(rows, metric, "event_time", 40, counts))
+    conf = TRACK | {"aggregates": [{"name": "text", "operation": "sum", "report_missing": True}]}
+    sinks.sink_none(walk.track(rows, conf, ("endConnection",), counts=counts))
+    return counts.table(f.sparkSession)
+
+
 # ---- metrics
 
 

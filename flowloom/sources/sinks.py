@@ -12,6 +12,8 @@ from flowloom.functions.storage import staged
 
 #: Rows of a range of times that are numbered together.
 RANGE_ROWS = 200_000
+#: Fixed value: the version that objects name.
+VERSION = "v0.1"
 #: Microseconds of the timestamp scales.
 SCALES = {"1m": 60_000_000, "1s": 1_000_000, "100ms": 100_000, "1ms": 1_000}
 
@@ -84,7 +86,7 @@ def object_batches(df: DataFrame, time_col: str, size: int = 10, account: str =
     rows = rows.withColumn("_at", F.col("_before") + F.col("_at")).withColumn("_batch", F.floor(F.col("_at") / size))
     fixed = [F.lit(v).alias(k) for k, v in (header or {}).items()]
     group = rows.groupBy("_hour", "_batch").agg(F.transform(F.array_sort(F.collect_list(F.struct("_at", "_row"))), lambda x: x["_row"]).alias("flow_logs"), F.min("_t").alias("start"), F.max("_t").alias("end"))
-    body = F.to_json(F.struct(*fixed, F.lit("0.1").alias("version"), F.col("start").alias("capture_start_time"), F.col("end").alias("capture_end_time"), F.size("flow_logs").alias("number_of_flow_logs"), "flow_logs"))
+    body = F.to_json(F.struct(*fixed, F.lit(VERSION).alias("version"), F.col("start").alias("capture_start_time"), F.col("end").alias("capture_end_time"), F.size("flow_logs").alias("number_of_flow_logs"), "flow_logs"))
     path = F.concat(
         F.lit(f"{account}/"), F.date_format("_hour", "'year='yyyy'/month='MM'/day='dd'/hour='HH"), F.lit(f"/stream-id={stream_id}/"),
         padded(F.col("_batch")),

@@ -30,7 +30,7 @@ from flowloom.operators import metrics as M
 
 #: Buckets of label sets; each is one key of the state store, with a map of its label sets.
 BUCKETS = 1024
-PARTIAL = "bucket int, labels array<string>, n long, sum double, low double, high double, first long, last long, last_value double, counts array<long>, raw array<double>, seen timestamp"
+PARTIAL = "bucket int, labels array<string>, n long, sum double, low double, high double, first long, last long, first_value double, last_value double, counts array<long>, raw array<double>, seen timestamp"
 TOTALS = "bucket int, labels array<string>, live boolean, n long, sum double, low double, high double, last_value double, counts array<long>, last long, batch_n long, batch_sum double, batch_low double, batch_high double, raw array<double>, dropped long"
 _VALUE = "n bigint, sum double, low double, high double, last_value double, counts array<bigint>, last bigint"
 
@@ -41,12 +41,13 @@ def changelog(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 
 
-def partials(rows: DataFrame, labels: list[Column], value: Column, time: Column, order: list[Column] | None = None, bounds: list[float] | None = None, raw: bool = False, buckets: int = BUCKETS) -> DataFrame:
-    """One row for each Arrow batch and label set: what is shuffled instead of rows, however hot a label set is."""
+def partials(rows: DataFrame, labels: list[Column], value: Column, time: Column, order: list[Column] | None = None, bounds: list[float] | None = None, raw: bool = False, buckets: int = BUCKETS, apart: int = 0) -> DataFrame:
+    """One row for each Arrow batch and label set: what is shuffled instead of rows, however hot a label set is.
+    The last ``apart`` labels have no part in the bucket."""
     named = {f"l{i}": F.coalesce(c.cast("string"), F.lit("")) for i, c in enumerate(labels)} or {"l0": F.lit("")}
     later = {f"o{i}": c for i, c in enumerate(order or [])}
     flat = rows.select(*[c.alias(n) for n, c in (named | later).items()], value.cast("double").alias("v"), F.unix_micros(time.cast("timestamp")).alias("t"))
-    flat = flat.filter("v IS NOT NULL AND t IS NOT NULL").withColumn("bucket", F.pmod(F.xxhash64(*named), F.lit(buckets)).cast("int"))
+    flat = flat.filter("v IS NOT NULL AND t IS NOT NULL").withColumn("bucket", F.pmod(F.xxhash64(*[*named][: len(named) - apart] or [F.lit(0)]), F.lit(buckets)).cast("int"))
     keys, sorting, limits = [*named], ["t", *later], [float(b) for b in bounds or []]
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -58,11 +59,11 @@ def partials(rows: DataFrame, labels: list[Column], value: Column, time: Column,
             t = pa.Table.from_batches([b]).sort_by([(c, "ascending") for c in sorting])
             for i, x in enumerate(limits):
                 t = t.append_column(f"c{i}", pc.cast(pc.less_equal(t["v"], x), pa.int64()))
-            aggs = [("v", "count"), ("v", "sum"), ("v", "min"), ("v", "max"), ("v", "last"), ("t", "min"), ("t", "max"), *[(f"c{i}", "sum") for i in range(len(limits))], *([("v", "list")] if raw else [])]
+            aggs = [("v", "count"), ("v", "sum"), ("v", "min"), ("v", "max"), ("v", "first"), ("v", "last"), ("t", "min"), ("t", "max"), *[(f"c{i}", "sum") for i in range(len(limits))], *([("v", "list")] if raw else [])]
             g = t.group_by(["bucket", *keys], use_threads=False).aggregate(aggs)
             made = {
                 "bucket": g["bucket"], "labels": pa.array(list(zip(*[g[k].to_pylist() for k in keys])), pa.list_(pa.string())), "n": g["v_count"], "sum": g["v_sum"], "low": g["v_min"], "high": g["v_max"], "first": g["t_min"],
-                "last": g["t_max"], "last_value": g["v_last"], "counts": pa.array(list(zip(*[g[f"c{i}_sum"].to_pylist() for i in range(len(limits))])) or [()] * len(g), pa.list_(pa.int64())),
+                "last": g["t_max"], "first_value": g["v_first"], "last_value": g["v_last"], "counts": pa.array(list(zip(*[g[f"c{i}_sum"].to_pylist() for i in range(len(limits))])) or [()] * len(g), pa.list_(pa.int64())),
                 "raw": g["v_list"] if raw else pa.nulls(len(g), pa.list_(pa.float64())), "seen": pc.cast(g["t_max"], pa.timestamp("us", "UTC")),
             }
             yield from pa.table(made).combine_chunks().to_batches()

@@ -70,10 +70,10 @@ def test_summaries_do_not_grow_with_flows():
     conf = conntrack.normal(CONF | {"detect_end": True, "groups": groups(({}, 20, 1, 15))})
     t = np.arange(20_000) * 0.25
     flags = np.arange(20_000) % 50 == 7
-    part = walk.Part(conf, t, flags, t >= 0, t < 0, np.zeros(20_000, int), {"Bytes": np.ones(20_000)}, {})
+    part = walk.Part(conf, t, flags, t >= 0, t < 0, np.zeros(20_000, int), {0: np.ones(20_000)}, {})
     s = part.summary()
     assert len(s["steps"]) <= 6 and len(s["states"]) <= 6
-    quiet = walk.Part(conf, t, t < 0, t >= 0, t < 0, np.zeros(20_000, int), {"Bytes": np.ones(20_000)}, {}).summary()
+    quiet = walk.Part(conf, t, t < 0, t >= 0, t < 0, np.zeros(20_000, int), {0: np.ones(20_000)}, {}).summary()
     assert len(quiet["steps"]) <= 6 and quiet["cases"] == [(None, None, t[-1])] and quiet["held"] == [[20_000.0, 0.0], [20_000.0]]
 
 
