@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-import ipaddress
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 _V4 = r"^(25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(\.(25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)){3}$"
 #: Names of the TCP flag bits, in bit order.
@@ -57,21 +53,41 @@ def long_to_ip(n: Column) -> Column:
     return F.concat_ws(".", *[F.pmod(F.shiftright(n.cast("bigint"), s), F.lit(256)).cast("string") for s in (24, 16, 8, 0)])
 
 
-@F.pandas_udf(T.StringType())
-def _subnet_v6(ip: pd.Series, mask: pd.Series) -> pd.Series:
-    def one(a, m):
-        try:
-            return str(ipaddress.ip_network(f"{a}/{m}", strict=False))
-        except (ValueError, TypeError):
-            return None
+def hex_to_ip6(digits: Column) -> Column:
+    """32 hex digits as IPv6 text: the first of the longest runs of two or more zero groups is left out, and an IPv4
+    address within stays dotted."""
+    short = lambda g: F.coalesce(F.nullif(F.ltrim(g, F.lit("0")), F.lit("")), F.lit("0"))
+    text = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(29), F.lit(4)), lambda i: short(F.substring(digits, i, F.lit(4)))), ":")
+
+    def shortened(t: Column) -> Column:
+        out = t
+        for n in range(2, 9):  # the longest is tried first
+            run = f"^((?:[0-9a-f:]*?:)??)0(?::0){{{n - 1}}}((?::[0-9a-f:]*)?)$"
+            out = F.when(t.rlike(run), F.concat(F.regexp_replace(F.regexp_extract(t, run, 1), ":$", ""), F.lit("::"), F.regexp_replace(F.regexp_extract(t, run, 2), "^:", ""))).otherwise(out)
+        return out
+
+    dotted = F.concat(F.lit("::ffff:"), long_to_ip(F.conv(F.right(digits, F.lit(8)), 16, 10)))
+    return F.when(digits.startswith("0" * 20 + "ffff"), dotted).when(digits.isNotNull(), _let(text, shortened))
+
+
+def _subnet_v6(ip: Column, prefix: int) -> Column:
+    """The IPv6 network of the address: its digits with those after the prefix zero."""
+
+    def masked(h: Column) -> Column:
+        whole, bits = divmod(prefix, 4)
+        kept = F.substring(h, 1, whole)
+        if bits:
+            digit = F.conv(F.substring(h, whole + 1, 1), 16, 10).cast("int").bitwiseAND(F.lit(16 - (1 << 4 - bits)))
+            kept = F.concat(kept, F.lower(F.hex(digit)))
+        return F.rpad(kept, 32, "0")
 
-    return pd.Series([one(a, m) for a, m in zip(ip, mask)], dtype=object)
+    return F.concat(_let(_let(ip_to_hex(ip), masked), hex_to_ip6), F.lit(f"/{prefix}"))
 
 
 def subnet(ip: Column, prefix: int, v6: bool = False) -> Column:
     """The network of the address, as text ``a.b.c.d/prefix``; NULL where the address cannot be read.
 
-    ``v6`` also reads IPv6 addresses, in Arrow batches; IPv4 stays an expression.
+    ``v6`` also reads IPv6 addresses; both are expressions.
     """
     known = ip.rlike(_V4)
     whole, bits = divmod(min(prefix, 32), 8)
@@ -83,7 +99,7 @@ def subnet(ip: Column, prefix: int, v6: bool = False) -> Column:
     v4 = F.concat(F.concat_ws(".", *kept, *zeros), F.lit(f"/{prefix}")) if prefix <= 32 else F.lit(None)
     if not v6:
         return F.when(known, v4)
-    return F.when(known, v4).when(ip.contains(":"), _subnet_v6(F.when(ip.contains(":"), ip), F.lit(str(prefix))))
+    return F.when(known, v4).when(ip.contains(":"), _subnet_v6(ip, prefix))
 
 
 def decode_tcp_flags(flags: Column) -> Column:

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from flowloom.functions.coerce import free_names
 from flowloom.functions.net import subnet
 from flowloom.operators.aggregate import aggregate
+from flowloom.operators.asof import as_of
 from flowloom.operators.enrich import add_location, add_service
 from flowloom.operators.metrics import histogram
 
@@ -54,6 +56,25 @@ def rate(df: DataFrame, keys: list[str], value: Column, time_col: str, window: s
     return df.groupBy(F.window(time_col, window)["start"].alias("window_start"), *keys).agg((F.sum(value) / seconds).alias("rate"))
 
 
+def counter_rate(df: DataFrame, keys: list[str], value_col: str, time_col: str, window: str = "1 minute", seconds: int = 60) -> DataFrame:
+    """Per window and keys: by how much a counter's samples grew for each second. A sample below the one before it starts
+    from zero (the counter was reset); a series' first sample tells no growth. Samples meet the one before in an as-of join,
+    so a series of any length is many tasks' work; of samples of one time the least counts as the earlier one."""
+    value, number, before = F.col(f"`{value_col}`").cast("double"), *free_names(df, "_number", "_before")
+    rows = df.select(*keys, F.col(f"`{time_col}`").alias("_t"), value.alias("_v")).dropna(subset=["_t", "_v"])
+    rows = rows.groupBy(*keys, "_t").agg(F.min("_v").alias("_low"), F.max("_v").alias("_v"))  # within one time a counter only grows
+    rows = rows.withColumn(number, F.unix_micros(F.col("_t").cast("timestamp")) - 1)
+    found = as_of(rows, rows.select(*keys, "_t", F.col("_v").alias("_held")), keys, number, "_t", {before: "_held"})
+    known = F.col(before).isNotNull()
+    grown = F.when(known, F.when(F.col("_low") >= F.col(before), F.col("_low") - F.col(before)).otherwise(F.col("_low"))).otherwise(F.lit(0.0)) + F.col("_v") - F.col("_low")
+    return found.groupBy(F.window("_t", window)["start"].alias("window_start"), *keys).agg((F.sum(grown) / seconds).alias("rate"))
+
+
+def sum_over_time(df: DataFrame, keys: list[str], value: Column, time_col: str, length: str, step: str) -> DataFrame:
+    """(window_start, keys, total, n): sums and numbers of samples over windows of a length that begin every step."""
+    return df.groupBy(F.window(time_col, length, step)["start"].alias("window_start"), *keys).agg(F.sum(value).cast("double").alias("total"), F.count(value).alias("n"))
+
+
 def top_rates(rates: DataFrame, keys: list[str], k: int = 10) -> DataFrame:
     """The k largest of each window."""
     w = Window.partitionBy("window_start").orderBy(F.col("rate").desc(), *keys)

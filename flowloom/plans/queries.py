@@ -168,15 +168,26 @@ def n2(f):
 _SIX = """CASE line%4 WHEN 0 THEN concat('2001:DB8:',lower(to_hex(split_part(SrcAddr,'.',2)::INT)),'::',lower(to_hex(split_part(SrcAddr,'.',4)::INT))) WHEN 1 THEN concat('::ffff:',SrcAddr) WHEN 2 THEN concat(SrcAddr,':80') ELSE 'fe80::1' END"""
 
 
-@query("n2_subnet_label_v6", f"""SELECT {_ID}, {_SIX} AS addr, CASE line%4 WHEN 0 THEN CASE WHEN SrcAddr LIKE '10.1.%' THEN 'site-1' ELSE 'site' END WHEN 1 THEN CASE WHEN SrcAddr LIKE '10.1.%' THEN 'lab' ELSE 'rest' END WHEN 3 THEN 'link' END AS label FROM flows""")
-def n2_v6(f):
+def _six(f: DataFrame):
     part = lambda i: F.lower(F.hex(F.split_part("SrcAddr", F.lit("."), F.lit(i)).cast("int")))
     line = F.col("line") % 4
-    addr = F.when(line == 0, F.concat(F.lit("2001:DB8:"), part(2), F.lit("::"), part(4))).when(line == 1, F.concat(F.lit("::ffff:"), "SrcAddr")).when(line == 2, F.concat("SrcAddr", F.lit(":80"))).otherwise("fe80::1")
+    return F.when(line == 0, F.concat(F.lit("2001:DB8:"), part(2), F.lit("::"), part(4))).when(line == 1, F.concat(F.lit("::ffff:"), "SrcAddr")).when(line == 2, F.concat("SrcAddr", F.lit(":80"))).otherwise("fe80::1")
+
+
+@query("n2_subnet_label_v6", f"""SELECT {_ID}, {_SIX} AS addr, CASE line%4 WHEN 0 THEN CASE WHEN SrcAddr LIKE '10.1.%' THEN 'site-1' ELSE 'site' END WHEN 1 THEN CASE WHEN SrcAddr LIKE '10.1.%' THEN 'lab' ELSE 'rest' END WHEN 3 THEN 'link' END AS label FROM flows""")
+def n2_v6(f):
+    addr = _six(f)
     labels = [{"name": "site-1", "cidrs": ["2001:db8:1::/48"]}, {"name": "site", "cidrs": ["2001:db8::/32"]}, {"name": "lab", "cidrs": ["10.1.0.0/16"]}, {"name": "link", "cidrs": ["fe80::/10"]}, {"name": "rest", "cidrs": ["0.0.0.0/0"]}]
     return enrich.add_subnet_label(f.withColumn("addr", addr), "addr", "label", labels).select("flow_id", "line", "SrcPort", "addr", "label")
 
 
+@query("n1_subnet_v6", f"""SELECT {_ID}, CASE line%4 WHEN 0 THEN concat('2001:db8:', CASE WHEN SrcAddr LIKE '10.0.%' THEN '' ELSE lower(to_hex(split_part(SrcAddr,'.',2)::INT)) END, CASE WHEN SrcAddr LIKE '10.0.%' THEN ':/48' ELSE '::/48' END) WHEN 1 THEN '::/48' WHEN 3 THEN 'fe80::/48' END AS s48,
+ CASE line%4 WHEN 0 THEN '2001:c00::/22' WHEN 1 THEN '::/22' WHEN 3 THEN 'fe80::/22' END AS s22 FROM flows""")
+def n1_v6(f):
+    addr = _six(f)
+    return f.select("flow_id", "line", "SrcPort", net.subnet(addr, 48, v6=True).alias("s48"), net.subnet(addr, 22, v6=True).alias("s22"))
+
+
 @query("n3_add_service", f"SELECT {_ID}, {_SERVICE} AS service FROM flows")
 def n3(f):
     return enrich.add_service(f, "DstPort", "Proto", "service", *_dimensions(f)).select("flow_id", "line", "SrcPort", "service")
@@ -563,11 +574,23 @@ def c16(f):
     return conntrack.classify(f.withColumn("SrcAddr", F.when(F.col("flow_id") % 7 != 0, F.col("SrcAddr"))), TRACK)
 
 
+@query("l13_counter_rate", """, p AS (SELECT concat(Proto::VARCHAR,'-',(flow_id%7)::VARCHAR) AS series, event_time AS t, Bytes AS v, lag(Bytes) OVER (PARTITION BY Proto, flow_id%7 ORDER BY event_time) AS before FROM flows)
+ SELECT strftime(date_trunc('hour', t), '%Y-%m-%d %H:%M:%S') AS window_start, series, sum(CASE WHEN before IS NULL THEN 0 WHEN v>=before THEN v-before ELSE v END)::DOUBLE/3600 AS rate FROM p GROUP BY 1, 2""", sessions=True)
+def counter_rate(f):
+    rows = f.select(F.concat_ws("-", F.col("Proto").cast("string"), (F.col("flow_id") % 7).cast("string")).alias("series"), "event_time", F.col("Bytes").alias("v"))
+    return library.counter_rate(rows, ["series"], "v", "event_time", "1 hour", 3600).select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "series", "rate")
+
+
+@query("l13_sum_over_time", """, s AS (SELECT Proto, Bytes, unnest([date_trunc('hour', event_time) - to_hours(k) FOR k IN range(0, 3)]) AS w FROM flows) SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, Proto, sum(Bytes)::DOUBLE AS total, count(*) AS n FROM s GROUP BY 1, 2""", sessions=True)
+def sum_over_time(f):
+    return library.sum_over_time(f, ["Proto"], F.col("Bytes"), "event_time", "3 hours", "1 hour").select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "Proto", "total", "n")
+
+
 @query("c5_m2_m11_side_counts", """, r AS (SELECT *, CASE WHEN line%3=0 THEN concat(Bytes::VARCHAR,' B') WHEN line%5=0 THEN NULL ELSE Bytes::VARCHAR END AS text FROM flows),
- k AS (SELECT SrcAddr, min(event_time) AS t0, count(*) AS n FROM r WHERE Proto<>17 AND line%3<>0 AND line%5<>0 GROUP BY 1), o AS (SELECT n, row_number() OVER (ORDER BY t0, SrcAddr) AS at FROM k),
+ k AS (SELECT SrcAddr, min(event_time) AS t0, count(*) AS n FROM r WHERE Proto<>17 AND line%3<>0 AND line%5<>0 GROUP BY 1), o AS (SELECT n, row_number() OVER (ORDER BY t0, SrcAddr) AS place FROM k),
  g AS (SELECT * FROM r WHERE Proto IN (6,17,132))
  SELECT 'bytes' AS name, 'rows' AS count, count(*) AS n FROM r WHERE Proto<>17 UNION ALL SELECT 'bytes', 'ValueConversionError', count(*) FROM r WHERE Proto<>17 AND line%3=0
- UNION ALL SELECT 'bytes.all', 'rows', count(*) FROM o UNION ALL SELECT 'bytes.all', 'samples', sum(n)::BIGINT FROM o UNION ALL SELECT 'bytes.kept', 'rows', count(*) FROM o WHERE at<=40 UNION ALL SELECT 'bytes.kept', 'samples', sum(n)::BIGINT FROM o WHERE at<=40
+ UNION ALL SELECT 'bytes.all', 'rows', count(*) FROM o UNION ALL SELECT 'bytes.all', 'samples', sum(n)::BIGINT FROM o UNION ALL SELECT 'bytes.kept', 'rows', count(*) FROM o WHERE place<=40 UNION ALL SELECT 'bytes.kept', 'samples', sum(n)::BIGINT FROM o WHERE place<=40
  UNION ALL SELECT 'aggregates', 'rows', count(*) FROM g UNION ALL SELECT 'aggregates', 'Float64ConversionError:text', count(*) FROM g WHERE NOT Duplicate AND line%3=0 UNION ALL SELECT 'aggregates', 'MissingFieldError:text', count(*) FROM g WHERE NOT Duplicate AND line%3<>0 AND line%5=0""")
 def side_counts(f):
     """What a metric, its cap and a connection's aggregates skip, counted in the pass that skips it."""

@@ -109,6 +109,19 @@ def test_ipv6_text(spark):
         assert r["h"] == want and r["i"] == (want is not None or r["ip"] == "1.2.3.4")
 
 
+def test_ipv6_subnets(spark):
+    import ipaddress
+
+    cases = ["::", "::1", "1::", "2001:db8::1:0:0:1", "1:0:0:2:0:0:0:3", "0:0:1:0:0:1:0:0", "1:2:3:4:5:6:7:8", "1:0:2:0:3:0:4:0", "ffff:ffff:ffff:ffff:ffff:ffff:ffff:ffff", "::ffff:1.2.3.4", "64:ff9b::1.2.3.4", "fe80::1", "a::b::c", "x", None]
+    for prefix in (0, 1, 10, 22, 48, 63, 64, 97, 126, 128):
+        for r in spark.createDataFrame([(c,) for c in cases], "ip string").select("ip", net.subnet(F.col("ip"), prefix, v6=True).alias("n")).collect():
+            try:
+                want = str(ipaddress.ip_network(f"{r['ip']}/{prefix}", strict=False))
+            except ValueError:
+                want = None
+            assert r["n"] == want
+
+
 def test_services(spark):
     lines = lambda xs: spark.createDataFrame([(x,) for x in xs], "value string").coalesce(1)
     protocols, services = enrich.parse_protocols(lines(["tcp 6 TCP # x", "udp 17 UDP"])), enrich.parse_services(lines(["netbios-dgm 138/tcp", "ms-sql-s 1433/tcp"]))
