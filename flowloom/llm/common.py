@@ -8,6 +8,7 @@ from collections.abc import Callable
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flowloom.functions.storage import discard, scratch, shared_dir, staged  # noqa: F401  the operators import them from here
 
@@ -51,6 +52,17 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def all_nullable(kind: T.DataType) -> T.DataType:
+    """The type with every field and element nullable, as values that come from Python workers are for all that Spark knows."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, all_nullable(f.dataType), True) for f in kind])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(all_nullable(kind.elementType), True)
+    if isinstance(kind, T.MapType):
+        return T.MapType(all_nullable(kind.keyType), all_nullable(kind.valueType), True)
+    return kind
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the Parquet tables below sf_dir."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

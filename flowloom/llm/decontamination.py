@@ -8,7 +8,8 @@ beyond that Spark joins positions (row, place, size and hash alone) with it by s
 verified at the documents. ``mode`` drops contaminated documents, cuts the hit words out, or only marks.
 
 Edge cases: NULL or empty text has no words and no hits; texts of any length are read whole; an empty benchmark
-gives no hits; repeated rows each get their own result; items with equal windows are all named. Further columns
+gives no hits; repeated rows each get their own result; items with equal windows are all named; items without an id are
+one item of the empty id. Further columns
 stay as they are, whatever their names; only ``mark`` puts n_words, hits and items in the place of input columns of
 these names.
 """
@@ -56,7 +57,7 @@ def _position(m: int):
 
 def _grams(benchmark: DataFrame, n: int, broadcast_windows: int) -> tuple[DataFrame, list[int], bool]:
     """Item windows with their items' texts, the windows' sizes (at most n), and whether the set may be broadcast."""
-    grams = item_windows(benchmark, n).groupBy("gram", "size", "hash").agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
+    grams = item_windows(benchmark, n).groupBy("gram", "size", "hash").agg(F.array_sort(F.collect_set(F.coalesce(F.col("item_id").cast("string"), F.lit("")))).alias("items"))
     length = F.length(F.array_join("gram", " ")) + F.length(F.array_join("items", " ")) + 100
     seen = grams.agg(F.count("*").alias("n"), F.sum(length.cast("double")).alias("bytes"), F.collect_set("size").alias("sizes")).first()
     small = seen["n"] <= broadcast_windows and (seen["bytes"] or 0) <= BROADCAST_BYTES
@@ -158,7 +159,7 @@ sizes AS (SELECT DISTINCT m FROM bg),
 dg AS (SELECT r, m, i, array_to_string(w[i:i+m-1], ' ') AS g FROM (SELECT r, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM dw, sizes WHERE len(w) >= m)),
 hits AS (SELECT dg.r, dg.m, dg.i, bg.item_id FROM dg JOIN bg ON dg.m = bg.m AND dg.g = bg.g),
 hw AS (SELECT r, count(*) AS n FROM (SELECT DISTINCT r, unnest(range(i, i + m)) AS p FROM (SELECT DISTINCT r, i, m FROM hits)) GROUP BY r),
-it AS (SELECT r, count(*) AS n, string_agg(t, ',' ORDER BY t) AS s FROM (SELECT DISTINCT r, item_id::VARCHAR AS t FROM hits) GROUP BY r)
+it AS (SELECT r, count(*) AS n, string_agg(t, ',' ORDER BY t) AS s FROM (SELECT DISTINCT r, coalesce(item_id::VARCHAR, '') AS t FROM hits) GROUP BY r)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(hw.n, 0)::BIGINT AS n_hit, coalesce(it.n, 0)::BIGINT AS n_items,
     sha256(coalesce(it.s, '')) AS items_sha256, hw.n IS NOT NULL AS contaminated
 FROM dw LEFT JOIN hw USING (r) LEFT JOIN it USING (r)

@@ -35,8 +35,9 @@ import pyarrow.compute
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from flowloom.llm.common import release, small_batches, table
+from flowloom.llm.common import all_nullable, release, small_batches, table
 
 LENGTH, GRAM = 50, 20
 #: Bytes of text in a chunk on average, bytes of anchor hashes in a bucket.
@@ -392,8 +393,9 @@ def repeated_spans(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
     """One row for each row of df: row (a struct of the ``keep`` columns, the id by default), n_bytes, spans (array of start and end, in bytes) and kept (the remaining bytes)."""
     small_batches(df.sparkSession)
     gram = GRAM
-    row = F.struct(*[F.col(c) for c in ([id_col] if keep is None else keep)])
-    docs = df.select(row.alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    kept = df.select(*[F.col(f"`{c}`") for c in ([id_col] if keep is None else keep)])
+    row = F.struct(*[F.col(f"`{c}`") for c in kept.columns]).cast(all_nullable(kept.schema))
+    docs = df.select(row.alias("row"), F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST)).alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     total = docs.select(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     chunks = int(max(1, total // chunk_bytes))
     dealt = docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(chunks)).cast("int"))
@@ -569,7 +571,9 @@ def repeated_spans(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
     by_chunk = lambda: dealt.groupBy("chunk")
     one = by_chunk().applyInArrow(anchors, "bucket int, chunk int, often boolean, data binary").groupBy("bucket").applyInArrow(shared, "chunk int, hot boolean, data binary")
     two = by_chunk().cogroup(one.groupBy("chunk")).applyInArrow(contexts, "bucket int, chunk int, hot boolean, data binary").groupBy("bucket").applyInArrow(sorted_runs, "chunk int, hot boolean, data binary")
-    return by_chunk().cogroup(two.groupBy("chunk")).applyInArrow(cut, f"row {docs.schema['row'].dataType.simpleString()}, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
+    span = T.StructType().add("start", "long").add("end", "long")
+    schema = T.StructType().add("row", all_nullable(kept.schema)).add("n_bytes", "long").add("spans", T.ArrayType(span)).add("kept", "binary")
+    return by_chunk().cogroup(two.groupBy("chunk")).applyInArrow(cut, schema)
 
 
 def remove_repeats(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

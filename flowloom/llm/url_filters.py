@@ -28,6 +28,8 @@ from flowloom.llm.common import table
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Rules up to this number ride in the plan as one literal; more are joined by token.
 INLINE_RULES = 2000
+#: Rules that a table of them may have; each is some hundred bytes.
+MOST_RULES = 200_000
 
 #: The host rules of the production filter.
 HOST_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
@@ -40,18 +42,18 @@ PATTERN_RULES = [
 
 
 def host_rule(verdict: str, host: str, path: str) -> dict:
-    """A host rule as regular expression over ``host + '\\n' + path``, with its literal tokens."""
+    """A host rule as regular expression over ``host#path``, with its literal tokens; neither part holds a ``#``."""
     host = host.translate(str.maketrans(UPPER, LOWER))
     whole = [t for t in re.split("[^A-Za-z0-9]+", path.rpartition("/")[0] + "/") if t] if "/" in path else []
     tokens = {t for t in re.split("[^a-z0-9]+", host) + [w.lower() for w in whole] if t}
     return {"name": f"{host}{path}", "kind": 1, "rank": len(host) + len(path), "verdict": verdict, "tokens": tokens,
-            "regex": rf"^([^\n]*\.)?{re.escape(host)}\n{re.escape(path)}"}
+            "regex": rf"^([^#]*\.)?{re.escape(host)}#{re.escape(path)}"}
 
 
 def pattern_rule(verdict: str, pattern: str) -> dict:
     """A pattern rule as regular expression over the lower-cased url, with its literal tokens."""
     body, anchored = (pattern[2:], True) if pattern.startswith("||") else (pattern, False)
-    regex = (r"^[^/?#]*://([^/?#]*\.)?" if anchored else "") + "".join(
+    regex = "(?s)" + (r"^[^/?#]*://([^/?#]*\.)?" if anchored else "") + "".join(
         ".*" if c == "*" else "(?:[^a-z0-9]|$)" if c == "^" else re.escape(c.lower()) for c in body
     )
     # a separator may be shared by two neighbours in "^a^b^", so it is only looked at where it ends a token
@@ -59,6 +61,19 @@ def pattern_rule(verdict: str, pattern: str) -> dict:
     return {"name": pattern, "kind": 0, "rank": len(pattern), "verdict": verdict, "tokens": {t.lower() for t in bounded}, "regex": regex}
 
 
+def read_rules(rules: DataFrame, most: int = MOST_RULES) -> tuple[list[tuple[str, str, str]], list[tuple[str, str]]]:
+    """(host rules, pattern rules) of a table (verdict, host, path, pattern): a row with a pattern is a pattern rule, one
+    with a host a host rule (NULL path: ``/``); rows with neither, or with another verdict than allow or block, are an
+    error, as is a table of over ``most`` rows: rules are sent to all workers."""
+    rows = rules.select("verdict", "host", "path", "pattern").limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"over {most} rules")
+    for r in rows:
+        if r["verdict"] not in ("allow", "block") or not (r["host"] or r["pattern"]):
+            raise ValueError(f"no rule: {r.asDict()}")
+    return [(r["verdict"], r["host"], r["path"] or "/") for r in rows if not r["pattern"]], [(r["verdict"], r["pattern"]) for r in rows if r["pattern"]]
+
+
 def _lower(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 
@@ -105,7 +120,7 @@ def filter_urls(df: DataFrame, host_rules=HOST_RULES, pattern_rules=PATTERN_RULE
     base = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), host.alias("host"), path.alias("path"), F.col(f"`{url_col}`").alias("_url"))
     if not rules:
         return base.select(*kept, "host", "path", F.lit(None).cast("string").alias("rule"), F.lit("allow").alias("verdict"))
-    subject = lambda c: F.when(c["kind"] == 1, F.concat_ws("\n", "host", "path")).otherwise(_lower(F.coalesce(F.col("_url"), F.lit(""))))
+    subject = lambda c: F.when(c["kind"] == 1, F.concat_ws("#", "host", "path")).otherwise(_lower(F.coalesce(F.col("_url"), F.lit(""))))
     tokens = F.array_append(_tokens(F.col("_url")), F.lit(""))
     if len(rules) <= inline_rules:
         by_token: dict[str, list[dict]] = {}

@@ -154,3 +154,12 @@ def test_sketch_estimates(spark):
     r = df.select(fp.resemblance(F.col("a"), F.col("b")).alias("j"), fp.distinct_shingles(F.col("a")).alias("n"), fp.containment(F.col("b"), F.col("a")).alias("c"), (fp.merge(F.col("a"), F.col("b")) == F.col("a")).alias("m")).first()
     assert abs(r["j"] - 2 / 3) < 0.15 and 2300 < r["n"] < 3700 and r["c"] > 0.75 and r["m"]
     assert fp.fingerprint_documents(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+@pytest.mark.parametrize("bound", [2_000_000, 1])
+def test_items_without_id(spark, bound):
+    """They hit words, and are one item of the empty id."""
+    items = spark.createDataFrame([(None, "one two three"), (None, "four five"), (7, "four five")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "one two three"), (2, "x four five one two three"), (3, "four five"), (4, "none")], "doc_id long, text string")
+    got = {r["doc_id"]: r["items"] for r in dec.mark(docs, items, broadcast_windows=bound).collect()}
+    assert got == {1: [""], 2: ["", "7"], 3: ["", "7"], 4: []}

@@ -147,3 +147,14 @@ def test_hot_anchor_sends_windows_apart(spark, monkeypatch):
     apart = seen.value
     assert got_of(spark, rows, chunk_bytes=1500, heavy=10**6, many_chunks=10**6) == brute(rows)
     assert apart < (seen.value - apart) // 5
+
+
+def test_columns_that_are_not_nullable_or_have_dots(spark):
+    from pyspark.sql import types as T
+
+    kinds = T.StructType([T.StructField("a.b", T.LongType(), False), T.StructField("text", T.StringType(), False), T.StructField("x y", T.ArrayType(T.StringType(), False), False), T.StructField("m", T.StructType([T.StructField("d.e", T.LongType(), False)]), False)])
+    shared = "".join(chr(97 + i * i * 7 % 26) for i in range(80))
+    df = spark.createDataFrame([(2, f"two {shared} end", ["p"], (5,)), (1, f"one {shared}", ["q"], (6,))], kinds)
+    out = {r["a.b"]: r for r in sd.remove_repeats(df, id_col="a.b").collect()}
+    assert out[1]["text"] == f"one {shared}" and out[2]["text"] == "two end"  # the blank before the passage is in both
+    assert out[2]["x y"] == ["p"] and out[2]["m"]["d.e"] == 5 and sd.remove_repeats(df, id_col="a.b").columns == df.columns
