@@ -11,10 +11,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowloom.functions.coerce import to_double
+from flowloom.functions.ranges import bucket_of
+from flowloom.functions.storage import staged
 from flowloom.operators.counts import Counts
 
 PROTOCOLS = (6, 17, 132)
@@ -22,6 +24,10 @@ FIN, SYN_ACK = 1, 256
 KINDS = ("newConnection", "heartbeat", "endConnection")
 #: Buckets of keys that a cap on tracked connections is counted in.
 BUCKETS = 64
+#: Flows of one connection that one task takes, and about what a range of time holds; the most ranges.
+PART_ROWS, MOST_PARTS = 500_000, 10_000
+#: Hot connections up to which their hashes are broadcast, eight bytes each.
+HOT_KEYS = 1_000_000
 
 #: The configuration that the queries and tests use: A and B sides, two aggregates, timeouts in seconds.
 DEFAULT = {
@@ -155,19 +161,20 @@ def _values(conf: dict) -> dict[int, Column]:
 
 
 def _first_side(conf: dict) -> tuple[Column, dict[str, Column]]:
-    """(order of flows, the first flow's fields) within a group; the A side is that flow's source."""
+    """(order of flows, their key fields); the A side is the first flow's source."""
     keys, _, later = _names(conf)
     order = F.struct("event_time", *later)
-    return order, {f: F.min_by(k, order) for f, k in keys.items()}
+    return order, {f: F.col(k) for f, k in keys.items()}
 
 
-def _total(a: dict, v: Column | None, on: Column, order: Column) -> Column:
+def _total(a: dict, v: Column | None, on: Column, order: Column) -> tuple:
+    """(kind, value, order) of an aggregate over the flows that ``on`` holds for."""
     op = a["operation"]
     if op == "count":
-        return F.count_if(on).cast("double")
+        return "sum", F.when(on, F.lit(1.0)).otherwise(F.lit(0.0)), None
     if op in ("first", "last"):
-        return F.min_by(v, F.when(on, order)) if op == "first" else F.max_by(v, F.when(on & v.isNotNull(), order))
-    return {"sum": F.sum, "min": F.min, "max": F.max}[op](F.when(on & ~F.isnan(v), v))
+        return op, v, F.when(on, order) if op == "first" else F.when(on & v.isNotNull(), order)
+    return op, F.when(on & ~F.isnan(v), v), None
 
 
 def _zero(df: DataFrame, a: dict, suppress: bool):
@@ -177,11 +184,66 @@ def _zero(df: DataFrame, a: dict, suppress: bool):
     return lambda c: F.nullif(c, F.lit(0.0))
 
 
-def _sessions(df: DataFrame, conf: dict):
-    """Flows that count, grouped by session: two flows of one are at most the timeout apart."""
+SESSION = ["_HashId", "_common", "_low", "_high"]
+
+
+def _gapped(rows: DataFrame, conf: dict, *by: str):
+    """Flows grouped by session: two flows of one are at most the timeout apart."""
     gaps = F.element_at(F.array(*[F.lit(float(g["end_timeout"])) for g in conf["groups"]]), F.col("_group") + 1)
     gap = F.concat((gaps * 1_000_000 + 1).cast("bigint").cast("string"), F.lit(" microseconds"))  # a gap of just the timeout does not end it
-    return keyed(df, conf).filter(~F.col("_dup")).groupBy("_HashId", "_common", "_low", "_high", F.session_window("event_time", gap).alias("_w"))
+    return rows.groupBy(*SESSION, *by, F.session_window("event_time", gap).alias("_w"))
+
+
+def _one_gap(conf: dict) -> bool:
+    """All flows of a connection have one timeout, whichever way they go."""
+    sides = {*conf["key"].get("a", []), *conf["key"].get("b", [])}
+    return len({g["end_timeout"] for g in conf["groups"]}) == 1 or not any(sides & set(g["selector"]) for g in conf["groups"])
+
+
+def _sessions(df: DataFrame, conf: dict, aggs: dict[str, tuple], part_rows: int | None) -> DataFrame:
+    """One row a session with aggs {name: (kind, value, order)}: kinds sum, min, max, and first or last by an order.
+
+    Spark keeps a key's flows in one task while it merges their windows. Keys with more than ``part_rows`` flows are cut
+    into ranges of time: sessions are found in each range, and only the first and last one of a range, which may go on
+    in another, are merged over ranges (where both directions have one timeout).
+    """
+    rows = keyed(df, conf).filter(~F.col("_dup"))
+    whole = {n: _folded(kind, v, order) for n, (kind, v, order) in aggs.items()}
+    plain = lambda r: _gapped(r, conf).agg(*[c.alias(n) for n, c in whole.items()])
+    if part_rows is None or df.isStreaming or not _one_gap(conf):
+        return plain(rows)
+    rows = rows.withColumn("_k", F.xxhash64(*SESSION))
+    hot = staged(rows.groupBy("_k").agg(F.count("*").alias("n")).filter(F.col("n") > part_rows), "hot-sessions")
+    found = hot.agg(F.count("*").alias("keys"), F.sum("n").alias("n")).first()
+    if not found["keys"]:
+        return plain(rows)
+    hashes = F.broadcast(hot.select("_k")) if found["keys"] <= HOT_KEYS else hot.select("_k")
+    some, k = rows.join(hashes, "_k", "left_semi"), min(MOST_PARTS, max(2, -(-found["n"] // part_rows)))
+    micros = F.unix_micros(F.col("event_time").cast("timestamp"))
+    cuts = sorted(set(some.agg(F.percentile_approx(micros, [i / k for i in range(1, k)], max(10_000, 4 * k)).alias("q")).first()["q"]))
+    parts = _gapped(some.withColumn("_part", bucket_of(micros, cuts)), conf, "_part")
+    held = parts.agg(*[c.alias(n) for n, c in whole.items()], *[_order_of(kind, v, order).alias(f"_by_{n}") for n, (kind, v, order) in aggs.items() if kind in ("first", "last")])
+    held = held.withColumns({"_start": F.col("_w")["start"], "_end": F.col("_w")["end"]}).drop("_w")
+    inside = Window.partitionBy(*SESSION, "_part").orderBy("_start")
+    held = staged(held.withColumn("_edge", F.lag("_start").over(inside).isNull() | F.lead("_start").over(inside).isNull()), "sessions")
+    over = Window.partitionBy(*SESSION).orderBy("_start")  # at most two rows a range
+    edges = held.filter("_edge").withColumn("_new", (F.coalesce(F.max("_end").over(over.rowsBetween(Window.unboundedPreceding, -1)) <= F.col("_start"), F.lit(True))).cast("int"))
+    edges = edges.withColumn("_n", F.sum("_new").over(over)).groupBy(*SESSION, "_n").agg(*[_merged(kind, n).alias(n) for n, (kind, _, _) in aggs.items()])
+    names = [*SESSION, *aggs]
+    return plain(rows.join(hashes, "_k", "left_anti")).select(*names).unionByName(held.filter("NOT _edge").select(*names)).unionByName(edges.select(*names))
+
+
+def _order_of(kind: str, v: Column, order: Column) -> Column:
+    """By what the value of a session was the first or last."""
+    return F.min(order) if kind == "first" else F.max(order)
+
+
+def _folded(kind: str, v: Column, order: Column | None) -> Column:
+    return {"sum": lambda: F.sum(v), "min": lambda: F.min(v), "max": lambda: F.max(v), "first": lambda: F.min_by(v, order), "last": lambda: F.max_by(v, order)}[kind]()
+
+
+def _merged(kind: str, n: str) -> Column:
+    return _folded(kind, F.col(n), F.col(f"_by_{n}") if kind in ("first", "last") else None)
 
 
 def _shown_keys(conf: dict, swap: Column) -> dict[str, Column]:
@@ -199,14 +261,14 @@ def _swapped(conf: dict) -> Column:
     return F.col("_flags").bitwiseAND(SYN_ACK) != 0 if conf.get("swap_ab") else F.lit(False)
 
 
-def new_connections(df: DataFrame, conf: dict = DEFAULT, zero_suppression: bool = True) -> DataFrame:
-    """The newConnection record of each session: what its first flow says."""
+def new_connections(df: DataFrame, conf: dict = DEFAULT, zero_suppression: bool = True, part_rows: int | None = PART_ROWS) -> DataFrame:
+    """The newConnection record of each session: what its first flow says. ``part_rows``: as in ``connections``."""
     validate(conf)
     conf = normal(conf)
     order, first = _first_side(conf)
     values = _values(conf)
-    aggs = {f"_k_{i}": c for i, c in enumerate(first.values())} | {f"_v_{i}": F.min_by(v, order) for i, v in values.items()} | {"_flags": F.min_by("_flags", order)}
-    found = _sessions(df, conf).agg(*[c.alias(n) for n, c in aggs.items()], F.min("event_time").alias("first_time"))
+    aggs = {f"_k_{i}": ("first", c, order) for i, c in enumerate(first.values())} | {f"_v_{i}": ("first", v, order) for i, v in values.items()}
+    found = _sessions(df, conf, aggs | {"_flags": ("first", F.col("_flags"), order), "first_time": ("min", F.col("event_time"), None)}, part_rows)
     swap, out = _swapped(conf), {}
     for i, a in enumerate(conf["aggregates"]):
         n, op, zero = a["name"], a["operation"], _zero(df, a, zero_suppression)
@@ -222,16 +284,16 @@ def new_connections(df: DataFrame, conf: dict = DEFAULT, zero_suppression: bool
     return found.select("_HashId", F.lit("newConnection").alias("_RecordType"), F.lit(True).alias("_IsFirst"), *[c.alias(n) for n, c in out.items()], "first_time")
 
 
-def connections(df: DataFrame, conf: dict = DEFAULT, zero_suppression: bool = True, first_report: bool = True) -> DataFrame:
+def connections(df: DataFrame, conf: dict = DEFAULT, zero_suppression: bool = True, first_report: bool = True, part_rows: int | None = PART_ROWS) -> DataFrame:
     """One endConnection record a session: the key fields of its first flow, aggregates, _HashId, _RecordType,
     _IsFirst (``first_report``: whether nothing was reported of a connection before its end), first and last flow
-    time. Duplicates open no session and count nothing."""
+    time. Duplicates open no session and count nothing. Keys with more than ``part_rows`` flows are cut into ranges of time."""
     validate(conf)
     conf = normal(conf)
-    sessions, values = _sessions(df, conf), _values(conf)
+    values = _values(conf)
     order, first = _first_side(conf)
     # the first flow's source end decides the direction, so both ends are summed and named after it
-    aggs = {f"_k_{i}": c for i, c in enumerate(first.values())} | {"_first_a": F.min_by("_a", order), "_flags": F.min_by("_flags", order)}
+    aggs = {f"_k_{i}": ("first", c, order) for i, c in enumerate(first.values())} | {"_first_a": ("first", F.col("_a"), order), "_flags": ("first", F.col("_flags"), order)}
     for i, a in enumerate(conf["aggregates"]):
         v = values.get(i)
         if a.get("split"):
@@ -239,7 +301,7 @@ def connections(df: DataFrame, conf: dict = DEFAULT, zero_suppression: bool = Tr
             aggs[f"_h_{i}"] = _total(a, v, F.col("_a") != F.col("_low"), order)
         else:
             aggs[f"_t_{i}"] = _total(a, v, F.lit(True), order)
-    found = sessions.agg(*[c.alias(n) for n, c in aggs.items()], F.min("event_time").alias("first_time"), F.max("event_time").alias("last_time"))
+    found = _sessions(df, conf, aggs | {"first_time": ("min", F.col("event_time"), None), "last_time": ("max", F.col("event_time"), None)}, part_rows)
     swap = _swapped(conf)
     ab_low = (F.col("_first_a") == F.col("_low")) != swap
     out = {}

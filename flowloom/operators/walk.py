@@ -33,13 +33,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from flowloom.functions.ranges import bucket_of
 from flowloom.functions.storage import staged
-from flowloom.operators.conntrack import BUCKETS, DEFAULT, FIN, KINDS, SYN_ACK, _names, key_fields, keyed, normal, validate
+from flowloom.operators.conntrack import BUCKETS, DEFAULT, FIN, HOT_KEYS, KINDS, MOST_PARTS, PART_ROWS, SYN_ACK, _names, key_fields, keyed, normal, validate
 from flowloom.operators.counts import Counts
 
-#: Flows of one connection that one task walks, and about what a range holds; the most ranges.
-PART_ROWS, MOST_PARTS = 500_000, 10_000
-#: Hot connections up to which their hashes are broadcast, eight bytes each.
-HOT_KEYS = 1_000_000
 KEY = ["_common", "_low", "_high"]
 NONE = {"min": math.inf, "max": -math.inf, "first": None, "last": None, "sum": 0.0, "count": 0.0}
 

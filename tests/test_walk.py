@@ -53,6 +53,17 @@ def test_ranges_equal_the_plain_walk(spark, seed, fin, part_rows, changes):
         assert got == want and len(want) > 50
 
 
+@pytest.mark.parametrize("seed,part_rows,changes", [(11, 30, {}), (12, 7, {"swap_ab": True}), (13, 60, {"groups": groups(({"Proto": 17}, 3, 1, 4), ({}, 12, 2, 5))}), (14, 20, {"groups": groups(({"SrcPort": 443}, 3, 1, 4), ({}, 12, 2, 5))})])
+def test_sessions_in_ranges_equal_the_plain_ones(spark, seed, part_rows, changes):
+    conf = CONF | {"aggregates": AGGREGATES, "groups": groups(({}, 9, 1, 15))} | changes
+    df = spark.createDataFrame(stream(seed, 500, 0.1) + stream(seed + 50, 100, 0.1, hosts=40), NOTED).repartition(2)
+    for made in (conntrack.connections, conntrack.new_connections):
+        whole, parted = made(df, conf, part_rows=None), made(df, conf, part_rows=part_rows)
+        assert parted.dtypes == whole.dtypes
+        got, want = records(parted), records(whole)
+        assert got == want and len(want) > 50
+
+
 def test_a_hot_connection_is_split(spark):
     """A connection with a third of all flows is dealt over tasks, about evenly."""
     rows = stream(8, 4000, 0.01, step=3.0, silent=0.001) + stream(9, 8000, 0.01, hosts=4000)
