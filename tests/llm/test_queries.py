@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from flowloom.llm.queries import QUERIES
+from tests.llm.test_fill_middle import plain as plain_parts
 from tests.llm.test_native import brute as brute_windows
 from tests.llm.test_native import ITEMS, passage
 from tests.llm.test_pipeline import corpus
@@ -109,3 +110,12 @@ def test_op10(spark, tables):
     for d, t in tables[1].items():
         n, hit, items = brute_windows(t)
         assert tuple(got[d]) == (d, n, len(hit), len(items), hashlib.sha256(",".join(items).encode()).hexdigest(), bool(hit))
+
+
+def test_op11(spark, tables):
+    got, types = rows_of(spark, tables, "op11_fill_middle", "doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    for d, t in tables[1].items():
+        n, form, prefix, middle, output = plain_parts(d, t)
+        assert tuple(got[d]) == (d, n, form, prefix, middle, sha(output), sha(t or ""))
+    assert types["n"] == types["prefix_chars"] == "bigint" and {r["form"] for r in got.values()} == {"plain", "psm", "spm"}
