@@ -1,21 +1,21 @@
-"""Near copies by exact five-word Jaccard similarity: minhash bands propose pairs, shingle sets decide.
-
-Documents with the same set of shingles are one node. A node's minhash values are cut to ``BANDS`` bands of
-``ROWS``; nodes that agree on a band share a bucket. Two nodes at similarity 0.8 share none with a chance of
-(1 - 0.8**5)**24 = 0.00007, and with less the more alike they are. Buckets are compared whole:
-
-1. A node and the first node of ``STAR_BANDS`` of its buckets are compared. What is alike becomes one component.
-2. All pairs of one bucket that are still in different components are compared one by one. Where a bucket has over
-   ``BUCKET`` nodes in several components, the nodes that agree on a second band are compared (0.0001 of such pairs agree on no other).
-
-Of the nodes of buckets that are still mixed, shingles are counted once: those that no other such node has are its own. A
-node with ``own`` of its ``size`` shingles can share at most the rest, which bounds its similarity to any other. Nodes and
-pairs whose bound is below the least similarity go, so groups of copies that are edited here and there, too far for a link,
-bring no pairs, however many there are.
-
-In a bucket a pair is looked at by that bound, then by its ``ROWS * BANDS`` minhash values first (two bits of each): a pair at 0.8 agrees on
-fewer than ``LIKELY`` of them with a chance of under 0.000001. Pairs below that never leave the bucket; shingle sets are
-built and moved for the others alone, so unlike texts that share a passage cost no sets.
+"""Near copies by exact five-word Jaccard similarity: SimHash links and minhash bands propose pairs, shingle sets decide.
+
+Documents with the same set of shingles are one node, and each node has a SimHash of that set.
+
+1. SimHash: fingerprints within ``RADIUS`` bits are linked as in op1 (``simhash.link_shards``: shards of agreeing bits, a
+   BK-tree in each); nodes of one fingerprint link to its first. Fingerprints that near finds the closest copies, those
+   of a few words' difference, but a pair at similarity 0.8 differs in about ten bits, so a second way finds the rest:
+2. A node's minhash values are cut to ``BANDS`` bands of ``ROWS``; nodes that agree on a band share a bucket. Two nodes at
+   similarity 0.8 share none with a chance of (1 - 0.8**5)**24 = 0.00007, and with less the more alike they are. A node and
+   the first node of ``STAR_BANDS`` of its buckets are compared. What is alike, by either way, becomes one component.
+3. Of the nodes of buckets that still hold several components, shingles are counted once: those that no other such node
+   has are its own. A node with ``own`` of its ``size`` shingles can share at most the rest, which bounds its similarity to
+   any other; nodes whose bound is below the least similarity go. Nodes that are joined by the buckets left are one family. A
+   family is compared in tiles: each tile holds two of its blocks (or the one), so memory is bounded, and a node with its
+   set goes to as many tiles as its family has blocks, one mostly. All pairs of different components in a tile are looked
+   at by the bound, then by their ``ROWS * BANDS`` minhash values (two bits of each: a pair at 0.8 agrees on fewer than
+   ``LIKELY`` with a chance of under 0.000001), then by their sets. A tile gives a forest of the links that it confirms: at
+   most a row for each of its nodes, however many pairs are alike. No pair of different texts leaves a tile.
 
 A pair links when the exact Jaccard similarity of its shingle sets is ``LEAST`` or more. Groups are the
 connected components; of each, one row stays: that of the smallest id (NULL last), of equal ids one.
@@ -35,13 +35,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowloom.llm.common import discard, free_name, release, scratch, small_batches, staged
-from flowloom.llm.simhash import _WORD, components
+from flowloom.llm.simhash import _WORD, RADIUS, components, link_shards, majority
 
 SIZE, LEAST = 5, 0.8
-ROWS, BANDS, BUCKET = 5, 24, 256
+ROWS, BANDS = 5, 24
+#: Nodes and shingles of a block, two of which a task compares at once.
+BLOCK, BLOCK_SHINGLES = 4096, 1_000_000
 #: Buckets whose first node a node is compared with first; minhash values whose two bits a pair must agree on before
-#: its sets are compared; rows of buckets that a task compares at once.
-STAR_BANDS, LIKELY, TOGETHER = 3, 82, 8192
+#: its sets are compared.
+STAR_BANDS, LIKELY = 3, 82
 #: Differing minhash values in a byte of four of them.
 _DIFFER = np.array([sum((x >> k & 3) > 0 for k in (0, 2, 4, 6)) for x in range(256)], np.uint8)
 #: Numbers of rows to drop up to which they are broadcast.
@@ -84,40 +86,73 @@ def bands(least: np.ndarray) -> np.ndarray:
 def _signatures(batches):
     release()
     for b in batches:
-        nodes, sizes, values, marks = np.empty(len(b), np.uint64), np.empty(len(b), np.int64), np.empty((len(b), BANDS), np.uint64), np.empty((len(b), ROWS * BANDS // 4), np.uint8)
+        nodes, sizes, fps, values, marks = np.empty(len(b), np.uint64), np.empty(len(b), np.int64), np.empty(len(b), np.uint64), np.empty((len(b), BANDS), np.uint64), np.empty((len(b), ROWS * BANDS // 4), np.uint8)
         for i, t in enumerate(b["text"]):
             s = shingles(t.as_py())
             least = minhashes(s)
             two = (least & np.uint64(3)).astype(np.uint8).reshape(-1, 4)
-            nodes[i], sizes[i], values[i], marks[i] = _node(s), len(s), bands(least), two[:, 0] | two[:, 1] << 2 | two[:, 2] << 4 | two[:, 3] << 6
+            nodes[i], sizes[i], fps[i], values[i], marks[i] = _node(s), len(s), majority(s), bands(least), two[:, 0] | two[:, 1] << 2 | two[:, 2] << 4 | two[:, 3] << 6
         lists = pa.ListArray.from_arrays(pa.array(np.arange(len(b) + 1, dtype=np.int32) * BANDS), pa.array(values.ravel().view(np.int64)))
-        yield pa.RecordBatch.from_arrays([b["row"], b["doc_id"], b["seen"], pa.array(nodes.view(np.int64)), pa.array(sizes), lists, pa.array([m.tobytes() for m in marks], pa.binary())], ["row", "doc_id", "seen", "node", "size", "bands", "marks"])
+        yield pa.RecordBatch.from_arrays([b["row"], b["doc_id"], b["seen"], pa.array(nodes.view(np.int64)), pa.array(sizes), pa.array(fps.view(np.int64)), lists, pa.array([m.tobytes() for m in marks], pa.binary())], ["row", "doc_id", "seen", "node", "size", "fp", "bands", "marks"])
 
 
 def _matrix(marks: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(x.as_buffer() for x in marks), np.uint8).reshape(-1, ROWS * BANDS // 4)
 
 
-def _likely_pairs(rows: DataFrame, n: int, least: float) -> DataFrame:
-    """(a, b): pairs of one bucket in different components, of rows (value, node, root, size, shared, marks), n of them, that are likely alike."""
+def _confirmed(least: float):
+    """Arrow groups: rows (i, node, root, shared, marks, set) of one tile to (a, b), a forest of the links between different
+    roots; of a tile of two blocks, between these."""
 
     def work(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by("value")
-        value, node, root, size, shared = (rows[c].to_numpy() for c in ("value", "node", "root", "size", "shared"))
-        marks = _matrix(rows["marks"].combine_chunks())
-        begin = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1], [True]]))
-        found = [np.empty((2, 0), np.int64)]
-        for a, b in zip(begin, begin[1:]):
-            for i in range(a, b - 1):
-                common = np.minimum(shared[i + 1 : b], shared[i])  # at most
-                other = np.flatnonzero((root[i + 1 : b] != root[i]) & (common >= (least - 1e-9) * (size[i + 1 : b] + size[i] - common))) + i + 1
-                other = other[_DIFFER[marks[other] ^ marks[i]].sum(axis=1) <= ROWS * BANDS - LIKELY]
-                found.append(np.stack([np.minimum(node[other], node[i]), np.maximum(node[other], node[i])]))
-        a, b = np.concatenate(found, axis=1)
-        return pa.table({"a": pa.array(a), "b": pa.array(b)})
-
-    together = F.pmod(F.xxhash64("value"), F.lit(1 + n // TOGETHER))
-    return rows.select(together.alias("g"), "value", "node", "root", "size", "shared", "marks").groupBy("g").applyInArrow(work, "a long, b long")
+        rows = rows.combine_chunks()
+        block, node, root, shared = (rows[c].to_numpy() for c in ("i", "node", "root", "shared"))
+        marks, sets = _matrix(rows["marks"].combine_chunks()), rows["set"].combine_chunks()
+        size, flat = np.diff(sets.offsets.to_numpy()).astype(np.int64), sets.flatten().to_numpy()
+        start = np.cumsum(size) - size
+        _, flat = np.unique(flat, return_inverse=True)
+        mine = np.zeros(flat.max() + 1 if len(flat) else 0, bool)
+        _, group = np.unique(root, return_inverse=True)
+        one = len(block) == 0 or block.min() == block.max()
+        a, b = [], []
+        for i in range(len(node) - 1):
+            common = np.minimum(shared[i + 1 :], shared[i])  # at most
+            other = np.flatnonzero((group[i + 1 :] != group[i]) & (one | (block[i + 1 :] != block[i])) & (common >= (least - 1e-9) * (size[i + 1 :] + size[i] - common))) + i + 1
+            other = other[_DIFFER[marks[other] ^ marks[i]].sum(axis=1) <= ROWS * BANDS - LIKELY]
+            if not len(other):
+                continue
+            n = size[other]
+            ends = np.cumsum(n)
+            own = flat[start[i] : start[i] + size[i]]
+            mine[own] = True
+            hits = mine[flat[np.arange(ends[-1]) + np.repeat(start[other] - ends + n, n)]]
+            mine[own] = False
+            met = np.diff(np.concatenate([[0], np.cumsum(hits)])[np.concatenate([[0], ends])])
+            for j in other[met / (n + size[i] - met) >= least]:
+                if group[j] != group[i]:
+                    group[group == group[j]] = group[i]
+                    a.append(min(node[i], node[j]))
+                    b.append(max(node[i], node[j]))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return work
+
+
+def _families(members: DataFrame) -> DataFrame:
+    """(node, family): nodes of (value, node) that are joined by common values."""
+    first = members.groupBy("value").agg(F.min("node").alias("a"))
+    found = components(members.join(first, "value").select("a", F.col("node").alias("b"))).withColumnRenamed("root", "family")
+    return members.select("node").distinct().join(found, "node", "left").select("node", F.coalesce("family", "node").alias("family"))
+
+
+def _family_links(rest: DataFrame, sets: DataFrame, least: float, block: int) -> DataFrame:
+    """(a, b): a forest of the confirmed links within each family of rest (node, root, size, shared, marks, family)."""
+    full = rest.groupBy("family").agg(F.count("*").alias("n"), F.sum("size").alias("shingles"), F.min("root").alias("_low"), F.max("root").alias("_high")).filter("_low < _high")
+    k = F.ceil(F.greatest(F.col("n") / block, F.col("shingles") / BLOCK_SHINGLES)).cast("int")
+    rows = rest.join(full.select("family", F.greatest(k, F.lit(1)).alias("k")), "family").withColumn("i", F.pmod(F.xxhash64("node"), F.col("k")).cast("int"))
+    rows = rows.join(sets, "node").withColumn("j", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+    rows = rows.select("family", F.least("i", "j").alias("low"), F.greatest("i", "j").alias("high"), "i", "node", "root", "shared", "marks", "set")
+    return staged(rows.groupBy("family", "low", "high").applyInArrow(_confirmed(least), "a long, b long"), "confirmed")
 
 
 def _sets(batches):
@@ -168,40 +203,42 @@ def _mixed(members: DataFrame) -> DataFrame:
     return members.groupBy("value").agg(F.count("*").alias("n"), F.min("root").alias("_low"), F.max("root").alias("_high")).filter("_low < _high").select("value", "n")
 
 
-def near_copies(df: DataFrame, least: float = LEAST, id_col: str = "doc_id", text_col: str = "text", row_col: str = "_row", bucket: int = BUCKET) -> DataFrame:
-    """(row, doc_id, root): one row for each row of df; rows of one group have one root."""
+def _simhash_pairs(nodes: DataFrame) -> DataFrame:
+    """(a, b): nodes that SimHash links: each fingerprint's nodes with its first, and first nodes of fingerprints within the radius."""
+    first = staged(nodes.groupBy("fp").agg(F.min("node").alias("node")), "fingerprints")
+    same = nodes.join(first.withColumnRenamed("node", "a"), "fp").filter("node <> a").select("a", F.col("node").alias("b"))
+    near = staged(link_shards(first.select("fp")).distinct(), "simhash-links")
+    named = lambda c: first.select(F.col("fp").alias(f"_{c}"), F.col("node").alias(c))
+    near = near.toDF("_a", "_b").join(named("a"), "_a").join(named("b"), "_b")
+    return same.unionByName(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+
+
+def near_copies(df: DataFrame, least: float = LEAST, id_col: str = "doc_id", text_col: str = "text", row_col: str = "_row", bucket: int = BLOCK) -> DataFrame:
+    """(row, doc_id, root): one row for each row of df; rows of one group have one root. ``bucket``: nodes of a block."""
     small_batches(df.sparkSession)
     texts = df.select(F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("seen"), F.coalesce(text_col, F.lit("")).alias("text"))
     rows = df.select(F.col(row_col).alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("seen"), F.col(text_col).alias("text"))
-    signed = staged(rows.mapInArrow(_signatures, "row long, doc_id long, seen long, node long, size long, bands array<long>, marks binary"), "signatures")
-    nodes = staged(signed.groupBy("node").agg(F.min(F.struct("seen", "size", "bands", "marks")).alias("s")).select("node", "s.seen", "s.size", "s.bands", "s.marks"), "nodes")
+    signed = staged(rows.mapInArrow(_signatures, "row long, doc_id long, seen long, node long, size long, fp long, bands array<long>, marks binary"), "signatures")
+    nodes = staged(signed.groupBy("node").agg(F.min(F.struct("seen", "size", "fp", "bands", "marks")).alias("s")).select("node", "s.seen", "s.size", "s.fp", "s.bands", "s.marks"), "nodes")
     members = nodes.select("node", F.explode("bands").alias("value"))
     first = members.groupBy("value").agg(F.min("node").alias("a"), F.count("*").alias("n")).filter("n > 1").select("value", "a")
     stars = members.join(first, "value").filter("node <> a").groupBy("a", F.col("node").alias("b")).count().filter(F.col("count") >= STAR_BANDS)
-    stars = staged(stars.select("a", "b"), "stars")
-    both = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    links = _alike(stars, _node_sets(both(stars), nodes, texts), least)
+    first_pairs = staged(stars.select("a", "b").unionByName(_simhash_pairs(nodes)).distinct(), "first-pairs")
+    both = first_pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    links = _alike(first_pairs, _node_sets(both, nodes, texts), least)
     roots = lambda links: nodes.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
     label = staged(roots(links).select("node", "root"), "labels")
 
     held = label.join(nodes.select("node", "bands"), "node").select("node", "root", F.explode("bands").alias("value"))
-    mixed = staged(_mixed(held), "mixed")
-    rest = staged(held.join(mixed.select("value"), "value"), "mixed-members")
-    rest = rest.join(_bounded(rest.select("node").distinct(), nodes, texts, least), "node")
-    mixed = staged(_mixed(rest), "bounded-mixed")
-    size = mixed.groupBy((F.col("n") > bucket).alias("large")).agg(F.sum("n").alias("n")).collect()
-    if size:
-        n = {r["large"]: r["n"] for r in size}
-        rest = staged(rest.join(mixed, "value"), "bounded-members")
-        marks = nodes.select("node", "marks")
-        pairs = _likely_pairs(rest.filter(F.col("n") <= bucket).join(marks, "node"), n.get(False, 0), least)
-        if n.get(True):
-            again = rest.filter(F.col("n") > bucket).join(nodes.select("node", "bands"), "node")
-            again = staged(again.select("node", "root", "size", "shared", F.explode(F.transform(F.array_except("bands", F.array("value")), lambda o: F.xxhash64("value", o))).alias("value")), "second-bands")
-            some = staged(_mixed(again), "second-mixed")
-            pairs = pairs.unionByName(_likely_pairs(again.join(some.select("value"), "value").join(marks, "node"), some.agg(F.sum("n")).first()[0] or 0, least))
-        pairs = staged(pairs.distinct().join(stars, ["a", "b"], "left_anti"), "pairs")
-        links = links.unionByName(_alike(pairs, _node_sets(both(pairs), nodes, texts), least))
+    rest = staged(held.join(_mixed(held).select("value"), "value"), "mixed-members")
+    bounded = _bounded(rest.select("node").distinct(), nodes, texts, least)
+    rest = staged(rest.join(bounded.select("node"), "node"), "bounded-members")
+    rest = staged(rest.join(_mixed(rest).select("value"), "value").select("value", "node", "root"), "bounded-mixed")
+    if not rest.isEmpty():
+        family = staged(_families(rest.select("value", "node")), "families")
+        some = rest.select("node", "root").distinct().join(bounded, "node").join(nodes.select("node", "marks"), "node").join(family, "node")
+        some = staged(some, "family-members")
+        links = links.unionByName(_family_links(some, _node_sets(some.select("node"), nodes, texts), least, bucket))
         label = staged(roots(links).select("node", "root"), "labels")
     return signed.select("row", "doc_id", "node").join(label.select("node", "root"), "node").select("row", "doc_id", "root")
 

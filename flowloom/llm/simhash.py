@@ -42,7 +42,11 @@ def fingerprint(text: str | None, size: int = SHINGLE) -> int:
         return 0
     grams = map(b" ".join, zip(*[w[i:] for i in range(size)])) if len(w) >= size else [b" ".join(w)]
     h = xxhash.xxh64_intdigest
-    hashes = np.array([h(g, SEED) for g in grams], np.uint64)
+    return majority(np.array([h(g, SEED) for g in grams], np.uint64))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The number whose bits are those that over half of the hashes have; 0 without hashes."""
     ones = np.zeros(BITS, np.int64)
     for i in range(0, len(hashes), 65536):
         part = hashes[i : i + 65536].view(np.uint8).reshape(-1, 8)

@@ -113,3 +113,31 @@ def test_recall_in_a_large_group(spark):
     for i, x in enumerate(label):
         want.setdefault(x, set()).add(i)
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+
+
+def test_links_that_leave_a_tile_are_a_forest(spark, monkeypatch):
+    """Copies of which most are alike: the tiles' links are fewer than the nodes, in one tile and in many."""
+    rows = edited(300, 5, 1, 110) + [(1000 + d, t) for d, t in edited(100, 6, 3, 110)]
+    label, linked = brute(rows)
+    assert len(linked) > 20_000
+    whole, found = nc._family_links, []
+    monkeypatch.setattr(nc, "_family_links", lambda *args: (found.append(whole(*args)), found[-1])[1])
+    monkeypatch.setattr(nc, "STAR_BANDS", 25)  # leaves the tiles the work
+    monkeypatch.setattr(nc, "_simhash_pairs", lambda nodes: nodes.select(nodes.node.alias("a"), nodes.node.alias("b")).limit(0))
+    df = spark.createDataFrame([(i, d, t) for i, (d, t) in enumerate(rows)], "_row long, doc_id long, text string")
+    for bucket, most in ((4096, 1), (150, 3)):
+        assert nc.near_copies(df, bucket=bucket).select("root").distinct().count() == len(set(label))
+        assert 100 < found[-1].count() < most * len(rows)
+
+
+def test_simhash_proposes_pairs(spark):
+    """The stage's first step: fingerprints within two bits, of which the sets then decide."""
+    a, b = (" ".join(f"{x}{i}" for i in range(400)) for x in "vw")
+    rows = [(0, a), (1, a + " end"), (2, b), (3, b + " end"), (4, b.replace(" ", "  "))]
+    fps = [nc.majority(nc.shingles(t)) for _, t in rows]
+    assert all((fps[i] ^ fps[i + 1]).bit_count() <= 2 for i in (0, 2)) and (fps[0] ^ fps[2]).bit_count() > 2
+    nodes = [nc._node(nc.shingles(t)) for _, t in rows]
+    signed = lambda x: x - (1 << 64) if x >= 1 << 63 else x
+    table = spark.createDataFrame(sorted({(signed(n), signed(f)) for n, f in zip(nodes, fps)}), "node long, fp long")
+    got = {(r["a"], r["b"]) for r in nc._simhash_pairs(table).collect()}
+    assert got == {tuple(sorted((signed(nodes[i]), signed(nodes[i + 1])))) for i in (0, 2)}
