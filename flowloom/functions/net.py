@@ -16,7 +16,7 @@ def ip_to_long(ip: Column) -> Column:
     return F.when(ip.rlike(_V4), part(1) * 16777216 + part(2) * 65536 + part(3) * 256 + part(4))
 
 
-def _let(value: Column, use) -> Column:
+def let(value: Column, use) -> Column:
     """use(value) with value evaluated once."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
@@ -39,8 +39,8 @@ def ip_to_hex(ip: Column) -> Column:
         return F.when(right, F.array_join(F.transform(f["whole"], lambda g: F.lpad(g, 4, "0")), ""))
 
     parts = lambda h: F.struct(F.size(h).alias("n"), groups(F.get(h, F.lit(0))).alias("head"), F.coalesce(groups(F.get(h, F.lit(1))), none).alias("rest"))
-    of = lambda text: _let(_let(_let(F.split(text, "::", -1), parts), filled), digits)
-    dotted = lambda text: _let(F.struct(text.alias("t"), ip_to_long(F.regexp_extract(text, r"[^:]*$", 0)).alias("n")), lambda x: undotted(x["t"], x["n"]))
+    of = lambda text: let(let(let(F.split(text, "::", -1), parts), filled), digits)
+    dotted = lambda text: let(F.struct(text.alias("t"), ip_to_long(F.regexp_extract(text, r"[^:]*$", 0)).alias("n")), lambda x: undotted(x["t"], x["n"]))
     return F.when(ip.contains(":"), of(F.when(ip.contains("."), dotted(F.lower(ip))).otherwise(F.lower(ip))))
 
 
@@ -59,15 +59,23 @@ def hex_to_ip6(digits: Column) -> Column:
     short = lambda g: F.coalesce(F.nullif(F.ltrim(g, F.lit("0")), F.lit("")), F.lit("0"))
     text = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(29), F.lit(4)), lambda i: short(F.substring(digits, i, F.lit(4)))), ":")
 
+    zero = F.concat(*[F.when(F.substring(digits, i, 4) == "0000", "0").otherwise("1") for i in range(1, 30, 4)])
+
+    upto = lambda text, n: F.call_function("substring_index", text, F.lit(":"), n)
+
     def shortened(t: Column) -> Column:
-        out = t
+        """t: the text, and where its longest run of zero groups begins (from 0) and how long it is; none: length 0."""
+        cut = F.concat(upto(t["text"], t["at"]["begin"]), F.lit("::"), upto(t["text"], t["at"]["begin"] + t["at"]["n"] - 8))
+        return F.when(t["at"]["n"] == 0, t["text"]).otherwise(cut)
+
+    def longest(z: Column) -> Column:
+        out = F.struct(F.lit(0).alias("begin"), F.lit(0).alias("n"))
         for n in range(2, 9):  # the longest is tried first
-            run = f"^((?:[0-9a-f:]*?:)??)0(?::0){{{n - 1}}}((?::[0-9a-f:]*)?)$"
-            out = F.when(t.rlike(run), F.concat(F.regexp_replace(F.regexp_extract(t, run, 1), ":$", ""), F.lit("::"), F.regexp_replace(F.regexp_extract(t, run, 2), "^:", ""))).otherwise(out)
+            out = F.when(z.contains("0" * n), F.struct((F.instr(z, "0" * n) - 1).alias("begin"), F.lit(n).alias("n"))).otherwise(out)
         return out
 
     dotted = F.concat(F.lit("::ffff:"), long_to_ip(F.conv(F.right(digits, F.lit(8)), 16, 10)))
-    return F.when(digits.startswith("0" * 20 + "ffff"), dotted).when(digits.isNotNull(), _let(text, shortened))
+    return F.when(digits.startswith("0" * 20 + "ffff"), dotted).when(digits.isNotNull(), let(F.struct(text.alias("text"), let(zero, longest).alias("at")), shortened))
 
 
 def _subnet_v6(ip: Column, prefix: int) -> Column:
@@ -81,7 +89,7 @@ def _subnet_v6(ip: Column, prefix: int) -> Column:
             kept = F.concat(kept, F.lower(F.hex(digit)))
         return F.rpad(kept, 32, "0")
 
-    return F.concat(_let(_let(ip_to_hex(ip), masked), hex_to_ip6), F.lit(f"/{prefix}"))
+    return F.concat(let(let(ip_to_hex(ip), masked), hex_to_ip6), F.lit(f"/{prefix}"))
 
 
 def subnet(ip: Column, prefix: int, v6: bool = False) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowloom.functions.net import ip_to_long, is_ip
+from flowloom.functions.net import ip_to_long, is_ip, let
 from flowloom.operators.asof import as_of
 from flowloom.operators.intervals import disjoint
 
@@ -123,9 +123,12 @@ def multus_networks(annotation: Column, indexes: list[list[str]]) -> Column:
 
 
 def _last_of_key(entries: Column) -> Column:
-    """Entries without those whose key comes again later."""
-    keys = F.transform(entries, lambda e: e["key"])
-    return F.filter(entries, lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.greatest(F.size(keys), F.lit(1))), e["key"]))
+    """Entries without those whose key comes again later. The entries and their keys are made once a row."""
+
+    def last(x: Column) -> Column:
+        return F.filter(x["entries"], lambda e, i: ~F.array_contains(F.slice(x["keys"], i + 2, F.greatest(F.size(x["keys"]), F.lit(1))), e["key"]))
+
+    return let(let(entries, lambda x: F.struct(x.alias("entries"), x["key"].alias("keys"))), last)
 
 
 def multus_keys(annotation: Column, parts: list[str]) -> Column:
