@@ -67,6 +67,7 @@ def range_lookup(df: DataFrame, ranges: DataFrame, ip_col: str, columns: list[st
     """
     number, digits, found = free_names(df, "_number", "_digits", "_range")
     held = ranges.select(F.col("ip_from").cast("long").alias("low"), (F.col("ip_to").cast("long") + 1).alias("high"), order.alias("by"), F.struct(*columns).alias(found))
+    held = staged(held, "ranges")  # counted and swept
     segments = disjoint(held.withColumn("from", F.col("low")), [], ["by", "from"], found)
     ip = F.col(f"`{ip_col}`")
     rows = df.withColumn(digits, ip_to_hex(ip)).withColumn(number, v4_number(ip, F.col(digits)))

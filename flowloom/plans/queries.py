@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from flowloom.functions import net
 from flowloom.functions import predicates as P
 from flowloom.functions.coerce import go_str, to_bool, to_double, to_int
-from flowloom.functions.storage import shared_dir
+from flowloom.functions.storage import shared_dir, staged
 from flowloom.operators import aggregate as agg
 from flowloom.operators import conntrack, enrich, filters, generic, inventory, metrics, topk, walk
 from flowloom.operators.counts import Counts
@@ -197,7 +197,7 @@ def _ranges(f: DataFrame) -> DataFrame:
     """A location for each /18 that has flows, from their own addresses."""
     n = net.ip_to_long(F.col("DstAddr"))
     low = n - F.pmod(n, F.lit(16384))
-    return f.select(low.alias("ip_from")).distinct().select(
+    return f.select("DstAddr").distinct().select(low.alias("ip_from")).distinct().select(
         "ip_from", (F.col("ip_from") + 16383).alias("ip_to"), F.concat(F.lit("C"), F.shiftright("ip_from", 14) % 7).alias("country_short"), F.lit("Country").alias("country_long"), F.lit("R").alias("region"),
         F.concat(F.lit("City"), F.shiftright("ip_from", 14) % 5).alias("city"), (F.shiftright("ip_from", 14) % 90).cast("double").alias("latitude"), F.lit(1.5).alias("longitude"),
     )
@@ -215,7 +215,7 @@ def n4(f):
 def _nested(f: DataFrame) -> DataFrame:
     """Ranges in each other: all addresses, the /16s with an even second octet, /24s of a third one, and lone addresses."""
     n, part = net.ip_to_long(F.col("SrcAddr")), lambda i: F.split_part("SrcAddr", F.lit("."), F.lit(i)).cast("int")
-    at = f.select("SrcAddr").distinct()
+    at = staged(f.select("SrcAddr").distinct(), "addresses")
     wide = lambda bits, name, rows: rows.select(F.shiftleft(F.shiftright(n, bits), bits).alias("ip_from"), (F.shiftleft(F.shiftright(n, bits), bits) + (1 << bits) - 1).alias("ip_to"), F.concat(F.lit(name), F.shiftright(n, bits).cast("string")).alias("place")).distinct()
     rows = [wide(32, "all-", at), wide(16, "b-", at.filter(part(2) % 2 == 0)), wide(8, "c-", at.filter(part(3) % 3 == 0)), wide(0, "d-", at.filter(part(4) % 5 == 0))]
     return reduce(DataFrame.unionByName, rows)
@@ -228,17 +228,18 @@ def n4_nested(f):
 
 
 def _inventory(f: DataFrame) -> DataFrame:
-    """Objects at the flows' own source addresses: pods, nodes and services by the last octet."""
+    """Objects at the flows' own source addresses: pods, nodes and services by the last octet. Flows are run once for them."""
+    at = staged(f.select("SrcAddr").distinct(), "addresses")
     part = lambda i: F.split_part("SrcAddr", F.lit("."), F.lit(i)).cast("int")
     kind = F.when(part(4) % 5 == 0, "Node").when(part(4) % 5 == 1, "Service").otherwise("Pod")
     node = F.concat(F.lit("node-"), part(2).cast("string"))
-    rows = f.select("SrcAddr").distinct().filter(part(4) % 7 != 0).select(
+    rows = at.filter(part(4) % 7 != 0).select(
         kind.alias("kind"), F.concat(F.lit("ns-"), (part(3) % 10).cast("string")).alias("namespace"), F.when(kind == "Node", node).otherwise(F.concat(F.lit("obj-"), F.replace("SrcAddr", F.lit("."), F.lit("-")))).alias("name"),
         F.array("SrcAddr").alias("ips"), F.lit("Deployment").alias("owner_kind"), F.concat(F.lit("dep-"), (part(4) % 3).cast("string")).alias("owner_name"),
         F.concat(F.lit("192.168.0."), part(2).cast("string")).alias("host_ip"), F.when(kind == "Node", node).otherwise("").alias("host_name"), F.lit("primary").alias("network_name"),
         F.create_map(F.lit(inventory.ZONE), F.concat(F.lit("zone-"), part(2).cast("string")), F.lit("app"), F.concat(F.lit("application-"), part(3).cast("string"))).alias("labels"),
     )
-    hosts = f.select(part(2).alias("n")).distinct().select(
+    hosts = at.select(part(2).alias("n")).distinct().select(
         F.lit("Node").alias("kind"), F.lit("").alias("namespace"), F.concat(F.lit("node-"), F.col("n").cast("string")).alias("name"), F.array(F.concat(F.lit("192.168.0."), F.col("n").cast("string"))).alias("ips"),
         F.lit("Node").alias("owner_kind"), F.concat(F.lit("node-"), F.col("n").cast("string")).alias("owner_name"), F.concat(F.lit("192.168.0."), F.col("n").cast("string")).alias("host_ip"),
         F.concat(F.lit("node-"), F.col("n").cast("string")).alias("host_name"), F.lit("primary").alias("network_name"),
@@ -266,7 +267,7 @@ _SHARED = """, x AS (SELECT *, split_part(SrcAddr,'.',3)::INT AS o3, split_part(
  CASE WHEN line%3=0 AND o4%2=0 THEN NULL ELSE concat('a_note=n',o3::VARCHAR) END AS notes FROM x""")
 def n5_shared(f):
     part = lambda i: F.split_part("SrcAddr", F.lit("."), F.lit(i)).cast("int")
-    at = f.select("SrcAddr").distinct()
+    at = staged(f.select("SrcAddr").distinct(), "addresses")
     none = F.create_map().cast("map<string,string>")
     key = F.concat(F.lit("blue~"), "SrcAddr")
 

@@ -23,3 +23,9 @@ def test_secondary_keys_parse_once(spark):
     df = df.select(inventory.multus_networks(F.col("s"), [["interface", "ip"], ["mac"]]).alias("m"))
     assert df.first()["m"] == {"e~1.1.1.1~": "n", "~~a": "n"}
     assert plan(df.select("m")).count("from_json") + plan(df).count("jsontostructs") <= 1
+
+
+def test_tables_from_flows_do_not_run_them_again(spark):
+    flows = src.flows(spark, SF)
+    for made in (q._inventory(flows), q._nested(flows)):
+        assert "l_orderkey" not in plan(made)
