@@ -97,7 +97,7 @@ def disjoint(ranges: DataFrame, keys: list[str], order: list[str], value: str, p
             for b in batches:
                 if not kinds:
                     kinds.update({n: b.schema.field(n).type for n in [*n_key, "low", "high", "value"]})
-                yield from zip(zip(*[b[c].to_pylist() for c in at]), b["low"].to_pylist(), b["high"].to_pylist(), zip(*[[(x is not None, x) for x in b[c].to_pylist()] for c in n_order]) if n_order else [()] * len(b), b["value"].to_pylist())
+                yield from zip(zip(*[b[c].to_pylist() for c in at]), b["low"].to_pylist(), b["high"].to_pylist(), zip(*[[(x is not None, x) for x in b[c].to_pylist()] for c in n_order]) if n_order else [()] * len(b), ((b["value"], i) for i in range(len(b))))
 
         def segments() -> Iterator[tuple]:
             rows, ahead = given(), None
@@ -117,7 +117,12 @@ def disjoint(ranges: DataFrame, keys: list[str], order: list[str], value: str, p
         out: list[tuple] = []
 
         def batch() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds.values())], list(kinds))
+            *columns, values = zip(*out)
+            # values stay in Arrow: of each batch that segments come from, by place
+            held = {id(c): c for c, _ in values}
+            start = dict(zip(held, np.cumsum([0, *[len(c) for c in held.values()]])))
+            taken = pa.concat_arrays(list(held.values())).take(pa.array([start[id(c)] + i for c, i in values], pa.int64()))
+            return pa.RecordBatch.from_arrays([*[pa.array(c, t) for c, t in zip(columns, kinds.values())], taken], list(kinds))
 
         for s in segments():
             out.append(s)

@@ -38,3 +38,11 @@ def test_tables_from_flows_do_not_run_them_again(spark):
     flows = src.flows(spark, SF)
     for made in (q._inventory(flows), q._nested(flows)):
         assert "l_orderkey" not in plan(made)
+
+
+def test_swept_values_of_any_type(spark):
+    """Maps within structs, over several batches, with a range that lies around all of them."""
+    rows = spark.range(25_000).select((F.col("id") * 10).alias("low"), (F.col("id") * 10 + 5).alias("high"), F.lit(1).alias("by"), F.struct(F.create_map(F.lit("k"), F.col("id").cast("string")).alias("m")).alias("v"))
+    rows = rows.unionByName(spark.range(1).select(F.lit(0).cast("long").alias("low"), F.lit(250_000).cast("long").alias("high"), F.lit(2).alias("by"), F.struct(F.create_map(F.lit("k"), F.lit("all")).alias("m")).alias("v")))
+    got = disjoint(rows, [], ["by"], "v").select("low", "high", F.col("v.m")["k"].alias("k")).collect()
+    assert len(got) == 50_000 and all(r["k"] == (str(r["low"] // 10) if r["low"] % 10 == 0 else "all") for r in got)
