@@ -1,7 +1,7 @@
 """The walk through each connection's flows in time order: newConnection, heartbeat and endConnection records.
 
-Flows are dealt by connection and sorted within partitions; the walk streams through them with the state of one
-connection. A connection with more than ``PART_ROWS`` flows would still be one task's work, so its flows are cut into
+Flows are dealt by connection and sorted within partitions; the walk streams through them in Arrow batches
+(``walk_batches``), with the state of one connection from batch to batch. A connection with more than ``PART_ROWS`` flows would still be one task's work, so its flows are cut into
 ranges of time that different tasks take (a segmented scan):
 
 1. each (connection, range) part is folded to a summary: what it makes of whatever state the range before it leaves;
@@ -35,6 +35,7 @@ from flowloom.functions.ranges import bucket_of
 from flowloom.functions.storage import staged
 from flowloom.operators.conntrack import BUCKETS, DEFAULT, FIN, HOT_KEYS, KINDS, MOST_PARTS, PART_ROWS, SYN_ACK, _names, key_fields, keyed, normal, validate
 from flowloom.operators.counts import Counts
+from flowloom.operators.walk_batches import Walk
 
 KEY = ["_common", "_low", "_high"]
 NONE = {"min": math.inf, "max": -math.inf, "first": None, "last": None, "sum": 0.0, "count": 0.0}
@@ -125,7 +126,8 @@ def key_of(row: dict) -> tuple[str, str, str]:
 
 
 def walk(conf: dict, rows: Iterator[dict], kinds: tuple[str, ...]) -> Iterator[dict]:
-    """Records of rows that come sorted by connection (and range), then time. The first row of a range may bring ``_state``."""
+    """Records of rows that come sorted by connection (and range), then time. The first row of a range may bring ``_state``.
+    The plain form of ``walk_batches.Walk``, which tasks run; tests hold one against the other."""
     live: Connection | None = None
     key, state, last = None, None, True
 
@@ -396,15 +398,18 @@ def timed(df: DataFrame, conf: dict, keep_time: bool = False, counts: Counts | N
 
 
 def _walked(rows: DataFrame, conf: dict, kinds: tuple[str, ...], schema: T.StructType) -> DataFrame:
-    made, walked = to_arrow_schema(schema), walk_capped if conf.get("max_tracked") else walk
+    made, capped = to_arrow_schema(schema), conf.get("max_tracked")
 
     def batch(out: list[dict]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([r[f.name] for r in out], f.type) for f in made], schema=made)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not capped:
+            yield from Walk(conf, kinds, made).run(batches)
+            return
         given = (dict(zip(b.schema.names, r)) for b in batches for r in zip(*[c.to_pylist() for c in b.columns]))
         out: list[dict] = []
-        for r in walked(conf, given, kinds):
+        for r in walk_capped(conf, given, kinds):
             if r["_RecordType"] in kinds:
                 out.append(r)
             if len(out) >= 10_000:

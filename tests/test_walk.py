@@ -6,9 +6,10 @@ import random
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from flowloom.functions.ranges import bucket_of
-from flowloom.operators import conntrack, walk
+from flowloom.operators import conntrack, walk, walk_batches
 from tests.test_flows import CONF, FLOW, T0, at, conversation
 
 AGGREGATES = [
@@ -134,3 +135,29 @@ def test_merged_values():
     x = [[1.0, 2.0], [1.0, 0.0], [3.0], [4.0, math.inf], [-math.inf], ["a"], [None], [7]]
     y = [[1.0, 1.0], [1.0, 1.0], [2.0], [5.0, 6.0], [8.0], ["b"], ["c"], [None]]
     assert walk.merged(conf, x, y) == [[2.0, 3.0], [2.0, 1.0], [5.0], [4.0, 6.0], [8.0], ["a"], ["c"], [7]]
+
+
+@pytest.mark.parametrize("seed,fin,changes", [
+    (21, 0.1, {}), (22, 0.5, {"swap_ab": True}), (23, 0.02, {"swap_ab": True}), (24, 0.0, {"detect_end": False}), (25, 0.2, {"groups": groups(({"SrcAddr": "20.0.0.1"}, 9, 1, 4), ({"DstPort": 443}, 3, 2, 5), ({}, 30, 5, 0.7))}),
+    (26, 0.9, {"groups": groups(({}, 100, 0, 1000))}),
+])
+def test_batches_equal_the_walk_row_by_row(spark, seed, fin, changes):
+    """Records by arrays, in batches of any size and with connections that go on from a range, against one flow at a time."""
+    conf = conntrack.normal(CONF | {"detect_end": True, "aggregates": AGGREGATES, "groups": groups(({}, 20, 1, 15)), "order": ["id"]} | changes)
+    # a host that talks to itself, too
+    rows = stream(seed, 300, fin) + stream(seed + 50, 200, fin, hosts=40) + [("9.9.9.9", 5, "9.9.9.9", 5, 6, i, None, False, 256 * (i % 2), at(4.0 * i), i, f"y{i}") for i in range(9)]
+    df = spark.createDataFrame(rows, NOTED)
+    made, plain = to_arrow_schema(walk.record_schema(df, conf)), walk.timed(df, conf)
+    for given in (plain.coalesce(1).sortWithinPartitions(*walk.KEY, "_t", "o0"), walk._parts(plain, conf, len(rows), 30).coalesce(1).sortWithinPartitions(*walk.KEY, "_part", F.col("_state").isNull(), "_t", "o0")):
+        table = given.toArrow().combine_chunks()
+        for kinds in (walk.KINDS, ("endConnection",), ("heartbeat", "endConnection"), ("newConnection",)):
+            want = sorted(repr({f: r[f] for f in made.names}) for r in walk.walk(conf, iter(table.to_pylist()), kinds) if r["_RecordType"] in kinds)
+            assert len(want) > 50
+            for size in (5, 10_000):
+                got = [r for b in walk_batches.Walk(conf, kinds, made).run(table.to_batches(size)) for r in b.to_pylist()]
+                assert sorted(map(repr, got)) == want
+
+
+def test_rows_together_are_fewer_where_heartbeats_are_many():
+    conf = conntrack.normal(CONF | {"groups": groups(({}, 14_400, 1, 1))})
+    assert walk_batches.Walk(conf, walk.KINDS, None).rows <= 10 and walk_batches.Walk(conf, ("endConnection",), None).rows > 1000
