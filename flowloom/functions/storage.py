@@ -24,12 +24,12 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
-def staged(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+def staged(df: DataFrame, name: str, keep: bool = False, **options: str) -> DataFrame:
     """df written as Parquet to a new folder of the shared directory and read back: cuts the lineage,
-    survives lost executors, and lets several later branches read one result. ``keep``: beyond the scratch around it."""
+    survives lost executors, and lets several later branches read one result. ``keep``: beyond the scratch around it; ``options``: of the Parquet writer."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_at = path
     if _inside and not keep:

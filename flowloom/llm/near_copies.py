@@ -46,8 +46,8 @@ BLOCK, BLOCK_SHINGLES = 4096, 1_000_000
 STAR_BANDS, LIKELY = 3, 82
 #: Differing minhash values in a byte of four of them.
 _DIFFER = np.array([sum((x >> k & 3) > 0 for k in (0, 2, 4, 6)) for x in range(256)], np.uint8)
-#: Numbers of rows to drop up to which they are broadcast.
-GONE_ROWS = 2_000_000
+#: Numbers of rows to drop, and hashes of texts to read again, up to which they are broadcast.
+GONE_ROWS = WANTED_ROWS = 2_000_000
 _RNG = np.random.default_rng(80)
 _ADD = _RNG.integers(0, 2**64, ROWS * BANDS, dtype=np.uint64)
 _TIMES = _RNG.integers(0, 2**64, ROWS * BANDS, dtype=np.uint64) | np.uint64(1)
@@ -163,9 +163,10 @@ def _sets(batches):
 
 
 def _texts_of(wanted: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
-    """(text): one text of each wanted node, read again."""
-    seen = nodes.join(wanted, "node", "left_semi").select("seen")
-    return texts.join(seen, "seen", "left_semi").groupBy("seen", "text").agg(F.lit(1)).select("text")
+    """(text): one text of each wanted node, read again. The hashes are broadcast where they are not too many, for a join
+    by shuffle moves every text of the table to find these few."""
+    seen = staged(nodes.join(wanted, "node", "left_semi").select("seen"), "wanted")
+    return texts.join(F.broadcast(seen) if seen.count() <= WANTED_ROWS else seen, "seen", "left_semi").groupBy("seen", "text").agg(F.lit(1)).select("text")
 
 
 def _shingle_rows(batches):
@@ -246,7 +247,7 @@ def near_copies(df: DataFrame, least: float = LEAST, id_col: str = "doc_id", tex
 def keep_one(df: DataFrame, least: float = LEAST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """df with one row of each group of near copies: the smallest id's (NULL ids last)."""
     row = free_name(df, "_row")
-    numbered = staged(df.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    numbered = staged(df.withColumn(row, F.monotonically_increasing_id()), "numbered", compression="zstd")  # all of df, which stays until the result is read
     with scratch():
         near = staged(near_copies(numbered, least, id_col, text_col, row), "near", keep=True)
     kept = near.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))["row"].alias("row"))

@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from flowloom.llm import near_copies as nc
 
@@ -141,3 +143,19 @@ def test_simhash_proposes_pairs(spark):
     table = spark.createDataFrame(sorted({(signed(n), signed(f)) for n, f in zip(nodes, fps)}), "node long, fp long")
     got = {(r["a"], r["b"]) for r in nc._simhash_pairs(table).collect()}
     assert got == {tuple(sorted((signed(nodes[i]), signed(nodes[i + 1])))) for i in (0, 2)}
+
+
+def test_texts_are_not_moved_to_be_read_again(spark, monkeypatch):
+    """The few texts whose sets are wanted are found where they lie; beyond the bound a shuffle finds the same."""
+    rows = spark.createDataFrame([(i, f"text {i}") for i in range(200)], "seen long, text string").repartition(3)
+    nodes, wanted = rows.select(F.col("seen").alias("node"), "seen"), spark.range(0, 200, 40).select(F.col("id").alias("node"))
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for most, joins in ((nc.WANTED_ROWS, "BroadcastHashJoin"), (1, "SortMergeJoin")):
+            monkeypatch.setattr(nc, "WANTED_ROWS", most)
+            found = nc._texts_of(wanted, nodes, rows)
+            assert joins in found._jdf.queryExecution().executedPlan().toString()
+            assert sorted(r["text"] for r in found.collect()) == sorted(f"text {i}" for i in range(0, 200, 40))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
