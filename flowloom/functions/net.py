@@ -12,8 +12,10 @@ TCP_FLAGS = {"FIN": 1, "SYN": 2, "RST": 4, "PSH": 8, "ACK": 16, "URG": 32, "ECE"
 
 def ip_to_long(ip: Column) -> Column:
     """The IPv4 address as number; NULL for anything else."""
-    part = lambda i: F.split_part(ip, F.lit("."), F.lit(i)).try_cast("bigint")
-    return F.when(ip.rlike(_V4), part(1) * 16777216 + part(2) * 65536 + part(3) * 256 + part(4))
+    parts = F.split(ip, r"\.")
+    part = lambda i: F.get(parts, F.lit(i)).try_cast("int").cast("bigint")
+    # the pattern's NULL joins the sum: within a CASE the text would be made and split again for each part
+    return part(0) * 16777216 + part(1) * 65536 + part(2) * 256 + part(3) + F.when(ip.rlike(_V4), F.lit(0).cast("bigint"))
 
 
 def let(value: Column, use) -> Column:

@@ -46,3 +46,12 @@ def test_swept_values_of_any_type(spark):
     rows = rows.unionByName(spark.range(1).select(F.lit(0).cast("long").alias("low"), F.lit(250_000).cast("long").alias("high"), F.lit(2).alias("by"), F.struct(F.create_map(F.lit("k"), F.lit("all")).alias("m")).alias("v")))
     got = disjoint(rows, [], ["by"], "v").select("low", "high", F.col("v.m")["k"].alias("k")).collect()
     assert len(got) == 50_000 and all(r["k"] == (str(r["low"] // 10) if r["low"] % 10 == 0 else "all") for r in got)
+
+
+def test_addresses_are_split_once(spark):
+    """The text is taken apart outside the CASE, where Spark shares it; what is no address is NULL, also beyond any number."""
+    texts = ["1.2.3.4", "255.255.255.255", "0.0.0.0", "256.1.1.1", "1.2.3", "1.2.3.4.5", "9" * 20 + ".1.1.1", "2147483648.1.1.1", "", None, "a.b.c.d", "01.2.3.4", "1..2.3", "::1", " 1.2.3.4", "+1.2.3.4"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", net.ip_to_long(F.col("t")).alias("n"))
+    want = {"1.2.3.4": 16909060, "255.255.255.255": 2**32 - 1, "0.0.0.0": 0}
+    assert {r["t"]: r["n"] for r in df.collect()} == {t: want.get(t) for t in texts}
+    assert "THEN 0 END" in plan(df) and "split" not in plan(df).split("CASE")[1].split("END")[0]
