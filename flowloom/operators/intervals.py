@@ -69,6 +69,62 @@ def swept(ranges: Iterable[tuple]) -> Iterator[tuple]:
         yield held[:3]
 
 
+def gathered(places: Iterable[tuple[pa.Array, int]]) -> pa.Array:
+    """The values at (array, place), in that order; of each array only those that are asked for are copied."""
+    arrays: dict[int, pa.Array] = {}
+    asked: dict[int, list[int]] = {}
+    order: dict[int, list[int]] = {}
+    for n, (a, i) in enumerate(places):
+        if id(a) not in arrays:
+            arrays[id(a)], asked[id(a)], order[id(a)] = a, [], []
+        asked[id(a)].append(i)
+        order[id(a)].append(n)
+    taken = pa.concat_arrays([a.take(pa.array(asked[k], pa.int64())) for k, a in arrays.items()])
+    return taken if len(arrays) == 1 else taken.take(pa.array(np.argsort(np.concatenate(list(order.values()))), pa.int64()))
+
+
+def sweep_batches(batches: Iterable[pa.RecordBatch], keys: list[str], order: list[str]) -> Iterator[pa.RecordBatch]:
+    """(keys, low, high, value) without overlap, from (keys, part, low, high, order, value) sorted by these."""
+    at = [*keys, "part"]
+    kinds: dict[str, pa.DataType] = {}
+
+    def given() -> Iterator[tuple]:
+        for b in batches:
+            if not kinds:
+                kinds.update({n: b.schema.field(n).type for n in [*keys, "low", "high", "value"]})
+            values = b["value"]  # one array of a batch: each b[...] is another one
+            yield from zip(zip(*[b[c].to_pylist() for c in at]), b["low"].to_pylist(), b["high"].to_pylist(), zip(*[[(x is not None, x) for x in b[c].to_pylist()] for c in order]) if order else [()] * len(b), ((values, i) for i in range(len(b))))
+
+    def segments() -> Iterator[tuple]:
+        rows, ahead = given(), None
+        ahead = next(rows, None)
+        while ahead is not None:
+            key = ahead[0]
+
+            def group():
+                nonlocal ahead
+                while ahead is not None and ahead[0] == key:  # noqa: B023
+                    yield ahead[1:]
+                    ahead = next(rows, None)
+
+            for low, high, v in swept(group()):
+                yield (*key[:-1], low, high, v)
+
+    out: list[tuple] = []
+
+    def batch() -> pa.RecordBatch:
+        *columns, values = zip(*out)
+        return pa.RecordBatch.from_arrays([*[pa.array(c, t) for c, t in zip(columns, kinds.values())], gathered(values)], list(kinds))
+
+    for s in segments():
+        out.append(s)
+        if len(out) >= 10_000:
+            yield batch()
+            out = []
+    if out:
+        yield batch()
+
+
 def disjoint(ranges: DataFrame, keys: list[str], order: list[str], value: str, part_rows: int = PART_ROWS) -> DataFrame:
     """(keys, low, high, value): where ranges (keys, low, high exclusive, both long; order columns; value) of one key overlap,
     the least by order counts (NULL first; of equal ones any). Empty ranges and NULL bounds are left out."""
@@ -90,49 +146,7 @@ def disjoint(ranges: DataFrame, keys: list[str], order: list[str], value: str, p
     dealt = rows.repartition(*at).sortWithinPartitions(*at, "low", *n_order)
     schema = T.StructType([*[T.StructField(n, rows.schema[n].dataType) for n in n_key], T.StructField("low", T.LongType()), T.StructField("high", T.LongType()), T.StructField("value", rows.schema["value"].dataType)])
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds: dict[str, pa.DataType] = {}
-
-        def given() -> Iterator[tuple]:
-            for b in batches:
-                if not kinds:
-                    kinds.update({n: b.schema.field(n).type for n in [*n_key, "low", "high", "value"]})
-                yield from zip(zip(*[b[c].to_pylist() for c in at]), b["low"].to_pylist(), b["high"].to_pylist(), zip(*[[(x is not None, x) for x in b[c].to_pylist()] for c in n_order]) if n_order else [()] * len(b), ((b["value"], i) for i in range(len(b))))
-
-        def segments() -> Iterator[tuple]:
-            rows, ahead = given(), None
-            ahead = next(rows, None)
-            while ahead is not None:
-                key = ahead[0]
-
-                def group():
-                    nonlocal ahead
-                    while ahead is not None and ahead[0] == key:  # noqa: B023
-                        yield ahead[1:]
-                        ahead = next(rows, None)
-
-                for low, high, v in swept(group()):
-                    yield (*key[:-1], low, high, v)
-
-        out: list[tuple] = []
-
-        def batch() -> pa.RecordBatch:
-            *columns, values = zip(*out)
-            # values stay in Arrow: of each batch that segments come from, by place
-            held = {id(c): c for c, _ in values}
-            start = dict(zip(held, np.cumsum([0, *[len(c) for c in held.values()]])))
-            taken = pa.concat_arrays(list(held.values())).take(pa.array([start[id(c)] + i for c, i in values], pa.int64()))
-            return pa.RecordBatch.from_arrays([*[pa.array(c, t) for c, t in zip(columns, kinds.values())], taken], list(kinds))
-
-        for s in segments():
-            out.append(s)
-            if len(out) >= 10_000:
-                yield batch()
-                out = []
-        if out:
-            yield batch()
-
-    found = dealt.mapInArrow(work, schema)
+    found = dealt.mapInArrow(lambda batches: sweep_batches(batches, n_key, n_order), schema)
     return found.select(*[F.col(n).alias(k) for n, k in zip(n_key, keys)], "low", "high", F.col("value").alias(value))
 
 

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -88,6 +89,19 @@ def test_disjoint_ranges(spark, keys, part_rows):
         assert [next((v for a, b, v in segments if a <= x < b), None) for x in range(0, 1900, 3)] == points(own, 0, 1900)[::3]
 
 
+def test_a_batch_of_values_is_held_once(spark):
+    """Values of a batch are not copied once for each of its ranges: 2,000 times these are more than an Arrow string array holds."""
+    rows = spark.range(2000).select((F.col("id") * 10).alias("low"), (F.col("id") * 10 + 5).alias("high"), F.concat(F.lpad(F.col("id").cast("string"), 4, "0"), F.repeat(F.lit("x"), 1200)).alias("v"))
+    out = intervals.disjoint(rows.coalesce(1), [], ["low"], "v").orderBy("low").collect()
+    assert [(r["low"], r["high"], r["v"][:4], len(r["v"])) for r in out] == [(i * 10, i * 10 + 5, f"{i:04d}", 1204) for i in range(2000)]
+
+
+def test_values_are_gathered_by_place():
+    a, b = pa.array([{"n": i} for i in range(5)]), pa.array([{"n": i} for i in range(10, 15)])
+    assert intervals.gathered([(a, 3), (b, 0), (a, 0), (b, 4), (a, 3)]).to_pylist() == [{"n": n} for n in (3, 10, 0, 14, 3)]
+    assert intervals.gathered([(b, 2), (b, 1)]).to_pylist() == [{"n": 12}, {"n": 11}]
+
+
 @pytest.mark.parametrize("most", [10**6, 0])
 def test_locate(spark, most):
     segments = spark.createDataFrame([(0, 10, "a"), (10, 11, "b"), (500, 2**32, "c")], "low long, high long, v string")
