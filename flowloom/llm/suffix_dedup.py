@@ -29,6 +29,8 @@ may have any name; ``remove_repeats`` keeps them.
 
 from __future__ import annotations
 
+from itertools import repeat
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
@@ -50,8 +52,8 @@ SHALLOW_WORDS = 3
 STEP = 60_000
 LAST = 2**63 - 1
 _RNG = np.random.default_rng(20)
-_BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64)
-_MIX = [np.uint64(int(x) | 1) for x in _RNG.integers(1, 2**63, 8)]
+_MIX = [np.uint64(int(x) | 1) for x in _RNG.integers(1, 2**63, 2)]
+_TURN = [np.uint32(int(x) | 1) for x in _RNG.integers(1, 2**32, 4)]
 _CODEC = pa.Codec("zstd", compression_level=1)
 
 
@@ -68,21 +70,31 @@ def _unpack(data: bytes, dtype) -> np.ndarray:
 # ---- anchors ----------------------------------------------------------------------------------------
 
 
-def _gram_hashes(data: np.ndarray, k: int) -> np.ndarray:
-    """A hash of the k bytes from each place (by doubling); never zero."""
-    part, size, n, out, at = _BYTE[data], 1, len(data) - k + 1, None, 0
-    powers = {1: part}
+def _gram_order(data: np.ndarray, k: int) -> np.ndarray:
+    """A number for the k bytes (four or more) from each place, by doubling: the same for the same bytes, else as good as random; never zero."""
+    word = np.ndarray(len(data) - 3, "<u4", data, strides=(1,))
+    part, size, n = (word ^ word >> np.uint32(15)) * _TURN[0], 4, len(data) - k + 1
     while size * 2 <= k:
-        part = part[: len(part) - size] * _MIX[0] + (part[size:] ^ part[size:] >> np.uint64(31))
-        size *= 2
-        powers[size] = part
-    for size in sorted(powers, reverse=True):
-        while k - at >= size:
-            piece = powers[size][at : at + n]
-            out = piece if out is None else out * _MIX[1] + piece
-            at += size
-    out = (out ^ out >> np.uint64(32)) * _MIX[2]
-    return (out ^ out >> np.uint64(29)) | np.uint64(1)
+        low, high = part[: len(part) - size] * _TURN[1], part[size:]
+        part, size = low + (high ^ high >> np.uint32(13)), size * 2
+    if size < k:
+        rest = part[k - size :]
+        part = part[:n] * _TURN[2] + (rest ^ rest >> np.uint32(11))
+    part = (part ^ part >> np.uint32(16)) * _TURN[3]
+    return (part ^ part >> np.uint32(15)) | np.uint32(1)
+
+
+def _gram_hashes(rows: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each row of bytes."""
+    words = -(-rows.shape[1] // 8)
+    padded = np.zeros((len(rows), words * 8), np.uint8)
+    padded[:, : rows.shape[1]] = rows
+    out = np.zeros(len(rows), np.uint64)
+    for word in padded.view("<u8").astype(np.uint64, copy=False).T:
+        out = (out ^ word) * _MIX[0]
+        out = (out ^ out >> np.uint64(32)) * _MIX[1]
+        out ^= out >> np.uint64(29)
+    return out
 
 
 def _sliding(a: np.ndarray, width: int, pick) -> np.ndarray:
@@ -100,64 +112,80 @@ class Chunk:
     def __init__(self, docs: pa.Table, length: int, gram: int):
         self.length, self.gram, self.width = length, gram, length - gram + 1
         self.ids = docs["doc_id"].to_numpy()
-        text = docs["text"].combine_chunks().cast(pa.large_binary())
-        text = text if isinstance(text, pa.Array) else pa.concat_arrays(text.chunks)
-        sizes = np.fromiter((len(x.as_buffer()) for x in text), np.int64, len(text))
-        self.ends = np.cumsum(sizes)
-        self.starts = self.ends - sizes
-        self.data = np.frombuffer(b"".join(x.as_buffer() for x in text), np.uint8)
-        self.valid = np.ones(len(self.data), bool)
-        for a, b in zip(np.maximum(self.starts, self.ends - length + 1), self.ends):
-            self.valid[a:b] = False
-        self.places, self.hashes = self._anchors()
-
-    def _anchors(self, block: int = 1 << 17) -> tuple[np.ndarray, np.ndarray]:
-        w, n, places, hashes = self.width, len(self.data), [], []
+        text = docs["text"].cast(pa.large_binary()).combine_chunks()
+        edges = np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1] if len(text) else np.zeros(1, np.int64)
+        self.data = np.frombuffer(text.buffers()[2] or b"", np.uint8)[edges[0] : edges[-1]] if len(text) else np.empty(0, np.uint8)
+        self.starts, self.ends = edges[:-1] - edges[0], edges[1:] - edges[0]
+        over = np.zeros(len(self.data) + 1, np.int8)  # places where no window of this document starts
+        np.add.at(over, np.maximum(self.starts, self.ends - length + 1), 1)
+        np.add.at(over, self.ends, -1)
+        self.valid = np.cumsum(over[:-1], dtype=np.int8) == 0
+        self.least = np.zeros(len(self.data), np.uint32)
+        self.places, self.order = self._anchors()
+        self.hashes = _gram_hashes(_at(self.data, gram, self.places))
+
+    def _anchors(self, block: int = 1 << 15) -> tuple[np.ndarray, np.ndarray]:
+        """Anchors and their grams' numbers; ``least`` has that of the anchor of each window."""
+        w, n, places, orders = self.width, len(self.data), [], []
         for i in range(0, n, block):
             low, high = max(0, i - w + 1), min(n, i + block + self.length + w)
             if high - low < self.length:
                 break
-            h = _gram_hashes(self.data[low:high], self.gram)
-            least = np.where(self.valid[low : low + len(h) - w + 1], _sliding(h, w, np.minimum), np.uint64(0))
-            edge = np.zeros(w - 1, np.uint64)
+            h = _gram_order(self.data[low:high], self.gram)
+            least = _sliding(h, w, np.minimum) * self.valid[low : low + len(h) - w + 1]
+            self.least[low : low + len(least)] = least
+            edge = np.zeros(w - 1, np.uint32)
             most = _sliding(np.concatenate([edge, least, edge]), w, np.maximum)
             at = np.flatnonzero(h == most)
             at = at[(at + low >= i) & (at + low < i + block)]
             places.append(at + low)
-            hashes.append(h[at])
-        return (np.concatenate(places), np.concatenate(hashes)) if places else (np.empty(0, np.int64), np.empty(0, np.uint64))
+            orders.append(h[at])
+        return (np.concatenate(places), np.concatenate(orders)) if places else (np.empty(0, np.int64), np.empty(0, np.uint32))
 
     def doc_of(self, places: np.ndarray) -> np.ndarray:
         """The document number at each place."""
         return np.searchsorted(self.ends, places, side="right")
 
-    def contexts(self, places: np.ndarray) -> np.ndarray:
-        """A row for each anchor: its bytes from width-1 before to length after, where a window that it anchors
-        lies (zero elsewhere), then the least and greatest distance from such a window's start to the anchor."""
-        w, n = self.width, len(self.data)
+    def contexts(self, anchors: np.ndarray) -> np.ndarray:
+        """A row for each of these anchors (by number): its bytes from width-1 before to length after, where a window that it
+        anchors lies (zero elsewhere), then the least and greatest distance from such a window's start to the anchor."""
+        w, size = self.width, self.width - 1 + self.length
         reach = w - 1
         padded = np.concatenate([np.zeros(reach, np.uint8), self.data, np.zeros(self.length, np.uint8)])
-        valid = np.concatenate([np.zeros(reach, bool), self.valid])
-        out = np.empty((len(places), reach + self.length + 2), np.uint8)
-        for i in range(0, len(places), 8192):
-            p = places[i : i + 8192]
-            rows = padded[p[:, None] + np.arange(reach + self.length)]
-            h = _gram_hashes(np.ascontiguousarray(rows).ravel(), self.gram)
-            h = np.lib.stride_tricks.as_strided(h, (len(p), 2 * w - 1), (rows.shape[1] * 8, 8))
-            least = np.lib.stride_tricks.sliding_window_view(h, w, axis=1).min(axis=2)  # window starts p-reach .. p
-            mine = (least == h[:, reach : reach + 1]) & valid[p[:, None] + np.arange(w)]
-            far = reach - mine.argmax(axis=1)
-            near = mine[:, ::-1].argmax(axis=1)
-            inside = np.arange(reach + self.length)
-            rows[(inside < (reach - far)[:, None]) | (inside >= (reach - near + self.length)[:, None])] = 0
-            out[i : i + 8192, :-2], out[i : i + 8192, -2], out[i : i + 8192, -1] = rows, near, far
+        least = np.concatenate([np.zeros(reach, np.uint32), self.least])
+        inside = np.arange(size, dtype=np.uint8)
+        out = np.empty((len(anchors), size + 2), np.uint8)
+        for i in range(0, len(anchors), 8192):
+            some = anchors[i : i + 8192]
+            p = self.places[some]
+            mine = _at(least, w, p) == self.order[some][:, None]  # window starts p-reach .. p
+            far = (reach - mine.argmax(axis=1)).astype(np.uint8)
+            near = mine[:, ::-1].argmax(axis=1).astype(np.uint8)
+            held = (inside >= (reach - far)[:, None]) & (inside < (reach - near + self.length)[:, None])
+            np.multiply(_at(padded, size, p), held, out=out[i : i + 8192, :-2])
+            out[i : i + 8192, -2], out[i : i + 8192, -1] = near, far
         return out
 
 
+def _at(a: np.ndarray, width: int, places: np.ndarray) -> np.ndarray:
+    """A row of ``width`` elements from each place."""
+    if not len(places):
+        return np.empty((0, width), a.dtype)
+    return np.lib.stride_tricks.as_strided(a, (len(a) - width + 1, width), (a.itemsize, a.itemsize))[places]
+
+
+def _strings(rows: np.ndarray) -> list[bytes]:
+    """Each row of bytes."""
+    return np.ascontiguousarray(rows).view(f"V{rows.shape[1]}").ravel().tolist()
+
+
 def context_keys(rows: np.ndarray) -> np.ndarray:
     """XXH3 of each row of bytes."""
-    data, width, h = np.ascontiguousarray(rows).tobytes(), rows.shape[1], xxhash.xxh3_64_intdigest
-    return np.fromiter((h(data[i : i + width], 50) for i in range(0, len(data), width)), np.uint64, len(rows))
+    out = np.empty(len(rows), np.uint64)
+    for i in range(0, len(rows), 1 << 16):
+        some = _strings(rows[i : i + (1 << 16)])
+        out[i : i + (1 << 16)] = np.fromiter(map(xxhash.xxh3_64_intdigest, some, repeat(50)), np.uint64, len(some))
+    return out
 
 
 def _begins(*keys: np.ndarray) -> np.ndarray:
@@ -171,6 +199,16 @@ def _begins(*keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
+def _by_both(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """An order by first, then second; only where first is equal, second is looked at."""
+    order = np.argsort(first)
+    begin = _begins(first[order])
+    tied = np.repeat(_lengths(begin, len(order)) > 1, _lengths(begin, len(order)))
+    some = order[tied]
+    order[tied] = some[np.lexsort((second[some], first[some]))]
+    return order
+
+
 def _lengths(begins: np.ndarray, n: int) -> np.ndarray:
     return np.diff(np.append(begins, n))
 
@@ -198,27 +236,29 @@ def windows(rows: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.n
 
 
 class BlindTrie:
-    """Strings by the places where they branch; only a leaf's string is ever compared in full."""
+    """Strings of one length by the places where they branch; only a leaf's string is ever compared in full."""
 
     def __init__(self, first: bytes, number: int):
         self.root = [first, [number]]  # a leaf: [string, numbers]; a branch: (place, {byte: node})
+        self.leaves = {first: self.root[1]}  # strings that are held already are not looked for
 
     def add(self, s: bytes, number: int) -> None:
+        held = self.leaves.setdefault(s, mine := [number])
+        if held is not mine:
+            held.append(number)
+            return
         node = self.root
-        while isinstance(node, tuple):  # blind: any leaf below agrees up to where it must differ
+        while type(node) is tuple:  # blind: any leaf below agrees up to where it must differ
             node = node[1].get(s[node[0]]) or next(iter(node[1].values()))
         other = node[0]
-        if other == s:
-            node[1].append(number)
-            return
-        at = next(i for i, (a, b) in enumerate(zip(s, other)) if a != b)
+        at = len(s) - ((int.from_bytes(s) ^ int.from_bytes(other)).bit_length() + 7 >> 3)  # the first byte that differs
         above, key, node = None, None, self.root
-        while isinstance(node, tuple) and node[0] < at:
+        while type(node) is tuple and node[0] < at:
             above, key, node = node, s[node[0]], node[1][s[node[0]]]
-        if isinstance(node, tuple) and node[0] == at:
-            node[1][s[at]] = [s, [number]]
+        if type(node) is tuple and node[0] == at:
+            node[1][s[at]] = [s, mine]
             return
-        branch = (at, {s[at]: [s, [number]], other[at]: node})
+        branch = (at, {s[at]: [s, mine], other[at]: node})
         if above is None:
             self.root = branch
         else:
@@ -229,7 +269,7 @@ class BlindTrie:
         todo = [self.root]
         while todo:
             node = todo.pop()
-            if isinstance(node, tuple):
+            if type(node) is tuple:
                 todo += [node[1][b] for b in sorted(node[1], reverse=True)]
             else:
                 yield node[1]
@@ -297,15 +337,21 @@ def sort_suffixes(rows: np.ndarray, shallow: int = SHALLOW_WORDS, groups: np.nda
         place = (a != b).argmax(axis=1)
         turn = two[a[np.arange(len(two)), place] > b[np.arange(len(two)), place]]
         order[turn], order[turn + 1] = order[turn + 1], order[turn]
-    for a, k in zip(start[differ & (size > 2)].tolist(), size[differ & (size > 2)].tolist()):
-        mine = order[a : a + k].copy()
-        data, step = rest[mine].tobytes(), rest.shape[1]
-        trie = BlindTrie(data[:step], 0)
-        for i in range(1, k):
-            trie.add(data[i * step : (i + 1) * step], i)
-        for same in trie.groups():
-            order[a : a + len(same)], run[a : a + len(same)] = mine[same], a
-            a += len(same)
+    many = differ & (size > 2)
+    for i in range(0, int(many.sum()), 1 << 12):
+        first, count = start[many][i : i + (1 << 12)], size[many][i : i + (1 << 12)]
+        at = np.repeat(first, count) + _ranges(count)
+        mine, strings, sorted_, runs, done = order[at], _strings(rest[order[at]]), [], [], 0
+        for a, k in zip(first.tolist(), count.tolist()):
+            trie = BlindTrie(strings[done], done)
+            for j in range(done + 1, done + k):
+                trie.add(strings[j], j)
+            done += k
+            for same in trie.groups():
+                sorted_ += same
+                runs += [a] * len(same)
+                a += len(same)
+        order[at], run[at] = mine[sorted_], runs
     return order, run
 
 
@@ -365,6 +411,16 @@ def least_ids(rows: np.ndarray, keys: np.ndarray, ids: np.ndarray, length: int,
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
+def _texts(data: np.ndarray, ends: np.ndarray, most: int = 1 << 30) -> pa.ChunkedArray:
+    """Binary values, one after the other in data, that end at ends; in arrays whose last values begin before the next ``most`` bytes."""
+    starts, arrays = np.append(0, ends[:-1]), []
+    cuts = np.append(_begins(starts // most), len(ends))
+    for i, j in zip(cuts, cuts[1:]):
+        offsets = np.append(starts[i:j], ends[j - 1]) - starts[i]
+        arrays.append(pa.Array.from_buffers(pa.binary(), int(j - i), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data[starts[i] : ends[j - 1]])]))
+    return pa.chunked_array(arrays, pa.binary())
+
+
 # ---- the three steps --------------------------------------------------------------------------------
 
 _SHORT = np.dtype("<u8")
@@ -445,18 +501,20 @@ def repeated_spans(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
         c, number = Chunk(docs, length, gram), docs["chunk"][0].as_py()
         keys, doc = key(c.hashes), c.ids[c.doc_of(c.places)]
         suspect = np.zeros(len(keys), bool)
-        if told.num_rows:
-            known = np.sort(np.concatenate([_unpack(d.as_py(), "<u8") for d in told["data"]]))
-            suspect = known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys
-        order = np.argsort(keys, kind="stable")  # anchors of several documents of this chunk
+        order = np.argsort(keys)
         if len(order):
-            begin = np.flatnonzero(np.concatenate([[True], keys[order][1:] != keys[order][:-1]]))
+            begin = _begins(keys[order])
+            one = keys[order][begin]
             least, most = np.minimum.reduceat(doc[order], begin), np.maximum.reduceat(doc[order], begin)
-            suspect[order] |= np.repeat(least != most, np.diff(np.append(begin, len(order))))
+            wanted = least != most  # anchors of several documents of this chunk
+            if told.num_rows:
+                known = np.sort(np.concatenate([_unpack(d.as_py(), "<u8") for d in told["data"]]))
+                wanted |= known[np.minimum(np.searchsorted(known, one), len(known) - 1)] == one
+            suspect[order] = np.repeat(wanted, _lengths(begin, len(order)))
         at = np.flatnonzero(suspect)
-        rows = c.contexts(c.places[at])
+        rows = c.contexts(at)
         same = context_keys(rows)
-        order = np.lexsort((same, keys[at]))
+        order = _by_both(keys[at], same)
         at = at[order]
         begin = _begins(keys[at], same[order])
         out = np.zeros(len(begin), sent_row)
@@ -522,23 +580,26 @@ def repeated_spans(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
 
     def matches(values: np.ndarray, said: np.ndarray, name: str) -> tuple[np.ndarray, np.ndarray]:
         """(number of the value, reply) for all replies, sorted by ``name``, that a value has."""
-        low, high = np.searchsorted(said[name], values), np.searchsorted(said[name], values, side="right")
+        names = np.ascontiguousarray(said[name])
+        low, high = np.searchsorted(names, values), np.searchsorted(names, values, side="right")
         mine = np.repeat(np.arange(len(values)), high - low)
         return mine, said[np.repeat(low, high - low) + np.arange(len(mine)) - np.repeat(np.cumsum(high - low) - (high - low), high - low)]
 
+    spans_kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
     def cut(docs: pa.Table, told: pa.Table) -> pa.Table:
         release()
         c = Chunk(docs, length, gram) if docs.num_rows else None
         removed = np.zeros(len(c.data) if c else 0, bool)
         if c and told.num_rows:
-            edge, keys = np.zeros(len(c.data) + 1, np.int64), key(c.hashes)
+            edge, keys = np.zeros(len(c.data) + 1, np.int32), key(c.hashes)
             flags = told["hot"].to_pylist()
             parts = [_unpack(d.as_py(), reply_row) for d, h in zip(told["data"], flags) if not h]
             if parts:
                 said = np.concatenate(parts)
                 at = anchors_of(np.unique(said["key"]), keys)
                 places = c.places[at]
-                mine, reply = matches(context_keys(c.contexts(places)), said[np.argsort(said["context"], kind="stable")], "context")
+                mine, reply = matches(context_keys(c.contexts(at)), said[np.argsort(said["context"], kind="stable")], "context")
                 hit = (reply["id"] < c.ids[c.doc_of(places[mine])]) & (reply["key"] == keys[at][mine])
                 place, reply = places[mine][hit], reply[hit]
                 np.add.at(edge, place - reply["far"], 1)
@@ -550,23 +611,27 @@ def repeated_spans(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
                 at = anchors_of(np.unique(said["key"]), keys)
                 for i in range(0, len(at), 8192):
                     some = at[i : i + 8192]
-                    owner, distance, hashes = windows(c.contexts(c.places[some]), length)
+                    owner, distance, hashes = windows(c.contexts(some), length)
                     mine, reply = matches(hashes, said, "window")
                     place = c.places[some][owner[mine]]
                     hit = (reply["id"] < c.ids[c.doc_of(place)]) & (reply["key"] == keys[some][owner[mine]])
                     start = (place - distance[mine])[hit]
                     np.add.at(edge, start, 1)
                     np.add.at(edge, start + length, -1)
-            removed = np.cumsum(edge[:-1]) > 0
-        spans, kept = [], []
-        for a, b in zip(c.starts, c.ends) if c else ():
-            gone = removed[a:b]
-            turn = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8)))
-            spans.append([{"start": int(i), "end": int(j)} for i, j in zip(turn[::2], turn[1::2])])
-            kept.append(c.data[a:b][~gone].tobytes() if len(turn) else c.data[a:b].tobytes())
-        kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        sizes = (c.ends - c.starts) if c else []
-        return pa.table({"row": docs["row"], "n_bytes": pa.array(sizes, pa.int64()), "spans": pa.array(spans, kind), "kept": pa.array(kept, pa.binary())})
+            removed = np.cumsum(edge[:-1], out=edge[:-1]) > 0
+            del edge
+        if not c:
+            return pa.table({"row": docs["row"], "n_bytes": pa.array([], pa.int64()), "spans": pa.array([], spans_kind), "kept": pa.array([], pa.binary())})
+        first = np.zeros(len(removed) + 1, bool)  # places where a document begins, and the end
+        first[c.starts] = first[-1] = True
+        start = np.flatnonzero(removed & (first[:-1] | ~np.append(False, removed)[:-1]))
+        end = np.flatnonzero(removed & (first[1:] | ~np.append(removed, False)[1:])) + 1
+        of = c.doc_of(start)
+        offsets = pa.array(np.append(0, np.cumsum(np.bincount(of, minlength=len(c.ends)))), pa.int32())
+        spans = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([pa.array(x - c.starts[of], pa.int64()) for x in (start, end)], fields=list(spans_kind.value_type)))
+        gone = np.append(0, np.cumsum(removed))
+        kept = _texts(c.data[~removed], c.ends - gone[c.ends])
+        return pa.table({"row": docs["row"], "n_bytes": pa.array(c.ends - c.starts, pa.int64()), "spans": spans, "kept": kept})
 
     by_chunk = lambda: dealt.groupBy("chunk")
     one = by_chunk().applyInArrow(anchors, "bucket int, chunk int, often boolean, data binary").groupBy("bucket").applyInArrow(shared, "chunk int, hot boolean, data binary")
