@@ -116,10 +116,9 @@ class Chunk:
         edges = np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1] if len(text) else np.zeros(1, np.int64)
         self.data = np.frombuffer(text.buffers()[2] or b"", np.uint8)[edges[0] : edges[-1]] if len(text) else np.empty(0, np.uint8)
         self.starts, self.ends = edges[:-1] - edges[0], edges[1:] - edges[0]
-        over = np.zeros(len(self.data) + 1, np.int8)  # places where no window of this document starts
-        np.add.at(over, np.maximum(self.starts, self.ends - length + 1), 1)
-        np.add.at(over, self.ends, -1)
-        self.valid = np.cumsum(over[:-1], dtype=np.int8) == 0
+        self.valid = np.ones(len(self.data), bool)
+        for a, b in zip(np.maximum(self.starts, self.ends - length + 1).tolist(), self.ends.tolist()):
+            self.valid[a:b] = False
         self.least = np.zeros(len(self.data), np.uint32)
         self.places, self.order = self._anchors()
         self.hashes = _gram_hashes(_at(self.data, gram, self.places))
@@ -225,10 +224,10 @@ def windows(rows: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.n
     counts = far - near + 1
     owner = np.repeat(np.arange(len(rows)), counts)
     distance = near[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
-    hashes = np.empty(len(owner), np.uint64)
+    flat, hashes = rows.ravel(), np.empty(len(owner), np.uint64)
     for i in range(0, len(owner), 1 << 16):
         o, d = owner[i : i + (1 << 16)], distance[i : i + (1 << 16)]
-        hashes[i : i + (1 << 16)] = context_keys(rows[o[:, None], (reach - d)[:, None] + np.arange(length)])
+        hashes[i : i + (1 << 16)] = context_keys(_at(flat, length, o * rows.shape[1] + reach - d))
     return owner, distance, hashes
 
 
@@ -306,10 +305,9 @@ def sort_suffixes(rows: np.ndarray, shallow: int = SHALLOW_WORDS, groups: np.nda
     """
     n, length = rows.shape
     shallow = min(shallow, -(-length // 8))
-    head = np.zeros((n, shallow * 8), np.uint8)
-    head[:, : min(length, shallow * 8)] = rows[:, : shallow * 8]
-    words = head.view(">u8").astype(np.uint64)
-    del head
+    padded = np.zeros((n, -(-length // 8) * 8), np.uint8)
+    padded[:, :length] = rows
+    words, beyond = padded.view(">u8")[:, :shallow].astype(np.uint64), padded.view(np.uint64)[:, shallow:]
     order, run, deep = np.arange(n), np.arange(n), [np.empty((2, 0), np.int64)]
     start = np.zeros(min(n, 1), np.int64) if groups is None else _begins(groups)
     size, depth = _lengths(start, n), np.zeros(len(start), np.int64)
@@ -328,7 +326,7 @@ def sort_suffixes(rows: np.ndarray, shallow: int = SHALLOW_WORDS, groups: np.nda
     at, first = np.repeat(start, size) + _ranges(size), np.repeat(start, size)
     for i in range(0, len(at), 1 << 15):
         part = slice(i, i + (1 << 15))
-        differ[segment[part][(rest[order[at[part]]] != rest[order[first[part]]]).any(axis=1)]] = True
+        differ[segment[part][(beyond[order[at[part]]] != beyond[order[first[part]]]).any(axis=1)]] = True
     leaf = np.repeat(~differ, size)
     run[at[leaf]] = first[leaf]
     two = start[differ & (size == 2)]
@@ -372,6 +370,7 @@ def least_ids(rows: np.ndarray, keys: np.ndarray, ids: np.ndarray, length: int,
     reach = rows.shape[1] - 2 - length
     by_key = np.argsort(keys, kind="stable")
     rows, keys, ids = rows[by_key], keys[by_key], ids[by_key]
+    flat = rows.ravel()
     begin = _begins(keys)
     anchor = np.repeat(np.arange(len(begin)), _lengths(begin, len(keys)))
     order, run = sort_suffixes(rows, groups=keys)
@@ -397,7 +396,7 @@ def least_ids(rows: np.ndarray, keys: np.ndarray, ids: np.ndarray, length: int,
         place = np.repeat(anchor[row], sizes) * (reach + 1) + distance
         by = np.argsort(place, kind="stable")
         owner, distance, place = owner[by], distance[by], place[by]
-        suffixes = rows[one[owner][:, None], (reach - distance)[:, None] + np.arange(length)]
+        suffixes = _at(flat, length, one[owner] * rows.shape[1] + reach - distance)
         number, low = _least(*sort_suffixes(suffixes, groups=place), least[owner])
         back = np.lexsort((distance, owner))
         owner, distance, low = owner[back], distance[back], low[number[back]]
@@ -435,6 +434,11 @@ def _dealt(keys: np.ndarray, buckets: int):
         yield int(b[order[i]]), order[i:j]
 
 
+def _packed(rows: np.ndarray, key: str, buckets: int, hot: bool) -> list[tuple[int, bool, bytes]]:
+    """(bucket, hot, its rows) for rows dealt by a key; the rows are copied once, however many buckets there are."""
+    return [(b, hot, _pack(rows[i])) for b, i in _dealt(rows[key], buckets)]
+
+
 def _five(keys: np.ndarray) -> bytes:
     return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
 
@@ -456,7 +460,7 @@ def repeated_spans(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
     chunks = int(max(1, total // chunk_bytes))
     dealt = docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(chunks)).cast("int"))
     # few chunks: a bucket for each; a large corpus: as its anchors (about a sixteenth of the places, five bytes each) need
-    buckets = min(chunks, max(2048, total * 5 // 16 // BUCKET_BYTES))
+    buckets = min(chunks, max(512, total * 5 // 16 // BUCKET_BYTES))
     # so many bits of the hash that, without the part that names the bucket, five bytes hold them
     key = lambda h: h >> np.uint64(64 - 40 - buckets.bit_length() + 1)
 
@@ -524,7 +528,7 @@ def repeated_spans(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
         del rows
         said = [_unpack(d.as_py(), "<u8") for d, h in zip(told["data"], told["hot"].to_pylist()) if h]
         hot = np.isin(out["key"], np.concatenate(said)) if said else np.zeros(len(out), bool)
-        sent = [(b, False, _pack(out[~hot][i])) for b, i in _dealt(out["key"][~hot], buckets)]
+        sent = _packed(out[~hot], "key", buckets, False)
         if hot.any():
             some = out[hot]
             owner, _, hashes = windows(some["row"], length)
@@ -534,7 +538,7 @@ def repeated_spans(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
             w = np.zeros(len(begin), window_row)
             w["key"], w["window"] = keys[begin], hashes[begin]
             w["least"], w["most"] = np.minimum.reduceat(some["least"][owner], begin), np.maximum.reduceat(some["most"][owner], begin)
-            sent += [(b, True, _pack(w[i])) for b, i in _dealt(w["window"], buckets)]
+            sent += _packed(w, "window", buckets, True)
         return pa.table({"bucket": pa.array([b for b, _, _ in sent], pa.int32()), "chunk": pa.array([number] * len(sent), pa.int32()), "hot": pa.array([h for _, h, _ in sent], pa.bool_()), "data": pa.array([d for _, _, d in sent], pa.binary())})
 
     def by_target(out: np.ndarray, to: np.ndarray, hot: bool) -> pa.Table:
@@ -581,7 +585,9 @@ def repeated_spans(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
     def matches(values: np.ndarray, said: np.ndarray, name: str) -> tuple[np.ndarray, np.ndarray]:
         """(number of the value, reply) for all replies, sorted by ``name``, that a value has."""
         names = np.ascontiguousarray(said[name])
-        low, high = np.searchsorted(names, values), np.searchsorted(names, values, side="right")
+        low = np.searchsorted(names, values)
+        high, there = low.copy(), names[np.minimum(low, len(names) - 1)] == values
+        high[there] = np.searchsorted(names, values[there], side="right")
         mine = np.repeat(np.arange(len(values)), high - low)
         return mine, said[np.repeat(low, high - low) + np.arange(len(mine)) - np.repeat(np.cumsum(high - low) - (high - low), high - low)]
 
@@ -609,13 +615,20 @@ def repeated_spans(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
                 said = np.concatenate(parts)
                 said = said[np.argsort(said["window"], kind="stable")]
                 at = anchors_of(np.unique(said["key"]), keys)
+                at = at[np.argsort(keys[at], kind="stable")]
                 for i in range(0, len(at), 8192):
                     some = at[i : i + 8192]
-                    owner, distance, hashes = windows(c.contexts(some), length)
+                    rows = c.contexts(some)
+                    same = context_keys(rows)
+                    order = _by_both(keys[some], same)  # windows of equal contexts are looked for once
+                    begin = _begins(keys[some][order], same[order])
+                    size = _lengths(begin, len(some))
+                    owner, distance, hashes = windows(rows[order[begin]], length)
                     mine, reply = matches(hashes, said, "window")
-                    place = c.places[some][owner[mine]]
-                    hit = (reply["id"] < c.ids[c.doc_of(place)]) & (reply["key"] == keys[some][owner[mine]])
-                    start = (place - distance[mine])[hit]
+                    hit = reply["key"] == keys[some][order[begin[owner[mine]]]]
+                    one, least = mine[hit], np.repeat(reply["id"][hit], size[owner[mine[hit]]])
+                    place = c.places[some][order[np.repeat(begin[owner[one]], size[owner[one]]) + _ranges(size[owner[one]])]]
+                    start = (place - np.repeat(distance[one], size[owner[one]]))[least < c.ids[c.doc_of(place)]]
                     np.add.at(edge, start, 1)
                     np.add.at(edge, start + length, -1)
             removed = np.cumsum(edge[:-1], out=edge[:-1]) > 0
@@ -629,9 +642,10 @@ def repeated_spans(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
         of = c.doc_of(start)
         offsets = pa.array(np.append(0, np.cumsum(np.bincount(of, minlength=len(c.ends)))), pa.int32())
         spans = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([pa.array(x - c.starts[of], pa.int64()) for x in (start, end)], fields=list(spans_kind.value_type)))
-        gone = np.append(0, np.cumsum(removed))
-        kept = _texts(c.data[~removed], c.ends - gone[c.ends])
-        return pa.table({"row": docs["row"], "n_bytes": pa.array(c.ends - c.starts, pa.int64()), "spans": spans, "kept": kept})
+        sizes = c.ends - c.starts
+        gone = np.bincount(of, end - start, len(sizes)).astype(np.int64)
+        kept = _texts(c.data[~removed], np.cumsum(sizes - gone))
+        return pa.table({"row": docs["row"], "n_bytes": pa.array(sizes, pa.int64()), "spans": spans, "kept": kept})
 
     by_chunk = lambda: dealt.groupBy("chunk")
     one = by_chunk().applyInArrow(anchors, "bucket int, chunk int, often boolean, data binary").groupBy("bucket").applyInArrow(shared, "chunk int, hot boolean, data binary")

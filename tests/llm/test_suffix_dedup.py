@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from flowloom.llm import suffix_dedup as sd
 
@@ -149,6 +150,49 @@ def test_hot_anchor_sends_windows_apart(spark, monkeypatch):
     assert apart < (seen.value - apart) // 5
 
 
+def test_rows_are_copied_once_for_all_buckets():
+    """What a chunk sends grows with its rows, not with rows times buckets (before, all rows were copied for each bucket)."""
+    taken = []
+
+    class Counted(np.ndarray):
+        def __getitem__(self, at):
+            out = super().__getitem__(at)
+            taken.append(out.nbytes if isinstance(out, np.ndarray) and not np.may_share_memory(out, self) else 0)
+            return out
+
+    rows = np.zeros(3000, [("key", "<u8"), ("row", "u1", (82,))])
+    rows["key"] = np.random.default_rng(8).integers(0, 2**62, 3000)
+    sent = sd._packed(rows.view(Counted), "key", 1000, False)
+    assert sum(len(sd._unpack(d, rows.dtype)) for _, _, d in sent) == 3000 and sum(taken) <= 2 * rows.nbytes
+    assert all((sd._unpack(d, rows.dtype)["key"] % 1000 == b).all() for b, _, d in sent)
+
+
+def test_contexts_as_told_by_each_window():
+    """What a chunk says of its anchors, against every window by itself; texts of few letters have the same gram at many places."""
+    rng, length, gram = random.Random(6), 50, 20
+    texts = ["".join(rng.choice("ab" if i % 3 else "abcdefgh ") for _ in range(rng.choice([0, 49, 50, 51, 300]))) for i in range(40)] + ["a" * 200, "ab" * 90]
+    c = sd.Chunk(pa.table({"doc_id": list(range(len(texts))), "text": pa.chunked_array([texts[:7], texts[7:]])}), length, gram)
+    data, order = "".join(texts).encode(), sd._gram_order(np.frombuffer("".join(texts).encode(), np.uint8), gram)
+    want: dict = {}
+    for a, b in zip(c.starts.tolist(), c.ends.tolist()):
+        for w in range(a, b - length + 1):
+            for p in range(w, w + length - gram + 1):
+                if order[p] == order[w : w + length - gram + 1].min():
+                    want.setdefault(p, []).append(w)
+    assert c.places.tolist() == sorted(want)
+    for p, row in zip(c.places.tolist(), c.contexts(np.arange(len(c.places)))):
+        near, far = p - max(want[p]), p - min(want[p])
+        assert (row[-2], row[-1]) == (near, far)
+        assert row[30 - far : 80 - near].tobytes() == data[p - far : p - near + 50] and not row[: 30 - far].any() and not row[80 - near : 80].any()
+
+
+def test_kept_bytes_in_several_arrays():
+    data, ends = np.frombuffer(b"onetwothree", np.uint8), np.array([0, 3, 6, 6, 11])
+    for most in (1, 4, 100):
+        assert sd._texts(data, ends, most).to_pylist() == [b"", b"one", b"two", b"", b"three"]
+    assert sd._texts(data[:0], np.array([0, 0])).to_pylist() == [b"", b""]
+
+
 def test_columns_that_are_not_nullable_or_have_dots(spark):
     from pyspark.sql import types as T
 
