@@ -156,7 +156,8 @@ FIELDS = ["namespace", "name", "kind", "owner_name", "owner_kind", "network_name
 def _object(inventory: DataFrame) -> Column:
     """An inventory row as one value; what the inventory lacks is NULL."""
     none = lambda f: F.lit(None).cast("map<string,string>" if f in ("labels", "annotations", "secondary_net_names") else "string").alias(f)
-    return F.struct(*[F.col(f) if f in inventory.columns else none(f) for f in FIELDS])
+    known = {f.name for f in inventory.schema if f.dataType.typeName() != "void"}  # void can't be written
+    return F.struct(*[F.col(f) if f in known else none(f) for f in FIELDS])
 
 
 def _rank() -> Column:
@@ -238,7 +239,7 @@ def add_kubernetes_as_of(df: DataFrame, ip_col: str, time_col: str, out: str, ch
     """
     at, held, when = free_names(df, "_ip", "_valid", "_when")
     numbered = df.withColumns({at: F.col(f"`{ip_col}`").cast("string"), when: _long(df, time_col)})
-    segments = validity(changes.withColumn("version", _long(changes, "version")), _object(changes), _rank())
+    segments = staged(validity(changes.withColumn("version", _long(changes, "version")), _object(changes), _rank()), "segments")  # counted, cut into ranges and joined
     right = segments.select(F.col("address").alias(at), F.col("low").alias("t"), F.struct(F.col("high"), F.col("object")).alias("held"))
     found = as_of(numbered, right, [at], when, "t", {held: "held"}, rows_per_range=rows_per_range)
     o = F.when(F.col(when) < F.col(held)["high"], F.col(held)["object"])

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowloom.functions.net import ip_to_long, is_ip, let
+from flowloom.functions.storage import staged
 from flowloom.operators.asof import as_of
 from flowloom.operators.intervals import disjoint
 
@@ -31,16 +32,18 @@ def validity(changes: DataFrame, held: Column, rank: Column) -> DataFrame:
     gives nothing. Of one object's changes of one version the last operation by name counts. Where several objects
     hold an address at once, the least by rank, then by version and name counts, as in ``add_kubernetes`` over ``latest``.
     Changes without a version or name are left out. An object's own changes are one window; addresses are swept by range.
+    Changes, and what each holds, are written once each.
     """
     rows = changes.select("kind", F.coalesce("namespace", F.lit("")).alias("namespace"), "name", F.col("version").cast("long").alias("version"), "op", "ips", held.alias("object"), rank.alias("rank")).dropna(subset=["kind", "name", "version"])
     rows = rows.groupBy("kind", "namespace", "name", "version").agg(F.max_by(F.struct("op", "ips", "object", "rank"), F.struct("op", F.xxhash64("ips"))).alias("r")).select("kind", "namespace", "name", "version", "r.*")
+    rows = staged(rows, "changes")  # read by each step of the join
     # the first snapshot after a change: an as-of join backwards in time, with one key for all
     shots = rows.filter("op = 'snapshot'").select((-F.col("version")).alias("back"), F.col("version").alias("shot")).distinct()
     rows = as_of(rows.withColumn("back", -F.col("version") - 1), shots, [], "back", "back", {"shot": "shot"})
     own = Window.partitionBy("kind", "namespace", "name").orderBy("version")
     rows = rows.withColumn("high", F.least(F.lead("version").over(own), F.col("shot"), F.lit(_EVER))).filter("op <> 'delete'")
     spans = rows.select(F.explode(F.array_distinct("ips")).alias("address"), F.col("version").alias("low"), "high", "rank", F.col("version").alias("came"), "name", "object").filter("address IS NOT NULL")
-    return disjoint(spans, ["address"], ["rank", "came", "name"], "object")
+    return disjoint(staged(spans, "spans"), ["address"], ["rank", "came", "name"], "object")
 
 
 def pods(df: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ import random
 from pyspark.sql import functions as F
 
 from flowloom.functions import net
-from flowloom.operators import inventory
+from flowloom.operators import enrich, inventory
 from flowloom.operators.intervals import disjoint
 from flowloom.plans import queries as q
 from flowloom.sources import flows as src
@@ -55,3 +55,12 @@ def test_addresses_are_split_once(spark):
     want = {"1.2.3.4": 16909060, "255.255.255.255": 2**32 - 1, "0.0.0.0": 0}
     assert {r["t"]: r["n"] for r in df.collect()} == {t: want.get(t) for t in texts}
     assert "THEN 0 END" in plan(df) and "split" not in plan(df).split("CASE")[1].split("END")[0]
+
+
+def test_inventory_as_of_is_swept_once(spark):
+    """The join in ranges of time reads the segments several times; they are written, not swept again. A column without a type is NULL."""
+    changes = spark.createDataFrame([("Pod", "ns", "a", 5, "update", ["1.1.1.1"]), ("Pod", "ns", "a", 9, "delete", ["1.1.1.1"])], "kind string, namespace string, name string, version long, op string, ips array<string>").withColumn("host_ip", F.lit(None))
+    flows = spark.createDataFrame([(i, "1.1.1.1") for i in range(4, 11)], "t long, ip string")
+    out = enrich.add_kubernetes_as_of(flows, "ip", "t", "Src", changes)
+    assert "MapInArrow" not in plan(out)
+    assert sorted((r["t"], r["Src_Name"], r["Src_HostIP"]) for r in out.collect()) == [(t, "a" if 5 <= t < 9 else None, None) for t in range(4, 11)]
